@@ -1,0 +1,4 @@
+"""Queries over the driver tables; importing the package registers them."""
+
+from tamiz.workload import gold_queries, shape_queries, text_queries  # noqa: F401
+from tamiz.workload.registry import ORACLES, QUERIES  # noqa: F401
