@@ -58,7 +58,8 @@ def read_csv_any_charset(
     """CSV files that are UTF-8 or, where a file has a line that is not, Latin-1.
 
     Files are split as usual: whether a file is valid UTF-8 is an aggregate over its lines,
-    not a test on its whole content in one task.
+    not a test on its whole content in one task. Each file starts with a header line, known
+    by its first cell.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("archivo"), "value")
     broken = (
@@ -67,13 +68,14 @@ def read_csv_any_charset(
     text = F.when(F.col("es_latin1"), F.decode(F.col("value").cast("binary"), LATIN1)).otherwise(
         F.col("value")
     )
-    first = schema.fields[0].name
+    first_cell = F.translate(F.split_part("value", F.lit(sep), F.lit(1)), '"\ufeff ', "")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = (
         lines.join(broken, "archivo", "left")
-        .where(F.length("value") > 0)
-        .select(F.from_csv(text, schema.simpleString()[len("struct<") : -1], {"sep": sep}).alias("r"))
+        .where((F.length("value") > 0) & (F.lower(first_cell) != schema.fields[0].name.lower()))
+        .select(F.from_csv(text, ddl, {"sep": sep}).alias("r"))
     )
-    return parsed.select("r.*").where(~F.lower(F.col(first).cast("string")).eqNullSafe(first.lower()))
+    return parsed.select("r.*")
 
 
 def read_sheet(

@@ -14,13 +14,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a table partition side by side, so that a task does not write a small file for
+    each of them. The rebalance splits a partition that is too large for one task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write ``df`` in place of whatever is at ``path``; ``df`` must not read from there."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace_unless_empty(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:

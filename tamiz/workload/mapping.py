@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.numbers import exact_avg, exact_sum, half_up, ratio
 from tamiz.functions.periods import MONTHS, period_text
+from tamiz.plans.contract import BRANCHES
 from tamiz.plans.star import with_province
 from tamiz.workload.registry import Tables, sql_avg, sql_round, sql_sum
 
@@ -222,3 +223,25 @@ def envelope(t: Tables) -> DataFrame:
 PAYLOAD_SCHEMA = (
     "event_id BIGINT, usuario STRUCT<id: BIGINT>, metricas STRUCT<monto_usd: STRING, detalle: STRUCT<k: BIGINT>>"
 )
+
+
+def census_sheet(t: Tables) -> DataFrame:
+    """Wide census sheet: lines counted by place, two flags, and quantity band as the branch."""
+    branch = F.floor((F.col("l_quantity") - 1) * 22 / 50)
+    counts = [F.nullif(F.count_if(branch == i), F.lit(0)).alias(name) for i, name in enumerate(BRANCHES)]
+    keys = [F.col("l_returnflag").alias("sexo"), F.col("l_linestatus").alias("grupo_edad")]
+    per_supplier = t.lineitem.groupBy("l_suppkey", *keys).agg(*counts)
+    placed = per_supplier.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(
+        geography(t), F.col("s_nationkey") + 1 == F.col("id_geografia")
+    )
+    sheet = placed.groupBy("provincia", "canton", "sexo", "grupo_edad").agg(
+        *[F.sum(name).cast("string").alias(name) for name in BRANCHES]
+    )
+    return sheet.withColumns({"indice": F.lit("1"), "total_ocupados": F.lit("0"), "provincia": F.lower("provincia")})
+
+
+SQL_CENSUS = f"""SELECT r_name AS provincia, n_name AS canton, l_returnflag AS sexo, l_linestatus AS grupo_edad,
+    list_extract([{', '.join(repr(b) for b in BRANCHES)}], CAST(floor((l_quantity - 1) * 22 / 50) AS INT) + 1) AS rama_actividad,
+    CAST(count(*) AS DOUBLE) AS personas_ocupadas
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  GROUP BY ALL"""

@@ -305,29 +305,10 @@ def unpivot_areas(t: Tables) -> DataFrame:
     return silver.labour_survey(sheet).select("periodo", F.col("fecha").cast("string").alias("fecha"), "anio", "indicador", "area", "valor")
 
 
-_BRANCH = "CAST(floor((l_quantity - 1) * 22 / 50) AS INT)"
-
-
-@query(
-    f"""SELECT r_name AS provincia, n_name AS canton, l_returnflag AS sexo, l_linestatus AS grupo_edad,
-    list_extract([{', '.join(repr(b) for b in K.BRANCHES)}], {_BRANCH} + 1) AS rama_actividad, CAST(count(*) AS DOUBLE) AS personas_ocupadas
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  GROUP BY ALL"""
-)
+@query(M.SQL_CENSUS)
 def unpivot_branches(t: Tables) -> DataFrame:
     """A census sheet with 22 branch columns to long form."""
-    branch = F.floor((F.col("l_quantity") - 1) * 22 / 50)
-    counts = [F.nullif(F.count_if(branch == i), F.lit(0)).alias(name) for i, name in enumerate(K.BRANCHES)]
-    keys = [F.col("l_returnflag").alias("sexo"), F.col("l_linestatus").alias("grupo_edad")]
-    per_supplier = t.lineitem.groupBy("l_suppkey", *keys).agg(*counts)
-    placed = per_supplier.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(
-        M.geography(t), F.col("s_nationkey") + 1 == F.col("id_geografia")
-    )
-    sheet = placed.groupBy("provincia", "canton", "sexo", "grupo_edad").agg(
-        *[F.sum(name).cast("string").alias(name) for name in K.BRANCHES]
-    )
-    total = sheet.withColumns({"indice": F.lit("1"), "total_ocupados": F.lit("0"), "provincia": F.lower("provincia")})
-    return silver.census_occupation(total).drop("total_ocupados")
+    return silver.census_occupation(M.census_sheet(t)).drop("total_ocupados")
 
 
 @query(

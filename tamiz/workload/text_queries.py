@@ -18,8 +18,9 @@ from tamiz.plans import indicators, silver
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables, query, sql_sum
 
-# Letters the documents hold, for the SQL side.
-_FOLD = "translate(replace(upper(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))), 'ß', 'SS'), 'ÁÄÇÈÉÊÍÑÓÖÚÜ', 'AACEEEINOOUU')"
+# Letters the documents hold, for the SQL side (whose upper case of ß is one letter).
+_TRIMMED = "trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
+_FOLD = f"translate(upper(replace({_TRIMMED}, 'ß', 'SS')), 'ÁÄÇÈÉÊÍÑÓÖÚÜ', 'AACEEEINOOUU')"
 
 
 @query(f"SELECT doc_id, regexp_replace({_FOLD}, '[^\\x00-\\x7F]+', '', 'g') AS clave FROM documents")
