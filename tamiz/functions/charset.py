@@ -40,11 +40,33 @@ def redecode(c: Column, charset: str) -> Column:
     return F.when(is_ascii(c), c).when(encodable, decoded)
 
 
-def _misread(letter: str) -> set[str]:
-    """Forms a UTF-8 letter takes when its bytes are read as cp1252 or Latin-1."""
-    raw = letter.encode("utf-8")
+LEAD = "Ã"  # what the first byte of a Spanish letter turns into
+
+
+def _second_halves() -> dict[str, str]:
+    """What follows :data:`LEAD` in a damaged letter (read as cp1252 or Latin-1), and the letter."""
     table = _high_bytes("cp1252")
-    return {"".join(table.get(b, chr(b)) for b in raw), raw.decode("latin-1")}
+    return {
+        form: letter
+        for letter in SPANISH_LETTERS
+        for byte in letter.encode("utf-8")[1:]
+        for form in (table.get(byte, chr(byte)), chr(byte))
+    }
+
+
+def _repair_letters(c: Column) -> Column:
+    """Put right the damaged Spanish letters of a text that is otherwise sound."""
+    halves = _second_halves()
+
+    def piece(part: Column, index: Column) -> Column:
+        head = F.substring(part, 1, 1)
+        letter = F.translate(head, "".join(halves), "".join(halves.values()))
+        repaired = F.when(head.isin(*halves), F.concat(letter, F.substr(part, F.lit(2)))).otherwise(
+            F.concat(F.lit(LEAD), part)
+        )
+        return F.when(index == 0, part).otherwise(repaired)
+
+    return F.array_join(F.transform(F.split(c, LEAD), piece), "")
 
 
 def repair_mojibake(c: Column) -> Column:
@@ -53,14 +75,8 @@ def repair_mojibake(c: Column) -> Column:
     A text is first taken as a whole. Where that is not possible because only a part of it
     is damaged, the Spanish letters are put right one by one.
     """
-    pieces = c
-    for letter in SPANISH_LETTERS:
-        for form in sorted(_misread(letter)):
-            pieces = F.replace(pieces, F.lit(form), F.lit(letter))
-    return (
-        F.when(is_ascii(c), c)
-        .otherwise(F.coalesce(redecode(c, "cp1252"), F.when(c.contains("Ã"), pieces), c))
-    )
+    partly = F.when(c.contains(LEAD), _repair_letters(c))
+    return F.when(is_ascii(c), c).otherwise(F.coalesce(redecode(c, "cp1252"), partly, c))
 
 
 def looks_damaged(c: Column) -> Column:

@@ -51,7 +51,7 @@ def ranking(flat: DataFrame, lookup: DataFrame, dim_geography: DataFrame) -> Dat
     """Ranking rows of known companies, under the id of the company's province."""
     known = flat.join(lookup.select("expediente", "ruc", "provincia"), "expediente")
     amounts = ("anio", "ingresos_totales", "activos", "patrimonio", "utilidad_neta")
-    typed = known.withColumns({c: amount_or_null(F.col(c)) for c in amounts})
+    typed = known.withColumns({c: amount_or_null(F.col(c)) for c in amounts if c in known.columns})
     return conform(with_province(typed, dim_geography), K.STAR["fact_ranking_empresarial"])
 
 
