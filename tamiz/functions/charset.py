@@ -14,6 +14,8 @@ from tamiz.functions.text import is_ascii
 DAMAGE_MARKS = "├Ã"
 SPANISH_LETTERS = "áéíóúüñÁÉÍÓÚÜÑ"
 
+OUTSIDE = "\ufffd"  # any character that Latin-1 does not have
+
 
 @lru_cache(maxsize=None)
 def _high_bytes(charset: str) -> dict[int, str]:
@@ -28,16 +30,20 @@ def _high_bytes(charset: str) -> dict[int, str]:
 
 
 def redecode(c: Column, charset: str) -> Column:
-    """``c`` turned back to bytes of ``charset`` and read as UTF-8; NULL where that fails."""
+    """``c`` turned back to bytes of ``charset`` and read as UTF-8; NULL where that fails.
+
+    Characters are moved to the code points of their bytes and then written as Latin-1.
+    Bytes the charset leaves open travel as control characters of the same number; a letter
+    the charset lacks is moved out of Latin-1.
+    """
     table = _high_bytes(charset)
-    known = set(table.values())
-    if len(table) < 128:  # bytes left open travel as control characters of the same number
-        known |= {chr(b) for b in range(0x80, 0xA0)}
-    moved = {ch: chr(b) for b, ch in table.items() if ord(ch) != b}
+    moved = {ch: chr(byte) for byte, ch in table.items() if ord(ch) != byte}
+    open_bytes = {byte for byte in range(0x80, 0xA0) if byte not in table}
+    known = {ord(ch) for ch in table.values()} | (set(range(0x80, 0xA0)) if open_bytes else set())
+    moved |= {chr(code): OUTSIDE for code in range(0x80, 0x100) if code not in known}
     as_latin1 = F.translate(c, "".join(moved), "".join(moved.values()))
-    encodable = c.rlike("^[\\x00-\\x7F" + "".join(f"\\x{{{ord(ch):X}}}" for ch in sorted(known)) + "]*$")
     decoded = F.try_validate_utf8(F.encode(as_latin1, "ISO-8859-1").cast("string"))
-    return F.when(is_ascii(c), c).when(encodable, decoded)
+    return F.when(is_ascii(c), c).when(~as_latin1.rlike(r"[^\x00-\xFF]"), decoded)
 
 
 LEAD = "Ã"  # what the first byte of a Spanish letter turns into

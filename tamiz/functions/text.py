@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,16 +62,42 @@ def _ascii_forms() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), longer
 
 
-def ascii_fold(c: Column) -> Column:
-    """Letters without their accents; what has no ASCII form is dropped."""
-    source, target, longer = _ascii_forms()
+@lru_cache(maxsize=1)
+def _longer_ranges() -> list[tuple[str, str]]:
+    """Few ranges of characters that cover those with a longer form."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, _ascii_forms()[2])):
+        if ranges and code - ranges[-1][1] <= 0x200 and ranges[-1][0] >= 0x100:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return [(chr(low), chr(high)) for low, high in ranges]
+
+
+def _spell_out(c: Column) -> Column:
+    """Replace the characters that stand for several ASCII letters, one character at a time."""
+    longer = _ascii_forms()[2]
     forms = F.str_to_map(
         F.lit("\x01".join(f"{k}\x02{v}" for k, v in longer.items())), F.lit("\x01"), F.lit("\x02")
     )
-    spelled = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(forms, ch), ch)), ""
-    )
-    single = F.when(c.rlike("[" + "".join(longer) + "]"), spelled).otherwise(c)
+    ranges = _longer_ranges()
+
+    def spelled(ch: Column) -> Column:
+        candidate = reduce(Column.__or__, [ch.between(low, high) for low, high in ranges])
+        return F.when(candidate, F.coalesce(F.try_element_at(forms, ch), ch)).otherwise(ch)
+
+    return F.array_join(F.transform(F.split(c, ""), spelled), "")
+
+
+def ascii_fold(c: Column) -> Column:
+    """Letters without their accents; what has no ASCII form is dropped.
+
+    ASCII text is passed through, and text that is Latin letters with accents goes through
+    one ``translate``; only text with ligatures, fractions and the like is taken apart.
+    """
+    source, target, _ = _ascii_forms()
+    ranges = "".join(f"{low}-{high}" for low, high in _longer_ranges())
+    single = F.when(c.rlike(f"[{ranges}]"), _spell_out(c)).otherwise(c)
     folded = F.regexp_replace(F.translate(single, source, target), r"[^\x00-\x7F]+", "")
     return F.when(is_ascii(c), c).otherwise(folded)
 

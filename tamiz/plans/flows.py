@@ -7,7 +7,11 @@ Tables that several inputs feed are written in the order of their references.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tamiz.operators import audits
 from tamiz.plans import contract as K
@@ -17,6 +21,15 @@ from tamiz.sources.tables import read_table, replace_table, replace_unless_empty
 Tables = dict[str, DataFrame]
 
 
+JOBS_AT_ONCE = 4
+
+
+def _concurrently(work: Callable, tables: Tables) -> list:
+    """Results of ``work(name, table)`` in order; the first failure is raised."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return list(pool.map(lambda item: work(*item), tables.items()))
+
+
 class Layer:
     """Tables of one layer as folders below a common one."""
 
@@ -28,13 +41,24 @@ class Layer:
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         replace_table(df, self.path(name), K.PARTITIONS.get(name, ()))
-        return self.get(name)
+        return self.get(name, df.schema)
 
-    def put_unless_empty(self, name: str, df: DataFrame) -> bool:
-        return replace_unless_empty(df, self.path(name), K.PARTITIONS.get(name, ()))
+    def put_all(self, tables: Tables) -> Tables:
+        """Write tables that do not depend on each other, as concurrent jobs."""
+        return dict(zip(tables, _concurrently(self.put, tables)))
 
-    def get(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name))
+    def put_filled(self, tables: Tables) -> Tables:
+        """As :meth:`put_all`, leaving alone the tables that have no rows to load."""
+
+        def put(name: str, df: DataFrame) -> DataFrame | None:
+            filled = replace_unless_empty(df, self.path(name), K.PARTITIONS.get(name, ()))
+            return self.get(name, df.schema) if filled else None
+
+        loaded = zip(tables, _concurrently(put, tables))
+        return {name: df for name, df in loaded if df is not None}
+
+    def get(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        return read_table(self.spark, self.path(name), schema)
 
 
 def load_envelope(envelope: DataFrame, schemas: dict[str, indicators.Schema], silver: Layer) -> Tables:
@@ -52,7 +76,7 @@ def load_envelope(envelope: DataFrame, schemas: dict[str, indicators.Schema], si
     for indicator, (name, build) in builders.items():
         if indicator in schemas:
             made[name] = build(envelope, schemas[indicator])
-    loaded = {name: silver.get(name) for name, df in made.items() if silver.put_unless_empty(name, df)}
+    loaded = silver.put_filled(made)
     if "fact_mineduc_amie" in loaded:
         loaded["fact_mineduc_bachilleres"] = silver.put(
             "fact_mineduc_bachilleres", indicators.graduates(loaded["fact_mineduc_amie"])
@@ -65,27 +89,32 @@ def build_star(flat: Tables, layer: Layer) -> Tables:
 
     ``flat`` holds the cleaned tables by name: ``macro_anual``, ``pib_nominal``,
     ``indicadores_diarios``, ``iee``, ``vab``, ``empleo``, ``ocupacion_censo``, ``ranking``,
-    ``oferta_academica``, ``empresas`` and ``ciiu``.
+    ``oferta_academica``, ``empresas`` and ``ciiu``. Several facts and dimensions read the
+    same one, so they should be stored tables (see :meth:`Layer.put_all`).
     """
-    put = layer.put
     schools = flat["oferta_academica"]
-    geography = put("dim_geografia", star.geography([flat["vab"], flat["empresas"]], schools))
-    years = [flat["macro_anual"].select("anio"), flat["pib_nominal"].select("periodo")]
-    time = put("dim_tiempo", star.time(years))
-    return {
-        "dim_geografia": geography,
-        "dim_tiempo": time,
-        "dim_ciiu": put("dim_ciiu", star.industry_dimension(flat["ciiu"])),
-        "dim_empresas": put("dim_empresas", star.company_dimension(flat["empresas"])),
-        "fact_macro_anual": put("fact_macro_anual", star.macro_fact(flat["macro_anual"], flat["pib_nominal"], time)),
-        "fact_indicadores_diarios": put("fact_indicadores_diarios", star.daily_fact(flat["indicadores_diarios"])),
-        "fact_iee": put("fact_iee", star.expectations_fact(flat["iee"])),
-        "fact_vab": put("fact_vab", star.value_added_fact(flat["vab"], geography)),
-        "fact_empleo": put("fact_empleo", star.employment_fact(flat["empleo"])),
-        "fact_ocupacion_censo": put("fact_ocupacion_censo", star.census_fact(flat["ocupacion_censo"], geography)),
-        "fact_ranking_empresarial": put("fact_ranking_empresarial", star.ranking_fact(flat["ranking"], geography)),
-        "fact_oferta_academica": put("fact_oferta_academica", star.school_fact(schools, geography)),
-    }
+    dimensions = layer.put_all(
+        {
+            "dim_geografia": star.geography([flat["vab"], flat["empresas"]], schools),
+            "dim_tiempo": star.time([flat["macro_anual"].select("anio"), flat["pib_nominal"].select("periodo")]),
+            "dim_ciiu": star.industry_dimension(flat["ciiu"]),
+            "dim_empresas": star.company_dimension(flat["empresas"]),
+        }
+    )
+    geography, time = dimensions["dim_geografia"], dimensions["dim_tiempo"]
+    facts = layer.put_all(
+        {
+            "fact_macro_anual": star.macro_fact(flat["macro_anual"], flat["pib_nominal"], time),
+            "fact_indicadores_diarios": star.daily_fact(flat["indicadores_diarios"]),
+            "fact_iee": star.expectations_fact(flat["iee"]),
+            "fact_vab": star.value_added_fact(flat["vab"], geography),
+            "fact_empleo": star.employment_fact(flat["empleo"]),
+            "fact_ocupacion_censo": star.census_fact(flat["ocupacion_censo"], geography),
+            "fact_ranking_empresarial": star.ranking_fact(flat["ranking"], geography),
+            "fact_oferta_academica": star.school_fact(schools, geography),
+        }
+    )
+    return {**dimensions, **facts}
 
 
 def audit_star(tables: Tables) -> DataFrame:

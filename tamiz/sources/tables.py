@@ -6,12 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.session import scratch_path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table; with its schema given, no file is opened to find it."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

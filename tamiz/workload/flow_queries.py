@@ -10,7 +10,7 @@ from tamiz.functions.numbers import exact_avg, exact_sum, half_up
 from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, refresh, silver, star
-from tamiz.session import scratch_path
+from tamiz.session import materialise, scratch_path
 from tamiz.sources import tables
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables, query, sql_avg, sql_round, sql_sum
@@ -102,7 +102,8 @@ _FLAT_GRADUATES = f"""SELECT CAST(split_part(anio_lectivo, '-', 1) AS INT) AS an
 def envelope_flow(t: Tables) -> DataFrame:
     """Envelope to flat tables to gold: the key figures of every flat view."""
     silver_layer = flows.Layer(t.spark, scratch_path(t.spark, "envelope-flow"))
-    views = gold.flat_views(flows.load_envelope(full_envelope(t), ENVELOPE_SCHEMAS, silver_layer))
+    envelope = materialise(full_envelope(t), "envelope")
+    views = gold.flat_views(flows.load_envelope(envelope, ENVELOPE_SCHEMAS, silver_layer))
     figures = {
         "gold_pib_tendencia": (F.col("anio"), F.max("pib_real_musd")),
         "gold_empleo_ciiu": (F.lit(""), F.sum("total_empresas").cast("double")),
@@ -182,8 +183,8 @@ _VAB_N = f"(SELECT count(*) FROM ({M.SQL_VALUE_ADDED}) WHERE ciiu = 'N')"
 )
 def star_flow(t: Tables) -> DataFrame:
     """The whole star schema built and written, then every declared reference checked."""
-    layer = flows.Layer(t.spark, scratch_path(t.spark, "star-flow"))
-    return flows.audit_star(flows.build_star(flat_tables(t), layer))
+    staged = flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat_tables(t))
+    return flows.audit_star(flows.build_star(staged, flows.Layer(t.spark, scratch_path(t.spark, "star-flow"))))
 
 
 @query(

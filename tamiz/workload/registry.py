@@ -13,7 +13,7 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """Driver tables of one scale factor, read on access."""
+    """Driver tables of one scale factor, looked up on first access."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -22,7 +22,9 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        table = self.spark.read.parquet(self.path(name))
+        setattr(self, name, table)
+        return table
 
 
 def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
