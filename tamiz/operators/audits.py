@@ -142,8 +142,12 @@ def unbalanced(df: DataFrame, total: str, parts: Sequence[str]) -> DataFrame:
 
 
 def load_delta(before: DataFrame, after: DataFrame) -> DataFrame:
-    counts = before.agg(F.count("*").alias("antes")).crossJoin(after.agg(F.count("*").alias("despues")))
-    return counts.withColumn("nuevas", F.col("despues") - F.col("antes"))
+    """Row counts before and after a load, and the net of new rows, in one report row."""
+    counted = union_all(
+        [df.agg(F.lit(side).alias("lado"), F.count("*").alias("n")) for side, df in (("antes", before), ("despues", after))]
+    )
+    sides = [F.sum(F.when(F.col("lado") == side, F.col("n"))).alias(side) for side in ("antes", "despues")]
+    return counted.agg(*sides).withColumn("nuevas", F.col("despues") - F.col("antes"))
 
 
 def view_rows(views: dict[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.session import materialise
+
 LATIN1 = "ISO-8859-1"
 UTF8 = "UTF-8"
 
@@ -58,12 +60,13 @@ def read_csv_any_charset(
     """CSV files that are UTF-8 or, where a file has a line that is not, Latin-1.
 
     Files are split as usual: whether a file is valid UTF-8 is an aggregate over its lines,
-    not a test on its whole content in one task. Each file starts with a header line, known
+    not a test on its whole content in one task. The list of other files is stored first, so
+    that its size decides how it is joined and the lines need not be shuffled. Each file starts with a header line, known
     by its first cell.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("archivo"), "value")
-    broken = (
-        lines.where(~F.is_valid_utf8("value")).select("archivo", F.lit(True).alias("es_latin1")).distinct()
+    broken = materialise(
+        lines.where(~F.is_valid_utf8("value")).select("archivo", F.lit(True).alias("es_latin1")).distinct(), "latin1-files"
     )
     text = F.when(F.col("es_latin1"), F.decode(F.col("value").cast("binary"), LATIN1)).otherwise(
         F.col("value")
