@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.functions.charset import looks_damaged, redecode
 from tamiz.functions.numbers import percent
@@ -57,6 +58,30 @@ def check_references(tables: dict[str, DataFrame], references: Sequence[tuple[st
     return union_all([reference_check(tables[t], t, c, tables[p], p, k) for t, c, p, k in references])
 
 
+def check_required(tables: dict[str, DataFrame], schemas: dict[str, T.StructType]) -> DataFrame:
+    """Rows with a NULL in a column declared as required, per table and column."""
+    reports = []
+    for name, df in tables.items():
+        required = [f.name for f in schemas[name].fields if not f.nullable]
+        if required:
+            counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+            long = counted.unpivot([], required, "columna", "nulos")
+            reports.append(long.select(F.lit(name).alias("tabla"), "columna", "nulos"))
+    return union_all(reports)
+
+
+def check_unique(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) -> DataFrame:
+    """Keys declared unique that occur more than once, and the surplus rows, per table."""
+    return union_all(
+        [
+            duplicate_summary(tables[name], columns).select(
+                F.lit(name).alias("tabla"), F.lit(", ".join(columns)).alias("clave"), "claves_repetidas", "filas_sobrantes"
+            )
+            for name, columns in keys.items()
+        ]
+    )
+
+
 def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many keys occur more than once and how many surplus rows that makes."""
     return repeated_keys(df, keys).agg(
@@ -96,6 +121,11 @@ def damaged_text(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def accented_sample(df: DataFrame, column: str, order: Sequence[str], n: int = 10) -> DataFrame:
+    """The first ``n`` rows whose text has other letters than ASCII, to look at."""
+    return df.where(~is_ascii(F.col(column))).orderBy(*order).limit(n)
+
+
 def charset_scores(df: DataFrame, column: str, charsets: Sequence[str]) -> DataFrame:
     """Per candidate charset, the share of texts that its reversal decodes. One pass."""
     decodable = df.agg(

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tamiz.operators import audits
+from tamiz.operators.rows import clear_blank
 from tamiz.plans import contract as K
-from tamiz.plans import gold, indicators, star
-from tamiz.sources.tables import read_table, replace_table, replace_unless_empty
+from tamiz.plans import gold, indicators, refresh, star
+from tamiz.sources.tables import append_new_periods, read_table, refresh_in_place, replace_table, replace_unless_empty
 
 Tables = dict[str, DataFrame]
 
@@ -117,11 +118,47 @@ def build_star(flat: Tables, layer: Layer) -> Tables:
     return {**dimensions, **facts}
 
 
+def refresh_star(newer: Tables, layer: Layer, period: str) -> Tables:
+    """Bring a stored star schema up to date with newer flat tables (those of the envelope).
+
+    Companies and the ranking are replaced, years the newer series has are overwritten, head
+    counts get a table of their own, a new school year is appended if it is not there yet, and
+    blank industry codes become NULL. A second run changes nothing.
+    """
+    stored = {name: layer.get(name, schema) for name, schema in K.STAR.items() if name != "fact_empleo_poblacion"}
+    geography, time = stored["dim_geografia"], stored["dim_tiempo"]
+    directory = newer["fact_directorio_companias"]
+    lookup = refresh.directory_lookup(directory)
+    replaced = layer.put_all(
+        {
+            "dim_empresas": clear_blank(refresh.companies(directory), ["ciiu_n1", "ciiu_n6"]),
+            "fact_ranking_empresarial": clear_blank(
+                refresh.ranking(newer["fact_ranking_empresarial"], lookup, geography), ["ciiu_n6"]
+            ),
+            "fact_empleo_poblacion": refresh.employment_counts(newer["fact_empleo_enemdu"]),
+        }
+    )
+    spark = layer.spark
+    refresh_in_place(
+        spark, layer.path("fact_macro_anual"), lambda old: refresh.macro(old, newer["fact_macro_anual"], time)
+    )
+    refresh_in_place(spark, layer.path("fact_vab"), lambda old: clear_blank(old, ["ciiu"]))
+    school_year = refresh.school_year(newer["fact_mineduc_amie"], geography, period)
+    append_new_periods(school_year, layer.path("fact_oferta_academica"), "anio_lectivo")
+    changed = ("fact_macro_anual", "fact_vab", "fact_oferta_academica")
+    return {**stored, **replaced, **{name: layer.get(name, K.STAR[name]) for name in changed}}
+
+
 def audit_star(tables: Tables) -> DataFrame:
     """Referential report over the declared references."""
     return audits.check_references(tables, K.REFERENCES)
 
 
+def audit_constraints(tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """NULLs in required columns, and repeats of unique keys."""
+    return audits.check_required(tables, K.STAR), audits.check_unique(tables, K.UNIQUE_KEYS)
+
+
 def audit_gold(tables: Tables) -> DataFrame:
     """Row counts of the gold views of the star schema."""
     return audits.view_rows(gold.star_views(tables))

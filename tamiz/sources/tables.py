@@ -94,5 +94,5 @@ def rows_of_new_periods(new: DataFrame, existing: DataFrame, period: str) -> Dat
 
 def append_new_periods(new: DataFrame, path: str, period: str) -> None:
     """Append the periods the table lacks; running it again adds nothing."""
-    existing = read_table(new.sparkSession, path)
+    existing = read_table(new.sparkSession, path, new.schema)
     append_table(rows_of_new_periods(new, existing, period), path, [period])

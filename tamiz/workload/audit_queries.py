@@ -174,3 +174,43 @@ def balance_check(t: Tables) -> DataFrame:
 def conform_losses_orders(t: Tables) -> DataFrame:
     """Values a stricter type cannot hold."""
     return conform_losses(t.orders, T.StructType.fromDDL("o_orderpriority INT, o_orderkey STRING"))
+
+
+@query(
+    """SELECT 'customer' AS tabla, 'c_custkey' AS clave, 0 AS claves_repetidas, 0 AS filas_sobrantes
+  UNION ALL SELECT 'events', 'user_id, event_type', count(*), CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM events GROUP BY user_id, event_type HAVING count(*) > 1)"""
+)
+def unique_check(t: Tables) -> DataFrame:
+    """Repeats of keys declared unique."""
+    return audits.check_unique(
+        {"customer": t.customer, "events": t.events}, {"customer": ["c_custkey"], "events": ["user_id", "event_type"]}
+    )
+
+
+@query(
+    """SELECT 'orders' AS tabla, 'o_orderkey' AS columna, 0 AS nulos
+  UNION ALL SELECT 'orders', 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority = '5-LOW') FROM orders
+  UNION ALL SELECT 'part', 'p_brand', count(*) FILTER (WHERE p_size > 40) FROM part"""
+)
+def required_check(t: Tables) -> DataFrame:
+    """NULLs in columns declared as required."""
+    orders = t.orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    part = t.part.withColumn("p_brand", F.when(F.col("p_size") <= 40, F.col("p_brand")))
+    declared = {
+        "orders": T.StructType.fromDDL("o_orderkey BIGINT NOT NULL, o_orderpriority STRING NOT NULL, o_orderdate TIMESTAMP"),
+        "part": T.StructType.fromDDL("p_brand STRING NOT NULL"),
+    }
+    return audits.check_required({"orders": orders, "part": part}, declared)
+
+
+@query("SELECT doc_id, text FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]') ORDER BY doc_id LIMIT 10")
+def accented_sample(t: Tables) -> DataFrame:
+    return audits.accented_sample(t.documents.select("doc_id", "text"), "text", ["doc_id"])
+
+
+@query(
+    """SELECT CAST(year(o_orderdate) AS INT) AS anio, o_orderpriority, count(*) AS total FROM orders GROUP BY ALL"""
+)
+def period_counts(t: Tables) -> DataFrame:
+    """Rows per period and indicator."""
+    return t.orders.groupBy(F.year("o_orderdate").alias("anio"), "o_orderpriority").agg(F.count("*").alias("total")).orderBy("anio", "o_orderpriority")

@@ -259,3 +259,68 @@ def school_year_append(t: Tables) -> DataFrame:
         F.count("*").alias("escuelas"), F.count("id_geografia").alias("con_lugar"), F.sum("total_estudiantes").alias("estudiantes"),
         F.sum("bachillerato").alias("bachillerato"), F.sum("bachilleres_3er_anio").alias("bachilleres"),
     )
+
+
+def _newer(t: Tables) -> dict[str, DataFrame]:
+    """Newer flat tables: companies of one segment have no tax number, codes may be blank."""
+    real = M.gdp_real(t).where(F.col("anio") >= 1998)
+    directory = M.companies(t).select(
+        F.when(F.col("ciiu_n6") == "BUILDING", F.lit("")).otherwise(F.format_string("%010d", "ruc")).alias("ruc"),
+        "expediente", "nombre", "situacion_legal", "provincia", "canton", F.lit("").alias("ciiu_nivel1"),
+        F.when(F.col("ciiu_n6") == "FURNITURE", " ").otherwise(F.col("ciiu_n6")).alias("ciiu_nivel6"),
+    )
+    ranking = M.company_totals(t, by_year=True).select(
+        F.col("ruc").alias("expediente"), F.col("anio").cast("string").alias("anio"),
+        F.format_number("ingresos_totales", 2).alias("ingresos_totales"), F.lit("Q").alias("ciiu_n6"),
+    )
+    schools = M.schools(t).where(F.col("anio_lectivo") == NEW_PERIOD).join(M.geography(t), "id_geografia").select(
+        F.col("amie").alias("institucion_amie"), F.col("nombre_institucion").alias("institucion_nombre"),
+        F.lit("Fiscal").alias("institucion_sostenimiento"), F.col("provincia").alias("institucion_provincia"),
+        F.col("canton").alias("institucion_canton"), F.col("total_estudiantes").alias(refresh.SCHOOL_TOTAL),
+        *[F.lit("1").alias(refresh.SCHOOL_GRADE.format(g, sex)) for g in refresh.GRADES for sex in refresh.SEXES],
+    )
+    return {
+        "fact_directorio_companias": directory,
+        "fact_ranking_empresarial": ranking,
+        "fact_macro_anual": real.select(
+            F.col("anio").alias("anio_fiscal"), F.col("pib_real_musd").alias("pib_real_millones"),
+            (F.col("poblacion_miles") * 1000).alias("poblacion_total"), F.lit(1.0).alias("pib_pc_nominal_usd"),
+            F.col("variacion_pib_pct").alias("tasa_variacion_anual"),
+        ),
+        "fact_empleo_enemdu": star.employment_fact(M.survey(t)),
+        "fact_mineduc_amie": schools,
+    }
+
+
+_KEPT = "(SELECT count(*) FROM customer WHERE c_mktsegment <> 'BUILDING')"
+_KEPT_CODED = "(SELECT count(*) FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'FURNITURE'))"
+_KEPT_RANKING = "(SELECT count(*) FROM (SELECT DISTINCT o_custkey, year(o_orderdate) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'BUILDING'))"
+
+
+@query(
+    "\n  UNION ALL ".join(
+        _sql_reference(*r)
+        for r in (
+            ("dim_empresas", "ciiu_n1", "dim_ciiu", "0", "0"),
+            ("dim_empresas", "ciiu_n6", "dim_ciiu", _KEPT_CODED, "0"),
+            ("fact_macro_anual", "id_tiempo", "dim_tiempo", _YEARS, "0"),
+            ("fact_vab", "id_geografia", "dim_geografia", _VAB, "0"),
+            ("fact_vab", "ciiu", "dim_ciiu", _VAB, _VAB_N),
+            ("fact_ocupacion_censo", "id_geografia", "dim_geografia", _CENSUS, "0"),
+            ("fact_ranking_empresarial", "ruc", "dim_empresas", _KEPT_RANKING, "0"),
+            ("fact_ranking_empresarial", "id_geografia", "dim_geografia", _KEPT_RANKING, "0"),
+            ("fact_ranking_empresarial", "ciiu_n6", "dim_ciiu", _KEPT_RANKING, _KEPT_RANKING),
+            ("fact_oferta_academica", "id_geografia", "dim_geografia", _SCHOOLS, "0"),
+        )
+    )
+)
+def refresh_flow(t: Tables) -> DataFrame:
+    """A star schema with history, refreshed twice from newer tables, its references checked."""
+    flat = flat_tables(t)
+    flat["oferta_academica"] = flat["oferta_academica"].where(F.col("anio_lectivo") != NEW_PERIOD)
+    layer = flows.Layer(t.spark, scratch_path(t.spark, "refresh-star"))
+    flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat), layer)
+    newer = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(_newer(t))
+    for _ in range(2):
+        refreshed = flows.refresh_star(newer, layer, NEW_PERIOD)
+    return flows.audit_star(refreshed)

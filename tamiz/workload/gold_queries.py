@@ -246,7 +246,7 @@ def group_count(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type").agg(F.count("*").alias("total")).orderBy(F.desc("total"), "event_type")
 
 
-@query("SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment")
+@query("SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment", name="value_counts")
 def value_counts_segment(t: Tables) -> DataFrame:
     return value_counts(t.customer, "c_mktsegment")
 

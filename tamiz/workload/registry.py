@@ -27,16 +27,16 @@ class Tables:
         return table
 
 
-def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
-    """Register a function of the tables under its own name."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
+    """Register a function of the tables under the given name or its own."""
 
     def register(build: Callable[[Tables], DataFrame]):
-        name = build.__name__
-        if name in QUERIES:
-            raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+        key = name or build.__name__
+        if key in QUERIES:
+            raise ValueError(f"query {key} is registered twice")
+        QUERIES[key] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[key] = sql
         return build
 
     return register

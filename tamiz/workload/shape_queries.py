@@ -93,7 +93,7 @@ def rename_project(t: Tables) -> DataFrame:
     return rename(by_position, {"canton": "nombre"})
 
 
-@query("SELECT c_custkey AS codigo_cliente, c_name AS nombre_compania, c_acctbal AS saldo_usd, c_mktsegment AS ano_3er FROM customer")
+@query("SELECT c_custkey AS codigo_cliente, c_name AS nombre_compania, c_acctbal AS saldo_usd, c_mktsegment AS ano_3er FROM customer", name="snake_case_columns")
 def snake_case_columns_customer(t: Tables) -> DataFrame:
     named = t.customer.select(
         F.col("c_custkey").alias(" Código Cliente"), F.col("c_name").alias("Nombre  (Compañía)"),

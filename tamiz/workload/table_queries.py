@@ -139,7 +139,8 @@ def chunked_append(t: Tables) -> DataFrame:
 
 
 @query(
-    "SELECT count(*) FILTER (WHERE year(o_orderdate) < 2001) AS antes, count(*) AS despues, count(*) FILTER (WHERE year(o_orderdate) >= 2001) AS nuevas FROM orders"
+    "SELECT count(*) FILTER (WHERE year(o_orderdate) < 2001) AS antes, count(*) AS despues, count(*) FILTER (WHERE year(o_orderdate) >= 2001) AS nuevas FROM orders",
+    name="load_delta",
 )
 def load_delta_orders(t: Tables) -> DataFrame:
     """Row counts before and after a load."""

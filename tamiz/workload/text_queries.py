@@ -183,7 +183,8 @@ def blank_cleanup_counts(t: Tables) -> DataFrame:
 @query(
     """SELECT CAST(year(l_shipdate) AS INT) AS anio, n_name AS provincia,
     CAST(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END + CASE WHEN l_returnflag = 'N' THEN 0 ELSE l_linenumber END) AS DOUBLE) AS bachilleres_3ro
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL"""
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL""",
+    name="row_sum",
 )
 def row_sum_graduates(t: Tables) -> DataFrame:
     """Two sibling columns with gaps added per row, then by year and province."""
