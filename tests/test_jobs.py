@@ -291,3 +291,33 @@ def test_new_school_year(built, frame):
 def test_head_counts_stay_apart(frame):
     flat = frame([("dic-24", 2024, "Empleo", 8.0, 5.0, None)], "periodo string, anio int, indicador string, total_nacional double, total_urbana double, total_rural double")
     assert values(refresh.employment_counts(flat)) == [(2024, "dic-24", "Empleo", 8, 5, None)]
+
+
+def test_constraints(built, frame):
+    tables, _ = built
+    required, unique = flows.audit_constraints(tables)
+    assert {r.nulos for r in required.collect()} == {0}
+    assert {r.claves_repetidas for r in unique.collect()} == {0}
+    broken = {"dim_ciiu": frame([("A", "x"), ("A", "y"), (None, "z")], "ciiu string, descripcion string")}
+    assert values(audits.check_required(broken, K.STAR)) == [("dim_ciiu", "ciiu", 1)]
+    assert values(audits.check_unique(broken, {"dim_ciiu": ("ciiu",)}), "claves_repetidas", "filas_sobrantes") == [(1, 1)]
+
+
+def test_refresh_of_a_stored_star_is_repeatable(spark, flat, frame, tmp_path):
+    layer = flows.Layer(spark, "file://" + str(tmp_path / "star"))
+    flows.build_star(flat, layer)
+    newer = {
+        "fact_directorio_companias": frame([("09", 1, "ACTIVA", "Manabí", "Manta", "", "A"), (" ", 2, "ACTIVA", "Loja", "Loja", "A", "A")], "ruc string, expediente bigint, situacion_legal string, provincia string, canton string, ciiu_nivel1 string, ciiu_nivel6 string"),
+        "fact_ranking_empresarial": frame([(1, "2024", "7", " "), (2, "2024", "8", "A")], "expediente bigint, anio string, ingresos_totales string, ciiu_n6 string"),
+        "fact_macro_anual": frame([(2024, 50.0, 1000, 2.0, 3.0)], "anio_fiscal int, pib_real_millones double, poblacion_total bigint, pib_pc_nominal_usd double, tasa_variacion_anual double"),
+        "fact_empleo_enemdu": frame([("dic-24", 2024, "Empleo", 8.0, 5.0, 3.0)], "periodo string, anio int, indicador string, total_nacional double, total_urbana double, total_rural double"),
+        "fact_mineduc_amie": frame([("13H9", "N", "Fiscal", "Manabí", "Manta", "30", "1", "1", "1", "1", "1", "1")], "institucion_amie string, institucion_nombre string, institucion_sostenimiento string, institucion_provincia string, institucion_canton string, " + f"{refresh.SCHOOL_TOTAL} string, " + ", ".join(f"{refresh.SCHOOL_GRADE.format(g, x)} string" for g in refresh.GRADES for x in refresh.SEXES)),
+    }
+    for _ in range(2):
+        tables = flows.refresh_star(newer, layer, "2025-2026")
+    assert values(tables["dim_empresas"], "ruc", "ciiu_n1", "ciiu_n6") == [("09", None, "A")]
+    assert values(tables["fact_ranking_empresarial"], "ruc", "anio", "ingresos_totales", "ciiu_n6") == [("09", 2024, 7.0, None)]
+    assert tables["fact_oferta_academica"].groupBy("anio_lectivo").count().orderBy("anio_lectivo").collect()[-1] == ("2025-2026", 1)
+    assert sorted(values(tables["fact_macro_anual"], "pib_real_musd")) == [(50.0,), (99.0,), (100.0,)]
+    assert tables["fact_vab"].where("ciiu = ''").count() == 0 and tables["fact_vab"].count() == 4
+    assert values(tables["fact_empleo_poblacion"], "total_nacional") == [(8,)]
