@@ -15,6 +15,7 @@ DAMAGE_MARKS = "├Ã"
 SPANISH_LETTERS = "áéíóúüñÁÉÍÓÚÜÑ"
 
 OUTSIDE = "\ufffd"  # any character that Latin-1 does not have
+WIDE = r"[^\x00-\xFF]"
 
 
 @lru_cache(maxsize=None)
@@ -42,8 +43,10 @@ def redecode(c: Column, charset: str) -> Column:
     known = {ord(ch) for ch in table.values()} | (set(range(0x80, 0xA0)) if open_bytes else set())
     moved |= {chr(code): OUTSIDE for code in range(0x80, 0x100) if code not in known}
     as_latin1 = F.translate(c, "".join(moved), "".join(moved.values()))
+    if min(moved) > "\xff":  # text that is Latin-1 already has nothing to move
+        as_latin1 = F.when(c.rlike(WIDE), as_latin1).otherwise(c)
     decoded = F.try_validate_utf8(F.encode(as_latin1, "ISO-8859-1").cast("string"))
-    return F.when(is_ascii(c), c).when(~as_latin1.rlike(r"[^\x00-\xFF]"), decoded)
+    return F.when(is_ascii(c), c).when(~as_latin1.rlike(WIDE), decoded)
 
 
 LEAD = "Ã"  # what the first byte of a Spanish letter turns into

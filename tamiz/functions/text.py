@@ -16,8 +16,15 @@ WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip(c: Column) -> Column:
-    """Remove every kind of whitespace at both ends (``trim`` alone removes only spaces)."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Remove every kind of whitespace at both ends.
+
+    ``trim`` removes spaces only, and quickly. What it leaves is searched for the other kinds
+    only where one of its ends is not a printable ASCII character.
+    """
+    spaced = F.trim(c)
+    ends = [F.ascii(spaced), F.ascii(F.right(spaced, F.lit(1)))]
+    printable = ends[0].between(33, 126) & ends[1].between(33, 126)
+    return F.when(printable, spaced).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def strip_upper(c: Column) -> Column:

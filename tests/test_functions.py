@@ -70,6 +70,27 @@ def test_tolerant_numbers(spark, function, want):
     assert mapped(spark, items, function) == want
 
 
+def test_numbers_agree_with_python_on_odd_texts(spark):
+    items = ["1", "+1", "-1", "--1", "1.", ".5", ".", "e5", "1e", "1E-3", "0x1p3", "Infinity", "-inf", "1f", "12 3", "\t7\n", "\u00a08 ", "/", "+", "1,5", "1_0x", "5%", "9" * 25]
+
+    def plain(s):
+        try:
+            v = float(s)
+        except ValueError:
+            return None
+        return v if abs(v) != float("inf") else None
+
+    assert mapped(spark, items, numbers.number_or_null) == [plain(s) for s in items]
+
+    def whole(s):
+        try:
+            return int(s) if len(s) < 20 else 0
+        except ValueError:
+            return 0
+
+    assert mapped(spark, items, numbers.integer_or_zero) == [whole(s) for s in items]
+
+
 def test_missing_texts_become_null(spark):
     items = ["None", "nan", "NAN", "", "  ", " x ", None]
     assert mapped(spark, items, text.missing_to_null) == [None] * 5 + ["x", None]
