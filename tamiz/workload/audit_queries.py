@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.functions.numbers import exact_avg, half_up
 from tamiz.operators import audits
 from tamiz.operators.columns import conform_losses
 from tamiz.operators.summary import null_counts, repeated_keys, share_where, top
-from tamiz.plans import refresh, star
+from tamiz.plans import refresh
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables, query, sql_round
 

@@ -13,7 +13,7 @@ from tamiz.plans import flows, gold, refresh, silver, star
 from tamiz.session import materialise, scratch_path
 from tamiz.sources import tables
 from tamiz.workload import mapping as M
-from tamiz.workload.registry import Tables, query, sql_avg, sql_round, sql_sum
+from tamiz.workload.registry import Tables, query, sql_round, sql_sum
 
 ENVELOPE_SCHEMAS = {
     K.GDP_REAL: "anio_fiscal INT, pib_real_millones DOUBLE, poblacion_total DOUBLE, tasa_variacion_anual DOUBLE",

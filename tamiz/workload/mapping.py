@@ -165,8 +165,6 @@ def daily(t: Tables) -> DataFrame:
 SQL_DAILY = f"""SELECT CAST(o_orderdate AS DATE) AS fecha, {sql_avg('o_totalprice')} AS precio_petroleo_wti,
     CAST(count(*) AS INT) AS riesgo_pais_pb FROM orders GROUP BY 1"""
 
-AREA_OF_STATUS = {"F": "nacional", "O": "urbana", "P": "rural"}
-
 
 def survey(t: Tables) -> DataFrame:
     """Survey in long form: mean order price by month (round), priority and status (area)."""

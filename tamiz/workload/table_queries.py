@@ -8,11 +8,10 @@ from pyspark.sql import types as T
 
 from tamiz.functions.numbers import exact_sum, half_up, number_or_null
 from tamiz.functions.text import strip
-from tamiz.operators.audits import load_delta, union_all
-from tamiz.operators.columns import conform
-from tamiz.plans import flows, silver, star
+from tamiz.operators import audits
+from tamiz.plans import silver
 from tamiz.plans import contract as K
-from tamiz.session import materialise, scratch_path
+from tamiz.session import scratch_path
 from tamiz.sources import files, tables
 from tamiz.streaming.batches import load_in_batches
 from tamiz.workload import mapping as M
@@ -145,4 +144,4 @@ def chunked_append(t: Tables) -> DataFrame:
 def load_delta_orders(t: Tables) -> DataFrame:
     """Row counts before and after a load."""
     year = F.year("o_orderdate")
-    return load_delta(t.orders.where(year < LAST_YEAR), t.orders)
+    return audits.load_delta(t.orders.where(year < LAST_YEAR), t.orders)

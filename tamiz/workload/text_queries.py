@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.charset import damage, repair_mojibake
 from tamiz.functions.labels import growth_class
 from tamiz.functions.numbers import (
-    amount_or_null, exact_sum, half_up, integer_or_zero, number_or_null, number_or_zero, row_sum, year_of_label,
+    amount_or_null, exact_sum, half_up, integer_or_zero, number_or_null, number_or_zero, row_sum,
 )
 from tamiz.functions.periods import period_date, period_text, year_start
 from tamiz.functions.text import geo_key, missing_to_null, strip_label, strip_upper
