@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tamiz.functions.text import strip
+from tamiz.functions.text import WHITESPACE, is_ascii, strip
 
 # Fixed value: plain decimal notation. Checked before the cast, which takes more for a number
 # (12d, 0x1p3, nan) and is slow to fail.
-DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+DECIMAL_TEXT = r"^[\s\x1c-\x1f]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[\s\x1c-\x1f]*$"
 
 # Wide enough for cents and rates; sums in it do not depend on the order of the rows, so
 # a task that is run again gives the same total.
 EXACT = "decimal(24,6)"
 
 
+def _castable(c: Column) -> Column:
+    """Text without the whitespace a cast does not skip itself (it skips the ASCII kinds)."""
+    text = c.cast("string")
+    return F.when(is_ascii(text), text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+
+
 def number_or_null(c: Column) -> Column:
     """Text to double; whatever is not a plain number becomes NULL."""
-    s = strip(c.cast("string"))
+    s = _castable(c)
     return F.when(s.rlike(DECIMAL_TEXT), s.try_cast("double"))
 
 
@@ -34,7 +40,7 @@ def number_or_zero(c: Column) -> Column:
 
 def integer_or_zero(c: Column) -> Column:
     """Integer text to bigint; everything else, decimals included, counts as 0."""
-    s = strip(c.cast("string"))
+    s = _castable(c)
     return F.coalesce(F.when(~s.contains("."), s.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 

@@ -101,7 +101,7 @@ def period_parse(t: Tables) -> DataFrame:
         .when(F.col("o_orderdate") >= F.lit("1999-01-01").cast("date"), F.concat(date.cast("string"), F.lit(" 00:00:00")))
         .otherwise(F.concat(F.lit(" "), F.initcap(period_text(date))))
     )
-    parsed = t.orders.select(period_date(label).alias("fecha"))
+    parsed = t.orders.select(label.alias("periodo")).select(period_date(F.col("periodo")).alias("fecha"))
     return (
         parsed.groupBy("fecha")
         .agg(F.count("*").alias("n"))
