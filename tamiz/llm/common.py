@@ -42,8 +42,14 @@ def held_out(doc_id, parts: int, part: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def binary_column(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary())
+def only_in(rows: DataFrame, wanted: DataFrame, key: str, buckets: int = 1 << 20) -> DataFrame:
+    """The rows whose ``key`` may be in ``wanted``: all that are, and others whose hash falls in the same bucket.
+
+    What is broadcast is at most ``buckets`` numbers, however long ``wanted`` is, so wide rows that are
+    not wanted can be left out before an exact join without being shuffled."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    marks = wanted.select(bucket.cast("int").alias("bucket")).distinct()
+    return rows.join(F.broadcast(marks), bucket.cast("int") == marks["bucket"], "left_semi")
 
 
 def utf8_bytes(column: pa.Array) -> list[bytes]:

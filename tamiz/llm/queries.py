@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import quality
+from tamiz.llm import exact, packing, quality, simhash, toxicity
 from tamiz.llm.common import held_out, whole_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,40 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), score, (score >= 0.7).cast("int").alias("predicted")
     )
+
+
+@query
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.deduplicate(spark, f"{folder}/documents.parquet")
+
+
+ORACLES["op3_exact_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM texts
+"""
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.score_toxicity(whole_texts(docs, "doc_id"), toxicity.fit_toxicity(docs, labels))
+    score = F.col("score")
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), score, (score >= 0.5).cast("int").alias("predicted"),
+        "n_passages", "passages",
+    )
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words_a_shingle=4, distance=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.cut(table(spark, folder, "documents"))).drop("group")
