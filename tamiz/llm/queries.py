@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import exact, lines, packing, quality, simhash, toxicity
+from tamiz.llm import caps, exact, lines, packing, quality, simhash, toxicity
 from tamiz.llm.common import held_out, whole_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+@query
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return caps.near_vectors(table(spark, folder, "embeddings"), threshold=0.95)
