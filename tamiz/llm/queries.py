@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import caps, exact, lines, packing, quality, simhash, toxicity
+from tamiz.llm import caps, exact, lines, packing, quality, simhash, template, toxicity
 from tamiz.llm.common import held_out, whole_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return caps.near_vectors(table(spark, folder, "embeddings"), threshold=0.95)
+
+
+@query
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return template.extract_articles(table(spark, folder, "pages"))
