@@ -31,10 +31,13 @@ def cap_height(dimension: int, share: float) -> float:
 
 
 class CapFilters:
-    """Directions for one dimension: ``codes`` unit vectors in each of ``blocks`` blocks after a rotation."""
+    """Directions for one dimension: ``codes`` unit vectors in each of ``blocks`` blocks after a rotation.
 
-    def __init__(self, dimension: int, rows: int, lists: float = 24.0, occupancy: float = 2.0, blocks: int = 3, seed: int = 11):
-        rng = np.random.default_rng([seed, dimension])
+    ``lists`` is the expected number of caps around a vector. That number varies, as directions share their
+    blocks; a vector with fewer than ``least`` has its height lowered step by step until it has them."""
+
+    def __init__(self, dimension: int, rows: int, lists: float, least: int, number: int = 0, occupancy: float = 2.0, blocks: int = 3, seed: int = 11):
+        rng = np.random.default_rng([seed, dimension, number])
         self.blocks = min(blocks, dimension)
         wanted = max(64.0, rows * lists / occupancy)
         self.codes = int(np.ceil(wanted ** (1 / self.blocks)))
@@ -43,19 +46,28 @@ class CapFilters:
         books = (rng.standard_normal((b - a, self.codes)) for a, b in zip(self.cuts, self.cuts[1:]))
         self.books = [book / np.linalg.norm(book, axis=0) for book in books]
         self.height = cap_height(dimension, min(0.5, lists / self.codes**self.blocks))
+        self.least = min(least, self.codes**self.blocks)
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, direction) of all directions whose product with the row reaches the height."""
+        """(row, direction) of all directions whose product with the row reaches the row's height."""
         turned = unit @ self.rotation
         scores = [turned[:, a:b] @ book for (a, b), book in zip(zip(self.cuts, self.cuts[1:]), self.books)]
+        height = np.full(len(unit), self.height)
+        while True:
+            row, direction = self._reaching(scores, height * np.sqrt(self.blocks))
+            poor = np.bincount(row, minlength=len(unit)) < self.least
+            if not poor.any():
+                return row, direction
+            height[poor] = np.where(height[poor] > 0.02, height[poor] * 0.93, height[poor] - 0.05)
+
+    def _reaching(self, scores: list[np.ndarray], need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         tops = [s.max(1) for s in scores]
-        need = self.height * np.sqrt(self.blocks)
-        row, direction = np.arange(len(unit)), np.zeros(len(unit), np.int64)
-        total = np.zeros(len(unit))
+        row, direction = np.arange(len(need)), np.zeros(len(need), np.int64)
+        total = np.zeros(len(need))
         for j, score in enumerate(scores):
-            rest = sum(tops[j + 1 :], np.zeros(len(unit)))
+            rest = sum(tops[j + 1 :], np.zeros(len(need)))
             reached = total[:, None] + score[row]
-            at, code = np.nonzero(reached + rest[row][:, None] >= need)
+            at, code = np.nonzero(reached >= (need - rest)[row][:, None])
             total = reached[at, code]
             row, direction = row[at], direction[at] * self.codes + code
         return row, direction
@@ -81,25 +93,26 @@ def _small_copies(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return small, step, left
 
 
-def _decode(rows: int, lists: float):
+def _decode(rows: int, codes: int, lists: float, least: int):
     def decode(batches: Batches) -> Batches:
-        filters: dict[int, CapFilters] = {}
+        filters: dict[int, list[CapFilters]] = {}
         for batch in batches:
             ids = batch.column("cid").to_numpy()
             lengths, units = unit_vectors(batch.column("embedding"))
             for dimension in np.unique(lengths[lengths > 0]).tolist():
-                code = filters.setdefault(dimension, CapFilters(dimension, rows, lists))
+                if dimension not in filters:
+                    filters[dimension] = [CapFilters(dimension, rows, lists, least, k) for k in range(codes)]
                 where = np.flatnonzero(lengths == dimension)
                 for at in range(0, len(where), 256):
                     part = where[at : at + 256]
                     unit = np.stack([units[i] for i in part])
                     small, step, left = _small_copies(unit)
-                    row, direction = code.decode(unit)
-                    if len(row):
-                        copies = [small[i].tobytes() for i in range(len(part))]
+                    copies = [small[i].tobytes() for i in range(len(part))]
+                    for k, code in enumerate(filters[dimension]):
+                        row, direction = code.decode(unit)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array((direction << 12) ^ (dimension & 0xFFF)), pa.array(ids[part][row]),
+                                pa.array((direction << 16) ^ ((dimension & 0xFFF) << 4) ^ k), pa.array(ids[part][row]),
                                 pa.array([copies[i] for i in row], pa.binary()), pa.array(step[row]), pa.array(left[row]),
                             ],
                             ["filter", "cid", "small", "step", "left"],
@@ -178,16 +191,16 @@ def _exact(threshold: float):
     return exact
 
 
-def link_vectors(classes: DataFrame, threshold: float = 0.95, lists: float = 24.0, cell_rows: int = 20_000) -> DataFrame:
+def link_vectors(classes: DataFrame, threshold: float = 0.95, codes: int = 3, lists: float = 8.0, least: int = 6, cell_rows: int = 20_000) -> DataFrame:
     """(a, b) of ids ``cid`` whose ``embedding`` reach the cosine threshold and share a filter.
 
     A filter with more than ``cell_rows`` vectors is dealt into parts that meet pairwise, so no task gets
-    them all. ``lists`` is the expected number of filters of a vector; the number of directions grows with the rows, so
-    that the vectors a filter meets by chance do not."""
+    them all. Each of ``codes`` product codes puts a vector into ``lists`` caps on average and ``least`` at least; the
+    number of directions grows with the rows, so that the vectors a cap meets by chance do not."""
     spark = classes.sparkSession
     rows = classes.count()
     postings = materialise(
-        map_batches(classes.select("cid", "embedding"), _decode(rows, lists), "filter long, cid long, small binary, step double, left double"), "cap-postings"
+        map_batches(classes.select("cid", "embedding"), _decode(rows, codes, lists, least), "filter long, cid long, small binary, step double, left double"), "cap-postings"
     )
     hot = postings.groupBy("filter").count().where(F.col("count") > cell_rows)
     hot = hot.select("filter", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts"))
@@ -211,7 +224,7 @@ def link_vectors(classes: DataFrame, threshold: float = 0.95, lists: float = 24.
     return pairs.where("sure").select("a", "b").unionByName(map_batches(doubtful.select("a", "b", "x", "y"), _exact(threshold), "a long, b long"))
 
 
-def near_vectors(table: DataFrame, threshold: float = 0.95, lists: float = 24.0) -> DataFrame:
+def near_vectors(table: DataFrame, threshold: float = 0.95, **caps) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per row of ``table`` (vec_id, embedding).
 
     Rows with the same components are one node however many they are, and linked with each other. Vectors
@@ -227,7 +240,7 @@ def near_vectors(table: DataFrame, threshold: float = 0.95, lists: float = 24.0)
     named = rows.where("usable").withColumns({"k1": F.xxhash64("embedding"), "k2": F.xxhash64(F.lit(1), F.reverse("embedding"))})
     classes = named.groupBy("k1", "k2").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("size"), F.first("embedding").alias("embedding"))
     classes = materialise(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
-    links = materialise(link_vectors(classes, threshold, lists), "vector-links")
+    links = materialise(link_vectors(classes, threshold, **caps), "vector-links")
     sizes = classes.select("cid", "size")
     directed = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     counts = directed.join(sizes.withColumnsRenamed({"cid": "b"}), "b").groupBy("a").agg(F.sum("size").alias("near")).withColumnsRenamed({"a": "cid"})
