@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import caps, exact, lines, packing, quality, simhash, template, toxicity
+from tamiz.llm import caps, exact, lines, packing, pieces, pii, quality, simhash, template, toxicity
 from tamiz.llm.common import held_out, whole_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,14 @@ def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return template.extract_articles(table(spark, folder, "pages"))
+
+
+@query
+def op2_sentencepiece_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(pieces.encode_documents(table(spark, folder, "documents"), rate=0.1, seed=1))
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = whole_texts(table(spark, folder, "documents"), "doc_id")
+    return pii.find_personal_data(docs, pii.fit_tagger(docs)).drop("text")
