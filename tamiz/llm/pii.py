@@ -358,8 +358,17 @@ def _examples(a_text: int = 2, seed: int = 17):
     return find
 
 
+def _varied(item: str, kind: int, rng: np.random.Generator) -> str:
+    """A span of the same shape with other digits; card numbers now and then in groups of four."""
+    pool = rng.integers(0, 10, int(rng.choice([1, 2, 10, 10, 10])))
+    made = "".join(str(pool[int(rng.integers(len(pool)))]) if c.isdigit() and c.isascii() else c for c in item)
+    if kind == 2 and made.isdigit() and rng.random() < 0.3:
+        made = str(rng.choice([" ", "-"])).join(made[i : i + 4] for i in range(0, len(made), 4))
+    return made
+
+
 def training_windows(examples: list[tuple[str, list[Span]]], seed: int = 23) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and tags of the examples, and of others in which two whole spans stand next to each other."""
+    """Symbols and tags of the examples, and of others in which two or three whole spans stand next to each other."""
     rng = np.random.default_rng(seed)
     whole = [(text[a:b], kind) for text, spans in examples for a, b, kind in spans if a >= 0 and b < len(text)]
     rows = [(text, spans) for text, spans in examples]
@@ -373,6 +382,8 @@ def training_windows(examples: list[tuple[str, list[Span]]], seed: int = 23) ->
         for _ in range(int(rng.integers(2, 4))):
             kind = int(rng.choice(present))
             item = by_kind[kind][int(rng.integers(len(by_kind[kind])))]
+            if kind != 1 and rng.random() < 0.5:
+                item = _varied(item, kind, rng)
             spans.append((len(made), len(made) + len(item), kind))
             made += item + " "
         made += " ".join(words[8:])
@@ -385,7 +396,7 @@ def training_windows(examples: list[tuple[str, list[Span]]], seed: int = 23) ->
     return x, y
 
 
-def fit_tagger(docs: DataFrame, windows: int = 3000, steps: int = 250) -> Tagger:
+def fit_tagger(docs: DataFrame, windows: int = 3000, steps: int = 300) -> Tagger:
     """Train on at most ``windows`` windows of text (a few hundred KB on the driver), two thirds with spans."""
     found = map_batches(whole_texts(docs), _examples(), "h long, found boolean, text string, spans string")
     rows = []

@@ -219,37 +219,42 @@ def _gaps(page: list[Piece], template: frozenset[int]) -> Iterator[tuple[int, Pi
 
 
 def _slots(batches: Batches) -> Batches:
-    """Text sizes of slots by host: how much is in an article, beside it, and in links."""
-    sums: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0, 0])
+    """Text sizes of slots by host and container: how much there is, in an article, and in links."""
+    sums: dict[tuple[str, int, str], list[int]] = defaultdict(lambda: [0, 0, 0])
     for batch in batches:
         for host, page, template in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template"))):
             for gap, p in _gaps(list(pieces(page)), frozenset(template or ())):
                 if not p.tag and not p.aside and (size := len(p.text.strip())):
-                    total = sums[host, gap]
+                    total = sums[host, gap, p.path]
                     total[0] += size
                     total[1] += size * p.main
                     total[2] += size * p.link
     keys = list(sums)
-    columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64())]
+    columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))]
     columns += [pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(3)]
-    yield pa.RecordBatch.from_arrays(columns, ["host", "gap", "chars", "main_chars", "link_chars"])
+    yield pa.RecordBatch.from_arrays(columns, ["host", "gap", "path", "chars", "main_chars", "link_chars"])
 
 
 def content_slots(pages: DataFrame) -> DataFrame:
-    """(host, slots): the gaps of the host's template that hold its article.
+    """(host, root, slots): the gaps of the host's template that hold its article, and the container it is in.
 
-    Those with text of an article or main element, if the host has any; else those whose text is mostly
-    not links, down to a fifth of the largest."""
-    sized = map_batches(pages, _slots, "host string, gap long, chars long, main_chars long, link_chars long")
-    sized = materialise(sized.groupBy("host", "gap").agg(*(F.sum(c).alias(c) for c in ("chars", "main_chars", "link_chars"))), "slots")
+    With text in article or main elements, the gaps that have some of it (root ''); else the container with most text
+    that is mostly not links, and the gaps with text inside it."""
+    sized = map_batches(pages, _slots, "host string, gap long, path string, chars long, main_chars long, link_chars long")
+    sums = (F.sum(c).alias(c) for c in ("chars", "main_chars", "link_chars"))
+    sized = materialise(sized.groupBy("host", "gap", "path").agg(*sums), "slots")
     prose = F.when(2 * F.col("link_chars") < F.col("chars"), F.col("chars")).otherwise(0)
-    best = sized.groupBy("host").agg(F.max("main_chars").alias("most_main"), F.max(prose).alias("most"))
-    chosen = F.when(F.col("most_main") > 0, F.col("main_chars") > 0).otherwise((prose > 0) & (5 * prose >= F.col("most")))
-    return sized.join(best, "host").where(chosen).groupBy("host").agg(F.collect_list("gap").alias("slots"))
+    containers = sized.groupBy("host", "path").agg(F.sum(prose).alias("prose"), F.sum("main_chars").alias("main_chars"))
+    best = containers.groupBy("host").agg(F.max("main_chars").alias("most_main"), F.max(F.struct("prose", "path")).alias("best"))
+    best = best.select("host", F.when(F.col("most_main") > 0, F.lit("")).otherwise(F.col("best.path")).alias("root"), "most_main")
+    inside = (F.col("path") == F.col("root")) | F.col("path").startswith(F.concat("root", F.lit("/")))
+    chosen = F.when(F.col("most_main") > 0, F.col("main_chars") > 0).otherwise(inside)
+    return sized.join(best, "host").where(chosen).groupBy("host", "root").agg(F.collect_set("gap").alias("slots"))
 
 
-def article_text(page: str, template: frozenset[int], slots: frozenset[int]) -> str:
-    """The blocks of text in the given slots, one to a line."""
+def article_text(page: str, template: frozenset[int], slots: frozenset[int], root: str = "") -> str:
+    """The blocks of text in the given slots and the container ``root``, one to a line. On a page with an article or
+    main element only text inside it counts."""
     found = list(pieces(page))
     has_main = any(p.main for p in found)
     blocks, open_block = [], []
@@ -266,7 +271,7 @@ def article_text(page: str, template: frozenset[int], slots: frozenset[int]) ->
                 close()
             elif p.tag == "br":
                 open_block.append(" ")
-        elif gap in slots and not p.aside and (p.main or not has_main):
+        elif gap in slots and not p.aside and (p.main if has_main else not root or f"{p.path}/".startswith(f"{root}/")):
             open_block.append(p.text)
     close()
     return "\n".join(blocks)
@@ -274,8 +279,8 @@ def article_text(page: str, template: frozenset[int], slots: frozenset[int]) ->
 
 def _extract(batches: Batches) -> Batches:
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("html", "template", "slots")))
-        texts = [article_text(page, frozenset(template or ()), frozenset(slots or ())) for page, template, slots in rows]
+        rows = zip(*(batch.column(c).to_pylist() for c in ("html", "template", "slots", "root")))
+        texts = [article_text(page, frozenset(template or ()), frozenset(slots or ()), root or "") for page, template, slots, root in rows]
         kept = [batch.column(c) for c in ("page_id", "url")]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
@@ -296,6 +301,6 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     slotted = rows.join(templates, "host", "left")
     slots = materialise(content_slots(slotted.select("host", "html", "template")), "content-slots")
     return map_batches(
-        slotted.join(slots, "host", "left").select("page_id", "url", "html", "template", "slots"), _extract,
+        slotted.join(slots, "host", "left").select("page_id", "url", "html", "template", "slots", "root"), _extract,
         "page_id long, url string, text string, n_chars long",
     )
