@@ -93,7 +93,9 @@ def deduplicate(spark: SparkSession, path: str, folder: str | None = None, bytes
     belongs to its group like any other, and is kept only if no row of the group has an id (keep_id is
     NULL then). Other columns are not read."""
     documents = spark.read.parquet(path)
-    stream = spark.readStream.schema(documents.schema).option("maxBytesPerTrigger", str(bytes_a_batch)).parquet(path)
+    # as a pattern that matches itself only: a stream takes a single file by pattern, not by name
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    stream = spark.readStream.schema(documents.schema).option("maxBytesPerTrigger", str(bytes_a_batch)).parquet(pattern)
     stream = stream.select("doc_id", "text", content_locator().alias("locator"))
     classes = stream_classes(stream, folder or scratch_path(spark, "exact"), digest)
 
