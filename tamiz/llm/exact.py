@@ -23,6 +23,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # many small stores: no megabytes set aside for each of their logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
