@@ -23,8 +23,11 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-    # many small stores: no megabytes set aside for each of their logs
+    # an executor holds many small stores: neither logs nor write buffers set megabytes aside for each of them,
+    # and stores of a query that has ended are closed soon
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
