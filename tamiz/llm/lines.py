@@ -27,19 +27,13 @@ RARITY_BLOCK = 1 << 14
 CHUNK_BYTES = 1 << 21
 FLUSH_BYTES = 1 << 23
 #: Partners looked at first, for each line and word; a line that these do not settle gets all of them.
-FIRST_PARTNERS = 4
-SHORT_RUN = 24
+FIRST_PARTNERS = 8
+PAIRS_AT_ONCE = 1 << 20
 LAST_ID = (1 << 63) - 1
 
-POSTING = np.dtype([("token", "<u4"), ("position", "<u4"), ("size", "<u4"), ("line", "<u4"), ("row", "<u4"), ("doc", "<i8"), ("parity", "<u8")])
+POSTING = np.dtype([("token", "<u4"), ("position", "<u4"), ("size", "<u4"), ("line", "<u4"), ("row", "<u4"), ("doc", "<i8"), ("even", "<u8"), ("odd", "<u8")])
 SAME = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("line", "<u4")])
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWER = np.uint64(0x9E3779B97F4A7C15)
-
 
 def overlap_needed(a, b):
     """Fewest common words of sets of ``a`` and ``b`` words that reach the similarity."""
@@ -58,24 +52,34 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(raw: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first byte, 64-bit hash) of each word of several texts that lie end to end in ``raw``."""
-    inside = ~_SPACE[raw]
-    begins = inside.copy()
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def word_hashes(raw: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, 64-bit hash) of each word of several texts that lie end to end in ``raw``.
+
+    Words are read eight bytes at a time, all words at once."""
+    inside = (raw != 32) & (raw - np.uint8(9) > 4)
+    begins, closes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
-    cut = doc_starts[doc_starts < len(raw)]
+    closes[:-1] &= ~inside[1:]
+    cut = text_starts[(text_starts > 0) & (text_starts < len(raw))]
     begins[cut] = inside[cut]
+    closes[cut - 1] = inside[cut - 1]
     starts = np.flatnonzero(begins)
-    if not len(starts):
-        return starts, np.zeros(0, np.uint64)
-    letters = _LOWER[raw[inside]].astype(np.uint64)
-    places = np.cumsum(inside)[starts] - 1
-    lengths = np.diff(np.r_[places, len(letters)])
-    powers = np.ones(int(lengths.max()), np.uint64)
-    np.multiply.accumulate(np.full(len(powers) - 1, _POWER), out=powers[1:])
-    within = np.arange(len(letters)) - np.repeat(places, lengths)
-    sums = np.add.reduceat((letters + np.uint64(1)) * powers[within], places)
-    return starts, mixed(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    left = np.flatnonzero(closes) + 1 - starts
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw | ((raw - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
+    eights = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    hashes = mixed((eights[starts] & _KEEP[np.minimum(left, 8)]) + left.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    at = 8
+    longer = np.flatnonzero(left > at)
+    while len(longer):
+        more = eights[starts[longer] + at] & _KEEP[np.minimum(left[longer] - at, 8)]
+        hashes[longer] = mixed(hashes[longer] ^ mixed(more, 6))
+        at += 8
+        longer = longer[left[longer] > at]
+    return starts, hashes
 
 
 def chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -93,25 +97,34 @@ def chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         first = last
 
 
+def line_breaks(raw: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, document, number) of the lines of a chunk. An empty last line of a text is left out."""
+    breaks = np.union1d(doc_starts[doc_starts < len(raw)], np.flatnonzero(raw == 10) + 1)
+    doc = np.searchsorted(doc_starts, breaks, side="right") - 1
+    return breaks, doc, np.arange(len(breaks)) - np.searchsorted(breaks, doc_starts)[doc]
+
+
 class Lines:
-    """The lines with words of a chunk: document (within the chunk), number, and sorted distinct words."""
+    """The lines with words of a chunk: document (within the chunk), number, and distinct words in order:
+    by rarity then hash, or by hash alone."""
 
     def __init__(self, raw: np.ndarray, doc_starts: np.ndarray, rarity: np.ndarray | None):
         starts, hashes = word_hashes(raw, doc_starts)
-        breaks = np.unique(np.r_[doc_starts[doc_starts < len(raw)], np.flatnonzero(raw == 10) + 1])
-        of_word = np.searchsorted(breaks, starts, side="right") - 1
+        breaks, doc, number = line_breaks(raw, doc_starts)
+        sizes = np.diff(np.r_[np.searchsorted(starts, breaks), len(starts)])
+        of_word = np.repeat(np.arange(len(breaks), dtype=np.uint64), sizes)
         if rarity is None:
             order = np.lexsort((hashes, of_word))
         else:
-            order = np.lexsort((hashes, rarity[bucket_of(hashes)], of_word))
+            rare = rarity[bucket_of(hashes)].astype(np.uint64) << np.uint64(24)
+            order = np.argsort((of_word << np.uint64(32)) | rare | (hashes << np.uint64(20) >> np.uint64(40)))
         of_word, hashes = of_word[order], hashes[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (of_word[1:] != of_word[:-1]) | (hashes[1:] != hashes[:-1])
-        of_word, self.words = of_word[new], hashes[new]
+        of_word, self.words = of_word[new].astype(np.int64), hashes[new]
         self.first, self.size = runs(of_word)
-        at = breaks[of_word[self.first]]
-        self.doc = np.searchsorted(doc_starts, at, side="right") - 1
-        self.number = of_word[self.first] - np.searchsorted(breaks, doc_starts)[self.doc]
+        line = of_word[self.first]
+        self.doc, self.number = doc[line], number[line]
 
     def reduce(self, operation, values: np.ndarray) -> np.ndarray:
         return operation.reduceat(values, self.first) if len(self.first) else np.zeros(0, values.dtype)
@@ -191,14 +204,17 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, only: np.ndarray
         same = np.zeros(len(doc), SAME)
         same["one"], same["two"] = (lines.reduce(np.add, mixed(lines.words, salt)) for salt in (1, 2))
         same["doc"], same["row"], same["line"] = doc, row, lines.number
-        parity = lines.reduce(np.bitwise_xor, np.uint64(1) << (lines.words & np.uint64(63)))
+        bit = np.uint64(1) << (lines.words & np.uint64(63))
+        odd = (lines.words & np.uint64(64)) > 0
+        parity = [lines.reduce(np.bitwise_xor, np.where(side, bit, np.uint64(0))) for side in (~odd, odd)]
         taken = np.where(lines.size >= NUMERATOR, prefix_length(lines.size), 0)
         line = np.repeat(np.arange(len(taken)), taken)
         position = np.arange(len(line)) - np.repeat(np.cumsum(taken) - taken, taken)
         words = lines.words[lines.first[line] + position]
         posting = np.zeros(len(line), POSTING)
         posting["token"] = words & np.uint64(0xFFFFFFFF)
-        posting["position"], posting["size"], posting["parity"] = position, lines.size[line], parity[line]
+        posting["position"], posting["size"] = position, lines.size[line]
+        posting["even"], posting["odd"] = parity[0][line], parity[1][line]
         posting["line"], posting["row"], posting["doc"] = lines.number[line], row[line], doc[line]
         return same, posting, words
 
@@ -214,6 +230,9 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, only: np.ndarray
         postings, words = postings[fresh], words[fresh]
         bucket = (mixed(words, 3) % np.uint64(buckets)).astype(np.int64)
         ways = split[bucket_of(words)].astype(np.int64)
+        whole = ways == 1
+        out += _dealt(postings[whole], _cell(bucket[whole], 1, 0, 0), 1)
+        postings, bucket, ways = postings[~whole], bucket[~whole], ways[~whole]
         copies = np.repeat(np.arange(len(postings)), ways)
         other = np.arange(len(copies)) - np.repeat(np.cumsum(ways) - ways, ways)
         part = _part(postings, ways)[copies]
@@ -245,49 +264,102 @@ def line_keys(records: np.ndarray) -> np.ndarray:
     return mixed(key)
 
 
-def may_match(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Length, position and parity filters for postings of the same word; none of them loses a pair."""
-    a, b = x["size"].astype(np.int64), y["size"].astype(np.int64)
-    i, j = x["position"].astype(np.int64), y["position"].astype(np.int64)
-    need = overlap_needed(a, b)
-    most = np.minimum(i, j) + 1 + np.minimum(a - i, b - j) - 1
-    near = (DENOMINATOR * np.minimum(a, b) >= NUMERATOR * np.maximum(a, b)) & (most >= need)
-    return near & (np.bitwise_count(x["parity"] ^ y["parity"]) <= a + b - 2 * need)
-
-
-def _pairs(postings: np.ndarray, cell: int, only: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(later, earlier) postings that may match, within each word; whether later ones may have more partners."""
-    ways, low, high = cell >> 16 & 255, cell >> 8 & 255, cell & 255
-
-    def meet_here(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        good = may_match(x, y)
-        return good if low == high else good & (_part(x, ways) != _part(y, ways))
-
-    order = np.lexsort((postings["line"], postings["row"], postings["doc"], postings["token"]))
-    postings = postings[order]
-    starts, lengths = runs(postings["token"])
-    short = postings[np.repeat((lengths > 1) & (lengths <= SHORT_RUN), lengths)]
-    for shift in range(1, SHORT_RUN):
-        if len(short) <= shift:
-            break
-        met = np.flatnonzero(short["token"][shift:] == short["token"][:-shift])
-        if not len(met):
-            break
-        later, earlier = short[met + shift], short[met]
-        good = meet_here(later, earlier) & _wanted(later, only)
-        yield later[good], earlier[good], False
-    for start, length in zip(starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist()):
-        run = postings[start : start + length]
-        wanted = _wanted(run, only)
-        for i in np.flatnonzero(wanted).tolist():
-            good = np.flatnonzero(meet_here(np.broadcast_to(run[i], i), run[:i]))
-            most = len(good) if only is not None else FIRST_PARTNERS
-            if len(good):
-                yield np.repeat(run[i], min(most, len(good))), run[good[:most]], len(good) > most
-
-
-def _wanted(later: np.ndarray, only: np.ndarray | None) -> np.ndarray:
-    return np.ones(len(later), bool) if only is None else marked(only, line_keys(later))
+class Postings:
+    """Postings of a cell as columns, by word, then size of the line. ``line`` numbers the lines in their order."""
+
+    def __init__(self, records: np.ndarray):
+        order = np.argsort(records["token"].astype(np.uint64) << np.uint64(32) | records["size"])
+        records = records[order]
+        self.records, self.token = records, records["token"].copy()
+        self.size, self.position = (records[c].astype(np.int64) for c in ("size", "position"))
+        self.even, self.odd = records["even"].copy(), records["odd"].copy()
+        self.key, first, number = np.unique(line_keys(records), return_index=True, return_inverse=True)
+        some = records[first]
+        place = np.empty(len(first), np.int64)
+        place[np.lexsort((some["line"], some["row"], some["doc"]))] = np.arange(len(first))
+        self.line = place[number]
+        self.record_of = np.empty(len(first), np.int64)
+        self.record_of[place] = first
+
+    def pairs(self, cell: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, differing parities) of postings of one word that may match. The column is shifted against itself, which
+        goes on only where word and length still allow a match; then parities, then positions rule pairs out.
+
+        None of this loses a pair: two sets that differ in ``k`` words differ in at most ``k`` bits of the
+        parities of their words' hashes."""
+        ways, low, high = cell >> 16 & 255, cell >> 8 & 255, cell & 255
+        part = _part(self.records, ways) if low != high else None
+        here, shift = np.arange(len(self.token)), 0
+        while True:
+            shift += 1
+            here = here[: np.searchsorted(here, len(self.token) - shift)]
+            there = here + shift
+            a, b = self.size[here], self.size[there]
+            met = (self.token[here] == self.token[there]) & (DENOMINATOR * a >= NUMERATOR * b)
+            here, there, a, b = here[met], there[met], a[met], b[met]
+            if not len(here):
+                return
+            need = overlap_needed(a, b)
+            differ = np.bitwise_count(self.even[here] ^ self.even[there]) + np.bitwise_count(self.odd[here] ^ self.odd[there])
+            good = np.flatnonzero(differ <= a + b - 2 * need)
+            i, j = here[good], there[good]
+            p, q = self.position[i], self.position[j]
+            most = np.minimum(p, q) + np.minimum(a[good] - p, b[good] - q)
+            fine = (most >= need[good]) & (self.line[i] != self.line[j])
+            if part is not None:
+                fine &= part[i] != part[j]
+            if fine.any():
+                yield i[fine], j[fine], differ[good][fine].astype(np.int64)
+
+
+def _nearest(late: np.ndarray, early: np.ndarray, differ: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """Each pair of lines once; of each later line the ``most`` partners with the least differing parities, and
+    whether it has more."""
+    order = np.argsort(late << 32 | early)
+    late, early, differ = late[order], early[order], differ[order]
+    new = np.ones(len(late), bool)  # lines may meet at several words of the cell
+    new[1:] = (late[1:] != late[:-1]) | (early[1:] != early[:-1])
+    late, early, differ = late[new], early[new], differ[new]
+    order = np.argsort(late << 9 | differ, kind="stable")
+    late, early, differ = late[order], early[order], differ[order]
+    starts, lengths = runs(late)
+    kept = np.arange(len(late)) - np.repeat(starts, lengths) < most
+    return late[kept], early[kept], differ[kept], np.repeat(lengths > most, lengths)[kept]
+
+
+def _pairs(records: np.ndarray, cell: int, only: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """(later, earlier, differing parities, more) of a cell: records of lines that may match, and whether the later
+    one may have more partners."""
+    postings = Postings(records)
+    wanted = None if only is None else marked(only, line_keys(postings.records[postings.record_of]))
+    most = FIRST_PARTNERS if only is None else len(records)
+    found = (np.zeros(0, np.int64),) * 3
+    has_more = np.zeros(len(postings.record_of), bool)
+    more = np.zeros(0, bool)
+    waiting: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def settle() -> None:
+        nonlocal found, more
+        *found, more = _nearest(*(np.concatenate(x) for x in zip(found, *waiting)), most)
+        has_more[found[0][more]] = True
+        waiting.clear()
+
+    for i, j, differ in postings.pairs(cell):
+        a, b = postings.line[i], postings.line[j]
+        late, early = np.maximum(a, b), np.minimum(a, b)
+        if wanted is not None:
+            late, early, differ = late[wanted[late]], early[wanted[late]], differ[wanted[late]]
+        waiting.append((late, early, differ))
+        size += len(late)
+        if size > PAIRS_AT_ONCE:
+            settle()
+            size = 0
+    if waiting:
+        settle()
+    late, early, differ = found
+    sides = (postings.records[postings.record_of[x]] for x in (late, early))
+    return *sides, differ, has_more[late]
 
 
 def marks_of(buckets: list[int], bits: int) -> np.ndarray:
@@ -300,7 +372,7 @@ def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return marks[(keys >> np.uint64(64 - len(marks).bit_length() + 1)).astype(np.int64)]
 
 
-MET = "doc_id long, row long, line long, key long, doc_id2 long, row2 long, line2 long, key2 long, more boolean"
+MET = "doc_id long, row long, line long, key long, doc_id2 long, row2 long, line2 long, key2 long, differ long, more boolean"
 
 
 def _meet(only: np.ndarray | None):
@@ -310,25 +382,16 @@ def _meet(only: np.ndarray | None):
         kind = table.column("kind")[0].as_py()
         blobs = b"".join(table.column("records").to_pylist())
         if kind == 1:
-            found = [(a, b, np.full(len(a), more)) for a, b, more in _pairs(np.frombuffer(blobs, POSTING), table.column("cell")[0].as_py(), only) if len(a)]
-            if not found:
-                return pa.table([pa.array([], f.type) for f in _MET], schema=_MET)
-            later, earlier, more = (np.concatenate(x) for x in zip(*found))
-            names = line_keys(later), line_keys(earlier)
-            order = np.lexsort((more, names[1], names[0]))
-            last = np.ones(len(order), bool)  # a pair may meet at several words of the cell
-            last[:-1] = (names[0][order][1:] != names[0][order][:-1]) | (names[1][order][1:] != names[1][order][:-1])
-            last &= names[0][order] != names[1][order]
-            order = order[last]
-            sides = [(r[order]["doc"], r[order]["row"].astype(np.int64), r[order]["line"].astype(np.int64), k[order].view(np.int64)) for r, k in zip((later, earlier), names)]
-            return pa.table([*sides[0], *sides[1], more[order]], schema=_MET)
+            later, earlier, differ, more = _pairs(np.frombuffer(blobs, POSTING), table.column("cell")[0].as_py(), only)
+            sides = [(r["doc"], r["row"].astype(np.int64), r["line"].astype(np.int64), line_keys(r).view(np.int64)) for r in (later, earlier)]
+            return pa.table([*sides[0], *sides[1], differ, more], schema=_MET)
         gone = np.frombuffer(blobs, SAME)
         if kind == 0:
             gone, again = _repeats(gone)
             gone = gone[again]
         none = pa.nulls(len(gone), pa.int64())
         return pa.table(
-            [gone["doc"], gone["row"].astype(np.int64), gone["line"].astype(np.int64), line_keys(gone).view(np.int64), none, none, none, none, pa.nulls(len(gone), pa.bool_())],
+            [gone["doc"], gone["row"].astype(np.int64), gone["line"].astype(np.int64), line_keys(gone).view(np.int64), none, none, none, none, none, pa.nulls(len(gone), pa.bool_())],
             schema=_MET,
         )
 
@@ -345,24 +408,31 @@ def _sets_of(marks: np.ndarray):
         for batch in batches:
             doc_id, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
             for first, raw, starts in chunks(batch):
-                lines = Lines(raw, starts, None)
-                name = np.zeros(len(lines.size), SAME)
-                name["doc"], name["row"], name["line"] = doc_id[first + lines.doc], row[first + lines.doc], lines.number
+                breaks, doc, number = line_breaks(raw, starts)
+                name = np.zeros(len(breaks), SAME)
+                name["doc"], name["row"], name["line"] = doc_id[first + doc], row[first + doc], number
                 keys = line_keys(name)
-                wanted = np.flatnonzero(marked(marks, keys)) if len(keys) else []
-                if len(wanted):
-                    sets = [lines.words[lines.first[i] : lines.first[i] + lines.size[i]].tobytes() for i in wanted]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[wanted].view(np.int64)), pa.array(sets, pa.binary())], ["key", "words"])
+                wanted = np.flatnonzero(marked(marks, keys))
+                if not len(wanted):
+                    continue
+                ends = np.r_[breaks[1:], len(raw)][wanted]
+                lengths = ends - breaks[wanted]
+                offsets = np.cumsum(lengths) - lengths
+                # the marked lines alone, end to end, as if each were a text
+                lines = Lines(raw[np.arange(lengths.sum()) + np.repeat(breaks[wanted] - offsets, lengths)], offsets, None)
+                sets = [lines.words[a : a + n].tobytes() for a, n in zip(lines.first.tolist(), lines.size.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[wanted[lines.doc]].view(np.int64)), pa.array(sets, pa.binary())], ["key", "words"])
 
     return find
 
 
 def _verify(batches: Batches) -> Batches:
+    """Keep the pairs whose sets reach the similarity. Sets are sorted."""
     for batch in batches:
         good = []
         for a, b in zip(batch.column("words").to_pylist(), batch.column("words2").to_pylist()):
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
+            both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
             good.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
         yield batch.drop_columns(["words", "words2"]).filter(pa.array(good, pa.bool_()))
 
@@ -373,17 +443,44 @@ def _bits_of(keys: DataFrame, key: str, bits: int = 22) -> np.ndarray:
     return marks_of(buckets.toArrow().column("b").to_pylist(), bits)
 
 
-def _verified(docs: DataFrame, met: DataFrame) -> DataFrame:
+LINE = ("doc_id", "row", "line")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc_id, row, line, key) of the later lines of pairs whose sets reach the similarity."""
-    pairs = met.where(F.col("key2").isNotNull()).groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in ("doc_id", "row", "line")))
     pairs = materialise(pairs, "line-pairs")
     ends = pairs.select("key").unionByName(pairs.select(F.col("key2").alias("key")))
-    sets = map_batches(docs, _sets_of(_bits_of(ends, "key")), "key long, words binary")
-    # rows repeated as a whole have the same lines
-    sets = materialise(sets.join(ends.distinct(), "key", "left_semi").groupBy("key").agg(F.min("words").alias("words")), "line-sets")
+    marks = _bits_of(ends, "key")
+    sets = map_batches(docs, _sets_of(marks), "key long, words binary")
+    # rows repeated as a whole have the same lines, and a mark may hold other lines than those asked for
+    sets = materialise(sets.join(ends.distinct(), "key", "left_semi").groupBy("key").agg(F.first("words").alias("words")), "line-sets")
     sided = pairs.join(sets, "key").join(sets.select(F.col("key").alias("key2"), F.col("words").alias("words2")), "key2")
-    wide = sided.select("doc_id", "row", "line", "key", "words", "words2")
-    return map_batches(wide, _verify, "doc_id long, row long, line long, key long").distinct()
+    wide = sided.select(*LINE, "key", "words", "words2")
+    return materialise(map_batches(wide, _verify, "doc_id long, row long, line long, key long").distinct(), "lines-gone")
+
+
+def _candidates(met: DataFrame) -> DataFrame:
+    return met.where(F.col("key2").isNotNull()).groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in LINE))
+
+
+def _similar(docs: DataFrame, meeting) -> DataFrame:
+    """(doc_id, row, line) of lines that an earlier one reaches the similarity with.
+
+    The nearest partner of each line is tried first, then the others found for lines that it did not settle, and for
+    lines that may have still more, all there are."""
+    met = meeting(None)
+    nearest = met.where(F.col("key2").isNotNull()).groupBy("key").agg(
+        F.min_by("key2", "differ").alias("key2"), *(F.min(c).alias(c) for c in LINE)
+    )
+    found = _verified(docs, nearest)
+    open_lines = met.join(found.select("key"), "key", "left_anti")
+    rest = materialise(_candidates(open_lines).join(nearest.select("key", "key2"), ["key", "key2"], "left_anti"), "line-pairs")
+    if not rest.isEmpty():
+        found = found.unionByName(_verified(docs, rest))
+    marks = _bits_of(met.where("more").select("key").distinct().join(found.select("key"), "key", "left_anti"), "key")
+    if marks.any():
+        found = found.unionByName(_verified(docs, _candidates(meeting(marks))))
+    return found.select(*LINE)
 
 
 def later_matches(docs: DataFrame, cell_records: int = 100_000, split_over: int = 1_000_000, most_parts: int = 128) -> DataFrame:
@@ -401,17 +498,10 @@ def later_matches(docs: DataFrame, cell_records: int = 100_000, split_over: int
 
     def meeting(only: np.ndarray | None) -> DataFrame:
         dealt = map_batches(docs, _emit(rarity, split, buckets, only), "kind int, cell long, records binary")
-        return dealt.groupBy("kind", "cell").applyInArrow(_meet(only), MET)
-
-    met = materialise(meeting(None), "lines-met")
-    gone = materialise(_verified(docs, met), "lines-gone")
-    open_lines = met.where(F.col("more")).select("key").distinct().join(gone.select("key"), "key", "left_anti")
-    open_marks = _bits_of(open_lines, "key")
-    same = met.where(F.col("key2").isNull()).select("doc_id", "row", "line")
-    found = same.unionByName(gone.select("doc_id", "row", "line"))
-    if open_marks.any():
-        found = found.unionByName(_verified(docs, materialise(meeting(open_marks), "lines-met")).select("doc_id", "row", "line"))
-    return found
+        return materialise(dealt.groupBy("kind", "cell").applyInArrow(_meet(only), MET), "lines-met")
+
+    same = meeting(None)
+    return same.where(F.col("key2").isNull()).select(*LINE).unionByName(_similar(docs, lambda only: same if only is None else meeting(only)))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -424,7 +514,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     gone = materialise(gone, "lines-of-documents").select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), "__gone")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
     row = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
-    joined = own.withColumn("__doc", key).withColumn("__row", row).join(gone, ["__doc", "__row"], "left").drop("__doc", "__row")
+    joined = own.withColumn("__doc", key).withColumn("__row", row).join(gone.hint("shuffle_hash"), ["__doc", "__row"], "left").drop("__doc", "__row")
     kept_columns = own.columns
 
     def rewrite(batches: Batches) -> Batches:
