@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.text import is_ascii
 
-# Marks of damaged text (lead byte of a two-byte letter in cp1252 and cp437),
-# and the letters repaired one by one when a text is damaged only in part.
+# Fixed value: marks of damaged text (lead byte of a two-byte letter in cp1252 and cp437).
 DAMAGE_MARKS = "├Ã"
-SPANISH_LETTERS = "áéíóúüñÁÉÍÓÚÜÑ"
 
 OUTSIDE = "\ufffd"  # any character that Latin-1 does not have
 WIDE = r"[^\x00-\xFF]"
@@ -49,42 +47,36 @@ def redecode(c: Column, charset: str) -> Column:
     return F.when(is_ascii(c), c).when(~as_latin1.rlike(WIDE), decoded)
 
 
-LEAD = "Ã"  # what the first byte of a Spanish letter turns into
+# First bytes (as cp1252 shows them) of the letters up to U+00FF and of typographic marks,
+# with the number of bytes that follow. Other first bytes are letters a sound text may well have before a
+# quotation mark or the like.
+LEADS = {"Â": 1, "Ã": 1, "â": 2}
 
 
-def _second_halves() -> dict[str, str]:
-    """What follows :data:`LEAD` in a damaged letter (read as cp1252 or Latin-1), and the letter."""
+@lru_cache(maxsize=1)
+def _damaged_letter() -> str:
+    """Pattern of one damaged letter: a lead and as many characters that stand for bytes 0x80 to 0xBF."""
     table = _high_bytes("cp1252")
-    return {
-        form: letter
-        for letter in SPANISH_LETTERS
-        for byte in letter.encode("utf-8")[1:]
-        for form in (table.get(byte, chr(byte)), chr(byte))
-    }
+    follows = "".join(sorted({ch for byte in range(0x80, 0xC0) for ch in (chr(byte), table.get(byte, chr(byte)))}))
+    return "|".join(f"{lead}[{follows}]{{{n}}}" for lead, n in LEADS.items())
 
 
 def _repair_letters(c: Column) -> Column:
-    """Put right the damaged Spanish letters of a text that is otherwise sound."""
-    halves = _second_halves()
-
-    def piece(part: Column, index: Column) -> Column:
-        head = F.substring(part, 1, 1)
-        letter = F.translate(head, "".join(halves), "".join(halves.values()))
-        repaired = F.when(head.isin(*halves), F.concat(letter, F.substr(part, F.lit(2)))).otherwise(
-            F.concat(F.lit(LEAD), part)
-        )
-        return F.when(index == 0, part).otherwise(repaired)
-
-    return F.array_join(F.transform(F.split(c, LEAD), piece), "")
+    """Put right each damaged letter of a text that is otherwise sound."""
+    letter = _damaged_letter()
+    parts = F.regexp_extract_all(c, F.lit(f"(?s)({letter}|.[^{''.join(LEADS)}]*)"), F.lit(1))
+    return F.array_join(
+        F.transform(parts, lambda p: F.when(p.rlike(f"^(?:{letter})$"), F.coalesce(redecode(p, "cp1252"), p)).otherwise(p)), ""
+    )
 
 
 def repair_mojibake(c: Column) -> Column:
     """Undo a cp1252 misreading of UTF-8; text that is not damaged comes back unchanged.
 
     A text is first taken as a whole. Where that is not possible because only a part of it
-    is damaged, the Spanish letters are put right one by one.
+    is damaged, the damaged letters are put right one by one.
     """
-    partly = F.when(c.contains(LEAD), _repair_letters(c))
+    partly = F.when(c.rlike(_damaged_letter()), _repair_letters(c))
     return F.when(is_ascii(c), c).otherwise(F.coalesce(redecode(c, "cp1252"), partly, c))
 
 

@@ -11,9 +11,9 @@ from tamiz.functions.text import WHITESPACE, is_ascii, strip
 # (12d, 0x1p3, nan) and is slow to fail.
 DECIMAL_TEXT = r"^[\s\x1c-\x1f]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[\s\x1c-\x1f]*$"
 
-# Wide enough for cents and rates; sums in it do not depend on the order of the rows, so
-# a task that is run again gives the same total.
-EXACT = "decimal(24,6)"
+# Sums in it do not depend on the order of the rows, so a task that is run again gives the same
+# total. Twelve digits after the point; a value of 1e26 or more ends the job rather than go missing.
+EXACT = "decimal(38,12)"
 
 
 def _castable(c: Column) -> Column:
@@ -39,9 +39,18 @@ def number_or_zero(c: Column) -> Column:
 
 
 def integer_or_zero(c: Column) -> Column:
-    """Integer text to bigint; everything else, decimals included, counts as 0."""
+    """Integer text to bigint; other text, decimals included, counts as 0. A number is cut to a whole one."""
     s = _castable(c)
-    return F.coalesce(F.when(~s.contains("."), s.try_cast("bigint")), F.lit(0).cast("bigint"))
+    text = F.when(~s.contains("."), s.try_cast("bigint"))
+    # the type is known when the plan is made, so only one branch is left
+    whole = F.when(F.typeof(c) == "string", text).otherwise(number_or_null(c).try_cast("bigint"))
+    return F.coalesce(whole, F.lit(0).cast("bigint"))
+
+
+def whole_or_null(c: Column) -> Column:
+    """A whole number written in any plain way (``12``, ``12.0``) to bigint; NULL for everything else."""
+    n = number_or_null(c)
+    return F.when(n == F.floor(n), n.try_cast("bigint"))
 
 
 def year_of_label(c: Column, suffix: str = " (p)") -> Column:
@@ -50,18 +59,20 @@ def year_of_label(c: Column, suffix: str = " (p)") -> Column:
 
 
 def half_up(c: Column, digits: int) -> Column:
-    """Round half away from zero, in decimals, and return a double."""
-    return F.round(c.cast("decimal(38,6)"), digits).cast("double")
+    """Round half away from zero, in decimals, and return a double. Digits well behind the last one kept are
+    rounded away first, so that a double a hair below a half counts as the half it stands for."""
+    return F.round(c.cast(f"decimal(38,{max(6, digits + 2)})"), digits).cast("double")
 
 
 def exact_sum(c: Column) -> Column:
-    """Sum free of floating-point order effects; stays a decimal."""
+    """Sum free of floating-point order effects; stays a decimal. NaN counts as missing; digits after the
+    twelfth are rounded away first."""
     return F.sum(c.cast(EXACT))
 
 
 def exact_avg(c: Column) -> Column:
-    """Mean of the non-NULL values from an exact sum, as double."""
-    return exact_sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
+    """Mean of the values that :func:`exact_sum` adds, as double."""
+    return exact_sum(c).cast("double") / F.nullif(F.count(c.cast(EXACT)), F.lit(0))
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:

@@ -19,9 +19,12 @@ def _month_number(abbreviation: Column) -> Column:
 def period_date(c: Column) -> Column:
     """Date of a survey round: ``dic-07`` means 1 December 2007, an ISO date is itself."""
     s = F.lower(strip(c.cast("string")))
-    pattern = r"^([a-z]{3})-?(\d{2})"
-    month = _month_number(F.regexp_extract(s, pattern, 1))
-    year = F.nullif(F.regexp_extract(s, pattern, 2), F.lit("")).try_cast("int") + 2000
+    # a month name, a hyphen or none, the last two digits of the year; what follows does not matter
+    month = _month_number(F.left(s, F.lit(3)))
+    rest = F.ltrim(F.substring(s, 4, 3), F.lit("-"))
+    digits = F.left(rest, F.lit(2))
+    two = (F.length(digits) == 2) & (F.translate(digits, "0123456789", "") == "")
+    year = F.when(two, digits.try_cast("int") + 2000)
     iso = F.nullif(F.regexp_extract(s, r"^\d{4}-\d{2}-\d{2}", 0), F.lit("")).try_cast("date")
     return F.coalesce(iso, F.make_date(year, month, F.lit(1)))
 

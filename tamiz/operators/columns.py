@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.functions.numbers import whole_or_null
 from tamiz.functions.text import snake_name
 
 
@@ -62,11 +63,19 @@ def resolve(columns: Sequence[str], has: Sequence[str], lacks: Sequence[str] = (
     raise LookupError(f"no column with {' or '.join(has) if any_of else ' and '.join(has)} in {list(columns)}")
 
 
+def _in_type(df: DataFrame, field: T.StructField) -> Column:
+    """A column in the type of ``field``; text such as ``12.0`` is a whole number too."""
+    c = F.col(field.name)
+    if isinstance(field.dataType, T.IntegralType) and isinstance(df.schema[field.name].dataType, T.StringType):
+        return F.coalesce(c.try_cast(field.dataType), whole_or_null(c).try_cast(field.dataType))
+    return c.try_cast(field.dataType)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema`` in its types; missing ones become NULL, others are dropped."""
     return df.select(
         [
-            (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            (_in_type(df, f) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )
@@ -77,7 +86,7 @@ def conform_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
     shared = [f for f in schema.fields if f.name in df.columns]
     lost = df.agg(
         *[
-            F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
+            F.count_if(F.col(f.name).isNotNull() & _in_type(df, f).isNull()).alias(f.name)
             for f in shared
         ]
     )

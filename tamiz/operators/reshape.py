@@ -24,13 +24,14 @@ def to_wide(
     names: dict[str, str],
     order: Column,
 ) -> DataFrame:
-    """One column per listed value of ``variable``: the first non-NULL value in ``order``.
+    """One column per listed value of ``variable``: the first non-NULL value in ``order``, the least of equals.
 
     Rows with a NULL key are left out. Columns of values that never occur are NULL. One
     aggregation with partial combine; no rows are gathered per group.
     """
     filled = df.dropna(subset=list(keys)).where(F.col(value).isNotNull())
     columns = [
-        F.min_by(F.col(value), F.when(F.col(variable) == level, order)).alias(name) for level, name in names.items()
+        F.min(F.when(F.col(variable) == level, F.struct(order.alias("o"), F.col(value).alias("v")))).getField("v").alias(name)
+        for level, name in names.items()
     ]
     return filled.groupBy(*keys).agg(*columns)

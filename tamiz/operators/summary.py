@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions.numbers import half_up, percent
+from tamiz.functions.text import is_blank
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
@@ -31,7 +33,9 @@ def share_within(df: DataFrame, group: Sequence[str], count: str, name: str, dig
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias(name)).where(F.col(name) > 1)
+    """Keys that occur more than once; a key with a NULL or blank part is no key."""
+    blank = [is_blank(F.col(k).cast("string")) for k in keys]
+    return df.where(~reduce(Column.__or__, blank)).groupBy(*keys).agg(F.count("*").alias(name)).where(F.col(name) > 1)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

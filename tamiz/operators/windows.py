@@ -12,8 +12,8 @@ from tamiz.operators.keys import dense_ids
 
 
 def _frame_mean(value: str, frame, digits: int) -> Column:
-    total = F.sum(F.col(value).cast(EXACT)).over(frame).cast("double")
-    return half_up(total / F.nullif(F.count(value).over(frame), F.lit(0)), digits)
+    exact = F.col(value).cast(EXACT)
+    return half_up(F.sum(exact).over(frame).cast("double") / F.nullif(F.count(exact).over(frame), F.lit(0)), digits)
 
 
 def trailing_mean(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.functions.labels import growth_class, is_active, sector_name
-from tamiz.functions.numbers import exact_avg, exact_sum, half_up, ratio
+from tamiz.functions.numbers import exact_avg, exact_sum, half_up, ratio, whole_or_null
 from tamiz.functions.periods import period_quarter
 from tamiz.functions.text import geo_key
 from tamiz.operators.rows import latest_period
@@ -100,7 +100,7 @@ def graduates_per_company(schools: DataFrame, geography: DataFrame, by_province:
 def flat_gdp_trend(macro: DataFrame) -> DataFrame:
     rate = F.col("tasa_variacion_anual")
     return macro.select(
-        F.col("anio_fiscal").try_cast("int").alias("anio"),
+        whole_or_null(F.col("anio_fiscal")).try_cast("int").alias("anio"),
         F.col("pib_real_millones").alias("pib_real_musd"),
         rate.alias("variacion_pib_pct"),
         growth_class(rate).alias("clasificacion"),

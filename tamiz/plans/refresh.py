@@ -28,9 +28,13 @@ GRADES, SEXES = ("1er", "2do", "3er"), ("m", "h")
 PEOPLE_PER_THOUSAND = 1000
 
 
-def companies(flat: DataFrame) -> DataFrame:
-    """Companies with a tax number; their places under normalised names."""
-    kept = rename(flat, COMPANY_RENAMES).where(~is_blank(F.col("ruc")))
+def companies(flat: DataFrame, order: str | None = None) -> DataFrame:
+    """Companies with a tax number, one row each (the first in ``order``); places under normalised names.
+
+    ``operators.audits.duplicate_summary`` tells how many rows a repeated number leaves out."""
+    named = rename(flat, COMPANY_RENAMES).where(~is_blank(F.col("ruc")))
+    by = [F.col(c).asc_nulls_last() for c in ([order] if order else []) + named.columns]
+    kept = first_per_key(named, ["ruc"], by)
     placed = kept.withColumns({c: geo_key(F.col(c)) for c in ("provincia", "canton")})
     return conform(placed, K.STAR["dim_empresas"])
 

@@ -140,6 +140,6 @@ def school_history(frame: DataFrame) -> DataFrame:
 def school_register(frame: DataFrame, school_year: str | None = None, order: str | None = None) -> DataFrame:
     """Single-year school register, one row per school and year, counts with 0 for missing."""
     named = rename(frame, K.REGISTER_RENAMES)
-    counted = named.withColumns({c: F.coalesce(F.col(c).try_cast("bigint"), F.lit(0)) for c in K.REGISTER_COUNTS})
+    counted = named.withColumns({c: number_or_zero(F.col(c)) for c in K.REGISTER_COUNTS})
     one = first_per_key(counted, ["cod_amie", "anio_lectivo"], _by_all(counted, *([order] if order else [])))
     return one if school_year is None else one.where(F.col("anio_lectivo") == school_year)

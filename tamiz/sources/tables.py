@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.session import scratch_path
+PERIODS_AT_ONCE = 1000
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -22,9 +22,43 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and a function from text to its paths."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), to_path
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a complete table in place of another. Until the new one has the name, the old one is whole
+    beside it under ``path.old``, which a later replacement puts back or removes."""
+    files, to_path = _files(spark, path)
+    target, old = to_path(path), to_path(f"{path}.old")
+    if files.exists(target):
+        files.delete(old, True)
+        files.rename(target, old)
+    files.mkdirs(target.getParent())
+    if not files.rename(to_path(staged), target):
+        raise OSError(f"{staged} could not be moved to {path}")
+    files.delete(old, True)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write ``df`` in place of whatever is at ``path``; ``df`` must not read from there."""
-    _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Write ``df`` in place of whatever is at ``path``, which ``df`` may read from.
+
+    The rows are complete beside the table before it is touched, so a job that is lost leaves the
+    old table as it was."""
+    _replace(df, path, partition_by)
+
+
+def _replace(df: DataFrame, path: str, partition_by: Sequence[str], unless_empty: bool = False) -> bool:
+    spark, path = df.sparkSession, path.rstrip("/")
+    staged = f"{path}.new"
+    _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
+    if unless_empty and spark.read.schema(df.schema).parquet(staged).isEmpty():
+        _files(spark, staged)[0].delete(_files(spark, staged)[1](staged), True)
+        return False
+    _swap(spark, staged, path)
+    return True
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -32,11 +66,9 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def replace_unless_empty(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
-    """Replace the table only if there are rows to load; tells whether it did."""
-    if df.isEmpty():
-        return False
-    replace_table(df, path, partition_by)
-    return True
+    """Replace the table only if there are rows to load; tells whether it did. The plan runs once: what was
+    written beside the table is looked at before it takes the name."""
+    return _replace(df, path, partition_by, unless_empty=True)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:
@@ -56,12 +88,9 @@ def refresh_in_place(
 ) -> None:
     """Replace a table by a function of itself.
 
-    The result is complete in the shared folder before the table is touched, so a job lost
-    half-way never leaves the only copy incomplete.
+    One write: the result is complete beside the table before that is touched.
     """
-    staged = scratch_path(spark, "refresh")
-    replace_table(change(read_table(spark, path)), staged)
-    replace_table(read_table(spark, staged), path, partition_by)
+    replace_table(change(read_table(spark, path)), path, partition_by)
 
 
 def update_matched(
@@ -69,9 +98,12 @@ def update_matched(
 ) -> DataFrame:
     """``target`` with ``values`` taken from ``source`` where the key matches, NULLs included.
 
-    ``source`` has one row per key. ``flag`` names an optional column telling matched rows.
+    A source that repeats a key ends the job: it would multiply rows of the target. ``flag`` names an
+    optional column telling matched rows.
     """
-    new = source.select(key, F.lit(True).alias("_hit"), *[F.col(v).alias(f"_new_{v}") for v in values])
+    grouped = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct(*values)).alias("_new"))
+    single = F.assert_true(F.col("_n") == 1, F.lit(f"the source of an update repeats a value of {key}")).isNull()
+    new = grouped.select(key, single.alias("_hit"), *[F.col(f"_new.{v}").alias(f"_new_{v}") for v in values])
     joined = target.join(new, key, "left")
     hit = F.coalesce("_hit", F.lit(False))
     columns = [
@@ -84,12 +116,15 @@ def update_matched(
 def rows_of_new_periods(new: DataFrame, existing: DataFrame, period: str) -> DataFrame:
     """Rows of ``new`` whose period ``existing`` does not hold yet.
 
-    Only the period column of ``existing`` is read, and of a table partitioned by it only
-    the partitions of the periods asked for.
+    Only the period column of ``existing`` is read. Up to :data:`PERIODS_AT_ONCE` periods are asked for by
+    value, so that of a table partitioned by period only their partitions are opened. NULL is a period too.
     """
-    asked = new.select(period).distinct()
-    present = existing.join(asked, period, "left_semi").select(period).distinct()
-    return new.join(present, period, "left_anti").select(new.columns)
+    asked = [r[0] for r in new.select(period).distinct().limit(PERIODS_AT_ONCE + 1).collect()]
+    if len(asked) <= PERIODS_AT_ONCE:
+        values = [v for v in asked if v is not None]
+        existing = existing.where(F.col(period).isin(values) | F.col(period).isNull())
+    present = existing.select(F.col(period).alias("_present")).distinct()
+    return new.join(present, F.col(period).eqNullSafe(F.col("_present")), "left_anti").select(new.columns)
 
 
 def append_new_periods(new: DataFrame, path: str, period: str) -> None:
