@@ -53,9 +53,46 @@ def reference_check(
     )
 
 
+def child_references(child: DataFrame, child_name: str, references: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """:func:`reference_check` for several references ``(column, referred table, its rows, key)`` of one table.
+
+    The table is read once: its reference columns are put one below the other, as text, and counted
+    per value before the one join with all referred keys.
+    """
+    numbered = list(enumerate(references))
+    cells = F.array(*[F.struct(F.lit(i).alias("n"), F.col(column).cast("string").alias("clave")) for i, (column, *_) in numbered])
+    used = child.select(F.inline(cells).alias("n", "clave")).where(F.col("clave").isNotNull())
+    counted = used.groupBy("n", "clave").agg(F.count("*").alias("filas"))
+    known = union_all(
+        [rows.select(F.lit(i).alias("n"), F.col(key).cast("string").alias("clave")) for i, (_, _, rows, key) in numbered]
+    )
+    joined = counted.join(known.distinct().withColumn("_known", F.lit(1)), ["n", "clave"], "left")
+    total = lambda i, *also: F.coalesce(F.sum(F.when(reduce(Column.__and__, also, F.col("n") == i), F.col("filas"))), F.lit(0))
+    sums = joined.agg(*[total(i).alias(f"t{i}") for i, _ in numbered], *[total(i, F.col("_known").isNull()).alias(f"m{i}") for i, _ in numbered])
+    report = [
+        F.struct(
+            F.lit(child_name).alias("tabla"), F.lit(column).alias("columna"), F.lit(parent).alias("tabla_referida"),
+            F.col(f"t{i}").alias("con_valor"), F.col(f"m{i}").alias("sin_referencia"),
+            percent(F.col(f"m{i}"), F.col(f"t{i}"), 3).alias("pct_sin_referencia"),
+        )
+        for i, (column, parent, _, _) in numbered
+    ]
+    return sums.select(F.inline(F.array(*report)))
+
+
 def check_references(tables: dict[str, DataFrame], references: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Report over declared references ``(table, column, referred table, referred key)``."""
-    return union_all([reference_check(tables[t], t, c, tables[p], p, k) for t, c, p, k in references])
+    by_child: dict[str, list[tuple[str, str, DataFrame, str]]] = {}
+    for child, column, parent, key in references:
+        by_child.setdefault(child, []).append((column, parent, tables[parent], key))
+    return union_all([child_references(tables[child], child, own) for child, own in by_child.items()])
+
+
+def code_share(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
+    """Rows with a code, those whose code the parent lacks, and their share; blank codes are none."""
+    coded = child.select(F.col(column)).where(~is_blank(F.col(column).cast("string")))
+    report = reference_check(coded, "", column, parent, "", key)
+    return report.select("columna", F.col("con_valor").alias("con_codigo"), F.col("sin_referencia").alias("sin_catalogo"), F.col("pct_sin_referencia").alias("pct_sin_catalogo"))
 
 
 def check_required(tables: dict[str, DataFrame], schemas: dict[str, T.StructType]) -> DataFrame:

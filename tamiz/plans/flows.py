@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from tamiz.operators import audits
 from tamiz.operators.rows import clear_blank
 from tamiz.plans import contract as K
-from tamiz.plans import gold, indicators, refresh, star
+from tamiz.plans import gold, indicators, refresh, silver, star
+from tamiz.sources import files
 from tamiz.sources.tables import append_new_periods, read_table, refresh_in_place, replace_table, replace_unless_empty
 
 Tables = dict[str, DataFrame]
@@ -62,11 +63,38 @@ class Layer:
         return read_table(self.spark, self.path(name), schema)
 
 
+_ORDER = "orden"
+
+#: Jobs over raw CSV exports by the name of their flat table: folder of files to the cleaned rows. "First"
+#: and "last" row mean the order in the files.
+FILE_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "directorio": lambda spark, path: silver.company_directory(files.read_csv_as_text(spark, path, order=_ORDER), _ORDER),
+    "ciiu": lambda spark, path: silver.industry_catalogue(
+        files.read_csv_any_charset(spark, path, T.StructType.fromDDL("CIIU string, DESCRIPCION string"), order=_ORDER), _ORDER
+    ),
+    "escuelas": lambda spark, path: silver.school_history(
+        files.read_csv_columns(spark, path, {c: T.StringType() for c in K.SCHOOL_COLUMNS})
+    ),
+    "registro": lambda spark, path: silver.school_register(
+        files.read_csv_as_text(spark, path, ";", files.LATIN1, order=_ORDER), order=_ORDER
+    ).drop(_ORDER),
+    "petroleo": lambda spark, path: silver.daily_indicators(files.read_csv_as_text(spark, path)),
+    "iee": lambda spark, path: silver.expectations_index(files.read_csv_as_text(spark, path)),
+    "vab": lambda spark, path: silver.value_added(files.read_csv_as_text(spark, path)),
+}
+
+
+def load_files(spark: SparkSession, folders: dict[str, str], layer: Layer) -> Tables:
+    """Raw files to stored flat tables: one folder of files for each job of :data:`FILE_JOBS` that is asked for."""
+    return layer.put_all({name: FILE_JOBS[name](spark, folder) for name, folder in folders.items()})
+
+
 def load_envelope(envelope: DataFrame, schemas: dict[str, indicators.Schema], silver: Layer) -> Tables:
-    """Envelope to flat tables; an indicator without a schema or records is skipped."""
+    """Envelope to flat tables; an indicator without a schema or records is skipped. Real GDP does without
+    the nominal series, whose column is NULL then."""
     made: dict[str, DataFrame] = {}
-    if K.GDP_REAL in schemas and K.GDP_NOMINAL in schemas:
-        made["fact_macro_anual"] = indicators.gdp(envelope, schemas[K.GDP_REAL], schemas[K.GDP_NOMINAL])
+    if K.GDP_REAL in schemas:
+        made["fact_macro_anual"] = indicators.gdp(envelope, schemas[K.GDP_REAL], schemas.get(K.GDP_NOMINAL))
     builders = {
         K.VALUE_ADDED: ("fact_vab_geografico", indicators.value_added),
         K.DIRECTORY: ("fact_directorio_companias", indicators.companies),

@@ -46,8 +46,10 @@ def employment_trend(employment: DataFrame, indicator: str = K.UNEMPLOYMENT) ->
 
 
 def oil_30_days(daily: DataFrame) -> DataFrame:
-    """Daily price with its mean over 30 rows; one row per day, so the calendar bounds it."""
-    days = daily.select("fecha", "precio_petroleo_wti", "riesgo_pais_pb")
+    """Daily price with its mean over 30 days. A day that comes twice counts once, so that the calendar
+    bounds the series."""
+    one = F.min(F.struct("precio_petroleo_wti", "riesgo_pais_pb")).alias("v")
+    days = daily.groupBy("fecha").agg(one).select("fecha", "v.precio_petroleo_wti", "v.riesgo_pais_pb")
     return trailing_mean(days, ["fecha"], "precio_petroleo_wti", "promedio_movil_30d").orderBy("fecha")
 
 
@@ -171,18 +173,19 @@ def star_views(t: Tables) -> Tables:
     }
 
 
+FLAT_VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "gold_pib_tendencia": (flat_gdp_trend, ("fact_macro_anual",)),
+    "gold_empleo_ciiu": (flat_companies_by_sector, ("fact_directorio_companias",)),
+    "gold_empleo_tendencia": (flat_employment_trend, ("fact_empleo_enemdu",)),
+    "gold_vab_provincia": (flat_value_added_by_province, ("fact_vab_geografico",)),
+    "gold_empresas_provincia": (flat_companies_by_province, ("fact_directorio_companias",)),
+    "gold_bachilleres_vs_empresas": (flat_graduates_per_company, ("fact_mineduc_bachilleres", "fact_directorio_companias")),
+}
+
+
 def flat_views(t: Tables) -> Tables:
-    """The gold views of the flat tables by name."""
-    return {
-        "gold_pib_tendencia": flat_gdp_trend(t["fact_macro_anual"]),
-        "gold_empleo_ciiu": flat_companies_by_sector(t["fact_directorio_companias"]),
-        "gold_empleo_tendencia": flat_employment_trend(t["fact_empleo_enemdu"]),
-        "gold_vab_provincia": flat_value_added_by_province(t["fact_vab_geografico"]),
-        "gold_empresas_provincia": flat_companies_by_province(t["fact_directorio_companias"]),
-        "gold_bachilleres_vs_empresas": flat_graduates_per_company(
-            t["fact_mineduc_bachilleres"], t["fact_directorio_companias"]
-        ),
-    }
+    """The gold views of the flat tables by name; those whose tables were not loaded are left out."""
+    return {name: build(*[t[s] for s in sources]) for name, (build, sources) in FLAT_VIEWS.items() if all(s in t for s in sources)}
 
 
 def register(views: Tables) -> None:

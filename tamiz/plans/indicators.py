@@ -33,9 +33,11 @@ def flat_records(
     return _clean_text(flatten(records, "record", last_segment))
 
 
-def gdp(envelope: DataFrame, real_schema: Schema, nominal_schema: Schema) -> DataFrame:
-    """Real GDP with the nominal value of the same year beside it."""
+def gdp(envelope: DataFrame, real_schema: Schema, nominal_schema: Schema | None) -> DataFrame:
+    """Real GDP with the nominal value of the same year beside it (NULL without the nominal series)."""
     real = flat_records(envelope, K.GDP_REAL, real_schema)
+    if nominal_schema is None:
+        return real.withColumn("pib_pc_nominal_usd", F.lit(None).cast("double"))
     nominal = flat_records(envelope, K.GDP_NOMINAL, nominal_schema).select("anio_fiscal", "pib_pc_nominal_usd")
     return real.join(nominal, "anio_fiscal", "left")
 

@@ -6,9 +6,10 @@ that schema once, from the data; it is meant to be stored, not to run with every
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,19 +30,34 @@ def read_envelope_jdbc(
     indicators: Sequence[str],
     fetch_rows: int = 50_000,
     properties: dict[str, str] | None = None,
+    split_on: str | None = None,
+    splits: int = 1,
 ) -> DataFrame:
-    """Envelope rows of a database table, one read partition per indicator."""
+    """Envelope rows of a database table. Each indicator is read by ``splits`` tasks, dealt by the whole number
+    ``split_on`` (a column or an expression of the database, such as a row id or a hash)."""
     return spark.read.jdbc(
         url,
         table,
-        predicates=indicator_predicates(indicators),
+        predicates=indicator_predicates(indicators, split_on, splits),
         properties={"fetchsize": str(fetch_rows), **(properties or {})},
     ).select(INDICATOR, PAYLOAD)
 
 
-def indicator_predicates(indicators: Sequence[str]) -> list[str]:
-    quoted = [name.replace("'", "''") for name in indicators]
-    return [f"{INDICATOR} = '{name}'" for name in quoted]
+def indicator_predicates(indicators: Sequence[str], split_on: str | None = None, splits: int = 1) -> list[str]:
+    """One predicate per read task. A name that ends in ``%`` stands for all indicators that begin with the rest."""
+    predicates = []
+    for name in indicators:
+        quoted = name.replace("'", "''")
+        if name.endswith("%"):
+            start = quoted[:-1].replace("!", "!!").replace("%", "!%").replace("_", "!_")
+            predicates.append(f"{INDICATOR} LIKE '{start}%' ESCAPE '!'")
+        else:
+            predicates.append(f"{INDICATOR} = '{quoted}'")
+    if not split_on or splits < 2:
+        return predicates
+    part = f"MOD(ABS({split_on}), {splits})"
+    # rows without a value to split on go with the first part
+    return [f"{p} AND {f'({part} = 0 OR {split_on} IS NULL)' if i == 0 else f'{part} = {i}'}" for p in predicates for i in range(splits)]
 
 
 def records_of(envelope: DataFrame, indicator: str, prefix: bool = False) -> DataFrame:
@@ -50,9 +66,23 @@ def records_of(envelope: DataFrame, indicator: str, prefix: bool = False) -> Dat
     return envelope.where(name.startswith(indicator) if prefix else name == indicator)
 
 
+def _readable() -> Column:
+    return F.try_parse_json(F.col(PAYLOAD)).isNotNull()
+
+
 def parse_records(records: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Payload as a struct column ``record``; rows without a payload are left out."""
-    return records.where(F.col(PAYLOAD).isNotNull()).select(F.from_json(PAYLOAD, schema).alias("record"))
+    """Payload as a struct column ``record``; rows without a payload, or with one that is no JSON, are left
+    out (see :func:`unreadable`)."""
+    return records.where(F.col(PAYLOAD).isNotNull() & _readable()).select(F.from_json(PAYLOAD, schema).alias("record"))
+
+
+def unreadable(envelope: DataFrame) -> DataFrame:
+    """Per indicator: records, those without a payload, and those whose payload is no JSON."""
+    return envelope.groupBy(INDICATOR).agg(
+        F.count("*").alias("registros"),
+        F.count_if(F.col(PAYLOAD).isNull()).alias("sin_datos"),
+        F.count_if(F.col(PAYLOAD).isNotNull() & ~_readable()).alias("ilegibles"),
+    )
 
 
 def schema_profile(envelope: DataFrame) -> DataFrame:
@@ -66,16 +96,43 @@ def schema_profile(envelope: DataFrame) -> DataFrame:
 def discover_schema(records: DataFrame) -> T.StructType:
     """Schema of the payloads of one indicator, ready for :func:`parse_records`."""
     shape = records.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(PAYLOAD)))).first()[0]
-    return T.StructType.fromDDL(shape.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING"))
-
-
-def unseen_keys(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Top-level payload keys that ``schema`` does not declare, with the rows that hold them."""
-    keys = F.explode(F.json_object_keys(F.col(PAYLOAD)))
-    declared = [field.name for field in schema.fields]
-    return (
-        records.select(keys.alias("clave"))
-        .where(~F.col("clave").isin(declared))
-        .groupBy("clave")
-        .agg(F.count("*").alias("registros"))
-    )
+    if not shape or shape == "VOID":
+        return T.StructType([])
+    # types stand after a colon, an opening bracket or at the start; the same letters in a key do not
+    ddl = re.sub(r"(^|: |<)OBJECT<", r"\1STRUCT<", shape)
+    return _widened(T.StructType.fromDDL(re.sub(r"(: |<)VOID(?=[,>]|$)", r"\1STRING", ddl)))
+
+
+def _widened(kind: T.DataType) -> T.DataType:
+    """Decimals of the width seen so far as doubles, since the next record may have wider ones."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _widened(f.dataType), f.nullable) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_widened(kind.elementType), kind.containsNull)
+    return T.DoubleType() if isinstance(kind, T.DecimalType) else kind
+
+
+def _unseen_paths(seen: T.StructType, declared: T.StructType, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
+    known = {f.name: f.dataType for f in declared.fields}
+    for field in seen.fields:
+        here = (*path, field.name)
+        if field.name not in known:
+            yield here
+        elif isinstance(field.dataType, T.StructType) and isinstance(known[field.name], T.StructType):
+            yield from _unseen_paths(field.dataType, known[field.name], here)
+
+
+def unseen_keys(records: DataFrame, schema: T.StructType, nested: bool = False) -> DataFrame:
+    """Payload keys that ``schema`` does not declare, with the rows that hold them: those of the top level,
+    or, ``nested``, those inside declared objects too (``a.b``)."""
+    paths = [p for p in _unseen_paths(discover_schema(records), schema) if nested or len(p) == 1]
+    if not paths:
+        return records.select(F.lit("").alias("clave"), F.lit(0).cast("long").alias("registros")).limit(0)
+
+    def holds(path: tuple[str, ...]) -> Column:
+        parent = F.get_json_object(PAYLOAD, "$" + "".join(f"['{p}']" for p in path[:-1])) if path[1:] else F.col(PAYLOAD)
+        return F.coalesce(F.array_contains(F.json_object_keys(parent), path[-1]), F.lit(False))
+
+    counted = records.agg(*[F.count_if(holds(p)).alias(f"_{i}") for i, p in enumerate(paths)])
+    listed = F.array(*[F.struct(F.lit(".".join(p)).alias("clave"), F.col(f"_{i}").alias("registros")) for i, p in enumerate(paths)])
+    return counted.select(F.inline(listed).alias("clave", "registros"))

@@ -3,22 +3,65 @@
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.session import materialise
-
 LATIN1 = "ISO-8859-1"
 UTF8 = "UTF-8"
 
 
+def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    """Lines of text files; Spark's reader of lines takes them as UTF-8, whatever they are."""
+    lines = spark.read.text(path)
+    if encoding.upper() == UTF8:
+        return lines
+    return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+
+
+def _layouts(spark: SparkSession, path: str | list[str], sep: str, encoding: str) -> list[tuple[list[str], list[str]]]:
+    """(names, files) of each different header below ``path``. The list is as long as there are files."""
+    text = F.col("value") if encoding.upper() == UTF8 else F.decode(F.col("value").cast("binary"), encoding)
+    first = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("archivo"), F.monotonically_increasing_id().alias("fila"), text.alias("value")
+    )
+    headers = first.groupBy("archivo").agg(F.min_by("value", "fila").alias("cabecera"))
+    found = headers.groupBy("cabecera").agg(F.sort_array(F.collect_list("archivo"))).orderBy("cabecera").collect()
+    return [([n.strip() for n in next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))], paths) for line, paths in found if line]
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", encoding: str = UTF8
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    sep: str = ",",
+    encoding: str = UTF8,
+    multiline: bool = True,
+    order: str | None = None,
 ) -> DataFrame:
-    """CSV with a header, read with a declared schema (columns in file order)."""
-    return spark.read.schema(schema).options(header=True, sep=sep, encoding=encoding).csv(path)
+    """CSV files with a header, read by name (in any case) with a declared schema.
+
+    Each file's own header says in which order its columns come; a declared column that a file lacks is
+    NULL for its rows. Cells may hold line breaks, for which a file is read by one task as a whole; for
+    large files without such cells ``multiline=False`` lets Spark split them. ``order`` names a column
+    for the place of each row in its file (see :func:`with_file_order`).
+    """
+    frames = []
+    declared = {f.name.lower(): f.name for f in schema.fields}
+    types = {f.name: f.dataType for f in schema.fields}
+    for header, paths in _layouts(spark, path, sep, encoding):
+        names = [declared.get(n.lower(), n) for n in header]
+        layout = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        frame = spark.read.schema(layout).options(header=True, sep=sep, encoding=encoding, multiLine=multiline).csv(paths)
+        if order:
+            frame = with_file_order(frame, order)
+        if names != schema.names or order:
+            columns = [F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+            frame = frame.select(*columns, *([order] if order else []))
+        frames.append(frame)
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
 def read_csv_columns(
@@ -27,16 +70,25 @@ def read_csv_columns(
     wanted: dict[str, T.DataType],
     sep: str = ",",
     encoding: str = UTF8,
+    multiline: bool = True,
 ) -> DataFrame:
     """The wanted columns of a wide CSV, found by name, with forced types.
 
-    Names come from the header line; the other columns are never parsed. A wanted column
-    the file does not have is left out (see ``missing_columns`` in the audits).
+    Names come from the header lines; the other columns are never parsed. A wanted column
+    no file has is left out (see ``missing_columns``).
     """
-    names = spark.read.options(header=True, sep=sep, encoding=encoding).csv(path).columns
-    schema = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
-    frame = read_csv(spark, path, schema, sep, encoding)
-    return frame.select([n for n in wanted if n in names])
+    present = {n for names, _ in _layouts(spark, path, sep, encoding) for n in names}
+    schema = T.StructType([T.StructField(n, kind) for n, kind in wanted.items() if n in present])
+    return read_csv(spark, path, schema, sep, encoding, multiline)
+
+
+def read_csv_as_text(
+    spark: SparkSession, path: str, sep: str = ",", encoding: str = UTF8, multiline: bool = True, order: str | None = None
+) -> DataFrame:
+    """All columns that any file has, as text."""
+    names = dict.fromkeys(n for found, _ in _layouts(spark, path, sep, encoding) for n in found)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return read_csv(spark, path, schema, sep, encoding, multiline, order)
 
 
 def with_file_order(frame: DataFrame, name: str = "orden") -> DataFrame:
@@ -55,30 +107,21 @@ def with_file_order(frame: DataFrame, name: str = "orden") -> DataFrame:
 
 
 def read_csv_any_charset(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", multiline: bool = True, order: str | None = None
 ) -> DataFrame:
-    """CSV files that are UTF-8 or, where a file has a line that is not, Latin-1.
+    """CSV files that are UTF-8 or, where a file has a line that is not, Latin-1; read as by :func:`read_csv`.
 
-    Files are split as usual: whether a file is valid UTF-8 is an aggregate over its lines,
-    not a test on its whole content in one task. The list of other files is stored first, so
-    that its size decides how it is joined and the lines need not be shuffled. Each file starts with a header line, known
-    by its first cell.
+    Whether a file is valid UTF-8 is an aggregate over its lines, which are split over tasks as usual. Only
+    the names of the files come to the driver.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("archivo"), "value")
-    broken = materialise(
-        lines.where(~F.is_valid_utf8("value")).select("archivo", F.lit(True).alias("es_latin1")).distinct(), "latin1-files"
-    )
-    text = F.when(F.col("es_latin1"), F.decode(F.col("value").cast("binary"), LATIN1)).otherwise(
-        F.col("value")
-    )
-    first_cell = F.translate(F.split_part("value", F.lit(sep), F.lit(1)), '"\ufeff ', "")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = (
-        lines.join(broken, "archivo", "left")
-        .where((F.length("value") > 0) & (F.lower(first_cell) != schema.fields[0].name.lower()))
-        .select(F.from_csv(text, ddl, {"sep": sep}).alias("r"))
-    )
-    return parsed.select("r.*")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("archivo"), F.is_valid_utf8("value").alias("utf8"))
+    checked = lines.groupBy("archivo").agg(F.min("utf8").alias("utf8")).orderBy("archivo").collect()
+    frames = [
+        read_csv(spark, [f for f, utf8 in checked if utf8 == wanted], schema, sep, encoding, multiline, order)
+        for wanted, encoding in ((True, UTF8), (False, LATIN1))
+        if any(utf8 == wanted for _, utf8 in checked)
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
 def read_sheet(
@@ -98,12 +141,20 @@ def read_sheet_below_marker(
 ) -> DataFrame:
     """A sheet whose header is the row with ``marker`` in its first cell.
 
-    Its names are taken from that row; data rows are those whose first cell starts with a digit.
+    Its names are taken from that row. Data rows are those below it whose first cell starts with a digit; a
+    file without the marker goes on with the rows of the others.
     """
-    lines = spark.read.option("encoding", encoding).text(path)
+    lines = _lines(spark, path, encoding)
     first_cell = F.regexp_replace(F.split_part("value", F.lit(sep), F.lit(1)), '"', "")
     header = lines.where(F.trim(first_cell) == marker).first()
     if header is None:
         raise ValueError(f"no row of {path} starts with {marker!r}")
     names = [n.strip() for n in next(csv.reader([header[0]], delimiter=sep))]
-    return read_sheet(spark, path, names, F.col(f"`{names[0]}`").rlike(r"^\s*\d"), sep, encoding)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    # read whole, a file is one task, in which rows are numbered from the top
+    rows = with_file_order(spark.read.schema(schema).options(sep=sep, encoding=encoding, multiLine=True).csv(path), "_place")
+    first = F.col(f"`{names[0]}`")
+    starts = rows.where(F.trim(first) == marker).groupBy(F.col("_place.archivo").alias("_file")).agg(F.min("_place.fila").alias("_start"))
+    below = rows.join(starts, F.col("_place.archivo") == F.col("_file"), "left")
+    kept = below.where(first.rlike(r"^\s*\d") & (F.col("_start").isNull() | (F.col("_place.fila") > F.col("_start"))))
+    return kept.select(*[F.col(f"`{n}`") for n in names])

@@ -28,7 +28,12 @@ def _files(spark: SparkSession, path: str):
     return to_path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), to_path
 
 
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    files, to_path = _files(spark, path)
+    files.delete(to_path(path), True)
+
+
+def swap_table(spark: SparkSession, staged: str, path: str) -> None:
     """Put a complete table in place of another. Until the new one has the name, the old one is whole
     beside it under ``path.old``, which a later replacement puts back or removes."""
     files, to_path = _files(spark, path)
@@ -55,9 +60,9 @@ def _replace(df: DataFrame, path: str, partition_by: Sequence[str], unless_empty
     staged = f"{path}.new"
     _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
     if unless_empty and spark.read.schema(df.schema).parquet(staged).isEmpty():
-        _files(spark, staged)[0].delete(_files(spark, staged)[1](staged), True)
+        remove(spark, staged)
         return False
-    _swap(spark, staged, path)
+    swap_table(spark, staged, path)
     return True
 
 

@@ -37,12 +37,10 @@ def _sql_reference(child: str, column: str, parent: str, key: str, condition: st
 @query("\n  UNION ALL ".join(_sql_reference(*r) for r in REFERENCES))
 def fk_check_all(t: Tables) -> DataFrame:
     """All declared references in one report."""
-    return audits.union_all(
-        [
-            audits.reference_check(getattr(t, child), child, column, getattr(t, parent).where(condition), parent, key)
-            for child, column, parent, key, condition in REFERENCES
-        ]
-    )
+    by_child: dict[str, list] = {}
+    for child, column, parent, key, condition in REFERENCES:
+        by_child.setdefault(child, []).append((column, parent, getattr(t, parent).where(condition), key))
+    return audits.union_all([audits.child_references(getattr(t, child), child, own) for child, own in by_child.items()])
 
 
 @query(
@@ -101,6 +99,16 @@ _TYPES = {
     "region": ("r_regionkey int", "r_name string"),
     "nation": ("n_nationkey int", "n_name string", "n_regionkey int"),
     "customer": ("c_custkey bigint", "c_name string", "c_nationkey int", "c_acctbal double", "c_mktsegment string"),
+    "supplier": ("s_suppkey bigint", "s_name string", "s_nationkey int", "s_acctbal double"),
+    "part": ("p_partkey bigint", "p_name string", "p_brand string", "p_type string", "p_size int", "p_retailprice double"),
+    "lineitem": (
+        "l_orderkey bigint", "l_partkey bigint", "l_suppkey bigint", "l_linenumber int", "l_quantity double", "l_extendedprice double",
+        "l_discount double", "l_tax double", "l_returnflag string", "l_linestatus string", "l_shipdate timestamp_ntz",
+    ),
+    "events": ("event_id bigint", "ts timestamp_ntz", "user_id bigint", "event_type string", "value double", "props string"),
+    "pages": ("page_id bigint", "url string", "html string"),
+    "benchmark": ("item_id bigint", "text string"),
+    "labels": ("doc_id bigint", "quality int", "toxic int"),
     "orders": (
         "o_orderkey bigint", "o_custkey bigint", "o_orderstatus string", "o_totalprice double",
         "o_orderdate timestamp_ntz", "o_orderpriority string",

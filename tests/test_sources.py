@@ -151,3 +151,46 @@ def test_batches_load_all_files_and_resume(spark, frame, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_predicates_for_prefixes_and_splits():
+    assert envelope.indicator_predicates(["MINEDUC_AMIE%"]) == ["INDICADOR LIKE 'MINEDUC!_AMIE%' ESCAPE '!'"]
+    assert envelope.indicator_predicates(["A"], "id", 2) == [
+        "INDICADOR = 'A' AND (MOD(ABS(id), 2) = 0 OR id IS NULL)", "INDICADOR = 'A' AND MOD(ABS(id), 2) = 1",
+    ]
+
+
+def test_update_rejects_repeated_source_keys(frame):
+    target, source = frame([(1, "a"), (2, "b")], "k INT, v STRING"), frame([(1, "x"), (1, "y")], "k INT, v STRING")
+    with pytest.raises(Exception, match="repeats a value"):
+        tables.update_matched(target, source, "k", ["v"]).collect()
+    assert sorted(values(tables.update_matched(target, source.limit(1), "k", ["v"]), "k", "v"))[1] == (2, "b")
+
+
+def test_lost_load_leaves_the_table_whole(spark, frame, tmp_path):
+    path = "file://" + str(tmp_path / "t")
+    tables.replace_table(frame([(1,), (2,)], "k INT"), path)
+    broken = frame([(3,), (4,)], "k INT").select(F.when(F.col("k") == 4, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("k")).alias("k"))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_table(broken, path)
+    assert sorted(values(tables.read_table(spark, path))) == [(1,), (2,)]
+    assert not tables.replace_unless_empty(frame([], "k INT"), path)
+    tables.refresh_in_place(spark, path, lambda df: df.select((F.col("k") * 10).alias("k")))
+    assert sorted(values(tables.read_table(spark, path))) == [(10,), (20,)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_load_without_checkpoint_replaces(spark, frame, tmp_path):
+    source, target = str(tmp_path / "in"), "file://" + str(tmp_path / "out")
+    frame([(1,), (2,), (3,)], "k INT").repartition(3).write.parquet(source)
+    for _ in range(2):
+        load_in_batches(spark, source, T.StructType.fromDDL("k INT"), target, files_per_batch=1)
+        assert sorted(values(tables.read_table(spark, target))) == [(1,), (2,), (3,)]
+
+
+def test_views_without_their_tables_are_left_out(frame):
+    from tamiz.plans import gold
+
+    macro = frame([("2020.0", 1.0, 2.0)], "anio_fiscal STRING, pib_real_millones DOUBLE, tasa_variacion_anual DOUBLE")
+    views = gold.flat_views({"fact_macro_anual": macro})
+    assert list(views) == ["gold_pib_tendencia"] and views["gold_pib_tendencia"].first()["anio"] == 2020
