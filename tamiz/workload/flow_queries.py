@@ -13,7 +13,7 @@ from tamiz.plans import flows, gold, refresh, silver, star
 from tamiz.session import materialise, scratch_path
 from tamiz.sources import tables
 from tamiz.workload import mapping as M
-from tamiz.workload.registry import Tables, query, sql_round, sql_sum
+from tamiz.workload.registry import Tables, query, sql_avg, sql_round, sql_sum
 
 ENVELOPE_SCHEMAS = {
     K.GDP_REAL: "anio_fiscal INT, pib_real_millones DOUBLE, poblacion_total DOUBLE, tasa_variacion_anual DOUBLE",
@@ -324,3 +324,48 @@ def refresh_flow(t: Tables) -> DataFrame:
     for _ in range(2):
         refreshed = flows.refresh_star(newer, layer, NEW_PERIOD)
     return flows.audit_star(refreshed)
+
+
+@query(
+    f"""SELECT 'fact_indicadores_diarios' AS tabla, CAST(fecha AS VARCHAR) AS clave, precio_petroleo_wti AS valor FROM ({M.SQL_DAILY})
+  UNION ALL SELECT 'fact_iee', CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR), {sql_avg('o_totalprice')} FROM orders GROUP BY ALL
+  UNION ALL SELECT DISTINCT 'dim_ciiu', c_mktsegment, CAST(length(c_mktsegment) AS DOUBLE) FROM customer WHERE c_mktsegment <> 'BUILDING'
+  UNION ALL SELECT DISTINCT 'dim_ciiu', l_returnflag, 1.0 FROM lineitem WHERE l_returnflag <> 'N'
+  UNION ALL SELECT 'dim_empresas', printf('%010d', c_custkey), CAST(c_custkey AS DOUBLE) FROM customer"""
+)
+def star_values(t: Tables) -> DataFrame:
+    """Rows of the star's tables that no reference points at, and of both dimensions of companies."""
+    staged = flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat_tables(t))
+    built = flows.build_star(staged, flows.Layer(t.spark, scratch_path(t.spark, "star-values")))
+    columns = {
+        "fact_indicadores_diarios": (F.col("fecha").cast("string"), F.col("precio_petroleo_wti")),
+        "fact_iee": (F.col("fecha").cast("string"), F.col("iee_global")),
+        "dim_ciiu": (F.col("ciiu"), F.length("descripcion").cast("double")),
+        "dim_empresas": (F.col("ruc"), F.col("expediente").cast("double")),
+    }
+    return audits.union_all(
+        [built[name].select(F.lit(name).alias("tabla"), key.alias("clave"), value.alias("valor")) for name, (key, value) in columns.items()]
+    )
+
+
+@query(
+    f"""SELECT 'fact_empleo_poblacion' AS tabla, (SELECT count(*) FROM (SELECT DISTINCT periodo, indicador FROM ({M.SQL_SURVEY}))) AS filas,
+    (SELECT CAST(sum(trunc(valor)) AS DOUBLE) FROM ({M.SQL_SURVEY}) WHERE area = 'nacional') AS valor
+  UNION ALL SELECT 'dim_empresas', {_KEPT}, NULL
+  UNION ALL SELECT 'fact_ranking_empresarial', {_KEPT_RANKING}, NULL"""
+)
+def refresh_values(t: Tables) -> DataFrame:
+    """What a refresh leaves in the tables it replaces; head counts are whole numbers."""
+    layer = flows.Layer(t.spark, scratch_path(t.spark, "refresh-values"))
+    flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat_tables(t)), layer)
+    newer = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(_newer(t))
+    refreshed = flows.refresh_star(newer, layer, NEW_PERIOD)
+    total = half_up(exact_sum(F.col("total_nacional")), 2)
+    return audits.union_all(
+        [
+            refreshed[name].agg(F.lit(name).alias("tabla"), F.count("*").alias("filas"), value.alias("valor"))
+            for name, value in (
+                ("fact_empleo_poblacion", total), ("dim_empresas", F.lit(None).cast("double")), ("fact_ranking_empresarial", F.lit(None).cast("double")),
+            )
+        ]
+    )
