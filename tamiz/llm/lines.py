@@ -26,8 +26,6 @@ RARITY_BUCKETS = 1 << 20
 RARITY_BLOCK = 1 << 14
 CHUNK_BYTES = 1 << 21
 FLUSH_BYTES = 1 << 23
-#: Partners looked at first, for each line and word; a line that these do not settle gets all of them.
-FIRST_PARTNERS = 8
 PAIRS_AT_ONCE = 1 << 20
 LAST_ID = (1 << 63) - 1
 
@@ -193,12 +191,12 @@ def _part(records: np.ndarray, ways) -> np.ndarray:
     return (mixed(line_keys(records), 4) % np.asarray(ways).astype(np.uint64)).astype(np.int64)
 
 
-def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, only: np.ndarray | None):
+def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, words_of: np.ndarray | None):
     """Blocks of records: kind 0 to find equal sets, kind 1 the postings of prefixes, kind 2 lines settled here.
 
     ``split`` says, for each rarity bucket, into how many parts the postings of its words are dealt; a posting
-    goes to every cell (own part, other part), so that any two of a word meet in exactly one cell. ``only``: bits of
-    the lines that a second round is about; partners may be any line."""
+    goes to every cell (own part, other part), so that any two of a word meet in exactly one cell. ``words_of``: in a
+    second round, marks of the words that lines still open have in their prefixes; no other posting can matter."""
 
     def records(lines: Lines, doc: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         same = np.zeros(len(doc), SAME)
@@ -222,11 +220,13 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, only: np.ndarray
         same, postings, words = map(np.concatenate, zip(*parts))
         same, again = _repeats(same)
         out = []
-        if only is None:
+        if words_of is None:
             if again.any():
                 out.append((2, int(same["one"][0] % np.uint64(buckets)), same[again].tobytes()))
             out += _dealt(same[~again], (same["one"][~again] % np.uint64(buckets)).astype(np.int64), 0)
         fresh = ~np.isin(line_keys(postings), line_keys(same[again]))
+        if words_of is not None:
+            fresh &= marked(words_of, words)
         postings, words = postings[fresh], words[fresh]
         bucket = (mixed(words, 3) % np.uint64(buckets)).astype(np.int64)
         ways = split[bucket_of(words)].astype(np.int64)
@@ -313,8 +313,7 @@ class Postings:
 
 
 def _nearest(late: np.ndarray, early: np.ndarray, differ: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
-    """Each pair of lines once; of each later line the ``most`` partners with the least differing parities, and
-    whether it has more."""
+    """Each pair of lines once; of each later line the ``most`` partners with the least differing parities."""
     order = np.argsort(late << 32 | early)
     late, early, differ = late[order], early[order], differ[order]
     new = np.ones(len(late), bool)  # lines may meet at several words of the cell
@@ -324,25 +323,22 @@ def _nearest(late: np.ndarray, early: np.ndarray, differ: np.ndarray, most: int)
     late, early, differ = late[order], early[order], differ[order]
     starts, lengths = runs(late)
     kept = np.arange(len(late)) - np.repeat(starts, lengths) < most
-    return late[kept], early[kept], differ[kept], np.repeat(lengths > most, lengths)[kept]
+    return late[kept], early[kept], differ[kept]
 
 
 def _pairs(records: np.ndarray, cell: int, only: np.ndarray | None) -> tuple[np.ndarray, ...]:
-    """(later, earlier, differing parities, more) of a cell: records of lines that may match, and whether the later
-    one may have more partners."""
+    """(later, earlier, differing parities) of a cell: the nearest partner of each line that may have one, or, for
+    the lines that ``only`` marks, all partners."""
     postings = Postings(records)
     wanted = None if only is None else marked(only, line_keys(postings.records[postings.record_of]))
-    most = FIRST_PARTNERS if only is None else len(records)
+    most = 1 if only is None else len(records)
     found = (np.zeros(0, np.int64),) * 3
-    has_more = np.zeros(len(postings.record_of), bool)
-    more = np.zeros(0, bool)
     waiting: list[tuple[np.ndarray, ...]] = []
     size = 0
 
     def settle() -> None:
-        nonlocal found, more
-        *found, more = _nearest(*(np.concatenate(x) for x in zip(found, *waiting)), most)
-        has_more[found[0][more]] = True
+        nonlocal found
+        found = _nearest(*(np.concatenate(x) for x in zip(found, *waiting)), most)
         waiting.clear()
 
     for i, j, differ in postings.pairs(cell):
@@ -359,7 +355,7 @@ def _pairs(records: np.ndarray, cell: int, only: np.ndarray | None) -> tuple[np.
         settle()
     late, early, differ = found
     sides = (postings.records[postings.record_of[x]] for x in (late, early))
-    return *sides, differ, has_more[late]
+    return *sides, differ
 
 
 def marks_of(buckets: list[int], bits: int) -> np.ndarray:
@@ -372,7 +368,7 @@ def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return marks[(keys >> np.uint64(64 - len(marks).bit_length() + 1)).astype(np.int64)]
 
 
-MET = "doc_id long, row long, line long, key long, doc_id2 long, row2 long, line2 long, key2 long, differ long, more boolean"
+MET = "doc_id long, row long, line long, key long, key2 long, differ long"
 
 
 def _meet(only: np.ndarray | None):
@@ -382,23 +378,22 @@ def _meet(only: np.ndarray | None):
         kind = table.column("kind")[0].as_py()
         blobs = b"".join(table.column("records").to_pylist())
         if kind == 1:
-            later, earlier, differ, more = _pairs(np.frombuffer(blobs, POSTING), table.column("cell")[0].as_py(), only)
-            sides = [(r["doc"], r["row"].astype(np.int64), r["line"].astype(np.int64), line_keys(r).view(np.int64)) for r in (later, earlier)]
-            return pa.table([*sides[0], *sides[1], differ, more], schema=_MET)
-        gone = np.frombuffer(blobs, SAME)
-        if kind == 0:
-            gone, again = _repeats(gone)
-            gone = gone[again]
-        none = pa.nulls(len(gone), pa.int64())
-        return pa.table(
-            [gone["doc"], gone["row"].astype(np.int64), gone["line"].astype(np.int64), line_keys(gone).view(np.int64), none, none, none, none, none, pa.nulls(len(gone), pa.bool_())],
-            schema=_MET,
-        )
+            later, earlier, differ = _pairs(np.frombuffer(blobs, POSTING), table.column("cell")[0].as_py(), only)
+            partner = line_keys(earlier).view(np.int64)
+        else:
+            later, partner = np.frombuffer(blobs, SAME), None
+            if kind == 0:
+                later, again = _repeats(later)
+                later = later[again]
+            differ = None
+        none = pa.nulls(len(later), pa.int64())
+        place = [later["doc"], later["row"].astype(np.int64), later["line"].astype(np.int64), line_keys(later).view(np.int64)]
+        return pa.table([*place, *(none if x is None else x for x in (partner, differ))], schema=_MET)
 
     return meet
 
 
-_MET = pa.schema([(name, pa.bool_() if kind == "boolean" else pa.int64()) for name, kind in (c.split() for c in MET.split(", "))])
+_MET = pa.schema([(c.split()[0], pa.int64()) for c in MET.split(", ")])
 
 
 def _sets_of(marks: np.ndarray):
@@ -446,41 +441,29 @@ def _bits_of(keys: DataFrame, key: str, bits: int = 22) -> np.ndarray:
 LINE = ("doc_id", "row", "line")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, row, line, key) of the later lines of pairs whose sets reach the similarity."""
+def _verified(docs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, line, key) of the later lines of pairs whose sets reach the similarity; (key, words) of all."""
     pairs = materialise(pairs, "line-pairs")
     ends = pairs.select("key").unionByName(pairs.select(F.col("key2").alias("key")))
-    marks = _bits_of(ends, "key")
-    sets = map_batches(docs, _sets_of(marks), "key long, words binary")
+    sets = map_batches(docs, _sets_of(_bits_of(ends, "key")), "key long, words binary")
     # rows repeated as a whole have the same lines, and a mark may hold other lines than those asked for
     sets = materialise(sets.join(ends.distinct(), "key", "left_semi").groupBy("key").agg(F.first("words").alias("words")), "line-sets")
     sided = pairs.join(sets, "key").join(sets.select(F.col("key").alias("key2"), F.col("words").alias("words2")), "key2")
     wide = sided.select(*LINE, "key", "words", "words2")
-    return materialise(map_batches(wide, _verify, "doc_id long, row long, line long, key long").distinct(), "lines-gone")
-
+    return materialise(map_batches(wide, _verify, "doc_id long, row long, line long, key long").distinct(), "lines-gone"), sets
 
-def _candidates(met: DataFrame) -> DataFrame:
-    return met.where(F.col("key2").isNotNull()).groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in LINE))
 
+def _prefix_words(rarity: np.ndarray):
+    """Hashes of the words that the given sets have in their prefixes."""
 
-def _similar(docs: DataFrame, meeting) -> DataFrame:
-    """(doc_id, row, line) of lines that an earlier one reaches the similarity with.
+    def find(batches: Batches) -> Batches:
+        for batch in batches:
+            lines = [np.frombuffer(x, np.uint64) for x in batch.column("words").to_pylist()]
+            words = [x[np.lexsort((x << np.uint64(20) >> np.uint64(40), rarity[bucket_of(x)]))][: prefix_length(len(x))] for x in lines]
+            if words:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(words).view(np.int64))], ["key"])
 
-    The nearest partner of each line is tried first, then the others found for lines that it did not settle, and for
-    lines that may have still more, all there are."""
-    met = meeting(None)
-    nearest = met.where(F.col("key2").isNotNull()).groupBy("key").agg(
-        F.min_by("key2", "differ").alias("key2"), *(F.min(c).alias(c) for c in LINE)
-    )
-    found = _verified(docs, nearest)
-    open_lines = met.join(found.select("key"), "key", "left_anti")
-    rest = materialise(_candidates(open_lines).join(nearest.select("key", "key2"), ["key", "key2"], "left_anti"), "line-pairs")
-    if not rest.isEmpty():
-        found = found.unionByName(_verified(docs, rest))
-    marks = _bits_of(met.where("more").select("key").distinct().join(found.select("key"), "key", "left_anti"), "key")
-    if marks.any():
-        found = found.unionByName(_verified(docs, _candidates(meeting(marks))))
-    return found.select(*LINE)
+    return find
 
 
 def later_matches(docs: DataFrame, cell_records: int = 100_000, split_over: int = 1_000_000, most_parts: int = 128) -> DataFrame:
@@ -496,12 +479,26 @@ def later_matches(docs: DataFrame, cell_records: int = 100_000, split_over: int
     split = np.clip(-(-counts // split_over), 1, most_parts).astype(np.int16)
     buckets = int(max(16, counts.sum() // (4 * cell_records)))
 
-    def meeting(only: np.ndarray | None) -> DataFrame:
-        dealt = map_batches(docs, _emit(rarity, split, buckets, only), "kind int, cell long, records binary")
+    def meeting(only: np.ndarray | None, words_of: np.ndarray | None) -> DataFrame:
+        dealt = map_batches(docs, _emit(rarity, split, buckets, words_of), "kind int, cell long, records binary")
         return materialise(dealt.groupBy("kind", "cell").applyInArrow(_meet(only), MET), "lines-met")
 
-    same = meeting(None)
-    return same.where(F.col("key2").isNull()).select(*LINE).unionByName(_similar(docs, lambda only: same if only is None else meeting(only)))
+    met = meeting(None, None)
+    pairs = met.where(F.col("key2").isNotNull())
+    # a line's nearest partner settles nearly all of them
+    nearest = pairs.groupBy("key").agg(F.min_by("key2", "differ").alias("key2"), *(F.min(c).alias(c) for c in LINE))
+    found, sets = _verified(docs, nearest)
+    gone = met.where(F.col("key2").isNull()).select(*LINE).unionByName(found.select(*LINE))
+    # the others meet all the lines that share a word of their prefixes
+    open_sets = materialise(sets.join(nearest.select("key"), "key", "left_semi").join(found.select("key"), "key", "left_anti"), "lines-open")
+    open_marks = _bits_of(open_sets, "key")
+    if open_marks.any():
+        words = map_batches(open_sets.select("words"), _prefix_words(rarity), "key long")
+        rest = meeting(open_marks, _bits_of(words, "key", 24)).where(F.col("key2").isNotNull())
+        tried = nearest.select("key", "key2")
+        rest = rest.groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in LINE)).join(tried, ["key", "key2"], "left_anti")
+        gone = gone.unionByName(_verified(docs, rest)[0].select(*LINE))
+    return gone
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:

@@ -64,12 +64,51 @@ def test_against_all_pairs(spark, seed):
 
 
 def test_split_words_and_second_round(spark, monkeypatch):
-    """Words dealt into parts, and lines whose first partners do not settle them."""
-    docs = spark.createDataFrame(similar_lines(3, vocabulary=25), "doc_id long, text string").repartition(3)
-    monkeypatch.setattr(lines, "FIRST_PARTNERS", 0)
-    original = lines.later_matches
+    """Words dealt into parts, and lines that their nearest partner does not settle."""
+    rng = random.Random(5)
+    whole = [[f"v{rng.randrange(5000)}" for _ in range(30)] for _ in range(12)]
+    rows = []
+    for i in range(240):
+        words = list(whole[i % 12])
+        for k in rng.sample(range(30), rng.choice([1, 2, 3, 3])):
+            words[k] = f"v{rng.randrange(5000)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    original, prefix, rounds = lines.later_matches, lines._prefix_words, []
     monkeypatch.setattr(lines, "later_matches", lambda d: original(d, split_over=40, most_parts=5))
+    monkeypatch.setattr(lines, "_prefix_words", lambda rarity: rounds.append(1) or prefix(rarity))
     check(docs)
+    assert rounds
+
+
+def test_pairs_of_a_cell():
+    """All partners where they are asked for, the nearest one else, whatever the cells."""
+    rows = similar_lines(6, documents=40, vocabulary=30)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])], ["doc_id", "row", "text"])
+    sets = {}
+    for i, text in rows:
+        for k, line in enumerate(text.split("\n")):
+            if line.split():
+                sets[i, k] = frozenset(line.split())
+    first = {}
+    for at in sorted(sets):
+        first.setdefault(sets[at], at)
+    reps = sorted(first.values())
+    want = {(b, a) for b in reps for a in reps if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    rarity = np.zeros(lines.RARITY_BUCKETS, np.uint8)
+    for ways in (1, 4):
+        split = np.full(lines.RARITY_BUCKETS, ways, np.int16)
+        cells = {}
+        for out in lines._emit(rarity, split, 3, None)(iter([batch])):
+            for r in out.to_pylist():
+                if r["kind"] == 1:
+                    cells.setdefault(r["cell"], []).append(r["records"])
+        for only in (None, np.ones(16, bool)):
+            found = set()
+            for cell, blobs in cells.items():
+                later, earlier, _ = lines._pairs(np.frombuffer(b"".join(blobs), lines.POSTING), cell, only)
+                found |= {((a["doc"], a["line"]), (b["doc"], b["line"])) for a, b in zip(later, earlier)}
+            assert found >= want if only is not None else {x for x, _ in found} >= {x for x, _ in want}
 
 
 def test_awkward_rows(documents, empty):
