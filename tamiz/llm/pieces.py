@@ -7,8 +7,10 @@ segmentation; with it, one text has as many segmentations as there are seeds, an
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+import zlib
 from functools import cached_property
 from itertools import chain
 
@@ -225,7 +227,7 @@ class PieceEncoder:
     Each occurrence of a unit (a word with the spaces before it) draws one of ``variants`` keys by a hash of seed,
     document and place, so a common word is cut in up to that many ways, and the ways are computed once."""
 
-    def __init__(self, path: str, rate: float = 0.1, seed: int = 1, variants: int = 4, cache: int = 1_000_000):
+    def __init__(self, path: str, rate: float = 0.1, seed: int = 1, variants: int = 4, cache: int = 400_000):
         self.vocabulary = Vocabulary(path)
         self.rate, self.seed, self.variants, self.limit = rate, seed, variants if rate else 1, cache
         self.byte_ids = np.array([self.vocabulary.bytes_at[b] for b in range(256)])
@@ -304,6 +306,18 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _blocks(texts: list[str], documents: list[int | None], size: int = 1 << 21):
+    """Stretches of texts of about ``size`` characters, with numbers for their documents."""
+    begin = 0
+    while begin < len(texts):
+        end, read = begin, 0
+        while end < len(texts) and read < size:
+            read += len(texts[end])
+            end += 1
+        yield texts[begin:end], [-1 if d is None else d for d in documents[begin:end]]
+        begin = end
+
+
 def encode_documents(docs: DataFrame, path: str | None = None, rate: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
     """(doc_id, ids): little-endian 32-bit ids of each row's whole text, one pass without a shuffle.
 
@@ -313,16 +327,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, rate: float = 0.1
     def encode(batches: Batches) -> Batches:
         encoder = PieceEncoder(path or default_vocabulary(), rate, seed, variants)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts, out = batch.column("text").to_pylist(), []
-            begin = 0
-            while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and size < 1 << 23:
-                    size += len(texts[end])
-                    end += 1
-                out += encoder.encode(texts[begin:end], [-1 if d is None else d for d in ids[begin:end]])
-                begin = end
+            blocks = _blocks(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist())
+            out = [ids for texts, documents in blocks for ids in encoder.encode(texts, documents)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
     return map_batches(whole_texts(docs, F.col("doc_id").cast("long").alias("doc_id")), encode, "doc_id long, ids binary")
@@ -340,10 +346,23 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return map_batches(encoded, decode, "doc_id long, ids binary, text string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """(doc_id, n_pieces, ids_crc32, decoded_sha256): what an encoding is and what it decodes to."""
-    decoded = decode_documents(encoded)
-    return decoded.select(
-        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+def round_trips(docs: DataFrame, path: str | None = None, rate: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
+    """(doc_id, n_pieces, ids_crc32, decoded_sha256): what :func:`encode_documents` gives and what it decodes to, in one
+    pass that keeps neither. ``decoded_sha256`` is that of the text itself (NULL: of the empty text)."""
+
+    def digest(batches: Batches) -> Batches:
+        encoder = PieceEncoder(path or default_vocabulary(), rate, seed, variants)
+        for batch in batches:
+            rows = []
+            for texts, documents in _blocks(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()):
+                for ids in encoder.encode(texts, documents):
+                    back = encoder.decode(ids).encode("utf-8", "surrogatepass")
+                    rows.append((len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back).hexdigest()))
+            columns = list(zip(*rows)) or [()] * 3
+            kinds = (pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256"]
+            )
+
+    schema = "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string"
+    return map_batches(whole_texts(docs, F.col("doc_id").cast("long").alias("doc_id")), digest, schema)

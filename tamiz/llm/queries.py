@@ -88,7 +88,7 @@ def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_sentencepiece_dropout(spark: SparkSession, folder: str) -> DataFrame:
-    return pieces.digests(pieces.encode_documents(table(spark, folder, "documents"), rate=0.1, seed=1))
+    return pieces.round_trips(table(spark, folder, "documents"), rate=0.1, seed=1)
 
 
 @query

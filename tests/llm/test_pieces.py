@@ -1,4 +1,6 @@
+import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -70,5 +72,8 @@ def test_tables(documents, empty):
     back = pieces.decode_documents(encoded).select("doc_id", "text").collect()
     want = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()
     assert sorted(map(str, back)) == sorted(map(str, want))
-    assert pieces.digests(encoded).where("n_pieces != length(decoded_sha256) and n_pieces < 0").count() == 0
-    assert pieces.digests(pieces.encode_documents(empty)).count() == 0
+    trips = pieces.round_trips(documents.withColumn("ids", F.lit(1))).collect()
+    stored = {(r["doc_id"], len(r["ids"]) // 4, zlib.crc32(bytes(r["ids"]))) for r in encoded.collect()}
+    assert {(r["doc_id"], r["n_pieces"], r["ids_crc32"]) for r in trips} == stored
+    assert sorted(r["decoded_sha256"] for r in trips) == sorted(hashlib.sha256(r["text"].encode()).hexdigest() for r in want)
+    assert pieces.round_trips(empty).count() == pieces.encode_documents(empty).count() == 0
