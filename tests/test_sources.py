@@ -196,13 +196,9 @@ def test_views_without_their_tables_are_left_out(frame):
     assert list(views) == ["gold_pib_tendencia"] and views["gold_pib_tendencia"].first()["anio"] == 2020
 
 
-def test_scratch_is_cleared(spark, frame, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", "file://" + str(tmp_path))
-    try:
-        stored = session.materialise(frame([(1,)], "k INT"), "x")
-        assert stored.count() == 1 and any(tmp_path.rglob("*.parquet"))
-        session.clear_scratch(spark)
-        assert not any(tmp_path.rglob("*.parquet"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_scratch_is_cleared(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: "file://" + str(tmp_path))
+    stored = session.materialise(frame([(1,)], "k INT"), "x")
+    assert stored.count() == 1 and any(tmp_path.rglob("*.parquet"))
+    session.clear_scratch(spark)
+    assert not any(tmp_path.rglob("*.parquet"))
