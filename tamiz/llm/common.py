@@ -16,12 +16,23 @@ from tamiz.session import materialise
 Batches = Iterator[pa.RecordBatch]
 
 
+#: Rows of whole texts in one Arrow batch, unless the session says otherwise.
+BATCH_ROWS = 2000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Python workers are kept for later tasks; what a task has freed goes back to the system.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20)}
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver found it.
+    """Let Python workers on this machine import the package from where the driver found it, and bound their memory.
 
     On a cluster the package reaches executors the usual way (``--py-files`` or an image)."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.abspath(tamiz.__file__)))
     environment = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])

@@ -407,6 +407,16 @@ def fit_tagger(docs: DataFrame, windows: int = 3000, steps: int = 300) -> Tagger
     return Tagger().fit(*training_windows(examples), steps=steps)
 
 
+def _spans_of_texts(model: Tagger, texts: list[str], at_once: int = 1000) -> list[tuple[list[Span], list[Span]]]:
+    results: list = [([], [])] * len(texts)
+    telling = [i for i, t in enumerate(texts) if TELLTALE.search(t)]
+    for at in range(0, len(telling), at_once):
+        part = telling[at : at + at_once]
+        for i, found in zip(part, all_spans(model, [texts[i] for i in part])):
+            results[i] = found
+    return results
+
+
 def find_personal_data(docs: DataFrame, model: Tagger) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone (base spans), n_added, base_sha256 and spans (all, in code
     points). One pass without a shuffle; rows and other columns stay. A NULL text counts as empty and has no spans."""
@@ -416,13 +426,7 @@ def find_personal_data(docs: DataFrame, model: Tagger) -> DataFrame:
 
     def find(batches: Batches) -> Batches:
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            results: list = [([], [])] * len(texts)
-            telling = [i for i, t in enumerate(texts) if TELLTALE.search(t)]
-            for at in range(0, len(telling), 1000):
-                part = telling[at : at + 1000]
-                for i, found in zip(part, all_spans(model, [texts[i] for i in part])):
-                    results[i] = found
+            results = _spans_of_texts(model, [t or "" for t in batch.column("text").to_pylist()])
             counts = [[sum(s[2] == k for s in base) for base, _ in results] for k in range(len(KINDS))]
             columns = [
                 *counts, [len(more) for _, more in results],
@@ -451,14 +455,16 @@ def masked(text: str, spans: str) -> str:
 def mask_personal_data(docs: DataFrame, model: Tagger | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced by its kind, columns as before; ``n_chars`` follows the text."""
     names = docs.columns
-    found = find_personal_data(docs, model or fit_tagger(docs)).select(*names, "spans")
+    tagger = model or fit_tagger(docs)
 
     def mask(batches: Batches) -> Batches:
         for batch in batches:
-            texts = [t if not s else masked(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
+            texts = batch.column("text").to_pylist()
+            found = _spans_of_texts(tagger, [t or "" for t in texts])
+            texts = [masked(t, joined(base + more)) if base or more else t for t, (base, more) in zip(texts, found)]
             columns = {n: batch.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return map_batches(found, mask, docs.schema)
+    return map_batches(docs, mask, docs.schema)
