@@ -115,7 +115,12 @@ class Lines:
             order = np.lexsort((hashes, of_word))
         else:
             rare = rarity[bucket_of(hashes)].astype(np.uint64) << np.uint64(24)
-            order = np.argsort((of_word << np.uint64(32)) | rare | (hashes << np.uint64(20) >> np.uint64(40)))
+            key = (of_word << np.uint64(32)) | rare | (hashes << np.uint64(20) >> np.uint64(40))
+            order = np.argsort(key)
+            close = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+            if (hashes[order[close]] != hashes[order[close + 1]]).any():
+                # prefixes need one order of words in all lines: words that are equal so far go by their whole hash
+                order = np.lexsort((hashes, key))
         of_word, hashes = of_word[order], hashes[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (of_word[1:] != of_word[:-1]) | (hashes[1:] != hashes[:-1])
@@ -459,7 +464,7 @@ def _prefix_words(rarity: np.ndarray):
     def find(batches: Batches) -> Batches:
         for batch in batches:
             lines = [np.frombuffer(x, np.uint64) for x in batch.column("words").to_pylist()]
-            words = [x[np.lexsort((x << np.uint64(20) >> np.uint64(40), rarity[bucket_of(x)]))][: prefix_length(len(x))] for x in lines]
+            words = [x[np.lexsort((x, x << np.uint64(20) >> np.uint64(40), rarity[bucket_of(x)]))][: prefix_length(len(x))] for x in lines]
             if words:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(words).view(np.int64))], ["key"])
 

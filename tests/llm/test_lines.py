@@ -131,6 +131,28 @@ def test_hashes_of_words():
     assert [(f, bytes(r), s.tolist()) for f, r, s in lines.chunks(batch)] == [(0, b"a bc", [0, 3])]
 
 
+def test_one_order_of_words():
+    """Words whose sort keys are equal come in one order in every line, however the chunk is cut."""
+    rng = np.random.default_rng(0)
+    original = lines.word_hashes
+
+    def coarse(raw, starts):
+        at, hashes = original(raw, starts)
+        return at, hashes & np.uint64(0xFFFF)  # the bits that sort before the whole hash are all zero
+
+    lines.word_hashes = coarse
+    try:
+        orders = set()
+        for _ in range(20):
+            words = [f"w{i}" for i in rng.permutation(40)] + ["w3", "w5"]
+            raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+            found = lines.Lines(raw, np.array([0]), np.zeros(lines.RARITY_BUCKETS, np.uint8))
+            orders.add(tuple(found.words.tolist()))
+        assert len(orders) == 1 and len(next(iter(orders))) == 40
+    finally:
+        lines.word_hashes = original
+
+
 def test_bounds():
     for n in range(1, 60):
         for m in range(1, 60):
