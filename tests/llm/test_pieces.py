@@ -67,6 +67,32 @@ def test_cache_does_not_matter(texts):
         assert small.encode([text], [i]) == large.encode([text], [i])
 
 
+def test_every_occurrence_draws(texts):
+    text = "understanding " * 3000
+    encoder = pieces.PieceEncoder(PATH, 0.3, seed=1)
+    vocabulary = encoder.vocabulary
+    places = [encoder.encode([text], [d])[0] for d in (1, 2)]
+    cuts, pieces_of = set(), []
+    for raw in places:
+        at, names = [], [vocabulary.names[i] for i in ids(raw)]
+        for i, name in enumerate(names):
+            if name.startswith(pieces.MARK):
+                at.append(i)
+        pieces_of.append([tuple(names[a:b]) for a, b in zip(at, [*at[1:], len(names)])])
+        cuts |= set(pieces_of[-1])
+    assert len(cuts) > 50  # the number grows with the occurrences
+    assert pieces_of[0] != pieces_of[1]
+    # a text without spaces is cut anew in each document
+    assert len({encoder.encode(["abcdefgh" * 30], [d])[0] for d in range(20)}) == 20
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_kept_cuts_as_the_agenda(texts, rate, monkeypatch):
+    kept = pieces.PieceEncoder(PATH, rate, seed=4).encode(texts, range(len(texts)))
+    monkeypatch.setattr(pieces, "STEPS", 0)  # whatever skips is merged on its own
+    assert pieces.PieceEncoder(PATH, rate, seed=4).encode(texts, range(len(texts))) == kept
+
+
 def test_tables(documents, empty):
     encoded = pieces.encode_documents(documents.withColumn("ids", F.lit(1)))
     back = pieces.decode_documents(encoded).select("doc_id", "text").collect()
