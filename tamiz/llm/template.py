@@ -3,7 +3,8 @@
 Tokens (tags, and words outside the article) that occur equally often on every page of a host share an
 occurrence vector and form an equivalence class. A class is valid if its tokens come in one order on all
 pages and it nests in one gap of the class that occurs once a page; that class is the host's template. The
-gaps are the slots; those that hold the article are extracted from each page.
+gaps are the slots, told apart by the role of the container too. A page with an article or main element gives the text of it. From any other page come
+the slots whose prose varies over the host's pages, without the blocks made of template words only.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from tamiz.session import materialise
 #: Words are part of a template only on hosts with this many pages: on fewer, words of the text coincide.
 PAGES_FOR_WORDS = 8
 LEAST_SHARE = 0.5
+#: On fewer different pages nothing is said to recur.
+PAGES_TO_RECUR = 3
 PAGE = 0  # the token that every page has once
 
 # Fixed values of HTML.
@@ -38,7 +41,7 @@ CONTAINERS = frozenset(
     "html head body header footer nav aside main article section div form ul ol dl table menu dialog figure fieldset details button".split()
 )
 # Parts of a page that are not its article, by element or by words of their class, id or role.
-ASIDE_ELEMENTS = frozenset("head nav footer aside form menu dialog button".split())
+ASIDE_ELEMENTS = frozenset("head nav footer aside menu dialog button".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored nav navbar navigation menu breadcrumb "
     "breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription "
@@ -47,6 +50,9 @@ ASIDE_WORDS = frozenset(
 )
 MAIN_ELEMENTS = frozenset({"article", "main"})
 
+# What a stretch of text is in. On a page with an article the text outside it is left out.
+LEFT_OUT, PLAIN, ARTICLE, ARTICLE_UNSURE, UNSURE, MARKED, PAGE_WITH, PAGE_WITHOUT = range(-1, 7)
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)",
@@ -65,18 +71,49 @@ class Piece:
     text: str
     path: str
     main: bool
-    aside: bool
     link: bool
+    part: int  # of text
+    unsure: str  # the path of the innermost container with an unsure mark
+
+
+def marked(words: list[str], article: bool) -> bool:
+    """Whether class words say that a container is no part of the article."""
+    return not article and not ASIDE_WORDS.isdisjoint(p for word in words for p in re.findall("[a-z]+", word))
 
 
-def pieces(page: str) -> Iterator[Piece]:
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # element, path, main, aside
-    link = False
-    at = 0
+@dataclass(slots=True)
+class Main:
+    """An article or main element that is in no other one."""
+
+    marks: tuple[int, ...]  # marked containers around it, itself included
+    clean: int = 0  # text outside marked containers in it
+    chars: int = 0
+
+
+def pieces(page: str, names: frozenset[str] = frozenset()) -> list[Piece]:
+    """The tags and texts of a page. ``names`` are the words (``element.word``) that tell containers of its host apart.
+
+    Class words do not remove what encloses the article, nor all of its text."""
+    out: list[Piece] = []
+    held: list[tuple[Piece, int, tuple[int, ...]]] = []  # texts with their article and marked containers
+    mains: list[Main] = []
+    # element, path, article, marked containers, unsure container, whether an element says it is aside
+    stack: list[tuple[str, str, int, tuple[int, ...], str, bool]] = [("", "", -1, (), "", False)]
+    link, at, marks_made = False, 0, 0
+
+    def text(end: int) -> None:
+        _, path, main, marks, unsure, aside = stack[-1]
+        piece = Piece("", False, page[at:end], path, main >= 0, link, LEFT_OUT, unsure)
+        out.append(piece)
+        if not aside and (size := len(piece.text.strip())):
+            held.append((piece, main, marks))
+            if main >= 0:
+                mains[main].chars += size
+                mains[main].clean += size * (marks == mains[main].marks)
+
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            _, path, main, aside = stack[-1]
-            yield Piece("", False, page[at : m.start()], path, main, aside, link)
+            text(m.start())
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag:
@@ -84,26 +121,47 @@ def pieces(page: str) -> Iterator[Piece]:
         closing = bool(m[2])
         if tag == "a":
             link = not closing
-        _, path, main, aside = stack[-1]
+        _, path, main, marks, unsure, aside = stack[-1]
         if tag in CONTAINERS and not closing:
-            names = " ".join("".join(x) for x in NAMED.findall(m[4] or "")).lower()
-            label = f"{tag}.{names}" if names else tag
-            path = f"{path}/{label}"
-            words = set(re.split(r"[^a-z]+", names))
+            words = " ".join("".join(x) for x in NAMED.findall(m[4] or "")).lower().split() if m[4] else []
+            shared = sorted({w for w in words if f"{tag}.{w}" in names})
+            path = f"{path}/{'.'.join([tag, *shared])}"
             # a header inside the article holds its title
-            outside = tag in ASIDE_ELEMENTS or tag == "header" and not main or tag not in ("html", "body", "article", "main") and words & ASIDE_WORDS
-            main = main or tag in MAIN_ELEMENTS or "main" in words
-            stack.append((tag, path, main, aside or bool(outside)))
-            _, path, main, aside = stack[-1]
-        yield Piece(tag, closing, "", path, main, aside, link)
+            aside = aside or tag in ASIDE_ELEMENTS or tag == "header" and main < 0
+            mark = tag == "form" or words and tag not in ("html", "body", "main") and marked(words, tag == "article")
+            if mark:
+                marks, marks_made = (*marks, marks_made), marks_made + 1
+            elif mark is None and tag != "article":
+                unsure = path
+            if main < 0 and (tag in MAIN_ELEMENTS or "main" in words):
+                main, unsure = len(mains), ""
+                mains.append(Main(marks))
+            stack.append((tag, path, main, marks, unsure, aside))
+        out.append(Piece(tag, closing, "", path, main >= 0, link, LEFT_OUT, unsure))
         if closing and tag in CONTAINERS:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
                     break
     if at < len(page):
-        _, path, main, aside = stack[-1]
-        yield Piece("", False, page[at:], path, main, aside, link)
+        text(len(page))
+    best = max(mains, key=lambda x: (x.chars > 0, x.clean > 0, not x.marks, x.chars), default=None)
+    if best and best.chars:
+        lifted = set(best.marks)
+        for piece, main, marks in held:
+            if main >= 0 and (lifted.issuperset(marks) or not best.clean and mains[main] is best):
+                piece.part = ARTICLE_UNSURE if piece.unsure else ARTICLE
+    else:
+        for piece, _, marks in held:
+            piece.part = MARKED if marks else UNSURE if piece.unsure else PLAIN
+    return out
+
+
+def _rows(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """Values of the named columns and, last, the pieces of the page."""
+    names = batch.column("names").to_pylist() if "names" in batch.schema.names else [None] * batch.num_rows
+    for *values, page, shared in zip(*(batch.column(c).to_pylist() for c in (*columns, "html")), names):
+        yield *values, page, pieces(page, frozenset(shared or ()))
 
 
 def token(kind: str, name: str, path: str) -> int:
@@ -122,9 +180,9 @@ def tokens(page: list[Piece], with_words: bool = True) -> Iterator[tuple[int, in
 
 def _vectors(batches: Batches) -> Batches:
     for batch in batches:
-        seen: dict[tuple[str, int, bool], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-        for host, row, page in zip(*(batch.column(c).to_pylist() for c in ("host", "row", "html"))):
-            found = list(pieces(page))
+        seen: dict[tuple[str, int, bool], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 1 << 62, 0])
+        for host, row, page, found in _rows(batch, "host", "row"):
+            copy = xxhash.xxh64_intdigest(page) >> 2
             tags = Counter(t for _, t in tokens(found, with_words=False))
             counts = Counter(t for _, t in tokens(found))
             counts[PAGE] = 1
@@ -135,10 +193,11 @@ def _vectors(batches: Batches) -> Batches:
                 sums[1] += h >> 33
                 sums[2] += 1
                 sums[3] += n
+                sums[4], sums[5] = min(sums[4], copy), max(sums[5], copy)
         keys = list(seen)
         columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.bool_()))]
-        columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(4)]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "token", "word", "v1", "v2", "support", "total"])
+        columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(6)]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "token", "word", "v1", "v2", "support", "total", "low", "high"])
 
 
 def occurrence_classes(pages: DataFrame) -> DataFrame:
@@ -146,15 +205,16 @@ def occurrence_classes(pages: DataFrame) -> DataFrame:
     least half of the host's pages. ``once``: the class occurs once on every page.
 
     A vector is held as two sums over pages of a hash of page and count, so it is built by partial sums
-    whatever the number of pages."""
-    vectors = map_batches(pages, _vectors, "host string, token long, word boolean, v1 long, v2 long, support long, total long")
+    whatever the number of pages. Words that only copies of one page have are no template words."""
+    vectors = map_batches(pages, _vectors, "host string, token long, word boolean, v1 long, v2 long, support long, total long, low long, high long")
     vectors = vectors.groupBy("host", "token").agg(
-        F.min("word").alias("word"), *(F.sum(c).alias(c) for c in ("v1", "v2", "support", "total"))
-    )
+        F.min("word").alias("word"), *(F.sum(c).alias(c) for c in ("v1", "v2", "support", "total")),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    )
     vectors = materialise(vectors, "occurrence-vectors")
     of_host = vectors.where(F.col("token") == PAGE).select("host", F.col("support").alias("pages"))
     frequent = vectors.where(F.col("token") != PAGE).join(of_host, "host").where(
-        (F.col("support") >= LEAST_SHARE * F.col("pages")) & (~F.col("word") | (F.col("pages") >= PAGES_FOR_WORDS))
+        (F.col("support") >= LEAST_SHARE * F.col("pages")) & (~F.col("word") | (F.col("pages") >= PAGES_FOR_WORDS) & (F.col("low") != F.col("high")))
     )
     once = (F.col("support") == F.col("pages")) & (F.col("total") == F.col("pages"))
     classes = frequent.groupBy("host", F.xxhash64("v1", "v2", "support", "total").alias("class"), once.alias("once"))
@@ -166,11 +226,11 @@ def _layouts(batches: Batches) -> Batches:
     names = ["host", "class", "sequence", "broken", "gap"]
     for batch in batches:
         rows = []
-        for host, page, classes in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "classes"))):
+        for host, classes, _, found in _rows(batch, "host", "classes"):
             classes = classes or []
             of = {t: c["class"] for c in classes for t in c["tokens"]}
             base = next((c["class"] for c in classes if c["once"]), None)
-            found, orders, gaps, gap = list(pieces(page)), defaultdict(list), {}, 0
+            orders, gaps, gap = defaultdict(list), {}, 0
             for _, t in tokens(found):
                 if (c := of.get(t)) is None:
                     continue
@@ -194,7 +254,7 @@ def valid_classes(pages: DataFrame, classes: DataFrame) -> DataFrame:
     """The classes whose tokens keep one order on all pages and, unless once a page, lie in one gap."""
     listed = classes.groupBy("host").agg(F.collect_list(F.struct("class", "once", "tokens")).alias("classes"))
     seen = map_batches(
-        pages.join(materialise(listed, "host-classes"), "host").select("host", "html", "classes"), _layouts,
+        pages.join(materialise(listed, "host-classes"), "host").select(*pages.drop("row").columns, "classes"), _layouts,
         "host string, class long, sequence long, broken boolean, gap long",
     )
     checked = seen.groupBy("host", "class").agg(
@@ -218,52 +278,83 @@ def _gaps(page: list[Piece], template: frozenset[int]) -> Iterator[tuple[int, Pi
             gap += marks[i]
 
 
+def _key(gap: int, piece: Piece) -> str:
+    return f"{gap}|{piece.part}|{piece.unsure}|{piece.path}"
+
+
 def _slots(batches: Batches) -> Batches:
-    """Text sizes of slots by host and container: how much there is, in an article, and in links."""
-    sums: dict[tuple[str, int, str], list[int]] = defaultdict(lambda: [0, 0, 0])
+    """By page and slot outside sure parts of articles: how much text there is, how much in links, and its hash."""
+    kinds = {"host": pa.string(), "slot": pa.string(), "path": pa.string(), "unsure": pa.string()}
+    kinds |= dict.fromkeys(("part", "chars", "links", "text", "page"), pa.int64())
     for batch in batches:
-        for host, page, template in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "template"))):
-            for gap, p in _gaps(list(pieces(page)), frozenset(template or ())):
-                if not p.tag and not p.aside and (size := len(p.text.strip())):
-                    total = sums[host, gap, p.path]
-                    total[0] += size
-                    total[1] += size * p.main
+        rows = []
+        for host, template, page, found in _rows(batch, "host", "template"):
+            copy = xxhash.xxh64_intdigest(page) >> 1
+            has_article = any(p.part in (ARTICLE, ARTICLE_UNSURE) for p in found)
+            rows.append((host, "", "", "", PAGE_WITH if has_article else PAGE_WITHOUT, 0, 0, 0, copy))
+            if has_article and not any(p.part == ARTICLE_UNSURE for p in found):
+                continue
+            sums: dict[str, list] = {}
+            for gap, p in _gaps(found, frozenset(template or ())):
+                if p.part not in (LEFT_OUT, ARTICLE) and (words := p.text.split()):
+                    total = sums.setdefault(_key(gap, p), [p, 0, 0, xxhash.xxh64()])
+                    size = sum(map(len, words))
+                    total[1] += size
                     total[2] += size * p.link
-    keys = list(sums)
-    columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))]
-    columns += [pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(3)]
-    yield pa.RecordBatch.from_arrays(columns, ["host", "gap", "path", "chars", "main_chars", "link_chars"])
+                    total[3].update(" ".join([*words, ""]))
+            rows += [(host, k, p.path, p.unsure, p.part, n, links, h.intdigest() >> 1, copy) for k, (p, n, links, h) in sums.items()]
+        columns = list(zip(*rows)) or [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
 
 
 def content_slots(pages: DataFrame) -> DataFrame:
-    """(host, root, slots): the gaps of the host's template that hold its article, and the container it is in.
-
-    With text in article or main elements, the gaps that have some of it (root ''); else the container with most text
-    that is mostly not links, and the gaps with text inside it."""
-    sized = map_batches(pages, _slots, "host string, gap long, path string, chars long, main_chars long, link_chars long")
-    sums = (F.sum(c).alias(c) for c in ("chars", "main_chars", "link_chars"))
-    sized = materialise(sized.groupBy("host", "gap", "path").agg(*sums), "slots")
-    prose = F.when(2 * F.col("link_chars") < F.col("chars"), F.col("chars")).otherwise(0)
-    containers = sized.groupBy("host", "path").agg(F.sum(prose).alias("prose"), F.sum("main_chars").alias("main_chars"))
-    best = containers.groupBy("host").agg(F.max("main_chars").alias("most_main"), F.max(F.struct("prose", "path")).alias("best"))
-    best = best.select("host", F.when(F.col("most_main") > 0, F.lit("")).otherwise(F.col("best.path")).alias("root"), "most_main")
-    inside = (F.col("path") == F.col("root")) | F.col("path").startswith(F.concat("root", F.lit("/")))
-    chosen = F.when(F.col("most_main") > 0, F.col("main_chars") > 0).otherwise(inside)
-    return sized.join(best, "host").where(chosen).groupBy("host", "root").agg(F.collect_set("gap").alias("slots"))
-
-
-def article_text(page: str, template: frozenset[int], slots: frozenset[int], root: str = "") -> str:
-    """The blocks of text in the given slots and the container ``root``, one to a line. On a page with an article or
-    main element only text inside it counts."""
-    found = list(pieces(page))
-    has_main = any(p.main for p in found)
-    blocks, open_block = [], []
+    """(host, slots): the slots that hold the article, of pages without an article element and of unsure parts of articles.
+
+    A slot is constant if its text is the same on half of its pages or more. The root is the container with most prose
+    (mostly not links, not constant), of containers without a mark if any has some. Slots in the root and slots with
+    prose are kept, unless constant. A container with an unsure mark counts as one without if it encloses the root; in
+    the root or in an article it goes if it recurs on the host's pages and is constant or mostly links; else it goes."""
+    kind = "host string, slot string, path string, unsure string, part long, chars long, links long, text long, page long"
+    sums = (*(F.sum(c).alias(c) for c in ("chars", "links")), F.approx_count_distinct("text").alias("texts"), F.approx_count_distinct("page").alias("pages"))
+    sized = materialise(map_batches(pages, _slots, kind).groupBy("host", "slot", "path", "unsure", "part").agg(*sums), "slots")
+    part, root, path, unsure = F.col("part"), F.col("root"), F.col("path"), F.col("unsure")
+    of_host = sized.where(part >= PAGE_WITH).groupBy("host").agg(
+        *(F.coalesce(F.max(F.when(part == n, F.col("pages"))), F.lit(0)).alias(c) for c, n in (("with", PAGE_WITH), ("without", PAGE_WITHOUT)))
+    )
+    constant = (F.col("pages") >= PAGES_TO_RECUR) & (2 * F.col("texts") <= F.col("pages"))
+    links = 2 * F.col("links") >= F.col("chars")
+    sized = sized.where(part < PAGE_WITH).select("*", constant.alias("constant"), F.when(~links & ~constant, F.col("chars")).otherwise(0).alias("prose"))
+    clean = lambda c: F.sum(F.when(part != MARKED, F.col(c)).otherwise(0))
+    containers = sized.where(part != ARTICLE_UNSURE).groupBy("host", "path").agg(
+        F.struct(clean("prose").alias("clean"), F.sum("prose").alias("prose"), clean("chars").alias("chars"), path).alias("size")
+    )
+    best = containers.groupBy("host").agg(F.max("size").alias("best"))
+    best = best.select("host", F.col("best.path").alias("root"), F.col("best.clean").alias("clean"), F.col("best.prose").alias("most"), F.col("best.chars").alias("unmarked"))
+    within = lambda inner, outer: (inner == outer) | inner.startswith(F.concat(outer, F.lit("/")))
+    recurs = (F.col("pages") >= PAGES_TO_RECUR) & (2 * F.col("pages") >= F.when(part == ARTICLE_UNSURE, F.col("with")).otherwise(F.col("without")))
+    template = recurs & (F.col("constant") | links)
+    plain = (F.col("prose") > 0) | within(path, root) & ~(F.col("constant") & (F.col("most") > 0))
+    kept = (
+        F.when(part == ARTICLE_UNSURE, ~template)
+        .when(part == PLAIN, plain)
+        .when(part == UNSURE, F.when(within(root, unsure), plain).otherwise(within(path, root) & ~template))
+        .otherwise((F.col("clean") == 0) & ((F.col("most") > 0) | (F.col("unmarked") == 0)) & within(path, root))
+    )
+    return sized.join(of_host, "host").join(best, "host", "left").where(kept).groupBy("host").agg(F.collect_set("slot").alias("slots"))
+
+
+def article_text(found: list[Piece], template: frozenset[int], fixed: frozenset[int], slots: frozenset[str]) -> str:
+    """The blocks of text in articles and in the given slots, one to a line. Outside articles, blocks whose words are
+    all ``fixed`` are part of the template."""
+    blocks, open_block, varied = [], [], False
 
     def close() -> None:
+        nonlocal varied
         text = " ".join(html.unescape("".join(open_block)).split())
-        if text:
+        if text and varied:
             blocks.append(text)
         open_block.clear()
+        varied = False
 
     for gap, p in _gaps(found, template):
         if p.tag:
@@ -271,16 +362,21 @@ def article_text(page: str, template: frozenset[int], slots: frozenset[int], roo
                 close()
             elif p.tag == "br":
                 open_block.append(" ")
-        elif gap in slots and not p.aside and (p.main if has_main else not root or f"{p.path}/".startswith(f"{root}/")):
+        elif not p.text.strip():
             open_block.append(p.text)
+        elif p.part == ARTICLE or p.part != LEFT_OUT and _key(gap, p) in slots:
+            open_block.append(p.text)
+            varied = varied or p.main or not fixed or any(token("w", w, p.path) not in fixed for w in html.unescape(p.text).split())
     close()
     return "\n".join(blocks)
 
 
 def _extract(batches: Batches) -> Batches:
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("html", "template", "slots", "root")))
-        texts = [article_text(page, frozenset(template or ()), frozenset(slots or ()), root or "") for page, template, slots, root in rows]
+        texts = [
+            article_text(found, *(frozenset(x or ()) for x in (template, fixed, slots)))
+            for template, fixed, slots, _, found in _rows(batch, "template", "fixed", "slots")
+        ]
         kept = [batch.column(c) for c in ("page_id", "url")]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
@@ -295,12 +391,14 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     named = rows.select("host", F.xxhash64("page_id", "url", "html").alias("row"), "html")
     classes = materialise(occurrence_classes(named), "token-classes")
-    valid = valid_classes(rows.select("host", "html"), classes)
+    valid = valid_classes(named.drop("row"), classes)
     # of several classes that occur once a page there is one vector only, hence one class
-    templates = materialise(valid.where("once").select("host", F.col("tokens").alias("template")), "templates")
-    slotted = rows.join(templates, "host", "left")
+    templates = valid.groupBy("host").agg(
+        F.flatten(F.collect_list(F.when(F.col("once"), F.col("tokens")))).alias("template"), F.flatten(F.collect_list("tokens")).alias("fixed")
+    )
+    slotted = rows.join(materialise(templates, "templates"), "host", "left")
     slots = materialise(content_slots(slotted.select("host", "html", "template")), "content-slots")
     return map_batches(
-        slotted.join(slots, "host", "left").select("page_id", "url", "html", "template", "slots", "root"), _extract,
+        slotted.join(slots, "host", "left").select("page_id", "url", "html", "template", "fixed", "slots"), _extract,
         "page_id long, url string, text string, n_chars long",
     )

@@ -82,3 +82,26 @@ def test_awkward_pages(spark):
     assert by_id[2] == by_id[3] == "" and by_id[None] == "plain & text" and by_id[4] == "cut off © here and"
     assert by_id[6] == ("long " * 50_000).strip() and by_id[1] == "no url" and "kept" in by_id[5]
     assert template.extract_articles(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def extracted(spark, pages):
+    rows = [(i, f"http://site/{i}", page) for i, page in enumerate(pages)]
+    return [r["text"] for r in template.extract_articles(spark.createDataFrame(rows, PAGE)).orderBy("page_id").collect()]
+
+
+def prose(rng, n=20):
+    return " ".join(rng.choice("abcdefghij") + str(rng.randrange(10_000)) for _ in range(n))
+
+
+def test_template_decides(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [prose(rng) for _ in range(12)]
+    pages = [f"<body><div><p>Read all of our stories</p><p>Published {i}: {t}</p><p>Thanks for reading</p></div></body>" for i, t in enumerate(texts)]
+    want = [f"Published {i}: {t}" for i, t in enumerate(texts)]
+    assert extracted(spark, pages) == want
+    found = template.pieces(pages[0])
+    slots = frozenset(template._key(g, p) for g, p in template._gaps(found, frozenset()))
+    whole = template.article_text(found, frozenset(), frozenset(), slots)
+    assert whole == f"Read all of our stories\n{want[0]}\nThanks for reading"
+    # copies of one page have no template
+    assert extracted(spark, [pages[0]] * 9) == [whole] * 9
