@@ -3,7 +3,8 @@
 Tokens (tags, and words outside the article) that occur equally often on every page of a host share an
 occurrence vector and form an equivalence class. A class is valid if its tokens come in one order on all
 pages and it nests in one gap of the class that occurs once a page; that class is the host's template. The
-gaps are the slots, told apart by the role of the container too. A page with an article or main element gives the text of it. From any other page come
+gaps are the slots, told apart by the role of the container too: its elements, and the class and id words that
+the host's pages share. A page with an article or main element gives the text of it. From any other page come
 the slots whose prose varies over the host's pages, without the blocks made of template words only.
 """
 
@@ -59,6 +60,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMED_CONTAINER = re.compile(r"<(" + "|".join(sorted(CONTAINERS)) + r")\s((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.I)
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
@@ -157,6 +159,29 @@ def pieces(page: str, names: frozenset[str] = frozenset()) -> list[Piece]:
     return out
 
 
+def _named(batches: Batches) -> Batches:
+    for batch in batches:
+        seen: Counter[tuple[str, str]] = Counter()
+        for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html"))):
+            words = {""}
+            for m in NAMED_CONTAINER.finditer(page):
+                words.update(f"{m[1].lower()}.{w}" for x in NAMED.findall(m[2]) for w in "".join(x).lower().split())
+            seen.update((host, w) for w in words)
+        columns = [pa.array([k[i] for k in seen], pa.string()) for i in range(2)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(seen.values(), pa.int64())], ["host", "name", "support"])
+
+
+def shared_names(pages: DataFrame) -> DataFrame:
+    """(host, names): class, id and role words of containers on more than half of the host's pages, as ``element.word``.
+
+    With them a container has the same path on all pages, whatever else its class and id say on each."""
+    support = map_batches(pages, _named, "host string, name string, support long").groupBy("host", "name").agg(F.sum("support").alias("support"))
+    support = materialise(support, "names")
+    of_host = support.where("name = ''").select("host", F.col("support").alias("pages"))
+    shared = support.where("name != ''").join(of_host, "host").where(F.col("support") > LEAST_SHARE * F.col("pages"))
+    return shared.groupBy("host").agg(F.sort_array(F.collect_list("name")).alias("names"))
+
+
 def _rows(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
     """Values of the named columns and, last, the pieces of the page."""
     names = batch.column("names").to_pylist() if "names" in batch.schema.names else [None] * batch.num_rows
@@ -389,7 +414,9 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     unusual page, has the whole page as its one slot."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    named = rows.select("host", F.xxhash64("page_id", "url", "html").alias("row"), "html")
+    names = materialise(shared_names(rows.select("host", "html")), "shared-names")
+    rows = rows.join(names, "host", "left")
+    named = rows.select("host", F.xxhash64("page_id", "url", "html").alias("row"), "html", "names")
     classes = materialise(occurrence_classes(named), "token-classes")
     valid = valid_classes(named.drop("row"), classes)
     # of several classes that occur once a page there is one vector only, hence one class
@@ -397,8 +424,8 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         F.flatten(F.collect_list(F.when(F.col("once"), F.col("tokens")))).alias("template"), F.flatten(F.collect_list("tokens")).alias("fixed")
     )
     slotted = rows.join(materialise(templates, "templates"), "host", "left")
-    slots = materialise(content_slots(slotted.select("host", "html", "template")), "content-slots")
+    slots = materialise(content_slots(slotted.select("host", "html", "names", "template")), "content-slots")
     return map_batches(
-        slotted.join(slots, "host", "left").select("page_id", "url", "html", "template", "fixed", "slots"), _extract,
+        slotted.join(slots, "host", "left").select("page_id", "url", "html", "names", "template", "fixed", "slots"), _extract,
         "page_id long, url string, text string, n_chars long",
     )

@@ -93,6 +93,16 @@ def prose(rng, n=20):
     return " ".join(rng.choice("abcdefghij") + str(rng.randrange(10_000)) for _ in range(n))
 
 
+def test_per_page_ids_and_split_articles(spark):
+    rng = random.Random(3)
+    texts = [(prose(rng), prose(rng, 30)) for _ in range(10)]
+    nav = "<ul><li><a href=/>home page</a></li><li><a href=/b>all posts</a></li></ul>"
+    one = [f'<body>{nav}<div id="post-{i}" class="entry c{i}"><p>{a}</p><p>{b}</p></div></body>' for i, (a, b) in enumerate(texts)]
+    assert extracted(spark, one) == [f"{a}\n{b}" for a, b in texts]
+    for box in ('<div class="lead">{}</div><div class="body">{}</div>', '<section id="s1">{}</section><section id="s2">{}</section>'):
+        assert extracted(spark, [f"<body>{nav}{box.format(a, b)}</body>" for a, b in texts]) == [f"{a}\n{b}" for a, b in texts]
+
+
 def test_template_decides(spark, monkeypatch):
     rng = random.Random(6)
     texts = [prose(rng) for _ in range(12)]
