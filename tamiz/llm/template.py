@@ -49,6 +49,14 @@ ASIDE_WORDS = frozenset(
     "share sharing social related recommended comment comments commentlist respond replies disqus widget toolbar pagination pager login "
     "signup search toc copyright disclaimer".split()
 )
+#: Of these, the ones that are subjects or parts of articles too: alone they say little.
+UNSURE_WORDS = frozenset(
+    "adv banner promotion sponsor navigation menu header masthead consent notice notices share sharing social related recommended replies "
+    "respond toolbar widget login search toc disclaimer modal subscription".split()
+)
+#: Words beside a sure one that do not change what it says.
+GENERIC_WORDS = frozenset("area body block box container content entry form inner item list main outer page post reader section site thread top user wrap wrapper".split())
+ARTICLE_WORDS = frozenset("reply teaser preview".split())  # what article elements are marked with besides, if not the article
 MAIN_ELEMENTS = frozenset({"article", "main"})
 
 # What a stretch of text is in. On a page with an article the text outside it is left out.
@@ -78,9 +86,16 @@ class Piece:
     unsure: str  # the path of the innermost container with an unsure mark
 
 
-def marked(words: list[str], article: bool) -> bool:
-    """Whether class words say that a container is no part of the article."""
-    return not article and not ASIDE_WORDS.isdisjoint(p for word in words for p in re.findall("[a-z]+", word))
+def marked(words: list[str], article: bool) -> bool | None:
+    """Whether class words say that a container is no part of the article: True, None for unsure, or False."""
+    unsure = False
+    for word in words:
+        parts = set(re.findall("[a-z]+", word))
+        aside = parts & ASIDE_WORDS | (parts & ARTICLE_WORDS if article else set())
+        if aside - UNSURE_WORDS and not parts - aside - GENERIC_WORDS:
+            return True
+        unsure |= bool(aside)
+    return None if unsure else False
 
 
 @dataclass(slots=True)

@@ -103,6 +103,22 @@ def test_per_page_ids_and_split_articles(spark):
         assert extracted(spark, [f"<body>{nav}{box.format(a, b)}</body>" for a, b in texts]) == [f"{a}\n{b}" for a, b in texts]
 
 
+def test_class_words_need_evidence(spark):
+    rng = random.Random(4)
+    texts = [[prose(rng, 8) for _ in range(6)] for _ in range(10)]
+    related = '<div class="related-posts"><a href=/1>first other</a> <a href=/2>second other</a></div>'
+    pages = [
+        f'<body><div class="content has-sidebar"><article><div class="article-header"><h1>{a}</h1></div><p>{b}</p><section id="related-work"><p>{c}</p>'
+        f'</section><div class="social-history">{d}</div>{related}<div class="post-comments">{e}</div></article>'
+        f'<article class="comment">{f}</article><article class="teaser">{e}</article></div></body>'
+        for a, b, c, d, e, f in texts
+    ]
+    assert extracted(spark, pages) == ["\n".join(t[:4]) for t in texts]
+    # without article elements: the enclosing container stays, the marked one beside the text goes
+    pages = [f'<body><div class="content has-sidebar"><div class="lead">{a}</div><div class="text">{b} {c}</div><div class="sidebar">{d}</div></div></body>' for a, b, c, d, *_ in texts]
+    assert extracted(spark, pages) == [f"{a}\n{b} {c}" for a, b, c, *_ in texts]
+
+
 def test_template_decides(spark, monkeypatch):
     rng = random.Random(6)
     texts = [prose(rng) for _ in range(12)]
