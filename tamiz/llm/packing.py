@@ -131,13 +131,14 @@ def first_fit_decreasing(lengths: Iterable[int], capacity: int) -> list[tuple[in
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, seed: int = 7) -> DataFrame:
     """``pieces`` with ``sequence_id``, ``offset``, ``sequence_tokens`` and ``padding``.
 
-    Groups hold ``group_pieces`` pieces on average, chosen by a hash of document and start, so a
-    document of any length spreads over groups and no task's work grows with the table. A sequence is
-    padded to ``capacity``, unless its tokens are a power of two."""
-    pieces = materialise(pieces, "pieces")
+    Groups hold ``group_pieces`` pieces on average, chosen by a hash of document, start and the row's place in the
+    stored table, so a document of any length and rows repeated any number of times spread over groups and no
+    task's work grows with the table. A sequence is padded to ``capacity``, unless its tokens are a power of two."""
+    names, schema = pieces.columns, pieces.schema.simpleString()[len("struct<") : -1].replace(":", " ")
+    # stored with its place, so that a task that runs again deals the same rows to the same groups
+    pieces = materialise(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     groups = pieces.count() // group_pieces + 1
-    spread = F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(-1)), "start", "ids_crc32")
-    names = pieces.columns
+    spread = F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(-1)), "start", "ids_crc32", "row")
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
@@ -151,8 +152,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         return pa.table([*(table.column(n) for n in names), *added], [*names, "sequence_id", "offset", "sequence_tokens", "padding"])
 
     ship(pieces.sparkSession)
-    schema = pieces.schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    dealt = pieces.withColumn("group", F.pmod(spread, F.lit(groups)))
+    dealt = pieces.withColumn("group", F.pmod(spread, F.lit(groups))).drop("row")
     return dealt.groupBy("group").applyInArrow(fit, f"{schema}, sequence_id long, offset long, sequence_tokens long, padding long")
 
 

@@ -73,3 +73,11 @@ def test_sequences_hold_the_ids(documents):
 
 def test_empty_table(empty):
     assert packing.pack(packing.cut(empty)).count() == 0
+
+
+def test_repeated_rows_spread_over_groups(spark):
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text"))
+    dealt = packing.pack(packing.cut(rows), group_pieces=100)
+    assert "row" not in dealt.columns
+    sizes = [r["count"] for r in dealt.groupBy(F.shiftright("sequence_id", 32)).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) == 21 and max(sizes) < 200
