@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import caps, exact, lines, packing, pieces, pii, quality, simhash, template, toxicity
+from tamiz.llm import caps, exact, lines, packing, pieces, pii, quality, shards, simhash, template, toxicity
 from tamiz.llm.common import held_out, whole_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op2_sentencepiece_dropout(spark: SparkSession, folder: str) -> DataFrame:
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = whole_texts(table(spark, folder, "documents"), "doc_id")
     return pii.find_personal_data(docs, pii.fit_tagger(docs)).drop("text")
+
+
+@query
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.assign(table(spark, folder, "documents"), shards=24)
