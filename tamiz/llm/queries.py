@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import balls, caps, exact, lines, packing, pieces, pii, quality, shards, simhash, template, toxicity
+from tamiz.llm import alignment, balls, caps, exact, lines, packing, pieces, pii, quality, shards, simhash, template, toxicity
 from tamiz.llm.common import held_out, whole_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     coded = balls.label_errors(balls.compress(table(spark, folder, "embeddings"), parts=4, entries=256, rounds=4))
     code = F.lower(F.hex("codes")).alias("code")
     return coded.select("vec_id", code, "error", "label_error", F.col("books_sha256").alias("codebooks_sha256"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))[0]
