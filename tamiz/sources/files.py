@@ -1,35 +1,122 @@
-"""CSV inputs: plain, other separators and charsets, column subsets, preambles."""
+"""CSV inputs: plain, other separators and charsets, column subsets, preambles, rows that do not parse."""
 
 from __future__ import annotations
 
 import csv
+import io
+from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.sources.records import UTF8, csv_records, decoded, line_effect, text_lines
+
 LATIN1 = "ISO-8859-1"
-UTF8 = "UTF-8"
+#: Quotes inside of a quoted cell are doubled, on the way in and out.
+QUOTES = {"quote": '"', "escape": '"'}
 
 
-def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
-    """Lines of text files; Spark's reader of lines takes them as UTF-8, whatever they are."""
-    lines = spark.read.text(path)
-    if encoding.upper() == UTF8:
-        return lines
-    return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+@dataclass(frozen=True)
+class _File:
+    path: str
+    encoding: str
+    #: some cell holds a line break, so lines are not records
+    broken: bool
+    header: tuple[str, ...]
 
 
-def _layouts(spark: SparkSession, path: str | list[str], sep: str, encoding: str) -> list[tuple[list[str], list[str]]]:
-    """(names, files) of each different header below ``path``. The list is as long as there are files."""
-    text = F.col("value") if encoding.upper() == UTF8 else F.decode(F.col("value").cast("binary"), encoding)
-    first = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("archivo"), F.monotonically_increasing_id().alias("fila"), text.alias("value")
-    )
-    headers = first.groupBy("archivo").agg(F.min_by("value", "fila").alias("cabecera"))
-    found = headers.groupBy("cabecera").agg(F.sort_array(F.collect_list("archivo"))).orderBy("cabecera").collect()
-    return [([n.strip() for n in next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))], paths) for line, paths in found if line]
+def _names(record: str, sep: str) -> tuple[str, ...]:
+    cells = next(csv.reader(io.StringIO(record.lstrip("﻿"), newline=""), delimiter=sep), [])
+    return tuple(c.strip() for c in cells)
+
+
+def _survey(spark: SparkSession, path: str | list[str], sep: str, encoding: str | None, multiline: bool) -> list[_File]:
+    """What has to be known of each file before it is read, in one pass over lines that are split over tasks as usual.
+
+    Without an ``encoding``, a file with a line that is no UTF-8 is Latin-1. Without ``multiline`` lines are taken
+    for records, and only the first block of each file is looked at. The list is as long as there are files."""
+    lines = text_lines(spark, path)
+    if not multiline and encoding:
+        lines = lines.where(F.col("bloque") == 0)
+    # outside of quotes before it, inside behind it: 1 turns the state around, 3 ends inside
+    tears = line_effect(F.col("linea"), sep).isin(1, 3) if multiline else F.lit(False)
+    seen = lines.select("archivo", F.struct("bloque", "fila").alias("lugar"), F.col("linea").cast("binary").alias("linea"), F.is_valid_utf8("linea").alias("utf8"), tears.alias("corta"))
+    found = seen.groupBy("archivo").agg(
+        F.min("utf8").alias("utf8"), F.max("corta").alias("corta"), F.min_by("linea", "lugar").alias("cabecera"), F.min_by("corta", "lugar").alias("cabecera_cortada"),
+    ).orderBy("archivo").collect()
+    charset = {r["archivo"]: encoding or (UTF8 if r["utf8"] else LATIN1) for r in found}
+    headers = {r["archivo"]: bytes(r["cabecera"]).decode(charset[r["archivo"]], "replace") for r in found}
+    for kind in set(charset.values()):
+        torn = [r["archivo"] for r in found if r["cabecera_cortada"] and charset[r["archivo"]] == kind]
+        if torn:
+            first = csv_records(spark, torn, sep, kind).where("primero").select("archivo", "registro").collect()
+            headers |= {r["archivo"]: r["registro"] or "" for r in first}
+    return [_File(a, charset[a], r["corta"], _names(headers[a], sep)) for r in found if headers[a := r["archivo"]].strip()]
+
+
+def _alike(found: Iterable[_File]) -> list[tuple[_File, list[str]]]:
+    """Files that can be read together, with their paths."""
+    groups: dict[tuple, list[_File]] = {}
+    for file in found:
+        groups.setdefault((file.header, file.broken, file.encoding), []).append(file)
+    return [(group[0], [f.path for f in group]) for group in groups.values()]
+
+
+def _parsed(records: DataFrame, layout: T.StructType, sep: str, corrupt: str | None, order: str | None) -> DataFrame:
+    """Columns of ``layout`` from records with their place (see :func:`csv_records`)."""
+    bad = corrupt or "_corrupt"
+    options = {"sep": sep, "multiLine": "true", "columnNameOfCorruptRecord": bad, **QUOTES}
+    kept = records.where(F.col("registro").isNull() | (F.length(F.trim("registro")) > 0))
+    cells = F.from_csv("registro", _ddl(layout, bad), options)
+    place = F.struct("archivo", "bloque", "fila").alias(order or "_place")
+    rows = kept.select(cells.alias("_cells"), place, "registro", "entero")
+    columns = [F.col(f"_cells.`{f.name}`").alias(f.name) for f in layout.fields]
+    if corrupt:
+        unread = F.when(F.col("registro").isNull(), F.lit("")).when(~F.col("entero"), F.col("registro"))
+        columns.append(F.coalesce(unread, F.col(f"_cells.`{bad}`")).alias(corrupt))
+    else:
+        checked = F.when(F.col("registro").isNull(), F.raise_error(F.lit("a record is too long to be one: quotes that never close")).cast("boolean"))
+        rows = rows.where(F.coalesce(checked, F.lit(True)))
+    return rows.select(*columns, *([order] if order else []))
+
+
+def _ddl(layout: T.StructType, *texts: str) -> str:
+    fields = [(f.name, f.dataType.simpleString()) for f in layout.fields] + [(t, "string") for t in texts]
+    return ", ".join("`{}` {}".format(name.replace("`", "``"), kind) for name, kind in fields)
+
+
+def _read(spark: SparkSession, found: list[_File], schema: T.StructType, sep: str, order: str | None, corrupt: str | None) -> DataFrame:
+    frames = []
+    declared = {f.name.lower(): f.name for f in schema.fields}
+    types = {f.name: f.dataType for f in schema.fields}
+    added = [*([corrupt] if corrupt else []), *([order] if order else [])]
+    for file, paths in _alike(found):
+        names = [declared.get(n.lower(), n) for n in file.header]
+        layout = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        if file.broken:
+            records = csv_records(spark, paths, sep, file.encoding).where(~F.col("primero"))
+            frame = _parsed(records, layout, sep, corrupt, order)
+        else:
+            options = {"header": True, "sep": sep, "encoding": file.encoding, **QUOTES}
+            if corrupt:
+                layout = T.StructType([*layout.fields, T.StructField(corrupt, T.StringType())])
+                # a row with too many cells is found only if all of them are looked at
+                options |= {"columnNameOfCorruptRecord": corrupt, "columnPruning": False}
+            frame = spark.read.schema(layout).options(**options).csv(paths)
+            if order:
+                frame = with_file_order(frame, order)
+        if names != schema.names or added:
+            columns = [F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+            frame = frame.select(*columns, *added)
+        frames.append(frame)
+    if frames:
+        return reduce(DataFrame.unionByName, frames)
+    texts = [T.StructField(corrupt, T.StringType())] if corrupt else []
+    places = [T.StructField(order, T.StructType.fromDDL("archivo string, bloque bigint, fila bigint"))] if order else []
+    return spark.createDataFrame([], T.StructType([*schema.fields, *texts, *places]))
 
 
 def read_csv(
@@ -40,28 +127,17 @@ def read_csv(
     encoding: str = UTF8,
     multiline: bool = True,
     order: str | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """CSV files with a header, read by name (in any case) with a declared schema.
 
     Each file's own header says in which order its columns come; a declared column that a file lacks is
-    NULL for its rows. Cells may hold line breaks, for which a file is read by one task as a whole; for
-    large files without such cells ``multiline=False`` lets Spark split them. ``order`` names a column
-    for the place of each row in its file (see :func:`with_file_order`).
-    """
-    frames = []
-    declared = {f.name.lower(): f.name for f in schema.fields}
-    types = {f.name: f.dataType for f in schema.fields}
-    for header, paths in _layouts(spark, path, sep, encoding):
-        names = [declared.get(n.lower(), n) for n in header]
-        layout = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-        frame = spark.read.schema(layout).options(header=True, sep=sep, encoding=encoding, multiLine=multiline).csv(paths)
-        if order:
-            frame = with_file_order(frame, order)
-        if names != schema.names or order:
-            columns = [F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-            frame = frame.select(*columns, *([order] if order else []))
-        frames.append(frame)
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+    NULL for its rows. Cells may hold line breaks; files in which some do are put together by
+    :func:`csv_records`, split like any other. ``multiline=False`` says that no cell does, and saves the pass over
+    the files that finds out. ``order`` names a column for the place of each row in its file (see
+    :func:`with_file_order`), ``corrupt`` one for the text of rows that do not parse: too few or too many cells, a cell
+    that is not of its declared type, quotes that never close."""
+    return _read(spark, _survey(spark, path, sep, encoding, multiline), schema, sep, order, corrupt)
 
 
 def read_csv_columns(
@@ -71,24 +147,34 @@ def read_csv_columns(
     sep: str = ",",
     encoding: str = UTF8,
     multiline: bool = True,
+    order: str | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """The wanted columns of a wide CSV, found by name, with forced types.
 
     Names come from the header lines; the other columns are never parsed. A wanted column
     no file has is left out (see ``missing_columns``).
     """
-    present = {n for names, _ in _layouts(spark, path, sep, encoding) for n in names}
+    found = _survey(spark, path, sep, encoding, multiline)
+    present = {n for file in found for n in file.header}
     schema = T.StructType([T.StructField(n, kind) for n, kind in wanted.items() if n in present])
-    return read_csv(spark, path, schema, sep, encoding, multiline)
+    return _read(spark, found, schema, sep, order, corrupt)
 
 
 def read_csv_as_text(
-    spark: SparkSession, path: str, sep: str = ",", encoding: str = UTF8, multiline: bool = True, order: str | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    encoding: str = UTF8,
+    multiline: bool = True,
+    order: str | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """All columns that any file has, as text."""
-    names = dict.fromkeys(n for found, _ in _layouts(spark, path, sep, encoding) for n in found)
+    found = _survey(spark, path, sep, encoding, multiline)
+    names = dict.fromkeys(n for file in found for n in file.header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return read_csv(spark, path, schema, sep, encoding, multiline, order)
+    return _read(spark, found, schema, sep, order, corrupt)
 
 
 def with_file_order(frame: DataFrame, name: str = "orden") -> DataFrame:
@@ -107,21 +193,28 @@ def with_file_order(frame: DataFrame, name: str = "orden") -> DataFrame:
 
 
 def read_csv_any_charset(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", multiline: bool = True, order: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    sep: str = ",",
+    multiline: bool = True,
+    order: str | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """CSV files that are UTF-8 or, where a file has a line that is not, Latin-1; read as by :func:`read_csv`.
 
-    Whether a file is valid UTF-8 is an aggregate over its lines, which are split over tasks as usual. Only
-    the names of the files come to the driver.
+    Charset, header and line breaks of all files are found in the same pass. Only the names of the files come to
+    the driver.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("archivo"), F.is_valid_utf8("value").alias("utf8"))
-    checked = lines.groupBy("archivo").agg(F.min("utf8").alias("utf8")).orderBy("archivo").collect()
-    frames = [
-        read_csv(spark, [f for f, utf8 in checked if utf8 == wanted], schema, sep, encoding, multiline, order)
-        for wanted, encoding in ((True, UTF8), (False, LATIN1))
-        if any(utf8 == wanted for _, utf8 in checked)
-    ]
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+    return _read(spark, _survey(spark, path, sep, None, multiline), schema, sep, order, corrupt)
+
+
+def _sheet_records(spark: SparkSession, file: _File, paths: list[str], sep: str) -> DataFrame:
+    """Records of files of one kind with their place. Where lines are records, nothing is shuffled."""
+    if file.broken:
+        return csv_records(spark, paths, sep, file.encoding).drop("primero")
+    line = F.regexp_replace(decoded(F.col("linea"), file.encoding), r"\r\z", "")
+    return text_lines(spark, paths).select("archivo", "bloque", "fila", line.alias("registro"), F.lit(True).alias("entero"))
 
 
 def read_sheet(
@@ -133,7 +226,11 @@ def read_sheet(
     the rows above and footers below fall away wherever the file is split.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.schema(schema).options(sep=sep, encoding=encoding).csv(path).where(key)
+    kinds = {}
+    for file in _survey(spark, path, sep, encoding, True):
+        kinds.setdefault(file.broken, (file, []))[1].append(file.path)
+    frames = [_parsed(_sheet_records(spark, file, paths, sep), schema, sep, None, None) for file, paths in kinds.values()]
+    return reduce(DataFrame.unionByName, frames).where(key) if frames else spark.createDataFrame([], schema)
 
 
 def read_sheet_below_marker(
@@ -141,20 +238,26 @@ def read_sheet_below_marker(
 ) -> DataFrame:
     """A sheet whose header is the row with ``marker`` in its first cell.
 
-    Its names are taken from that row. Data rows are those below it whose first cell starts with a digit; a
-    file without the marker goes on with the rows of the others.
-    """
-    lines = _lines(spark, path, encoding)
-    first_cell = F.regexp_replace(F.split_part("value", F.lit(sep), F.lit(1)), '"', "")
-    header = lines.where(F.trim(first_cell) == marker).first()
-    if header is None:
+    Each file's names are taken from its own marker row; a name that other files lack is NULL for their rows. Data
+    rows are those below the marker whose first cell starts with a digit. A file without a marker goes on with the rows of
+    the others, under the names of the first file that has one. Files are split as usual."""
+    found = _survey(spark, path, sep, encoding, True)
+    first_cell = F.trim(F.regexp_replace(F.split_part("registro", F.lit(sep), F.lit(1)), '"', ""))
+    place = F.struct("bloque", "fila")
+    kinds: dict[bool, tuple[_File, list[str]]] = {}
+    for file in found:
+        kinds.setdefault(file.broken, (file, []))[1].append(file.path)
+    marked = [_sheet_records(spark, file, paths, sep).where(first_cell == marker).groupBy("archivo").agg(F.min_by("registro", place)) for file, paths in kinds.values()]
+    headers = {r[0]: _names(r[1], sep) for df in marked for r in df.collect()}  # one row a file
+    if not headers:
         raise ValueError(f"no row of {path} starts with {marker!r}")
-    names = [n.strip() for n in next(csv.reader([header[0]], delimiter=sep))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    # read whole, a file is one task, in which rows are numbered from the top
-    rows = with_file_order(spark.read.schema(schema).options(sep=sep, encoding=encoding, multiLine=True).csv(path), "_place")
-    first = F.col(f"`{names[0]}`")
-    starts = rows.where(F.trim(first) == marker).groupBy(F.col("_place.archivo").alias("_file")).agg(F.min("_place.fila").alias("_start"))
-    below = rows.join(starts, F.col("_place.archivo") == F.col("_file"), "left")
-    kept = below.where(first.rlike(r"^\s*\d") & (F.col("_start").isNull() | (F.col("_place.fila") > F.col("_start"))))
-    return kept.select(*[F.col(f"`{n}`") for n in names])
+    usual = headers[min(headers)]
+    frames = []
+    for file, paths in _alike(_File(f.path, f.encoding, f.broken, headers.get(f.path, usual)) for f in found):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in file.header])
+        records = _sheet_records(spark, file, paths, sep)
+        starts = records.where(first_cell == marker).groupBy(F.col("archivo").alias("_file")).agg(F.min(place).alias("_start"))
+        below = records.join(starts, F.col("archivo") == F.col("_file"), "left").where(F.col("_start").isNull() | (place > F.col("_start")))
+        rows = _parsed(below.where(first_cell.rlike(r"^\d")), schema, sep, None, None)
+        frames.append(rows.where(F.col(f"`{file.header[0]}`").rlike(r"^\s*\d")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

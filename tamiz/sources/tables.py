@@ -77,7 +77,9 @@ def replace_unless_empty(df: DataFrame, path: str, partition_by: Sequence[str] =
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:
-    df.write.mode("overwrite").options(header=True, sep=sep, encoding="UTF-8").csv(path)
+    """CSV files with a header. Cells keep their spaces; a quote in a quoted cell is doubled."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quote": '"', "escape": '"'}
+    df.write.mode("overwrite").options(header=True, sep=sep, encoding="UTF-8", **kept).csv(path)
 
 
 def archive_and_rebuild(

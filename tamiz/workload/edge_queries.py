@@ -52,8 +52,10 @@ def conform_decimal_text(t: Tables) -> DataFrame:
     """Whole numbers written as 12.0 fit an integer column, and none counts as lost."""
     schema = T.StructType.fromDDL("o_orderkey bigint")
     rows = t.orders.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")).alias("o_orderkey"))
-    lost = conform_losses(rows, schema).agg(F.sum("valores_perdidos").alias("perdidas"))
-    return conform(rows, schema).agg(F.count("o_orderkey").alias("filas"), F.sum("o_orderkey").alias("suma")).join(lost)
+    lost = conform_losses(rows, schema).select(F.lit(0).cast("bigint").alias("o_orderkey"), F.lit(0).alias("n"), "valores_perdidos")
+    kept = conform(rows, schema).select("o_orderkey", F.when(F.col("o_orderkey").isNotNull(), 1).alias("n"), F.lit(0).cast("bigint").alias("valores_perdidos"))
+    total = {"filas": F.sum("n"), "suma": F.sum("o_orderkey"), "perdidas": F.sum("valores_perdidos")}
+    return kept.unionByName(lost).agg(*[c.alias(name) for name, c in total.items()])
 
 
 @query("SELECT doc_id, lang, text FROM documents")

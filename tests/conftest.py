@@ -30,7 +30,3 @@ def spark(tmp_path_factory):
 def frame(spark):
     """Frame from rows and a DDL schema."""
     return lambda rows, ddl: spark.createDataFrame(rows, ddl)
-
-
-def values(df, *columns):
-    return [tuple(r) for r in (df.select(*columns) if columns else df).collect()]

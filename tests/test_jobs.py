@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import values
+from support import values
 from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, indicators, refresh, silver, star

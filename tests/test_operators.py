@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import values
+from support import values
 from tamiz.operators import audits, columns, keys, reshape, rows, summary, windows
 
 

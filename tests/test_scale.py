@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from tamiz.functions.numbers import exact_sum
 from tamiz.operators import audits, keys, rows
 from tamiz.plans import gold

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import values
+from support import values
 from tamiz import session
 from tamiz.plans import contract as K
 from tamiz.plans import indicators
