@@ -39,8 +39,8 @@ def _leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> Iterable[tuple[
             yield here
 
 
-def flatten(df: DataFrame, column: str, last_segment: bool = False) -> DataFrame:
-    """One column per leaf of a struct column.
+def flatten(df: DataFrame, column: str, last_segment: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """One column per leaf of a struct column, and the columns to ``keep`` as they are.
 
     Names join the path with ``_``, or are its last part only; they are in snake case. Of
     columns that end up with the same name the first is kept, blank names are dropped.
@@ -51,7 +51,7 @@ def flatten(df: DataFrame, column: str, last_segment: bool = False) -> DataFrame
         if name and name not in chosen:
             source = ".".join(f"`{part}`" for part in (column, *path))
             chosen[name] = F.col(source).alias(name)
-    return df.select(*chosen.values())
+    return df.select(*[c for name, c in chosen.items() if name not in keep], *keep)
 
 
 def resolve(columns: Sequence[str], has: Sequence[str], lacks: Sequence[str] = (), any_of: bool = False) -> str:
@@ -93,6 +93,14 @@ def conform_losses(df: DataFrame, schema: T.StructType) -> DataFrame:
     return lost.unpivot([], [f.name for f in shared], "columna", "valores_perdidos")
 
 
+def conform_lost(df: DataFrame, schema: T.StructType) -> Column:
+    """An aggregate over ``df``: values of all columns that :func:`conform` cannot express. Columns that come in
+    their target type lose nothing and are not looked at."""
+    changed = [f for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    lost = [F.when(F.col(f.name).isNotNull() & _in_type(df, f).isNull(), 1).otherwise(0) for f in changed]
+    return F.sum(sum(lost, F.lit(0)))
+
+
 def keep_wanted(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select([c for c in wanted if c in df.columns])
 

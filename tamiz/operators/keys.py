@@ -35,6 +35,23 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str, first: int = 1) ->
     )
 
 
+def extend_ids(known: DataFrame, found: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+    """``known`` (an id ``name`` for each key ``on``) and after it the keys of ``found`` it lacks, with ids past its
+    highest, in the order of the key. Ids that were given stay for good, so whatever refers to them holds.
+
+    Keys may be NULL. ``found`` is reduced to its keys before they are looked for; columns it does not have are NULL.
+    ``known`` should be a stored table, since ids are read from it and its rows go on unchanged."""
+    same = None
+    for c in on:
+        part = F.col(c).eqNullSafe(F.col(f"_known_{c}"))
+        same = part if same is None else same & part
+    held = known.select([F.col(c).alias(f"_known_{c}") for c in on])
+    new = found.select(*on).distinct().join(held, same, "left_anti")
+    highest = known.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    numbered = dense_ids(new, on, name, first=highest + 1)
+    return known.unionByName(numbered, allowMissingColumns=True)
+
+
 def resolve_key(
     fact: DataFrame, dim: DataFrame, on: dict[str, Column], id_column: str, how: str = "left"
 ) -> DataFrame:

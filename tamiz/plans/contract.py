@@ -81,6 +81,9 @@ UNIQUE_KEYS = {
     "dim_empresas": ("ruc",),
 }
 
+# The place of a row in its files, where a flat table keeps it.
+ORDER = "orden"
+
 # Tables whose files are laid out by a column that queries filter on.
 PARTITIONS = {"fact_oferta_academica": ("anio_lectivo",)}
 

@@ -99,6 +99,18 @@ def graduates_per_company(schools: DataFrame, geography: DataFrame, by_province:
     )
 
 
+def enrolment_figures(schools: DataFrame, geography: DataFrame) -> DataFrame:
+    """Dashboard figures (indicador, clave, valor): enrolment in all, by province, and schools by school year.
+
+    One pass: schools are counted by place and year, and the three figures come from that.
+    """
+    per_place = schools.groupBy("id_geografia", "anio_lectivo").agg(F.sum("total_estudiantes").alias("n"), F.count("amie").alias("escuelas"))
+    placed = per_place.join(geography.select("id_geografia", "provincia"), "id_geografia")
+    figures = (("total", F.lit(""), "n"), ("provincia", F.col("provincia"), "n"), ("anio_lectivo", F.col("anio_lectivo"), "escuelas"))
+    cells = [F.struct(F.lit(name).alias("indicador"), key.alias("clave"), F.col(n).alias("valor")) for name, key, n in figures]
+    return placed.select(F.inline(F.array(*cells))).groupBy("indicador", "clave").agg(F.sum("valor").alias("valor"))
+
+
 def flat_gdp_trend(macro: DataFrame) -> DataFrame:
     rate = F.col("tasa_variacion_anual")
     return macro.select(

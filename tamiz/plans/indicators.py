@@ -26,11 +26,13 @@ def _clean_text(df: DataFrame) -> DataFrame:
 
 
 def flat_records(
-    envelope: DataFrame, indicator: str, schema: Schema, prefix: bool = False, last_segment: bool = False
+    envelope: DataFrame, indicator: str, schema: Schema, prefix: bool = False, last_segment: bool = False, ordered: bool = False
 ) -> DataFrame:
-    """Records of an indicator as a flat table of clean text and numbers."""
-    records = parse_records(records_of(envelope, indicator, prefix), schema)
-    return _clean_text(flatten(records, "record", last_segment))
+    """Records of an indicator as a flat table of clean text and numbers, ``ordered`` with their place in the
+    envelope if it has one (see ``sources.envelope.read_envelope``)."""
+    place = [K.ORDER] if ordered and K.ORDER in envelope.columns else []
+    records = parse_records(records_of(envelope, indicator, prefix), schema, place)
+    return _clean_text(flatten(records, "record", last_segment, place))
 
 
 def gdp(envelope: DataFrame, real_schema: Schema, nominal_schema: Schema | None) -> DataFrame:
@@ -53,7 +55,8 @@ def value_added(envelope: DataFrame, schema: Schema) -> DataFrame:
 
 
 def companies(envelope: DataFrame, schema: Schema) -> DataFrame:
-    return flat_records(envelope, K.DIRECTORY, schema, last_segment=True)
+    """The directory; where the envelope says in which order its rows came, they keep their place."""
+    return flat_records(envelope, K.DIRECTORY, schema, last_segment=True, ordered=True)
 
 
 def ranking(envelope: DataFrame, schema: Schema) -> DataFrame:

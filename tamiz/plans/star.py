@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.functions.periods import year_start
 from tamiz.functions.text import geo_key
@@ -99,15 +100,20 @@ def employment_fact(flat: DataFrame, order: Column | None = None) -> DataFrame:
     return conform(wide, K.STAR["fact_empleo"])
 
 
+def _first_in_files(flat: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
+    """One row per key: the first in the files where the flat table keeps the place of its rows, else the lowest."""
+    target = K.STAR[table]
+    place = [flat.schema[K.ORDER]] if K.ORDER in flat.columns else []
+    keyed = conform(drop_missing(flat, keys), T.StructType([*place, *target.fields]))
+    return first_per_key(keyed, keys, [F.col(c).asc_nulls_last() for c in keyed.columns]).drop(K.ORDER)
+
+
 def company_dimension(flat: DataFrame) -> DataFrame:
-    target = K.STAR["dim_empresas"]
-    keyed = conform(drop_missing(flat, ["ruc"]), target)
-    return first_per_key(keyed, ["ruc"], [F.col(c).asc_nulls_last() for c in keyed.columns])
+    return _first_in_files(flat, ["ruc"], "dim_empresas")
 
 
 def industry_dimension(flat: DataFrame) -> DataFrame:
-    keyed = conform(drop_missing(flat, ["ciiu"]), K.STAR["dim_ciiu"])
-    return first_per_key(keyed, ["ciiu"], [F.col("descripcion").asc_nulls_last()])
+    return _first_in_files(flat, ["ciiu"], "dim_ciiu")
 
 
 def ranking_fact(flat: DataFrame, dim_geography: DataFrame) -> DataFrame:

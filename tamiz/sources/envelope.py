@@ -13,14 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.sources.files import with_file_order
+
 INDICATOR, PAYLOAD = "INDICADOR", "DATOS_JSON"
 ENVELOPE_SCHEMA = T.StructType(
     [T.StructField(INDICATOR, T.StringType()), T.StructField(PAYLOAD, T.StringType())]
 )
 
 
-def read_envelope(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
+def read_envelope(spark: SparkSession, path: str, order: str | None = None) -> DataFrame:
+    """Stored envelope rows; ``order`` names a column for the place of each in its file, which "the last row wins" needs."""
+    rows = spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
+    return with_file_order(rows, order) if order else rows
 
 
 def read_envelope_jdbc(
@@ -70,10 +74,10 @@ def _readable() -> Column:
     return F.try_parse_json(F.col(PAYLOAD)).isNotNull()
 
 
-def parse_records(records: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Payload as a struct column ``record``; rows without a payload, or with one that is no JSON, are left
+def parse_records(records: DataFrame, schema: T.StructType | str, keep: Sequence[str] = ()) -> DataFrame:
+    """Payload as a struct column ``record``, beside the columns to ``keep``; rows without a payload, or with one that is no JSON, are left
     out (see :func:`unreadable`)."""
-    return records.where(F.col(PAYLOAD).isNotNull() & _readable()).select(F.from_json(PAYLOAD, schema).alias("record"))
+    return records.where(F.col(PAYLOAD).isNotNull() & _readable()).select(F.from_json(PAYLOAD, schema).alias("record"), *keep)
 
 
 def unreadable(envelope: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.session import materialise
 from tamiz.sources.records import UTF8, csv_records, decoded, line_effect, text_lines
 
 LATIN1 = "ISO-8859-1"
@@ -136,7 +137,8 @@ def read_csv(
     :func:`csv_records`, split like any other. ``multiline=False`` says that no cell does, and saves the pass over
     the files that finds out. ``order`` names a column for the place of each row in its file (see
     :func:`with_file_order`), ``corrupt`` one for the text of rows that do not parse: too few or too many cells, a cell
-    that is not of its declared type, quotes that never close."""
+    that is not of its declared type, quotes that never close. Rows should be stored before they are asked for that column
+    alone (see :func:`set_aside`)."""
     return _read(spark, _survey(spark, path, sep, encoding, multiline), schema, sep, order, corrupt)
 
 
@@ -192,6 +194,17 @@ def with_file_order(frame: DataFrame, name: str = "orden") -> DataFrame:
     )
 
 
+def set_aside(rows: DataFrame, corrupt: str, order: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """Rows read with ``order`` and ``corrupt``, and beside them (tabla, archivo, bloque, fila, registro) of those that did
+    not parse, for a table of rejected rows.
+
+    Files are parsed once and what came of it is written, since it is read for both. A row that did not parse stays among
+    the rows with what could be read of it."""
+    stored = materialise(rows, f"raw-{table}")
+    bad = stored.where(F.col(corrupt).isNotNull()).select(F.lit(table).alias("tabla"), f"{order}.*", F.col(corrupt).alias("registro"))
+    return stored.drop(corrupt), bad
+
+
 def read_csv_any_charset(
     spark: SparkSession,
     path: str,

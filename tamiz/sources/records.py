@@ -43,10 +43,12 @@ def line_effect(line: Column, sep: str) -> Column:
     """What a line does to the state "inside of quotes".
 
     Doubled quotes are text. Of the others, one at the start of a cell opens it and one at the end closes it, whatever
-    came before; one that is both, alone between separators, turns the state around. Any other is a stray one and text."""
+    came before; one that is both, alone between separators, turns the state around. Any other is a stray one and text.
+    Bytes are looked at one by one: in any charset that extends ASCII, quotes and separators are the same there."""
+    single = F.decode(line.cast("binary"), "ISO-8859-1")
     mark = re.escape(sep)
     start, end = rf"(?<=^|{mark})", rf"(?={mark}|\r?\z)"
-    bare = F.translate(F.replace(line, F.lit('""'), F.lit("")), "\u0001\u0002\u0003", "")
+    bare = F.translate(F.replace(single, F.lit('""'), F.lit("")), "\u0001\u0002\u0003", "")
     marked = F.regexp_replace(bare, f'{start}"{end}', "\u0001")
     marked = F.regexp_replace(marked, f'"{end}', "\u0002")
     marked = F.regexp_replace(marked, f'{start}"', "\u0003")
@@ -55,7 +57,7 @@ def line_effect(line: Column, sep: str) -> Column:
     last = F.substring(F.rtrim(marks, F.lit("\u0001")), -1, 1)
     settled = F.when(last == "\u0003", 1).when(last == "\u0002", 0)
     effect = F.when(settled.isNull(), turns % 2).otherwise((settled + turns) % 2 + _CLOSES)
-    return F.when(F.instr(line, '"') == 0, _KEEPS).otherwise(effect).cast("int")
+    return F.when(~F.contains(line, F.lit('"')), _KEEPS).otherwise(effect).cast("int")
 
 
 def _chained(rows: DataFrame, effect: str, within: WindowSpec) -> DataFrame:

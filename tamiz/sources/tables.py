@@ -16,27 +16,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a table partition side by side, so that a task does not write a small file for
     each of them. The rebalance splits a partition that is too large for one task."""
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and a function from text to its paths."""
     to_path = spark._jvm.org.apache.hadoop.fs.Path
     return to_path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), to_path
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    files, to_path = _files(spark, path)
+    files, to_path = files_of(spark, path)
     files.delete(to_path(path), True)
 
 
 def swap_table(spark: SparkSession, staged: str, path: str) -> None:
     """Put a complete table in place of another. Until the new one has the name, the old one is whole
     beside it under ``path.old``, which a later replacement puts back or removes."""
-    files, to_path = _files(spark, path)
+    files, to_path = files_of(spark, path)
     target, old = to_path(path), to_path(f"{path}.old")
     if files.exists(target):
         files.delete(old, True)
@@ -58,7 +58,7 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def _replace(df: DataFrame, path: str, partition_by: Sequence[str], unless_empty: bool = False) -> bool:
     spark, path = df.sparkSession, path.rstrip("/")
     staged = f"{path}.new"
-    _laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
+    laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
     if unless_empty and spark.read.schema(df.schema).parquet(staged).isEmpty():
         remove(spark, staged)
         return False
@@ -67,7 +67,7 @@ def _replace(df: DataFrame, path: str, partition_by: Sequence[str], unless_empty
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace_unless_empty(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:

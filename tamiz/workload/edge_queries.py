@@ -234,16 +234,17 @@ def files_flow(t: Tables) -> DataFrame:
     month = F.trunc("o_orderdate", "month").cast("string")
     raw("iee", t.orders.groupBy(month.alias("Fecha")).agg(F.count("*").cast("double").alias("IEE_Global")))
     raw("vab", t.nation.select(F.lit(2020).alias("Año"), F.lit("Loja").alias("Provincia"), F.lit("Loja").alias("Canton"), F.lit("A").alias("CIIU"), F.col("n_nationkey").cast("double").alias("VAB_miles_USD")))
-    flat = flows.load_files(t.spark, {name: f"{base}/{name}" for name in flows.FILE_JOBS}, flows.Layer(t.spark, scratch_path(t.spark, "silver")))
+    names = {"directorio": "empresas", "ciiu": "ciiu", "escuelas": "oferta_academica", "registro": "registro", "petroleo": "indicadores_diarios", "iee": "iee", "vab": "vab"}
+    flat = flows.load_files(t.spark, {table: f"{base}/{name}" for name, table in names.items()}, flows.Layer(t.spark, scratch_path(t.spark, "silver")))
     sums = {
         "directorio": "expediente", "ciiu": None, "escuelas": "total_estudiantes", "registro": "estudiantes_f",
         "petroleo": "riesgo_pais_pb", "iee": "iee_global", "vab": "vab_miles_usd",
     }
     return audits.union_all(
         [
-            flat[name].agg(
+            flat[names[name]].agg(
                 F.lit(name).alias("tabla"), F.count("*").alias("filas"),
-                (F.coalesce(F.sum(F.col(c)), F.lit(0)) if c else F.lit(0)).cast("bigint").alias("suma"),
+                (F.coalesce(F.sum(F.col(c).try_cast("double")), F.lit(0)) if c else F.lit(0)).cast("bigint").alias("suma"),
             )
             for name, c in sums.items()
         ]

@@ -11,7 +11,6 @@ from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, refresh, silver, star
 from tamiz.session import materialise, scratch_path
-from tamiz.sources import tables
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables, query, sql_avg, sql_round, sql_sum
 
@@ -223,8 +222,7 @@ def macro_refresh(t: Tables) -> DataFrame:
         F.col("anio").alias("anio_fiscal"), (F.col("pib_real_musd") * 2).alias("pib_real_millones"), F.lit(1500.0).alias("poblacion_total"),
         F.lit(None).cast("double").alias("pib_pc_nominal_usd"), F.col("variacion_pib_pct").alias("tasa_variacion_anual"),
     )
-    tables.refresh_in_place(t.spark, layer.path("fact_macro_anual"), lambda old: refresh.macro(old, newer, dim))
-    return layer.get("fact_macro_anual")
+    return layer.put("fact_macro_anual", refresh.macro(layer.get("fact_macro_anual"), newer, dim))
 
 
 NEW_PERIOD = "2001-2002"
@@ -254,7 +252,7 @@ def school_year_append(t: Tables) -> DataFrame:
     )
     year = refresh.school_year(newer, geography, NEW_PERIOD)
     for _ in range(2):
-        tables.append_new_periods(year, layer.path("fact_oferta_academica"), "anio_lectivo")
+        layer.append_periods("fact_oferta_academica", year, "anio_lectivo")
     return layer.get("fact_oferta_academica").groupBy("anio_lectivo").agg(
         F.count("*").alias("escuelas"), F.count("id_geografia").alias("con_lugar"), F.sum("total_estudiantes").alias("estudiantes"),
         F.sum("bachillerato").alias("bachillerato"), F.sum("bachilleres_3er_anio").alias("bachilleres"),

@@ -221,26 +221,7 @@ def share_within_group(t: Tables) -> DataFrame:
   UNION ALL SELECT 'anio_lectivo', anio_lectivo, count(amie) FROM schools GROUP BY anio_lectivo"""
 )
 def kpi_totals(t: Tables) -> DataFrame:
-    """Dashboard figures: enrolment in all, by province, and schools by school year.
-
-    One pass: schools are counted by place and year, and the three figures come from that.
-    """
-    per_place = M.schools(t).groupBy("id_geografia", "anio_lectivo").agg(
-        F.sum("total_estudiantes").alias("n"), F.count("amie").alias("escuelas")
-    )
-    placed = per_place.join(M.geography(t), "id_geografia")
-    figures = (("total", F.lit(""), "n"), ("provincia", F.col("provincia"), "n"), ("anio_lectivo", F.col("anio_lectivo"), "escuelas"))
-    cells = placed.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("indicador"), key.alias("clave"), F.col(n).alias("valor"))
-                    for name, key, n in figures
-                ]
-            )
-        )
-    )
-    return cells.groupBy("indicador", "clave").agg(F.sum("valor").alias("valor"))
+    return gold.enrolment_figures(M.schools(t), M.geography(t))
 
 
 @query("SELECT event_type, count(*) AS total FROM events GROUP BY event_type")

@@ -32,7 +32,7 @@ def csv_latin1(t: Tables) -> DataFrame:
     """A ``;`` CSV in Latin-1."""
     path = scratch_path(t.spark, "csv-latin1")
     named = t.customer.select("c_custkey", F.concat(F.lit("Compañía "), "c_name").alias("nombre"), "c_acctbal")
-    named.write.options(header=True, sep=";", encoding=files.LATIN1).csv(path)
+    named.write.options(header=True, sep=";", encoding=files.LATIN1, **files.QUOTES).csv(path)
     return files.read_csv(t.spark, path, named.schema, ";", files.LATIN1)
 
 
@@ -45,7 +45,7 @@ def charset_fallback(t: Tables) -> DataFrame:
     lines = t.documents.select("doc_id", "lang", strip(F.regexp_replace("text", r"\s+", " ")).alias("text"))
     spanish = F.col("lang") == "es"
     for rows, encoding in ((lines.where(spanish), files.LATIN1), (lines.where(~spanish), files.UTF8)):
-        rows.write.mode("append").options(header=True, encoding=encoding).csv(path)
+        rows.write.mode("append").options(header=True, encoding=encoding, **files.QUOTES).csv(path)
     return files.read_csv_any_charset(t.spark, path, lines.schema)
 
 

@@ -38,12 +38,12 @@ def difference(df, con, sql: str) -> str | None:
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
     if len(got) != len(want):
-        return f"{len(got)} rows != {len(want)} rows; e.g. {got[:2]} vs {want[:2]}"
+        return f"{len(got)} rows != {len(want)} rows; e.g. {got[:2]} vs {want[:2]}"[:2000]
     if not got:
         return "no rows on either side"
     for a, b in zip(got, want):
         if a != b:
-            return f"{got_columns}: {a} != {b}"
+            return f"{got_columns}: {a} != {b}"[:2000]
         for x, y in zip(a, b):
             if _kind(x) != _kind(y) or isinstance(x, (decimal.Decimal, dt.datetime)):
                 return f"{got_columns}: type {_kind(x)} / {_kind(y)} in {a}"

@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,6 +11,8 @@ from tamiz import session
 from tamiz.plans import contract as K
 from tamiz.plans import indicators
 from tamiz.sources import envelope, files, tables
+from tamiz.sources.layers import Layer
+from tamiz.sources.records import csv_records, text_lines
 from tamiz.streaming.batches import load_in_batches
 
 
@@ -202,3 +208,147 @@ def test_scratch_is_cleared(spark, frame, tmp_path, monkeypatch):
     assert stored.count() == 1 and any(tmp_path.rglob("*.parquet"))
     session.clear_scratch(spark)
     assert not any(tmp_path.rglob("*.parquet"))
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files cut into shares of a few dozen bytes, so that records cross them."""
+    settings = {"spark.sql.files.maxPartitionBytes": "37", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def parsed(record):
+    return next(csv.reader(io.StringIO(record, newline="")))
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_records_across_splits_against_a_sequential_reader(small_splits, tmp_path, ending):
+    rng = random.Random(len(ending))
+    marks = ["a", "b", '"', ",", "\n", "\r\n", " ", "xyz", '""', '",', '"\n', "é", ";"]
+    want = []
+    for i in range(120):
+        cells = ["".join(rng.choice(marks) for _ in range(rng.randrange(60 if i % 9 == 0 else 7))) for _ in range(2)]
+        want.append([str(i), *cells])
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator=ending).writerows(want)
+    path = tmp_path / "r.csv"
+    path.write_bytes(out.getvalue().encode())
+    found = csv_records(small_splits, str(path)).collect()
+    tasks = text_lines(small_splits, str(path)).select("bloque").distinct().count()
+    assert tasks > 20
+    in_order = sorted(found, key=lambda r: (r["bloque"], r["fila"]))
+    assert [parsed(r["registro"]) for r in in_order] == want
+    assert all(r["entero"] for r in found) and [r["primero"] for r in in_order] == [True] + [False] * 119
+
+
+@pytest.mark.parametrize("charset", ["utf-8", "latin-1"])
+def test_line_breaks_are_read_by_more_tasks_than_files(small_splits, tmp_path, charset):
+    rows = [(str(i), f'niño "{i}", dijo\nsí', "ó") for i in range(40)]
+    for part in range(2):
+        out = io.StringIO(newline="")
+        csv.writer(out).writerows([("clave", "la\nnota", "fin"), *rows[part::2]])
+        (tmp_path / f"{part}.csv").write_bytes(out.getvalue().encode(charset))
+    schema = T.StructType.fromDDL("clave INT, `la\nnota` STRING, fin STRING")
+    df = files.read_csv_any_charset(small_splits, str(tmp_path), schema, order="orden")
+    assert df.select("orden.archivo", "orden.bloque").distinct().count() > 10
+    assert sorted(values(df, "clave", "la\nnota", "fin")) == sorted((int(a), b, c) for a, b, c in rows)
+    first = df.groupBy("orden.archivo").agg(F.min_by("clave", "orden").alias("k")).collect()
+    assert sorted(r.k for r in first) == [0, 1]
+
+
+def test_rows_that_do_not_parse_are_found_with_their_place(small_splits, tmp_path):
+    text = 'k,v,w\n1,a,b\n2,a\n3,a,b,c\nx,a,b\n4,5" pipe,z\n5,"two\nlines",b\n6,"two\nlines"\n7,"never\ncloses\n'
+    write(tmp_path / "bad.csv", text)
+    write(tmp_path / "plain.csv", "k,v,w\n8,a,b\n9,a\ny,a,b\n10,a,b,c\n")
+    schema = T.StructType.fromDDL("k INT, v STRING, w STRING")
+    rows = files.read_csv(small_splits, str(tmp_path), schema, order="orden", corrupt="malo")
+    kept, bad = files.set_aside(rows, "malo", "orden", "t")
+    assert sorted(values(kept, "k"), key=str) == sorted([(k,) for k in (1, 2, 3, None, 4, 5, 6, 7, 8, 9, None, 10)], key=str)
+    assert ("4", '5" pipe', "z") in values(kept.select(F.col("k").cast("string"), "v", "w"))
+    found = sorted(values(bad.select(F.regexp_extract("archivo", r"(\w+)\.csv", 1).alias("a"), "registro")))
+    assert found == [("bad", "2,a"), ("bad", "3,a,b,c"), ("bad", '6,"two\nlines"'), ("bad", '7,"never\ncloses'), ("bad", "x,a,b"), ("plain", "10,a,b,c"), ("plain", "9,a"), ("plain", "y,a,b")]
+    assert bad.where("bloque IS NULL OR fila IS NULL").count() == 0
+    # a part of the columns finds the same rows
+    assert len(files.read_csv(small_splits, str(tmp_path), schema, corrupt="malo").select("k", "malo").where("malo IS NOT NULL").collect()) == 8
+
+
+def test_stray_quote_does_not_gather_a_file(small_splits, tmp_path):
+    lines = [f"{i},some text of a row" for i in range(50)]
+    path = write(tmp_path / "s.csv", "\n".join(["1,a", '2,"open', *lines]) + "\n")
+    found = {r["primero"]: r for r in csv_records(small_splits, path, longest=200).collect()}
+    assert found[True]["registro"] == "1,a" and found[False]["registro"] is None and not found[False]["entero"]
+    schema = T.StructType.fromDDL("a STRING, b STRING")
+    assert files.read_csv(small_splits, write(tmp_path / "h.csv", 'a,b\n1,"x\ny"\n'), schema).collect() == [("1", "x\ny")]
+
+
+def test_sink_doubles_quotes_and_keeps_spaces(spark, frame, tmp_path):
+    rows = [(1, 'say "hi", ok'), (2, " outer "), (3, '"'), (4, "a;b\nc"), (5, None), (6, "back\\slash\\"), (7, "cr\rlf\r\n")]
+    path = "file://" + str(tmp_path / "out")
+    tables.write_csv(frame(rows, "k INT, v STRING").coalesce(1), path)
+    written = next((tmp_path / "out").glob("part-*")).read_bytes().decode()
+    assert '"say ""hi"", ok"' in written
+    assert sorted(values(files.read_csv(spark, path, T.StructType.fromDDL("k INT, v STRING"), ";"))) == rows
+
+
+def test_each_sheet_has_its_own_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "Banco,,\nAños,PIB,Población\n1965,10,2\n")
+    write(tmp_path / "b.csv", "Banco,,\n2 hojas,,\nAños,Población,\"PIB, nominal\"\n1970,3,\"9\n9\"\nFuente,,\n")
+    write(tmp_path / "c.csv", "1980,11,4\n")
+    df = files.read_sheet_below_marker(spark, str(tmp_path), "Años")
+    assert sorted(values(df, "Años", "PIB", "Población", "PIB, nominal")) == [("1965", "10", "2", None), ("1970", None, "3", "9\n9"), ("1980", "11", "4", None)]
+
+
+# ---- layers
+
+
+def test_release_is_seen_whole_or_not_at_all(spark, frame, tmp_path):
+    layer = Layer(spark, "file://" + str(tmp_path / "star"), {"f": ["y"]})
+    layer.put_all({"d": frame([(1, "a")], "id INT, v STRING"), "f": frame([(1, "2023")], "id INT, y STRING")})
+    broken = frame([(2, "2024")], "id INT, y STRING").select(F.raise_error(F.lit("lost")).cast("int").alias("id"), "y")
+    with pytest.raises(Exception, match="lost"), layer.release() as new:
+        new.put("d", frame([(9, "z")], "id INT, v STRING"))
+        assert values(new.get("d")) == [(9, "z")] and values(layer.get("d")) == [(1, "a")]
+        new.put("f", broken)
+    assert values(layer.get("d")) == [(1, "a")] and values(layer.get("f"), "id") == [(1,)]
+    with layer.release() as new:
+        new.put("d", frame([(3, "c")], "id INT, v STRING"))
+        new.append_periods("f", frame([(7, "2023"), (8, "2024")], "id INT, y STRING"), "y")
+        reader = layer.get("d")  # planned before the release, read after it
+    assert values(reader) == [(1, "a")]
+    assert values(layer.get("d")) == [(3, "c")]
+    schema = T.StructType.fromDDL("id INT, y STRING")
+    assert sorted(values(layer.get("f", schema), "id", "y")) == [(1, "2023"), (8, "2024")]
+    assert len(layer.folders("f")) == 2
+    layer.append_periods("f", frame([(5, "2024")], "id INT, y STRING"), "y")
+    assert layer.get("f").count() == 2 and len(layer.folders("f")) == 2
+    with pytest.raises(LookupError):
+        layer.get("other")
+
+
+def test_old_releases_go_when_nobody_needs_them(spark, frame, tmp_path):
+    layer = Layer(spark, "file://" + str(tmp_path / "l"), keep=2)
+    for i in range(4):
+        layer.put("t", frame([(i,)], "k INT"))
+    layer.put("u", frame([(0,)], "k INT"))
+    assert values(layer.get("t")) == [(3,)] and layer.releases() == [4, 5]
+    assert sorted(p.name for p in (tmp_path / "l" / "t").iterdir()) == ["carga_n=4"]
+    assert not layer.put_filled({"t": frame([], "k INT")}) and values(layer.get("t")) == [(3,)]
+
+
+def test_latest_period_opens_one_partition(spark, frame, tmp_path):
+    layer = Layer(spark, "file://" + str(tmp_path / "l"), {"f": ["y"], "n": ["y"]})
+    layer.put("f", frame([(1, "2009-2010 a/b"), (2, "2010-2011 a/b"), (3, None)], "k INT, y STRING"))
+    layer.append_periods("f", frame([(4, "2011-2012 a/b")], "k INT, y STRING"), "y")
+    newest = layer.latest("f", "y")
+    assert values(newest, "k", "y") == [(4, "2011-2012 a/b")]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(y" in plan and "Subquery" not in plan and "Aggregate" not in plan
+    assert len(newest.select(F.input_file_name()).distinct().collect()) == 1
+    layer.put("n", frame([(1, 9), (2, 10)], "k INT, y INT"))
+    assert values(layer.latest("n", "y"), "k") == [(2,)]
+    layer.put("n", frame([(1, None)], "k INT, y INT"))
+    assert layer.latest("n", "y").count() == 0
