@@ -85,7 +85,7 @@ UNIQUE_KEYS = {
 ORDER = "orden"
 
 # Tables whose files are laid out by a column that queries filter on.
-PARTITIONS = {"fact_oferta_academica": ("anio_lectivo",)}
+PARTITIONS = {"fact_oferta_academica": ("anio_lectivo",), "envelope": ("INDICADOR",)}
 
 AREAS = ("nacional", "urbana", "rural")
 AREA_TOTALS = {area: f"total_{area}" for area in AREAS}

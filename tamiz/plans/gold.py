@@ -76,10 +76,11 @@ def companies_by_province(ranking: DataFrame, companies: DataFrame, geography: D
     )
 
 
-def graduates_per_company(schools: DataFrame, geography: DataFrame, by_province: DataFrame) -> DataFrame:
-    """Graduates of the latest school year against active companies, by province."""
+def graduates_per_company(schools: DataFrame, geography: DataFrame, by_province: DataFrame, newest: bool = False) -> DataFrame:
+    """Graduates of the latest school year against active companies, by province. ``newest`` says that ``schools`` are
+    those of the latest year already (see ``sources.layers.Layer.latest``), so that it need not be found."""
     graduates = (
-        latest_period(schools, "anio_lectivo")
+        (schools if newest else latest_period(schools, "anio_lectivo"))
         .groupBy("id_geografia")
         .agg(F.sum("bachilleres_3er_anio").alias("n"))
         .join(geography.select("id_geografia", "provincia"), "id_geografia")
@@ -171,8 +172,9 @@ def flat_graduates_per_company(graduates: DataFrame, companies: DataFrame, subst
     )
 
 
-def star_views(t: Tables) -> Tables:
-    """The gold views of the star schema by name."""
+def star_views(t: Tables, newest_schools: DataFrame | None = None) -> Tables:
+    """The gold views of the star schema by name. With the rows of the latest school year given, no row is read to find it."""
+    schools = t["fact_oferta_academica"] if newest_schools is None else newest_schools
     by_province = companies_by_province(t["fact_ranking_empresarial"], t["dim_empresas"], t["dim_geografia"])
     return {
         "gold_pib_tendencia": gdp_trend(t["fact_macro_anual"], t["dim_tiempo"]),
@@ -180,7 +182,7 @@ def star_views(t: Tables) -> Tables:
         "gold_petroleo_30dias": oil_30_days(t["fact_indicadores_diarios"]),
         "gold_empresas_provincia": by_province,
         "gold_bachilleres_vs_empresas": graduates_per_company(
-            t["fact_oferta_academica"], t["dim_geografia"], by_province
+            schools, t["dim_geografia"], by_province, newest_schools is not None
         ),
     }
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,12 +100,17 @@ def schema_profile(envelope: DataFrame) -> DataFrame:
 
 def discover_schema(records: DataFrame) -> T.StructType:
     """Schema of the payloads of one indicator, ready for :func:`parse_records`."""
-    shape = records.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(PAYLOAD)))).first()[0]
+    return _struct_of(records.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(PAYLOAD)))).first()[0])
+
+
+def _struct_of(shape: str | None, voids: bool = False) -> T.StructType:
+    """The type that Spark's text for the shape of variants describes. What was never but NULL is text, unless ``voids``
+    says to keep it apart, since a later load may tell."""
     if not shape or shape == "VOID":
         return T.StructType([])
     # types stand after a colon, an opening bracket or at the start; the same letters in a key do not
     ddl = re.sub(r"(^|: |<)OBJECT<", r"\1STRUCT<", shape)
-    return _widened(T.StructType.fromDDL(re.sub(r"(: |<)VOID(?=[,>]|$)", r"\1STRING", ddl)))
+    return _widened(T.StructType.fromDDL(ddl if voids else re.sub(r"(: |<)VOID(?=[,>]|$)", r"\1STRING", ddl)))
 
 
 def _widened(kind: T.DataType) -> T.DataType:
@@ -140,3 +146,73 @@ def unseen_keys(records: DataFrame, schema: T.StructType, nested: bool = False)
     counted = records.agg(*[F.count_if(holds(p)).alias(f"_{i}") for i, p in enumerate(paths)])
     listed = F.array(*[F.struct(F.lit(".".join(p)).alias("clave"), F.col(f"_{i}").alias("registros")) for i, p in enumerate(paths)])
     return counted.select(F.inline(listed).alias("clave", "registros"))
+
+
+RECORD = "registro"
+
+
+def as_variants(envelope: DataFrame) -> DataFrame:
+    """(INDICADOR, registro): payloads as VARIANT, which needs no schema to be stored. Payloads that are no JSON are left
+    out (see :func:`unreadable`)."""
+    return envelope.select(INDICATOR, F.try_parse_json(F.col(PAYLOAD)).alias(RECORD)).where(F.col(RECORD).isNotNull())
+
+
+def variant_schema(records: DataFrame) -> T.StructType:
+    """Schema of the records of one indicator stored as VARIANT, ready for :func:`join_schemas`."""
+    return _struct_of(records.agg(F.schema_of_variant_agg(RECORD)).first()[0], voids=True)
+
+
+def join_schemas(known: T.DataType, newer: T.DataType) -> T.DataType:
+    """The schema that holds what both do: keys of either, in the order they were first seen, in the wider type. Whole
+    numbers and others make a double; anything else that differs is read as text."""
+    if known == newer:
+        return known
+    if isinstance(known, T.NullType) or isinstance(newer, T.NullType):
+        return newer if isinstance(known, T.NullType) else known
+    if isinstance(known, T.StructType) and isinstance(newer, T.StructType):
+        late = {f.name: f.dataType for f in newer.fields}
+        shared = [T.StructField(f.name, join_schemas(f.dataType, late.pop(f.name)) if f.name in late else f.dataType) for f in known.fields]
+        return T.StructType([*shared, *[T.StructField(n, kind) for n, kind in late.items()]])
+    if isinstance(known, T.ArrayType) and isinstance(newer, T.ArrayType):
+        return T.ArrayType(join_schemas(known.elementType, newer.elementType))
+    if isinstance(known, T.NumericType) and isinstance(newer, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def read_variants(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records stored as VARIANT as a struct column ``record`` of ``schema``, ready for ``operators.columns.flatten``. A
+    value that does not fit its type is NULL."""
+    return records.select(_from_variant("$", schema).alias("record"))
+
+
+def _from_variant(path: str, kind: T.DataType) -> Column:
+    if not isinstance(kind, T.StructType) or not kind.fields:
+        unknown = isinstance(kind, (T.StructType, T.NullType))
+        return F.try_variant_get(RECORD, path, "string" if unknown else kind.simpleString())
+    return F.struct(*[_from_variant(f"{path}['{_quoted(f.name)}']", f.dataType).alias(f.name) for f in kind.fields])
+
+
+def _quoted(name: str) -> str:
+    if "'" in name:
+        raise ValueError(f"a path cannot name the key {name!r}")
+    return name
+
+
+def variant_leaves(spark: SparkSession, records: DataFrame, schema: T.StructType) -> DataFrame:
+    """(INDICADOR, clave, valor) for every value that is no object, in long form: one level of ``variant_explode`` for each
+    level of ``schema``. Keys are joined by dots; arrays stay whole, as text."""
+    level = records.select(INDICATOR, F.lit("").alias("clave"), F.col(RECORD).alias("v"))
+    leaves = []
+    for depth in range(_depth(schema)):
+        exploded = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        at = F.col("key") if depth == 0 else F.concat_ws(".", "clave", "key")
+        found = exploded.where(F.col("key").isNotNull()).select(INDICATOR, at.alias("clave"), F.col("value").alias("v"))
+        inner = F.schema_of_variant("v").startswith("OBJECT")
+        leaves.append(found.where(~inner).select(INDICATOR, "clave", F.col("v").cast("string").alias("valor")))
+        level = found.where(inner)
+    return reduce(DataFrame.unionByName, leaves)
+
+
+def _depth(kind: T.DataType) -> int:
+    return 1 + max((_depth(f.dataType) for f in kind.fields), default=0) if isinstance(kind, T.StructType) else 0

@@ -10,7 +10,7 @@ from tamiz.functions.numbers import exact_avg, exact_sum, half_up
 from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, refresh, silver, star
-from tamiz.session import materialise, scratch_path
+from tamiz.session import scratch_path
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables, query, sql_avg, sql_round, sql_sum
 
@@ -101,7 +101,9 @@ _FLAT_GRADUATES = f"""SELECT CAST(split_part(anio_lectivo, '-', 1) AS INT) AS an
 def envelope_flow(t: Tables) -> DataFrame:
     """Envelope to flat tables to gold: the key figures of every flat view."""
     silver_layer = flows.Layer(t.spark, scratch_path(t.spark, "envelope-flow"))
-    envelope = materialise(full_envelope(t), "envelope")
+    # laid out by indicator, so that each job opens the records of its own
+    raw = flows.Layer(t.spark, scratch_path(t.spark, "envelope"))
+    envelope = raw.put("envelope", full_envelope(t))
     views = gold.flat_views(flows.load_envelope(envelope, ENVELOPE_SCHEMAS, silver_layer))
     figures = {
         "gold_pib_tendencia": (F.col("anio"), F.max("pib_real_musd")),

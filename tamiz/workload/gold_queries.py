@@ -12,7 +12,8 @@ from tamiz.operators.rows import latest_period
 from tamiz.operators.summary import share_within, value_counts
 from tamiz.operators.windows import trailing_mean_of_rows
 from tamiz.plans import gold, star
-from tamiz.session import materialise
+from tamiz.session import materialise, scratch_path
+from tamiz.sources.layers import Layer
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import ORACLES, Tables, query, sql_avg, sql_round, sql_sum
 
@@ -46,7 +47,10 @@ def gold_company_by_region(t: Tables) -> DataFrame:
 def gold_ratio_by_region(t: Tables) -> DataFrame:
     geography = M.geography(t)
     by_province = gold.companies_by_province(M.ranking(t), M.companies(t), geography)
-    return gold.graduates_per_company(M.schools(t), geography, by_province)
+    # stored by school year, so that the latest one is found by its folder
+    layer = Layer(t.spark, scratch_path(t.spark, "schools"), {"schools": ["anio_lectivo"]})
+    layer.put("schools", M.schools(t))
+    return gold.graduates_per_company(layer.latest("schools", "anio_lectivo"), geography, by_province, newest=True)
 
 
 _GDP_TREND = f"""WITH yearly AS ({M.SQL_YEARLY}), nominal AS ({M.SQL_GDP_NOMINAL}), realgdp AS ({M.SQL_GDP_REAL})

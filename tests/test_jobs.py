@@ -320,3 +320,62 @@ def test_refresh_of_a_stored_star_is_repeatable(spark, flat, frame, tmp_path):
     assert sorted(values(tables["fact_macro_anual"], "pib_real_musd")) == [(50.0,), (99.0,), (100.0,)]
     assert tables["fact_vab"].where("ciiu = ''").count() == 0 and tables["fact_vab"].count() == 4
     assert values(tables["fact_empleo_poblacion"], "total_nacional") == [(8,)]
+
+
+NEWER = {
+    "fact_directorio_companias": [("09", 1, "ACTIVA", "Manabí", "Manta", "", "A")],
+    "fact_ranking_empresarial": [(1, "2024", "7", " ")],
+}
+
+
+def test_refresh_that_breaks_half_way_leaves_the_old_star_whole(spark, flat, frame, tmp_path):
+    layer = flows.Layer(spark, "file://" + str(tmp_path / "star"))
+    flows.build_star(flat, layer)
+    before = {name: sorted(values(layer.get(name, schema)), key=str) for name, schema in K.STAR.items() if name != "fact_empleo_poblacion"}
+    grades = [refresh.SCHOOL_GRADE.format(g, x) for g in refresh.GRADES for x in refresh.SEXES]
+    school = frame([("13H9", "N", "Fiscal", "Manabí", "Nueva", *["1"] * 7)], "institucion_amie string, institucion_nombre string, institucion_sostenimiento string, institucion_provincia string, institucion_canton string, "
+                   + ", ".join(f"{c} string" for c in [refresh.SCHOOL_TOTAL, *grades]))
+    from pyspark.sql import functions as F
+
+    newer = {
+        "fact_directorio_companias": frame(NEWER["fact_directorio_companias"], "ruc string, expediente bigint, situacion_legal string, provincia string, canton string, ciiu_nivel1 string, ciiu_nivel6 string"),
+        "fact_ranking_empresarial": frame(NEWER["fact_ranking_empresarial"], "expediente bigint, anio string, ingresos_totales string, ciiu_n6 string"),
+        "fact_macro_anual": frame([(2024, 50.0, 1000, 2.0, 3.0)], "anio_fiscal int, pib_real_millones double, poblacion_total bigint, pib_pc_nominal_usd double, tasa_variacion_anual double"),
+        "fact_empleo_enemdu": frame([("dic-24", 2024, "Empleo", 8.0, 5.0, 3.0)], "periodo string, anio int, indicador string, total_nacional double, total_urbana double, total_rural double"),
+        "fact_mineduc_amie": school,
+    }
+    lost = school.withColumn("institucion_amie", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        flows.refresh_star({**newer, "fact_mineduc_amie": lost}, layer, "2025-2026")
+    assert {name: sorted(values(layer.get(name, K.STAR[name])), key=str) for name in before} == before
+    with pytest.raises(LookupError):
+        layer.get("fact_empleo_poblacion")
+    report = {(r.tabla, r.medida): r.valor for r in flows.refresh_star(newer, layer, "2025-2026").report.collect()}
+    assert report["dim_geografia", "nuevas"] == 1 and report["fact_vab", "limpiadas"] == 1
+    assert report["fact_oferta_academica", "sin_geografia"] == 0 and report["fact_oferta_academica", "cargadas"] == 1
+    again = {(r.tabla, r.medida): r.valor for r in flows.refresh_star(newer, layer, "2025-2026").report.collect()}
+    assert again["dim_geografia", "nuevas"] == 0 and again["fact_oferta_academica", "cargadas"] == 0 and again["fact_vab", "limpiadas"] == 0
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_first_and_last_row_mean_the_order_in_the_files(spark, frame, tmp_path, parts):
+    from pyspark.sql import functions as F
+
+    from tamiz.sources.envelope import read_envelope
+
+    rows = []
+    for i in range(200):  # every number comes twice and every company too; names do not tell which came first
+        rows.append((i, "A", f'{{"ruc": "r{i % 50}", "expediente": {i % 40}, "nombre": "n{(i * 37) % 200:03}", "provincia": "p{(i * 53) % 200:03}", "canton": "c"}}'))
+    path = "file://" + str(tmp_path / f"e{parts}")
+    made = frame(rows, "i INT, INDICADOR STRING, DATOS_JSON STRING").withColumn("INDICADOR", F.lit(K.DIRECTORY))
+    (made.repartitionByRange(parts, "i") if parts > 1 else made.coalesce(1)).sortWithinPartitions("i").drop("i").write.parquet(path)
+    envelope = read_envelope(spark, path, K.ORDER)
+    flat = indicators.companies(envelope, "ruc STRING, expediente BIGINT, nombre STRING, provincia STRING, canton STRING")
+    first, last = {}, {}
+    for i, _, text in rows:
+        first.setdefault(f"r{i % 50}", f"n{(i * 37) % 200:03}")
+        last[i % 40] = (f"r{i % 50}", f"p{(i * 53) % 200:03}")
+    assert dict(values(refresh.companies(flat), "ruc", "nombre")) == first
+    assert {r.expediente: (r.ruc, r.provincia) for r in refresh.directory_lookup(flat).collect()} == last
+    dimension = star.company_dimension(flat)
+    assert dict(values(dimension, "ruc", "nombre")) == first and K.ORDER not in dimension.columns

@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from support import values
+from tamiz.operators import states
+from tamiz.operators.keys import extend_ids
+from tamiz.session import materialise
+from tamiz.sources.envelope import join_schemas
 from tamiz.operators import audits, columns, keys, reshape, rows, summary, windows
 
 
@@ -104,3 +108,29 @@ def test_unbalanced_rows(frame):
 def test_latest_period(frame):
     df = frame([("2009-2010", 1), ("2024-2025", 2), ("2024-2025", 3)], "y string, v int")
     assert sorted(values(rows.latest_period(df, "y"), "v")) == [(2,), (3,)]
+
+
+def test_sets_of_loads_count_each_key_once(frame):
+    first = frame([("a", 1), ("a", 40_000), ("b", 1), ("a", None), ("a", 1)], "g STRING, k BIGINT")
+    second = frame([("a", 40_000), ("a", 3), ("c", 0)], "g STRING, k BIGINT")
+    kept = [states.distinct_state(df, ["g"], "k") for df in (first, second)]
+    merged = states.merge_distinct(kept, ["g"])
+    assert sorted(values(states.count_distinct(merged, ["g"], "n"))) == [("a", 3), ("b", 1), ("c", 1)]
+    some = states.distinct_state(frame([(1,), (3,), (99,)], "k BIGINT"), [], "k")
+    assert sorted(values(states.count_distinct(states.common_distinct(merged, some, ["g"]), ["g"], "n"))) == [("a", 2), ("b", 1)]
+
+
+def test_schemas_of_loads_are_joined():
+    parse = T.StructType.fromDDL
+    known = parse("a BIGINT, m STRUCT<x: BIGINT, v: VOID>, l ARRAY<BIGINT>, t STRING, only STRING")
+    newer = parse("m STRUCT<v: BOOLEAN, x: DOUBLE, z: STRING>, l ARRAY<DOUBLE>, t BIGINT, a BIGINT, late STRUCT<q: BIGINT>")
+    want = parse("a BIGINT, m STRUCT<x: DOUBLE, v: BOOLEAN, z: STRING>, l ARRAY<DOUBLE>, t STRING, only STRING, late STRUCT<q: BIGINT>")
+    assert join_schemas(known, newer) == want and join_schemas(want, known) == want
+
+
+def test_ids_that_were_given_stay(spark, frame):
+    known = frame([(1, "A", None), (2, "B", "x"), (7, "C", "y")], "id BIGINT, p STRING, c STRING")
+    found = frame([("A", None), ("D", "z"), ("A", "n"), ("D", "z"), ("B", "x"), (None, None)], "p STRING, c STRING")
+    grown = extend_ids(known, found, ["p", "c"], "id")
+    assert sorted(values(grown), key=str) == sorted([(1, "A", None), (2, "B", "x"), (7, "C", "y"), (8, None, None), (9, "A", "n"), (10, "D", "z")], key=str)
+    assert extend_ids(materialise(grown, "grown"), found, ["p", "c"], "id").count() == 6

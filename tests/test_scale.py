@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from support import values
 from tamiz.functions.numbers import exact_sum
 from tamiz.operators import audits, keys, rows
-from tamiz.plans import gold
+from tamiz.operators.windows import trailing_mean_of_rows
+from tamiz.plans import gold, partials
+from tamiz.sources.layers import Layer
 from tamiz.workload import QUERIES
 from tamiz.workload.registry import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {"star_flow", "envelope_flow", "table_replace", "period_append_guard", "update_from_source", "chunked_append",
           "company_refresh", "macro_refresh", "school_year_append", "csv_roundtrip", "csv_latin1", "charset_fallback",
-          "preamble_scan", "preamble_by_position", "moving_avg_30_rows", "dense_ids_customer", "dim_geography"}
+          "preamble_scan", "preamble_by_position", "moving_avg_30_rows", "dense_ids_customer", "dim_geography",
+          "refresh_flow", "refresh_values", "star_values", "files_to_star", "refresh_report", "places_outlive_refresh",
+          "graduates_from_partials", "value_added_from_partials"}
 
 
 def plan(df):
@@ -133,6 +137,37 @@ def test_hot_key_in_dedup_references_and_duplicates(spark):
     assert summary.filas_sobrantes == 30_000 - len(want)
 
 
+def test_long_series_beside_short_ones(spark):
+    """One series has a third of the rows and many chunks; frames end where a series does."""
+    rows_ = [(None if i % 3 == 0 else i % 50, i, float(i % 97)) for i in range(3000)]
+    df = spark.createDataFrame(rows_, "s INT, o INT, v DOUBLE").repartition(7)
+    got = {(r.s, r.o): r.m for r in trailing_mean_of_rows(df, ["o"], "v", "m", rows=5, chunk=64, series=["s"]).collect()}
+    seen, want = {}, {}
+    for s, o, v in rows_:
+        last = seen.setdefault(s, [])
+        last.append(v)
+        want[s, o] = sum(last[-5:]) / len(last[-5:])
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) <= 0.005 + 1e-9 for k in want)
+
+
+def test_a_new_period_reads_its_partition_only(spark, tmp_path):
+    """Partials of one more year, and the view of the newest, open the folders of that year."""
+    layer = Layer(spark, "file://" + str(tmp_path), {**partials.PARTITIONS, "schools": ["anio_lectivo"]})
+    schools = spark.createDataFrame([(1, "2000-2001", 5), (2, "2001-2002", 7), (1, "2001-2002", 1)], "id_geografia BIGINT, anio_lectivo STRING, bachilleres_3er_anio BIGINT")
+    layer.put("schools", schools)
+    for year in ("2000-2001", "2001-2002", "2001-2002"):
+        part = partials.school_partial(layer.get("schools").where(F.col("anio_lectivo") == year))
+        assert re.search(r"PartitionFilters: \[isnotnull\(anio_lectivo#\d+\), \(anio_lectivo#\d+ = " + year, plan(part))
+        partials.append(layer, {partials.GRADUATES: part})
+    assert len(layer.folders(partials.GRADUATES)) == 2
+    places = spark.createDataFrame([(1, "A"), (2, "B")], "id_geografia BIGINT, provincia STRING")
+    companies = spark.createDataFrame([("A", 2)], "provincia STRING, empresas_activas BIGINT")
+    view = partials.graduates_by_province(layer, places, companies)
+    assert values(view) == [("A", 1, 2, 0.5), ("B", 7, 0, None)]
+    assert "anio_lectivo" in plan(view) and layer.latest(partials.GRADUATES, "anio_lectivo").inputFiles()
+
+
 def test_exact_sum_does_not_depend_on_partitions(spark):
     df = spark.range(50_000).select((F.col("id") * 0.1).alias("v"))
     totals = {values(df.repartition(n).agg(exact_sum(F.col("v")).cast("double")))[0] for n in (1, 3, 8)}
