@@ -1,11 +1,11 @@
 """Main text of web pages by deducing the template of each host.
 
-Tokens (tags, and words outside the article) that occur equally often on every page of a host share an
-occurrence vector and form an equivalence class. A class is valid if its tokens come in one order on all
+Tokens (tags, words outside of articles, stretches of text inside) that occur equally often on every page of a host share
+an occurrence vector and form an equivalence class. A class is valid if its tokens come in one order on all
 pages and it nests in one gap of the class that occurs once a page; that class is the host's template. The
 gaps are the slots, told apart by the role of the container too: its elements, and the class and id words that
-the host's pages share. A page with an article or main element gives the text of it. From any other page come
-the slots whose prose varies over the host's pages, without the blocks made of template words only.
+the host's pages share. The text of a page is that of the slots whose prose varies over the host's pages, without
+the blocks made of template tokens only; where a page has an article or main element, of the slots in it.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ LEAST_SHARE = 0.5
 #: On fewer different pages nothing is said to recur.
 PAGES_TO_RECUR = 3
 PAGE = 0  # the token that every page has once
+#: Sums of vectors that a worker holds before it passes them on.
+TOKENS_HELD = 50_000
 
 # Fixed values of HTML.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "title")
@@ -197,11 +199,25 @@ def shared_names(pages: DataFrame) -> DataFrame:
     return shared.groupBy("host").agg(F.sort_array(F.collect_list("name")).alias("names"))
 
 
+#: What a page's row says about its host.
+OF_HOST = ("names", "classes", "template", "fixed", "slots")
+
+
 def _rows(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
-    """Values of the named columns and, last, the pieces of the page."""
-    names = batch.column("names").to_pylist() if "names" in batch.schema.names else [None] * batch.num_rows
-    for *values, page, shared in zip(*(batch.column(c).to_pylist() for c in (*columns, "html")), names):
-        yield *values, page, pieces(page, frozenset(shared or ()))
+    """Values of the named columns, then the page and its pieces.
+
+    Lists of a host come with each of its pages; they are made Python objects once for a run of pages, as sets but for
+    ``classes``."""
+    wanted = [c for c in OF_HOST if c in batch.schema.names]
+    hosts, pages = batch.column("host").to_pylist(), batch.column("html")
+    own = [batch.column(c).to_pylist() if c not in OF_HOST else None for c in columns]
+    of_host: dict = {}
+    for i, host in enumerate(hosts):
+        if not i or host != hosts[i - 1]:
+            of_host = {c: batch.column(c)[i].as_py() or () for c in wanted}
+            of_host |= {c: frozenset(v) for c, v in of_host.items() if c != "classes"}
+        page = pages[i].as_py()
+        yield *(of_host[c] if values is None else values[i] for c, values in zip(columns, own)), page, pieces(page, of_host.get("names", frozenset()))
 
 
 def token(kind: str, name: str, path: str) -> int:
@@ -213,15 +229,25 @@ def tokens(page: list[Piece], with_words: bool = True) -> Iterator[tuple[int, in
     for i, p in enumerate(page):
         if p.tag:
             yield i, token("/" if p.closing else "<", p.tag, p.path)
-        elif with_words and not p.main:
-            for word in html.unescape(p.text).split():
-                yield i, token("w", word, p.path)
+        elif with_words and (words := html.unescape(p.text).split()):
+            # in an article words coincide for other reasons, whole stretches of text do not
+            for word in [" ".join(words)] if p.main else words:
+                yield i, token("t" if p.main else "w", word, p.path)
 
 
 def _vectors(batches: Batches) -> Batches:
+    def summed(seen: dict[tuple[str, int, bool], list[int]]) -> pa.RecordBatch:
+        keys = list(seen)
+        columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.bool_()))]
+        columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(6)]
+        return pa.RecordBatch.from_arrays(columns, ["host", "token", "word", "v1", "v2", "support", "total", "low", "high"])
+
     for batch in batches:
         seen: dict[tuple[str, int, bool], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 1 << 62, 0])
         for host, row, page, found in _rows(batch, "host", "row"):
+            if len(seen) > TOKENS_HELD:
+                yield summed(seen)
+                seen.clear()
             copy = xxhash.xxh64_intdigest(page) >> 2
             tags = Counter(t for _, t in tokens(found, with_words=False))
             counts = Counter(t for _, t in tokens(found))
@@ -234,10 +260,7 @@ def _vectors(batches: Batches) -> Batches:
                 sums[2] += 1
                 sums[3] += n
                 sums[4], sums[5] = min(sums[4], copy), max(sums[5], copy)
-        keys = list(seen)
-        columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.bool_()))]
-        columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(6)]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "token", "word", "v1", "v2", "support", "total", "low", "high"])
+        yield summed(seen)
 
 
 def occurrence_classes(pages: DataFrame) -> DataFrame:
@@ -267,7 +290,6 @@ def _layouts(batches: Batches) -> Batches:
     for batch in batches:
         rows = []
         for host, classes, _, found in _rows(batch, "host", "classes"):
-            classes = classes or []
             of = {t: c["class"] for c in classes for t in c["tokens"]}
             base = next((c["class"] for c in classes if c["once"]), None)
             orders, gaps, gap = defaultdict(list), {}, 0
@@ -323,7 +345,7 @@ def _key(gap: int, piece: Piece) -> str:
 
 
 def _slots(batches: Batches) -> Batches:
-    """By page and slot outside sure parts of articles: how much text there is, how much in links, and its hash."""
+    """By page and slot: how much text there is, how much in links, and its hash."""
     kinds = {"host": pa.string(), "slot": pa.string(), "path": pa.string(), "unsure": pa.string()}
     kinds |= dict.fromkeys(("part", "chars", "links", "text", "page"), pa.int64())
     for batch in batches:
@@ -332,11 +354,9 @@ def _slots(batches: Batches) -> Batches:
             copy = xxhash.xxh64_intdigest(page) >> 1
             has_article = any(p.part in (ARTICLE, ARTICLE_UNSURE) for p in found)
             rows.append((host, "", "", "", PAGE_WITH if has_article else PAGE_WITHOUT, 0, 0, 0, copy))
-            if has_article and not any(p.part == ARTICLE_UNSURE for p in found):
-                continue
             sums: dict[str, list] = {}
-            for gap, p in _gaps(found, frozenset(template or ())):
-                if p.part not in (LEFT_OUT, ARTICLE) and (words := p.text.split()):
+            for gap, p in _gaps(found, template):
+                if p.part != LEFT_OUT and (words := p.text.split()):
                     total = sums.setdefault(_key(gap, p), [p, 0, 0, xxhash.xxh64()])
                     size = sum(map(len, words))
                     total[1] += size
@@ -348,9 +368,10 @@ def _slots(batches: Batches) -> Batches:
 
 
 def content_slots(pages: DataFrame) -> DataFrame:
-    """(host, slots): the slots that hold the article, of pages without an article element and of unsure parts of articles.
+    """(host, slots): the slots that hold the article.
 
-    A slot is constant if its text is the same on half of its pages or more. The root is the container with most prose
+    A slot is constant if its text is the same on half of its pages or more. In articles a slot goes only if it
+    recurs on the host's pages and has one text on all of them. Of pages without an article element, the root is the container with most prose
     (mostly not links, not constant), of containers without a mark if any has some. Slots in the root and slots with
     prose are kept, unless constant. A container with an unsure mark counts as one without if it encloses the root; in
     the root or in an article it goes if it recurs on the host's pages and is constant or mostly links; else it goes."""
@@ -365,17 +386,18 @@ def content_slots(pages: DataFrame) -> DataFrame:
     links = 2 * F.col("links") >= F.col("chars")
     sized = sized.where(part < PAGE_WITH).select("*", constant.alias("constant"), F.when(~links & ~constant, F.col("chars")).otherwise(0).alias("prose"))
     clean = lambda c: F.sum(F.when(part != MARKED, F.col(c)).otherwise(0))
-    containers = sized.where(part != ARTICLE_UNSURE).groupBy("host", "path").agg(
+    containers = sized.where(~part.isin(ARTICLE, ARTICLE_UNSURE)).groupBy("host", "path").agg(
         F.struct(clean("prose").alias("clean"), F.sum("prose").alias("prose"), clean("chars").alias("chars"), path).alias("size")
     )
     best = containers.groupBy("host").agg(F.max("size").alias("best"))
     best = best.select("host", F.col("best.path").alias("root"), F.col("best.clean").alias("clean"), F.col("best.prose").alias("most"), F.col("best.chars").alias("unmarked"))
     within = lambda inner, outer: (inner == outer) | inner.startswith(F.concat(outer, F.lit("/")))
-    recurs = (F.col("pages") >= PAGES_TO_RECUR) & (2 * F.col("pages") >= F.when(part == ARTICLE_UNSURE, F.col("with")).otherwise(F.col("without")))
+    recurs = (F.col("pages") >= PAGES_TO_RECUR) & (2 * F.col("pages") >= F.when(part.isin(ARTICLE, ARTICLE_UNSURE), F.col("with")).otherwise(F.col("without")))
     template = recurs & (F.col("constant") | links)
     plain = (F.col("prose") > 0) | within(path, root) & ~(F.col("constant") & (F.col("most") > 0))
     kept = (
-        F.when(part == ARTICLE_UNSURE, ~template)
+        F.when(part == ARTICLE, ~(recurs & (F.col("texts") == 1)))
+        .when(part == ARTICLE_UNSURE, ~template)
         .when(part == PLAIN, plain)
         .when(part == UNSURE, F.when(within(root, unsure), plain).otherwise(within(path, root) & ~template))
         .otherwise((F.col("clean") == 0) & ((F.col("most") > 0) | (F.col("unmarked") == 0)) & within(path, root))
@@ -384,16 +406,25 @@ def content_slots(pages: DataFrame) -> DataFrame:
 
 
 def article_text(found: list[Piece], template: frozenset[int], fixed: frozenset[int], slots: frozenset[str]) -> str:
-    """The blocks of text in articles and in the given slots, one to a line. Outside articles, blocks whose words are
-    all ``fixed`` are part of the template."""
-    blocks, open_block, varied = [], [], False
+    """The blocks of text in the given slots, one to a line, without those that are part of the template: outside of
+    articles, all of their words are ``fixed``, inside, each stretch of text is in the ``template``.
+
+    A page whose article would lose half of its text or more is not what its host's other pages are; its article stays whole."""
+    blocks: list[str] = []
+    whole: list[str] = []  # of the article, whatever the slots
+    open_block: list[str] = []
+    open_whole: list[str] = []
+    varied = False
 
     def close() -> None:
         nonlocal varied
         text = " ".join(html.unescape("".join(open_block)).split())
         if text and varied:
             blocks.append(text)
+        if text := " ".join(html.unescape("".join(open_whole)).split()):
+            whole.append(text)
         open_block.clear()
+        open_whole.clear()
         varied = False
 
     for gap, p in _gaps(found, template):
@@ -402,21 +433,32 @@ def article_text(found: list[Piece], template: frozenset[int], fixed: frozenset[
                 close()
             elif p.tag == "br":
                 open_block.append(" ")
-        elif not p.text.strip():
+                open_whole.append(" ")
+            continue
+        words = p.text.split()
+        in_article = p.part == ARTICLE
+        if not words or in_article:
+            open_whole.append(p.text)
+        if not words:
             open_block.append(p.text)
-        elif p.part == ARTICLE or p.part != LEFT_OUT and _key(gap, p) in slots:
+        elif p.part != LEFT_OUT and _key(gap, p) in slots:
             open_block.append(p.text)
-            varied = varied or p.main or not fixed or any(token("w", w, p.path) not in fixed for w in html.unescape(p.text).split())
+            if not varied:
+                words = html.unescape(p.text).split()
+                varied = (
+                    token("t", " ".join(words), p.path) not in template
+                    if p.main
+                    else not fixed or any(token("w", w, p.path) not in fixed for w in words)
+                )
     close()
+    if whole and 2 * sum(map(len, blocks)) <= sum(map(len, whole)):
+        return "\n".join(whole)
     return "\n".join(blocks)
 
 
 def _extract(batches: Batches) -> Batches:
     for batch in batches:
-        texts = [
-            article_text(found, *(frozenset(x or ()) for x in (template, fixed, slots)))
-            for template, fixed, slots, _, found in _rows(batch, "template", "fixed", "slots")
-        ]
+        texts = [article_text(found, *lists) for *lists, _, found in _rows(batch, "template", "fixed", "slots")]
         kept = [batch.column(c) for c in ("page_id", "url")]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
@@ -441,6 +483,6 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     slotted = rows.join(materialise(templates, "templates"), "host", "left")
     slots = materialise(content_slots(slotted.select("host", "html", "names", "template")), "content-slots")
     return map_batches(
-        slotted.join(slots, "host", "left").select("page_id", "url", "html", "names", "template", "fixed", "slots"), _extract,
+        slotted.join(slots, "host", "left").select("page_id", "url", "host", "html", "names", "template", "fixed", "slots"), _extract,
         "page_id long, url string, text string, n_chars long",
     )

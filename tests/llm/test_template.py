@@ -131,3 +131,77 @@ def test_template_decides(spark, monkeypatch):
     assert whole == f"Read all of our stories\n{want[0]}\nThanks for reading"
     # copies of one page have no template
     assert extracted(spark, [pages[0]] * 9) == [whole] * 9
+
+
+def test_template_decides_in_articles_too(spark):
+    rng = random.Random(7)
+    texts = [(prose(rng, 6), prose(rng), prose(rng)) for _ in range(12)]
+    box = "<article><div class=lead><p>Read all of our stories</p></div><h1>{}</h1><p>{}</p><p>{}</p><p>Thanks for reading</p></article>"
+    pages = [f"<body><nav><a href=/>home</a></nav>{box.format(*t)}</body>" for t in texts]
+    assert extracted(spark, pages) == ["\n".join(t) for t in texts]
+    # too few pages to tell a template: the article is whole
+    assert extracted(spark, pages[:2]) == ["\n".join(["Read all of our stories", *t, "Thanks for reading"]) for t in texts[:2]]
+    # one article on all pages but one is no template of the host's articles
+    copies = [pages[0].replace("home", f"home {i}") for i in range(11)] + [pages[1]]
+    assert extracted(spark, copies) == ["\n".join(texts[0])] * 11 + ["\n".join(texts[1])]
+
+
+def plain_classes(pages):
+    """Tokens of one host by their exact occurrence vectors, and which classes keep their order and one gap."""
+    found = [template.pieces(page) for page in pages]
+    counts = [dict.fromkeys((), 0) for _ in found]
+    words = set()
+    for count, page in zip(counts, found):
+        tags = {t for _, t in template.tokens(page, with_words=False)}
+        for _, t in template.tokens(page):
+            count[t] = count.get(t, 0) + 1
+            if t not in tags:
+                words.add(t)
+    every = {t for c in counts for t in c}
+    vectors = {}
+    for t in every:
+        support = sum(t in c for c in counts)
+        copies = {page for page, c in zip(pages, counts) if t in c}
+        if support >= template.LEAST_SHARE * len(pages) and (t not in words or len(pages) >= template.PAGES_FOR_WORDS and len(copies) > 1):
+            vectors.setdefault(tuple(c.get(t, 0) for c in counts), set()).add(t)
+    classes = {v: ts for v, ts in vectors.items() if len(ts) > 1}
+    base = classes.get((1,) * len(pages), set())
+    valid = {}
+    for v, ts in classes.items():
+        orders, gaps, whole = set(), set(), True
+        for page in found:
+            gap, order = 0, []
+            for _, t in template.tokens(page):
+                if t in ts:
+                    order.append(t)
+                    if ts is not base:
+                        gaps.add(gap)
+                gap += t in base
+            if order:
+                cycle = len(set(order))
+                whole &= all(order[i] == order[i % cycle] for i in range(len(order)))
+                orders.add(tuple(order[:cycle]))
+        if whole and len(orders) == 1 and len(gaps) <= 1:
+            valid[v] = ts
+    return classes, valid
+
+
+def test_classes_against_plain_deduction(spark, site):
+    for host in ("one.example", "two.example"):
+        rows = [r for r in site[0] if f"//{host}/" in r[1]]
+        classes, valid = plain_classes([page for _, _, page in rows])
+        named = spark.createDataFrame(rows, PAGE).select(F.lit(host).alias("host"), F.col("page_id").alias("row"), "html").repartition(3)
+        got = template.occurrence_classes(named)
+        as_sets = lambda df: {frozenset(r["tokens"]) for r in df.collect()}
+        assert as_sets(got) == {frozenset(t) for t in classes.values()} and len(classes) > 2
+        assert as_sets(template.valid_classes(named, got)) == {frozenset(t) for t in valid.values()}
+
+
+def test_hot_host(spark):
+    """A third of all pages and more are one host's, with lists that are long beside its pages."""
+    rng = random.Random(9)
+    items = "".join(f"<li class=i{i}>item number {i}</li>" for i in range(300))
+    texts = [prose(rng) for _ in range(300)]
+    pages = [(i, f"http://{'hot' if i % 3 else f'h{i}'}/{i}", f"<body><ul>{items}</ul><article><p>{t}</p></article></body>") for i, t in enumerate(texts)]
+    got = template.extract_articles(spark.createDataFrame(pages, PAGE).repartition(6)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(texts))
