@@ -13,8 +13,9 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -220,24 +221,44 @@ def _rows(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
         yield *(of_host[c] if values is None else values[i] for c, values in zip(columns, own)), page, pieces(page, of_host.get("names", frozenset()))
 
 
+@lru_cache(1 << 16)
 def token(kind: str, name: str, path: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind}\0{name}\0{path}") >> 1 or 1
+    """A tag, a word, or a stretch of text in an article; the last kind alone has odd numbers."""
+    return xxhash.xxh64_intdigest(f"{kind}\0{name}\0{path}") >> 2 << 1 or 2
 
 
-def tokens(page: list[Piece], with_words: bool = True) -> Iterator[tuple[int, int]]:
-    """(index of the piece, token): the role of a token is its place among the containers."""
+def text_token(words: list[str], path: str) -> int:
+    return token.__wrapped__("t", " ".join(words), path) | 1
+
+
+def has_texts(some: Iterable[int]) -> bool:
+    return any(t & 1 for t in some)
+
+
+def unescaped(text: str) -> str:
+    return html.unescape(text) if "&" in text else text
+
+
+def tokens(page: list[Piece], with_words: bool = True, with_texts: bool = True) -> Iterator[tuple[int, int]]:
+    """(index of the piece, token): the role of a token is its place among the containers.
+
+    In an article words coincide for other reasons, whole stretches of text do not."""
     for i, p in enumerate(page):
         if p.tag:
             yield i, token("/" if p.closing else "<", p.tag, p.path)
-        elif with_words and (words := html.unescape(p.text).split()):
-            # in an article words coincide for other reasons, whole stretches of text do not
-            for word in [" ".join(words)] if p.main else words:
-                yield i, token("t" if p.main else "w", word, p.path)
+        elif not with_words or p.main and not with_texts:
+            continue
+        elif not p.main:
+            for word in unescaped(p.text).split():
+                yield i, token("w", word, p.path)
+        elif words := unescaped(p.text).split():
+            yield i, text_token(words, p.path)
 
 
 def _vectors(batches: Batches) -> Batches:
     def summed(seen: dict[tuple[str, int, bool], list[int]]) -> pa.RecordBatch:
-        keys = list(seen)
+        # stretches of text belong to the class that every page has once or to none, so one that a page lacks goes at once
+        keys = [k for k in seen if not k[1] & 1 or seen[k][2] == seen[k[0], PAGE, False][2] == seen[k][3]]
         columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.bool_()))]
         columns += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(6)]
         return pa.RecordBatch.from_arrays(columns, ["host", "token", "word", "v1", "v2", "support", "total", "low", "high"])
@@ -249,12 +270,12 @@ def _vectors(batches: Batches) -> Batches:
                 yield summed(seen)
                 seen.clear()
             copy = xxhash.xxh64_intdigest(page) >> 2
-            tags = Counter(t for _, t in tokens(found, with_words=False))
-            counts = Counter(t for _, t in tokens(found))
-            counts[PAGE] = 1
-            for t, n in counts.items():
-                h = xxhash.xxh64_intdigest(f"{row} {n}")
-                sums = seen[host, t, t != PAGE and t not in tags]
+            counts = Counter((t, not found[i].tag) for i, t in tokens(found))
+            counts[PAGE, False] = 1
+            hashes = {n: xxhash.xxh64_intdigest(f"{row} {n}") for n in set(counts.values())}
+            for (t, word), n in counts.items():
+                h = hashes[n]
+                sums = seen[host, t, word]
                 sums[0] += h & 0x7FFFFFFF
                 sums[1] += h >> 33
                 sums[2] += 1
@@ -265,7 +286,7 @@ def _vectors(batches: Batches) -> Batches:
 
 def occurrence_classes(pages: DataFrame) -> DataFrame:
     """(host, class, once, tokens): tokens that share an occurrence vector, at least two of them, on at
-    least half of the host's pages. ``once``: the class occurs once on every page.
+    least half of the host's pages. ``once``: the class occurs once on every page, as stretches of text in articles have to.
 
     A vector is held as two sums over pages of a hash of page and count, so it is built by partial sums
     whatever the number of pages. Words that only copies of one page have are no template words."""
@@ -275,12 +296,12 @@ def occurrence_classes(pages: DataFrame) -> DataFrame:
         F.min("low").alias("low"), F.max("high").alias("high"),
     )
     vectors = materialise(vectors, "occurrence-vectors")
+    is_text, whole = F.col("token") % 2 == 1, (F.col("support") == F.col("pages")) & (F.col("total") == F.col("pages"))
     of_host = vectors.where(F.col("token") == PAGE).select("host", F.col("support").alias("pages"))
     frequent = vectors.where(F.col("token") != PAGE).join(of_host, "host").where(
         (F.col("support") >= LEAST_SHARE * F.col("pages")) & (~F.col("word") | (F.col("pages") >= PAGES_FOR_WORDS) & (F.col("low") != F.col("high")))
-    )
-    once = (F.col("support") == F.col("pages")) & (F.col("total") == F.col("pages"))
-    classes = frequent.groupBy("host", F.xxhash64("v1", "v2", "support", "total").alias("class"), once.alias("once"))
+    ).where(~is_text | whole)
+    classes = frequent.groupBy("host", F.xxhash64("v1", "v2", "support", "total").alias("class"), whole.alias("once"))
     return classes.agg(F.sort_array(F.collect_list("token")).alias("tokens")).where(F.size("tokens") > 1)
 
 
@@ -293,7 +314,7 @@ def _layouts(batches: Batches) -> Batches:
             of = {t: c["class"] for c in classes for t in c["tokens"]}
             base = next((c["class"] for c in classes if c["once"]), None)
             orders, gaps, gap = defaultdict(list), {}, 0
-            for _, t in tokens(found):
+            for _, t in tokens(found, with_texts=has_texts(of)):
                 if (c := of.get(t)) is None:
                     continue
                 orders[c].append(t)
@@ -330,14 +351,17 @@ def valid_classes(pages: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _gaps(page: list[Piece], template: frozenset[int]) -> Iterator[tuple[int, Piece]]:
     """Pieces with the gap of the template they are in."""
-    marks = Counter(i for i, t in tokens(page) if t in template)
+    marks: dict[int, int] = {}
+    for i, t in tokens(page, with_texts=has_texts(template)) if template else ():
+        if t in template:
+            marks[i] = marks.get(i, 0) + 1
     gap = 0
     for i, p in enumerate(page):
-        if p.tag and marks[i]:
+        if p.tag and i in marks:
             gap += 1
         yield gap, p
         if not p.tag:
-            gap += marks[i]
+            gap += marks.get(i, 0)
 
 
 def _key(gap: int, piece: Piece) -> str:
@@ -356,12 +380,14 @@ def _slots(batches: Batches) -> Batches:
             rows.append((host, "", "", "", PAGE_WITH if has_article else PAGE_WITHOUT, 0, 0, 0, copy))
             sums: dict[str, list] = {}
             for gap, p in _gaps(found, template):
-                if p.part != LEFT_OUT and (words := p.text.split()):
+                if p.part != LEFT_OUT and (text := p.text.strip()):
                     total = sums.setdefault(_key(gap, p), [p, 0, 0, xxhash.xxh64()])
-                    size = sum(map(len, words))
-                    total[1] += size
-                    total[2] += size * p.link
-                    total[3].update(" ".join([*words, ""]))
+                    if p.part != ARTICLE:
+                        words = text.split()
+                        text, size = " ".join([*words, ""]), sum(map(len, words))
+                        total[1] += size
+                        total[2] += size * p.link
+                    total[3].update(text)
             rows += [(host, k, p.path, p.unsure, p.part, n, links, h.intdigest() >> 1, copy) for k, (p, n, links, h) in sums.items()]
         columns = list(zip(*rows)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
@@ -414,15 +440,17 @@ def article_text(found: list[Piece], template: frozenset[int], fixed: frozenset[
     whole: list[str] = []  # of the article, whatever the slots
     open_block: list[str] = []
     open_whole: list[str] = []
-    varied = False
+    varied, texts_known = False, has_texts(template)
 
     def close() -> None:
         nonlocal varied
-        text = " ".join(html.unescape("".join(open_block)).split())
-        if text and varied:
-            blocks.append(text)
-        if text := " ".join(html.unescape("".join(open_whole)).split()):
-            whole.append(text)
+        if open_block or open_whole:
+            text = " ".join(unescaped("".join(open_block)).split())
+            full = text if open_whole == open_block else " ".join(unescaped("".join(open_whole)).split())
+            if text and varied:
+                blocks.append(text)
+            if full:
+                whole.append(full)
         open_block.clear()
         open_whole.clear()
         varied = False
@@ -435,21 +463,17 @@ def article_text(found: list[Piece], template: frozenset[int], fixed: frozenset[
                 open_block.append(" ")
                 open_whole.append(" ")
             continue
-        words = p.text.split()
-        in_article = p.part == ARTICLE
-        if not words or in_article:
+        blank = not p.text or p.text.isspace()
+        if blank or p.part == ARTICLE:
             open_whole.append(p.text)
-        if not words:
+        if blank:
             open_block.append(p.text)
         elif p.part != LEFT_OUT and _key(gap, p) in slots:
             open_block.append(p.text)
-            if not varied:
-                words = html.unescape(p.text).split()
-                varied = (
-                    token("t", " ".join(words), p.path) not in template
-                    if p.main
-                    else not fixed or any(token("w", w, p.path) not in fixed for w in words)
-                )
+            if not varied and p.main:
+                varied = not texts_known or text_token(unescaped(p.text).split(), p.path) not in template
+            elif not varied:
+                varied = not fixed or any(token("w", w, p.path) not in fixed for w in unescaped(p.text).split())
     close()
     if whole and 2 * sum(map(len, blocks)) <= sum(map(len, whole)):
         return "\n".join(whole)

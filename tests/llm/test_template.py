@@ -162,6 +162,8 @@ def plain_classes(pages):
     for t in every:
         support = sum(t in c for c in counts)
         copies = {page for page, c in zip(pages, counts) if t in c}
+        if t & 1 and any(c.get(t) != 1 for c in counts):
+            continue
         if support >= template.LEAST_SHARE * len(pages) and (t not in words or len(pages) >= template.PAGES_FOR_WORDS and len(copies) > 1):
             vectors.setdefault(tuple(c.get(t, 0) for c in counts), set()).add(t)
     classes = {v: ts for v, ts in vectors.items() if len(ts) > 1}
