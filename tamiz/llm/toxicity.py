@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments.
 
-Each token has a log-odds score between the two classes under an informative Dirichlet prior; tokens
-without evidence cost a little. A linear-time scan finds every maximal segment of a text, extreme-value
+Each token has a log-odds score between the two classes under an informative Dirichlet prior, drawn towards zero by
+its own uncertainty; every token also costs a little. A linear-time scan finds every maximal segment of a text, extreme-value
 statistics say how surprising the best one is for a text of that length, and a logistic curve fitted on
 training texts turns that into a probability.
 """
@@ -11,9 +11,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ from tamiz.llm.quality import labelled_sample
 from tamiz.session import materialise
 
 WORD = re.compile(r"\w+")
+#: Contexts that a worker holds before it passes them on.
+CONTEXTS_HELD = 200_000
 
 
 def words(text: str) -> list[str]:
@@ -55,7 +59,7 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
 
 @dataclass
 class ToxicModel:
-    """``scores``: log-odds of the telling tokens; any other token costs ``cost``."""
+    """``scores``: log-odds of tokens, of either sign; a token without one has 0. Each token costs ``cost`` besides."""
 
     scores: dict[str, float] = field(default_factory=dict)
     cost: float = 0.5
@@ -65,20 +69,22 @@ class ToxicModel:
     shift: float = 0.0
     significance: float = 0.01
 
-    def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of tokens, and the maximal segments as character spans."""
-        tokens = list(WORD.finditer(text))
-        hits = [(i, s) for i, m in enumerate(tokens) if (s := self.scores.get(m[0].lower()))]
-        # a stretch without telling tokens acts as one token of its summed cost
-        scores, place, last = [], [], -1
-        for i, s in hits:
-            if i > last + 1:
-                scores.append(-self.cost * (i - last - 1))
-                place.append(-1)
-            scores.append(s)
-            place.append(i)
-            last = i
-        return len(tokens), [(tokens[place[a]].start(), tokens[place[b - 1]].end(), s) for a, b, s in maximal_segments(scores)]
+    def token_scores(self, found: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.scores.get, found, repeat(0.0)), np.float64, len(found)) - self.cost
+
+    def segments(self, found: list[str]) -> list[tuple[int, int, float]]:
+        """The maximal segments of a text's tokens, (first, end exclusive, score)."""
+        each = self.token_scores(found)
+        gains = np.flatnonzero(each > 0)
+        if not len(gains):
+            return []
+        # a segment begins and ends with a gain; the stretch between two acts as one token of its sum
+        through = np.r_[0.0, np.cumsum(each)]
+        between = through[gains[1:]] - through[gains[:-1] + 1]
+        scores = np.empty(2 * len(gains) - 1)
+        scores[::2], scores[1::2] = each[gains], between
+        place = gains.tolist()
+        return [(place[a // 2], place[(b - 1) // 2] + 1, score) for a, b, score in maximal_segments(scores.tolist())]
 
     def expected(self, n: int, score: float) -> float:
         """How many segments of that score a clean text of ``n`` tokens has."""
@@ -91,12 +97,15 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.asarray(statistic, dtype=float) + self.shift, -60, 60)))
 
     def read(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
-        """The text's statistic and its significant segments."""
+        """The text's statistic and its significant segments, as character spans."""
         found = words(text)
-        if self.scores.keys().isdisjoint(found):
-            return self.statistic(len(found), []), []
-        n, segments = self.segments(text)
-        return self.statistic(n, segments), [x for x in segments if self.expected(n, x[2]) <= self.significance]
+        segments = self.segments(found)
+        told = [x for x in segments if self.expected(len(found), x[2]) <= self.significance]
+        if told:
+            spans = [m.span() for m in WORD.finditer(text)]
+            # lower case may make two words of one; then the place is not known word by word
+            told = [(spans[a][0], spans[b - 1][1], score) for a, b, score in told] if len(spans) == len(found) else [(0, len(text), told[0][2])]
+        return self.statistic(len(found), segments), told
 
 
 def _counts(batches: Batches) -> Batches:
@@ -113,6 +122,13 @@ def _counts(batches: Batches) -> Batches:
 
 
 def _contexts(telling: frozenset[str]):
+    """(token, hash of its neighbours, label)."""
+
+    def listed(seen: set) -> pa.RecordBatch:
+        columns = list(zip(*seen)) or [[], [], []]
+        kinds = (pa.string(), pa.int64(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["token", "context", "label"])
+
     def find(batches: Batches) -> Batches:
         seen = set()
         for batch in batches:
@@ -121,10 +137,11 @@ def _contexts(telling: frozenset[str]):
                 if telling.isdisjoint(found):
                     continue
                 padded = ["", *found, ""]
-                seen.update((w, padded[i], padded[i + 2], label) for i, w in enumerate(found) if w in telling)
-        columns = list(zip(*seen)) or [[], [], [], []]
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["token", "before", "after", "label"])
+                seen.update((w, xxhash.xxh64_intdigest(f"{padded[i]} {padded[i + 2]}") >> 1, label) for i, w in enumerate(found) if w in telling)
+            if len(seen) > CONTEXTS_HELD:
+                yield listed(seen)
+                seen.clear()
+        yield listed(seen)
 
     return find
 
@@ -137,10 +154,15 @@ def _log_odds(n1, n0, total1, total0, strength):
     return delta, delta / F.sqrt(1 / (n1 + prior) + 1 / (n0 + prior))
 
 
+def _shrunken(delta: np.ndarray, z: np.ndarray, errors: float) -> np.ndarray:
+    """Log-odds without ``errors`` standard errors of theirs, but not beyond zero."""
+    return np.sign(delta) * np.maximum(0.0, np.abs(delta) * (1 - errors / np.maximum(np.abs(z), 1e-9)))
+
+
 def _decay(shares: np.ndarray, scores: np.ndarray, cost: float) -> float:
     """The positive root of ``sum(p * exp(x * s)) = 1``."""
     rest = max(1e-12, 1 - shares.sum())
-    excess = lambda x: float((shares * np.exp(x * scores)).sum() + rest * np.exp(-x * cost)) - 1
+    excess = lambda x: float((shares * np.exp(x * (scores - cost))).sum() + rest * np.exp(-x * cost)) - 1
     low, high = 1e-6, 1.0
     while excess(high) < 0 and high < 64:
         low, high = high, high * 2
@@ -152,11 +174,12 @@ def _decay(shares: np.ndarray, scores: np.ndarray, cost: float) -> float:
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, parts: int = 5, part: int = 0,
-    prior_share: float = 0.015, min_z: float = 4.0, min_odds: float = 3.0, max_tokens: int = 20_000, cost: float = 0.5,
+    prior_share: float = 0.015, errors: float = 1.5, cost: float = 0.5,
 ) -> ToxicModel:
-    """Fit on at most ``sample_rows`` labelled texts; at most ``max_tokens`` telling tokens make the model.
+    """Fit on at most ``sample_rows`` labelled texts, which bound the tokens of the model too.
 
-    A telling token is at least ``min_odds`` times likelier in class 1, with a z-score of ``min_z``. Evidence
+    Every token of the sample is scored by its log-odds less ``errors`` standard errors; evidence for the clean class
+    counts as that for the other does, and a token whose evidence is within its error has 0. Evidence
     is counted once per pair of neighbours, so that many copies of one text count as one. Without labels, or with one class only, the score is the constant share of class 1."""
     sample = materialise(labelled_sample(docs, labels, "toxic", parts, part, sample_rows), "toxic-sample")
     classes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
@@ -172,24 +195,23 @@ def fit_toxicity(
         return flat
     strength = prior_share * (total1 + total0)
     delta, z = _log_odds(F.col("n1"), F.col("n0"), total1, total0, strength)
-    telling = frozenset(
-        r["token"] for r in counts.select("token", z.alias("z")).where(F.col("z") >= min_z).orderBy(F.desc("z"), "token").limit(max_tokens).collect()
-    )
+    # neighbours can only take evidence away, so no other token can get a score
+    telling = frozenset(r["token"] for r in counts.select("token", z.alias("z")).where(F.abs("z") > errors).collect())
     if not telling:
         return flat
-    contexts = map_batches(sample.select("label", "text"), _contexts(telling), "token string, before string, after string, label int")
+    contexts = map_batches(sample.select("label", "text"), _contexts(telling), "token string, context long, label int")
     evidence = (
         contexts.distinct().groupBy("token").agg(F.sum("label").cast("long").alias("n1"), F.sum(1 - F.col("label")).cast("long").alias("n0"))
         .select("token", "n0", delta.alias("delta"), z.alias("z"), (strength * (F.col("n1") + F.col("n0")) / (total1 + total0)).alias("prior"))
-        .where((F.col("z") >= min_z) & (F.col("delta") >= float(np.log(min_odds)))).orderBy("token").collect()
+        .where(F.abs("z") > errors).orderBy("token").collect()
     )
-    if not evidence:
+    scores = _shrunken(*(np.array([r[c] for r in evidence], dtype=float) for c in ("delta", "z")), errors)
+    if not (scores > cost).any():
         return flat
-    model = ToxicModel({r["token"]: r["delta"] for r in evidence}, cost)
+    model = ToxicModel(dict(zip((r["token"] for r in evidence), scores.tolist())), cost)
     shares = np.array([(r["n0"] + r["prior"]) / (total0 + strength) for r in evidence])
-    scores = np.array([r["delta"] for r in evidence])
     model.decay = _decay(shares, scores, cost)
-    return _calibrate(model, sample, float(scores.min()))
+    return _calibrate(model, sample, float(scores[scores > cost].min() - cost))
 
 
 def _calibrate(model: ToxicModel, sample: DataFrame, least: float) -> ToxicModel:
@@ -199,8 +221,9 @@ def _calibrate(model: ToxicModel, sample: DataFrame, least: float) -> ToxicModel
         for batch in batches:
             n, top = [], []
             for text in batch.column("text").to_pylist():
-                size, segments = model.segments(text)
-                n.append(size)
+                found = words(text)
+                segments = model.segments(found)
+                n.append(len(found))
                 top.append(max((s for *_, s in segments), default=0.0))
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(n, pa.int64()), pa.array(top, pa.float64())], ["label", "n", "top"])
 
