@@ -1,13 +1,15 @@
 """Personal data: exact patterns, and a character-level bidirectional LSTM with CRF transitions.
 
-The patterns find what stands alone. The tagger, trained from their spans in a bounded sample, finds what they
-merge or cut, such as a card number right after a phone number. It reads overlapping windows; their scores are
+The patterns find what stands alone in its usual shape. The tagger, trained in a bounded sample from their spans and other
+shapes of these, finds what they merge or cut, such as a card number right after a phone number, and what is written
+otherwise: cards with dots, phones without a plus, IPv6. It reads overlapping windows; their scores are
 stitched into one sequence for each stretch of text, which is decoded as a whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -299,13 +301,35 @@ def tag_stretches(model: Tagger, texts: list[str], batch: int = 512) -> list[np.
     return out
 
 
-_VALID = (lambda t: bool(re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s]+", t)), lambda t: bool(IP.fullmatch(t)) and is_ip(t), lambda t: bool(CARD.fullmatch(t)) and is_card(t), lambda t: bool(PHONE.fullmatch(t)) and is_phone(t))
+CARD_LIKE = re.compile(r"[0-9](?:[\x20./_-]{0,2}[0-9])++")
+PHONE_LIKE = re.compile(r"\+?\(?[0-9][\x20()./0-9-]*[0-9]")
+DATE_LIKE = re.compile(r"(?:19|20)[0-9]{2}[-./][0-9]{1,2}[-./][0-9]{1,2}.*")
+
+
+def may_be_ip(text: str) -> bool:
+    if IP.fullmatch(text):
+        return is_ip(text)
+    try:
+        return text.count(":") > 1 and ipaddress.IPv6Address(text) is not None
+    except ValueError:
+        return False
+
+
+def may_be_phone(text: str) -> bool:
+    """Nine to fifteen digits that are more than one plain number: with a plus, a leading zero or bracket, or in three groups."""
+    if not PHONE_LIKE.fullmatch(text) or not is_phone(text) or IP.fullmatch(text) or DATE_LIKE.fullmatch(text):
+        return False
+    return text[0] in "+(0" or len(re.findall("[0-9]+", text)) > 2
+
+
+#: What a tagged span has to be, by kind: looser than the patterns, which have found their own already.
+_POSSIBLE = (lambda t: bool(re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s]+", t)), may_be_ip, lambda t: bool(CARD_LIKE.fullmatch(t)) and is_card(t), may_be_phone)
 
 
 def all_spans(model: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, spans added by the tagger) of each text.
 
-    An added span passes its kind's check and overlaps no base span."""
+    An added span is possible for its kind (digits, checksum, address) and overlaps no base span."""
     base = [base_spans(t) for t in texts]
     places = [(i, a, b) for i, t in enumerate(texts) for a, b in stretches(t)]
     added: list[list[Span]] = [[] for _ in texts]
@@ -314,7 +338,7 @@ def all_spans(model: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Sp
             piece = texts[i][a + x : a + y]
             x, y = x + len(piece) - len(piece.lstrip(" .,;:")), y - (len(piece) - len(piece.rstrip(" .,;:")))
             start, end = a + x, a + y
-            if _VALID[kind](texts[i][start:end]):
+            if _POSSIBLE[kind](texts[i][start:end]):
                 added[i].append((start, end, kind))
     for i, found in enumerate(added):
         if found and base[i]:
@@ -367,8 +391,38 @@ def _varied(item: str, kind: int, rng: np.random.Generator) -> str:
     return made
 
 
+def _reshaped(item: str, kind: int, rng: np.random.Generator) -> str:
+    """The same kind of thing in a shape that the patterns do not know."""
+    d = NOT_DIGIT.sub("", item)
+    if kind == 1:
+        groups = [f"{int(g):x}" for g in rng.integers(0, 1 << 16, 8)]
+        cut = int(rng.integers(1, 5))
+        return ":".join(groups) if rng.random() < 0.5 else "::".join([":".join(groups[:cut]), ":".join(groups[cut + 2 :])])
+    if kind == 2:
+        return str(rng.choice([" ", "-", ".", "/"])).join(d[i : i + 4] for i in range(0, len(d), 4))
+    if kind == 3 and len(d) >= 10:
+        d = d[-10:]
+        country = str(rng.integers(1, 99))
+        return str(rng.choice([
+            f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}",
+            f"00{country} {d[:2]} {d[2:9]}", f"00{country}{d}", f"0{d[:3]}/{d[3:9]}", f"(0{d[:2]}) {d[2:5]} {d[5:]}",
+        ]))
+    return item
+
+
+def _plain_number(rng: np.random.Generator) -> str:
+    """A number that is nobody's."""
+    n = lambda low, high: str(rng.integers(low, high))
+    return str(rng.choice([
+        f"{n(1900, 2030)}-{n(10, 13)}-{n(10, 29)}", f"{n(1, 29)}/{n(1, 13)}/{n(1990, 2030)}", f"{n(0, 24)}:{n(10, 60)}", f"{n(0, 10**6)}.{n(0, 100)}",
+        f"{n(1, 999)},{n(100, 999)},{n(100, 999)}", n(10**5, 10**7), n(10**8, 10**12), f"v{n(0, 9)}.{n(0, 20)}.{n(0, 9)}", f"{n(1900, 2000)}-{n(2000, 2030)}",
+        f"{n(1, 100)}%", f"#{n(10**3, 10**9)}", f"{n(1000, 9999)} {n(1000, 9999)}", n(10**15, 10**16),
+    ]))
+
+
 def training_windows(examples: list[tuple[str, list[Span]]], seed: int = 23) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and tags of the examples, and of others in which two or three whole spans stand next to each other."""
+    """Symbols and tags of the examples, and of others in which two or three whole spans stand next to each other, some
+    in other shapes, with numbers between them that are no personal data."""
     rng = np.random.default_rng(seed)
     whole = [(text[a:b], kind) for text, spans in examples for a, b, kind in spans if a >= 0 and b < len(text)]
     rows = [(text, spans) for text, spans in examples]
@@ -384,6 +438,10 @@ def training_windows(examples: list[tuple[str, list[Span]]], seed: int = 23) ->
             item = by_kind[kind][int(rng.integers(len(by_kind[kind])))]
             if kind != 1 and rng.random() < 0.5:
                 item = _varied(item, kind, rng)
+            if kind and rng.random() < 0.4:
+                item = _reshaped(item, kind, rng)
+            if rng.random() < 0.4:
+                made += _plain_number(rng) + " "
             spans.append((len(made), len(made) + len(item), kind))
             made += item + " "
         made += " ".join(words[8:])
@@ -401,8 +459,9 @@ def fit_tagger(docs: DataFrame, windows: int = 3000, steps: int = 300) -> Tagger
     found = map_batches(whole_texts(docs), _examples(), "h long, found boolean, text string, spans string")
     rows = []
     for wanted, n in ((True, 2 * windows // 3), (False, windows // 3)):
-        part = found.where(F.col("found") == wanted).dropDuplicates(["text"]).orderBy("h", "text").limit(n)
-        rows += part.collect()
+        # of equal windows always the same one, so that a task that runs twice gives the same model
+        one = found.where(F.col("found") == wanted).groupBy("text").agg(F.min(F.struct("h", "spans")).alias("first"))
+        rows += one.select("text", "first.*").orderBy("h", "text").limit(n).collect()
     examples = [(r["text"], [tuple(map(int, s.split(":"))) for s in r["spans"].split(",") if s]) for r in rows]
     return Tagger().fit(*training_windows(examples), steps=steps)
 
@@ -419,7 +478,9 @@ def _spans_of_texts(model: Tagger, texts: list[str], at_once: int = 1000) -> lis
 
 def find_personal_data(docs: DataFrame, model: Tagger) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone (base spans), n_added, base_sha256 and spans (all, in code
-    points). One pass without a shuffle; rows and other columns stay. A NULL text counts as empty and has no spans."""
+    points). One pass without a shuffle; rows and other columns stay. A NULL text counts as empty and has no spans.
+    Texts of any length are read whole, in windows only where they have a digit or an at sign. Of spans of one kind the
+    leftmost counts; where spans of two kinds begin together, ``spans`` has them in the order of the kinds."""
     added = [*(f"n_{k}" for k in KINDS), "n_added", "base_sha256", "spans"]
     docs = docs.drop(*added)
     names = docs.columns

@@ -139,3 +139,56 @@ def test_masking(spark, model):
     done = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.mask_personal_data(docs, model).collect()}
     assert done == {1: ("mail [email] now", 16), 2: (None, None), 3: ("[phone] [card]", 14)}
     assert pii.masked("0123456789", "card:1:4,phone:3:6") == "0[card][phone]6789"
+
+
+def luhn_number(rng, size=16):
+    digits = [rng.randrange(1, 10), *(rng.randrange(10) for _ in range(size - 2))]
+    return next(t for c in range(10) if pii.luhn(t := "".join(map(str, [*digits, c]))))
+
+
+def grouped(digits, mark):
+    return mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+
+
+def test_other_shapes_held_out(model):
+    """Cards with other separators, phones without a plus and IPv6, in words the tagger has not seen; and numbers of nobody."""
+    rng = random.Random(21)
+    number = lambda n: "".join(str(rng.randrange(10)) for _ in range(n))
+    words = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "amet", "elit", "sed"]) for _ in range(n))
+    shapes = {
+        "dotted card": lambda: grouped(luhn_number(rng), "."),
+        "card with slashes": lambda: grouped(luhn_number(rng), "/"),
+        "phone in brackets": lambda: f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{number(4)}",
+        "phone with dashes": lambda: f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{number(4)}",
+        "international phone": lambda: f"00{rng.randrange(10, 99)} {number(2)} {number(7)}",
+        "ipv6": lambda: ":".join(f"{rng.randrange(1, 1 << 16):x}" for _ in range(8)),
+    }
+    found = wanted = 0
+    for make in shapes.values():
+        items = [make() for _ in range(30)]
+        texts = [f"{words(rng.randrange(1, 9))} {x} {words(rng.randrange(1, 9))}" for x in items]
+        hits = sum(x in [t[a:b] for a, b, _ in more] for x, t, (_, more) in zip(items, texts, pii.all_spans(model, texts)))
+        found, wanted = found + hits, wanted + len(items)
+        assert hits >= 15
+    print(f"recall {found / wanted:.2f}")
+    assert found >= 0.8 * wanted
+    plain = [f"{words(4)} {x} {words(4)}" for _ in range(40) for x in (
+        f"{rng.randrange(1950, 2030)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", f"{number(6)}.{number(2)}", f"1,{number(3)},{number(3)}",
+        f"{rng.randrange(1, 24)}:{rng.randrange(10, 59)}", f"1{number(11)}", f"v2.{rng.randrange(20)}.{rng.randrange(9)}", f"1{number(3)} 2{number(3)}",
+    )]
+    wrong = sum(bool(more) for _, more in pii.all_spans(model, plain))
+    print(f"wrong {wrong} of {len(plain)}")
+    assert wrong <= 0.02 * len(plain)
+
+
+def test_loose_checks():
+    assert pii.may_be_phone("0049 30 1234567") and pii.may_be_phone("(030) 123 45678") and pii.may_be_phone("555-123-4567")
+    assert not any(map(pii.may_be_phone, ("123456789", "2024-01-02 12345", "192.168.100.200", "1234 5678", "12-34", "555-123-4567-89012-345")))
+    assert pii.may_be_ip("2001:db8::1") and pii.may_be_ip("10.0.0.1") and not any(map(pii.may_be_ip, ("12:30", "1:2:3", "300.1.1.1", "g::1")))
+    card = pii._POSSIBLE[2]
+    assert card("4111.1111.1111.1111") and card("4111/1111/1111/1111") and not card("4111.1111.1111.1112") and not card("4111...1111...1111...1111")
+
+
+def test_training_sample_is_the_same_whatever_the_partitions(documents):
+    once = [pii.fit_tagger(documents.repartition(n), windows=60, steps=3) for n in (1, 5)]
+    assert all((once[0].w[k] == once[1].w[k]).all() for k in once[0].w)
