@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tamiz
@@ -53,14 +53,33 @@ def held_out(doc_id, parts: int, part: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def only_in(rows: DataFrame, wanted: DataFrame, key: str, buckets: int = 1 << 20) -> DataFrame:
-    """The rows whose ``key`` may be in ``wanted``: all that are, and others whose hash falls in the same bucket.
+#: A filter of keys has this many places for each key, and at most 2 ** MOST_PLACES in all: 16 MB, whatever the input.
+PLACES_PER_KEY, LEAST_PLACES, MOST_PLACES = 16, 15, 27
+CHUNK = 15  # bits of a place within one bitmap of Spark's, which holds 32,768
 
-    What is broadcast is at most ``buckets`` numbers, however long ``wanted`` is, so wide rows that are
+
+def key_filter(keys: DataFrame, hashed: Column) -> tuple[DataFrame, int]:
+    """(chunk, bits) and the number of bits of a place: bitmaps that mark every key, ``hashed`` to 64 bits, by the top bits of
+    its hash. Its size follows the number of keys up to a bound, beyond which more keys that are not there pass."""
+    bits = int(np.ceil(np.log2(PLACES_PER_KEY * max(1, keys.count()))))
+    bits = min(MOST_PLACES, max(LEAST_PLACES, bits))
+    place = F.shiftrightunsigned(hashed, 64 - bits)
+    chunk, within = F.shiftright(place, CHUNK).alias("chunk"), place.bitwiseAND((1 << CHUNK) - 1)
+    return keys.select(chunk, within.alias("within")).groupBy("chunk").agg(F.bitmap_construct_agg("within").alias("bits")), bits
+
+
+def only_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be in ``wanted``: all that are, and some whose hash falls in the same place.
+
+    What is broadcast is bounded, however long ``wanted`` is (see :func:`key_filter`), so wide rows that are
     not wanted can be left out before an exact join without being shuffled."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    marks = wanted.select(bucket.cast("int").alias("bucket")).distinct()
-    return rows.join(F.broadcast(marks), bucket.cast("int") == marks["bucket"], "left_semi")
+    marks, bits = key_filter(wanted, F.xxhash64(key))
+    place = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
+    within = place.bitwiseAND((1 << CHUNK) - 1)
+    byte = F.conv(F.hex(F.substr("bits", (F.shiftright(within, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = marks.select(F.col("chunk").alias("_chunk"), "bits")
+    met = rows.withColumn("_within", within).join(F.broadcast(held), F.shiftright(place, CHUNK) == F.col("_chunk"))
+    return met.where(F.getbit(byte, F.col("_within").bitwiseAND(7).cast("int")) == 1).select(rows.columns)
 
 
 def utf8_bytes(column: pa.Array) -> list[bytes]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import Batches, map_batches, runs, ship
+from tamiz.llm.common import CHUNK, Batches, key_filter, map_batches, runs, ship
 from tamiz.session import materialise
 
 #: Similarity as a fraction, so that all bounds are whole numbers.
@@ -363,14 +363,17 @@ def _pairs(records: np.ndarray, cell: int, only: np.ndarray | None) -> tuple[np.
     return *sides, differ
 
 
-def marks_of(buckets: list[int], bits: int) -> np.ndarray:
-    found = np.zeros(1 << bits, bool)
-    found[buckets] = True
+def marks_of(chunks: list[tuple[int, bytes]], bits: int) -> np.ndarray:
+    """The bitmaps of ``common.key_filter`` end to end."""
+    found = np.zeros((1 << bits) // 8, np.uint8)
+    for chunk, part in chunks:
+        found[chunk << CHUNK - 3 : chunk + 1 << CHUNK - 3] = np.frombuffer(part, np.uint8)
     return found
 
 
 def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return marks[(keys >> np.uint64(64 - len(marks).bit_length() + 1)).astype(np.int64)]
+    place = (keys >> np.uint64(64 - len(marks).bit_length() - 2)).astype(np.int64)
+    return (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
 
 
 MET = "doc_id long, row long, line long, key long, key2 long, differ long"
@@ -437,10 +440,10 @@ def _verify(batches: Batches) -> Batches:
         yield batch.drop_columns(["words", "words2"]).filter(pa.array(good, pa.bool_()))
 
 
-def _bits_of(keys: DataFrame, key: str, bits: int = 22) -> np.ndarray:
-    """A bitmap of fixed size that marks all keys given, and by chance others."""
-    buckets = keys.select(F.shiftrightunsigned(F.col(key), 64 - bits).cast("int").alias("b")).distinct()
-    return marks_of(buckets.toArrow().column("b").to_pylist(), bits)
+def _bits_of(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap that marks all keys given, and by chance others; its size follows their number, up to 16 MB."""
+    marks, bits = key_filter(keys, F.col(key))
+    return marks_of([(r["chunk"], bytes(r["bits"])) for r in marks.collect()], bits)
 
 
 LINE = ("doc_id", "row", "line")
@@ -498,8 +501,8 @@ def later_matches(docs: DataFrame, cell_records: int = 100_000, split_over: int
     open_sets = materialise(sets.join(nearest.select("key"), "key", "left_semi").join(found.select("key"), "key", "left_anti"), "lines-open")
     open_marks = _bits_of(open_sets, "key")
     if open_marks.any():
-        words = map_batches(open_sets.select("words"), _prefix_words(rarity), "key long")
-        rest = meeting(open_marks, _bits_of(words, "key", 24)).where(F.col("key2").isNotNull())
+        words = materialise(map_batches(open_sets.select("words"), _prefix_words(rarity), "key long").distinct(), "open-words")
+        rest = meeting(open_marks, _bits_of(words, "key")).where(F.col("key2").isNotNull())
         tried = nearest.select("key", "key2")
         rest = rest.groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in LINE)).join(tried, ["key", "key2"], "left_anti")
         gone = gone.unionByName(_verified(docs, rest)[0].select(*LINE))

@@ -1,10 +1,11 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.llm import exact
+from tamiz.llm import common, exact, lines
 
 
 def expected(rows):
@@ -73,3 +74,35 @@ def test_session_settings_come_back(spark, stored):
     before = {k: spark.conf.get(k, None) for k in exact.STATE_SETTINGS}
     exact.deduplicate(spark, stored)
     assert {k: spark.conf.get(k, None) for k in exact.STATE_SETTINGS} == before
+
+
+def test_filter_of_keys_loses_none(spark, monkeypatch):
+    """Whatever its size; a full one lets everything pass."""
+    rows = spark.range(5000).select((F.col("id") * 7919).alias("k"), F.col("id").alias("chunk"))
+    wanted = rows.where("chunk % 5 = 0").select("k")
+    some = common.only_in(rows, wanted, "k")
+    assert some.columns == rows.columns
+    kept = {r["chunk"] for r in some.collect()}
+    assert kept >= set(range(0, 5000, 5)) and len(kept) < 1400
+    assert common.only_in(rows, wanted.limit(0), "k").count() == 0
+    monkeypatch.setattr(common, "LEAST_PLACES", 4)
+    monkeypatch.setattr(common, "MOST_PLACES", 4)
+    assert common.only_in(rows, wanted, "k").count() == 5000
+
+
+def test_marks_of_keys(spark):
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 3000)
+    df = spark.createDataFrame([(int(k),) for k in keys], "key long")
+    for some in (df, df.limit(1)):
+        marks = lines._bits_of(some, "key")
+        assert lines.marked(marks, np.array([r["key"] for r in some.collect()]).view(np.uint64)).all()
+    other = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 3000).view(np.uint64)
+    assert lines.marked(lines._bits_of(df, "key"), other).mean() < 0.12
+
+
+def test_full_filters_change_no_result(documents, monkeypatch):
+    want = sorted((tuple(r) for r in lines.drop_repeated_lines(documents).collect()), key=str)
+    monkeypatch.setattr(common, "LEAST_PLACES", 15)
+    monkeypatch.setattr(common, "MOST_PLACES", 15)
+    monkeypatch.setattr(common, "PLACES_PER_KEY", 1)
+    assert sorted((tuple(r) for r in lines.drop_repeated_lines(documents).collect()), key=str) == want
