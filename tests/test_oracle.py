@@ -21,6 +21,16 @@ def test_query_matches_sql(spark, con, name):
     assert oracle.difference(QUERIES[name](spark, FOLDER), con, SQL[name]) is None
 
 
+#: Texts of the smallest tables hold no quotes.
+WITH_QUOTES = ("charset_fallback", "csv_latin1", "csv_line_breaks", "csv_quotes", "csv_roundtrip", "unparsed_rows")
+
+
+@pytest.mark.parametrize("name", WITH_QUOTES)
+def test_files_with_quotes(spark, name):
+    folder = "/root/testdata/sf0.01"
+    assert oracle.difference(QUERIES[name](spark, folder), oracle.connect(folder), SQL[name]) is None
+
+
 def test_entry_has_rows(spark):
     df = entry.entry(spark)
     assert df.columns == ["provincia", "bachilleres_3er_anio", "empresas_activas", "bachilleres_por_empresa"]
