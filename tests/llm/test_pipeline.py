@@ -103,7 +103,7 @@ def test_awkward_documents(spark, documents, tmp_path):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_cover_their_tables(spark, name):
     done = QUERIES[name](spark, FOLDER)
-    table = {"op4": "pages", "op8": "embeddings"}.get(name.split("_")[0], "documents")
+    table = {"op4": "pages", "op8": "embeddings", "op11": "embeddings"}.get(name.split("_")[0], "documents")
     key = {"pages": "page_id", "embeddings": "vec_id", "documents": "doc_id"}[table]
     want = spark.read.parquet(f"{FOLDER}/{table}.parquet")
     assert done.select(key).distinct().count() == want.count()
