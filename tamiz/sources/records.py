@@ -8,8 +8,6 @@ effect, the blocks of a file are chained, and only records that cross a block bo
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -46,16 +44,20 @@ def line_effect(line: Column, sep: str) -> Column:
     came before; one that is both, alone between separators, turns the state around. Any other is a stray one and text.
     Bytes are looked at one by one: in any charset that extends ASCII, quotes and separators are the same there."""
     single = F.decode(line.cast("binary"), "ISO-8859-1")
-    mark = re.escape(sep)
-    start, end = rf"(?<=^|{mark})", rf"(?={mark}|\r?\z)"
-    bare = F.translate(F.replace(single, F.lit('""'), F.lit("")), "\u0001\u0002\u0003", "")
-    marked = F.regexp_replace(bare, f'{start}"{end}', "\u0001")
-    marked = F.regexp_replace(marked, f'"{end}', "\u0002")
-    marked = F.regexp_replace(marked, f'{start}"', "\u0003")
-    marks = F.regexp_replace(marked, "[^\u0001-\u0003]", "")
-    turns = F.length(marks) - F.length(F.rtrim(marks, F.lit("\u0001")))
-    last = F.substring(F.rtrim(marks, F.lit("\u0001")), -1, 1)
-    settled = F.when(last == "\u0003", 1).when(last == "\u0002", 0)
+    # what lies between the quotes; only its ends are looked at
+    parts = F.split(F.replace(single, F.lit('""'), F.lit("")), '"', -1)
+    quotes = F.size(parts) - 1
+
+    def mark(k: Column) -> Column:
+        before, behind = F.get(parts, k - 1), F.get(parts, k)
+        starts = before.endswith(sep) | ((k == 1) & (before == ""))
+        ends = behind.startswith(sep) | ((k == quotes) & behind.isin("", "\r"))
+        return F.when(starts & ends, "t").when(ends, "c").when(starts, "o").otherwise("")
+
+    marks = F.when(quotes > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(quotes, F.lit(1))), mark), "")).otherwise("")
+    told = F.rtrim(marks, F.lit("t"))
+    turns = F.length(marks) - F.length(told)
+    settled = F.when(told.endswith("o"), 1).when(told.endswith("c"), 0)
     effect = F.when(settled.isNull(), turns % 2).otherwise((settled + turns) % 2 + _CLOSES)
     return F.when(~F.contains(line, F.lit('"')), _KEEPS).otherwise(effect).cast("int")
 
