@@ -2,8 +2,9 @@
 
 Filter directions are a product code: each of a few blocks of (rotated) coordinates has its own random
 unit vectors, and a direction takes one from each. A vector is decoded block by block to all directions
-whose cap it lies in; vectors that share a direction meet. An eight-bit copy with a proven error bound settles
-almost every pair on the spot, and the rest is compared in double precision.
+whose cap it lies in; vectors that share a direction meet. A sixteen-bit copy with a proven error bound settles
+almost every pair on the spot, and the rest is compared in double precision. A pair counts where it meets first,
+so that links are summed up by the task that finds them and no list of pairs is kept.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from tamiz.session import materialise
 
 SHORT_RUN = 32
 BLOCK = 1024
+PAIRS_AT_ONCE = 1 << 16
 #: Beyond what rounding in double precision can add to a dot product of unit vectors.
 SLACK = 1e-9
 
@@ -86,9 +88,9 @@ def unit_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _small_copies(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Eight-bit coordinates, their step, and a bound on the length of what they leave out."""
-    step = np.abs(unit).max(1) / 127
-    small = np.rint(unit / step[:, None]).astype(np.int8)
+    """Sixteen-bit coordinates, their step, and a bound on the length of what they leave out."""
+    step = np.abs(unit).max(1) / 32767
+    small = np.rint(unit / step[:, None]).astype(np.int16)
     left = np.linalg.norm(unit - small * step[:, None], axis=1) + SLACK
     return small, step, left
 
@@ -97,7 +99,7 @@ def _decode(rows: int, codes: int, lists: float, least: int):
     def decode(batches: Batches) -> Batches:
         filters: dict[int, list[CapFilters]] = {}
         for batch in batches:
-            ids = batch.column("cid").to_numpy()
+            ids, size = batch.column("cid").to_numpy(), batch.column("size").to_numpy()
             lengths, units = unit_vectors(batch.column("embedding"))
             for dimension in np.unique(lengths[lengths > 0]).tolist():
                 if dimension not in filters:
@@ -108,32 +110,71 @@ def _decode(rows: int, codes: int, lists: float, least: int):
                     unit = np.stack([units[i] for i in part])
                     small, step, left = _small_copies(unit)
                     copies = [small[i].tobytes() for i in range(len(part))]
-                    for k, code in enumerate(filters[dimension]):
-                        row, direction = code.decode(unit)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array((direction << 16) ^ ((dimension & 0xFFF) << 4) ^ k), pa.array(ids[part][row]),
-                                pa.array([copies[i] for i in row], pa.binary()), pa.array(step[row]), pa.array(left[row]),
-                            ],
-                            ["filter", "cid", "small", "step", "left"],
-                        )
+                    met = [code.decode(unit) for code in filters[dimension]]
+                    row = np.concatenate([r for r, _ in met])
+                    name = np.concatenate([(d << 16) ^ ((dimension & 0xFFF) << 4) ^ k for k, (_, d) in enumerate(met)])
+                    order = np.lexsort((name, row))
+                    row, name = row[order], name[order]
+                    starts, _ = runs(row)
+                    first = starts[np.searchsorted(starts, np.arange(len(row)), "right") - 1]
+                    early = [name[f:n].tobytes() for n, f in enumerate(first.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(name), pa.array(ids[part][row]), pa.array(size[part][row]), pa.array([copies[i] for i in row], pa.binary()),
+                            pa.array(step[row]), pa.array(left[row]), pa.array(early, pa.binary()),
+                        ],
+                        ["filter", "cid", "size", "small", "step", "left", "early"],
+                    )
 
     return decode
 
 
-def _compare(threshold: float):
-    """(a, b, sure) within runs of equal cells: pairs that may reach the threshold, and whether they must."""
+def _early_table(column: pa.ChunkedArray) -> np.ndarray:
+    """One row of filter numbers per vector, smallest first, then -1; filters that only one of the vectors has are left out."""
+    lists = column.to_pylist()
+    lengths = np.array([len(e) // 8 for e in lists], np.int64)
+    _, code, often = np.unique(np.frombuffer(b"".join(lists), np.int64), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(lists)), lengths)[often[code] > 1]
+    code = code[often[code] > 1]
+    starts, lengths = runs(row)
+    place = np.arange(len(row)) - np.repeat(starts, lengths)
+    early = np.full((len(lists), int(lengths.max()) if len(lengths) else 0), -1, np.int32)
+    early[row, place] = code
+    return early
+
+
+def _meet_first(early: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the vectors of a pair share none of the filters before the one they meet in."""
+    first = np.ones(len(i), bool)
+    for at in range(0, len(i), PAIRS_AT_ONCE):
+        waiting = np.arange(at, min(at + PAIRS_AT_ONCE, len(i)))
+        for place in range(early.shape[1]):
+            name = early[i[waiting], place]
+            waiting, name = waiting[name >= 0], name[name >= 0]
+            if not len(waiting):
+                break
+            shared = (early[j[waiting]] == name[:, None]).any(1)
+            first[waiting[shared]] = False
+            waiting = waiting[~shared]
+    return first
+
+
+def _hang(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the trees of linked rows; ``root`` names the smallest row of each row's tree, before and after."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
 
-    def pairs_of(x, step, left, ids, side, i, j):
-        near = np.einsum("ij,ij->i", x[i], x[j]) * step[i] * step[j]
-        return judge(near, left[i], left[j], ids, side, i, j)
 
-    def judge(near, left_i, left_j, ids, side, i, j):
-        # both small copies are at most 1 + left long
-        doubt = left_i * (1 + left_j) + left_j * (1 + left_i) + left_i * left_j + SLACK
-        good = (near + doubt >= threshold) & (ids[i] != ids[j]) & ((side[i] < 0) | (side[i] != side[j]))
-        i, j, sure = i[good], j[good], (near - doubt >= threshold)[good]
-        return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), sure
+def _compare(threshold: float):
+    """What the pairs that meet first in a cell come to: (a, NULL, near) how many rows a node links with, (a, b, 0) a tree
+    over linked nodes, and (a, b, NULL) the pairs that the small copies leave open."""
 
     def compare(batches: Batches) -> Batches:
         for table in whole_runs(batches):
@@ -144,15 +185,29 @@ def _compare(threshold: float):
                 continue
             table = table.filter(pa.array(keep))
             cell = cell[keep]
-            ids, side = table.column("cid").to_numpy(), table.column("side").to_numpy()
+            ids, size, side, name = (table.column(c).to_numpy() for c in ("cid", "size", "side", "filter"))
             step, left = table.column("step").to_numpy(), table.column("left").to_numpy()
             copies = table.column("small").to_pylist()
-            sizes = np.array([len(c) for c in copies])
-            x = np.zeros((len(copies), int(sizes.max())))
-            flat = np.frombuffer(b"".join(copies), np.int8)
-            x[np.arange(x.shape[1]) < sizes[:, None]] = flat
+            wide = np.array([len(c) // 2 for c in copies])
+            x = np.zeros((len(copies), int(wide.max())))
+            x[np.arange(x.shape[1]) < wide[:, None]] = np.frombuffer(b"".join(copies), np.int16)
+            early = _early_table(table.column("early"))
+            root, near_rows, open_pairs = np.arange(len(ids)), np.zeros(len(ids), np.int64), []
+
+            def judge(near, i, j):
+                # both small copies are at most 1 + left long
+                doubt = left[i] * (1 + left[j]) + left[j] * (1 + left[i]) + left[i] * left[j] + SLACK
+                good = (near + doubt >= threshold) & (ids[i] != ids[j]) & (name[i] == name[j]) & (wide[i] == wide[j])
+                good &= (side[i] < 0) | (side[i] != side[j])
+                i, j, sure = i[good], j[good], (near - doubt >= threshold)[good]
+                first = _meet_first(early, i, j)
+                open_pairs.append((ids[i[first & ~sure]], ids[j[first & ~sure]]))
+                i, j = i[first & sure], j[first & sure]
+                np.add.at(near_rows, i, size[j])
+                np.add.at(near_rows, j, size[i])
+                _hang(root, i, j)
+
             starts, lengths = runs(cell)
-            found = []
             short = np.flatnonzero(np.repeat(lengths <= SHORT_RUN, lengths))
             for shift in range(1, SHORT_RUN):
                 if len(short) <= shift:
@@ -161,7 +216,8 @@ def _compare(threshold: float):
                 met = cell[i] == cell[j]
                 if not met.any():
                     break
-                found.append(pairs_of(x, step, left, ids, side, i[met], j[met]))
+                i, j = i[met], j[met]
+                judge(np.einsum("ij,ij->i", x[i], x[j]) * step[i] * step[j], i, j)
             for start, length in zip(starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist()):
                 for a in range(start, start + length, BLOCK):
                     for b in range(a, start + length, BLOCK):
@@ -170,13 +226,20 @@ def _compare(threshold: float):
                         i, j = np.nonzero(near >= threshold - 0.25)
                         i, j, near = p[i], q[j], near[i, j]
                         once = i > j if a == b else np.ones(len(i), bool)
-                        found.append(judge(near[once], left[i[once]], left[j[once]], ids, side, i[once], j[once]))
-            a, b, sure = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-            if len(a):
-                order = np.lexsort((~sure, b, a))  # a pair may meet many times
-                a, b, sure = a[order], b[order], sure[order]
-                new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
-                yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(sure[new])], ["a", "b", "sure"])
+                        judge(near[once], i[once], j[once])
+            linked, hung = np.flatnonzero(near_rows), np.flatnonzero(root != np.arange(len(root)))
+            a, b = (np.concatenate(c) for c in zip(*open_pairs)) if open_pairs else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([ids[linked], ids[hung], a])),
+                    pa.array(np.concatenate([ids[linked], ids[root[hung]], b]), mask=np.arange(len(linked) + len(hung) + len(a)) < len(linked)),
+                    pa.array(
+                        np.concatenate([near_rows[linked], np.zeros(len(hung) + len(a), np.int64)]),
+                        mask=np.arange(len(linked) + len(hung) + len(a)) >= len(linked) + len(hung),
+                    ),
+                ],
+                ["a", "b", "near"],
+            )
 
     return compare
 
@@ -186,22 +249,31 @@ def _exact(threshold: float):
         for batch in batches:
             ends = (unit_vectors(batch.column(c))[1] for c in ("x", "y"))
             good = [len(x) == len(y) and float(x @ y) >= threshold for x, y in zip(*ends)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(["a", "b", "of_a", "of_b"]).filter(pa.array(good, pa.bool_()))
 
     return exact
 
 
-def link_vectors(classes: DataFrame, threshold: float = 0.95, codes: int = 3, lists: float = 8.0, least: int = 6, cell_rows: int = 20_000) -> DataFrame:
-    """(a, b) of ids ``cid`` whose ``embedding`` reach the cosine threshold and share a filter.
+def link_vectors(
+    classes: DataFrame, threshold: float = 0.95, codes: int = 3, lists: float = 8.0, least: int = 6, cell_rows: int = 20_000
+) -> tuple[DataFrame, DataFrame]:
+    """Of nodes ``cid`` that stand for ``size`` rows with one ``embedding``: (cid, near), the rows of other nodes whose cosine
+    reaches the threshold and that share a filter, and (a, b), links that join the same nodes as all of them.
 
     A filter with more than ``cell_rows`` vectors is dealt into parts that meet pairwise, so no task gets
     them all. Each of ``codes`` product codes puts a vector into ``lists`` caps on average and ``least`` at least; the
-    number of directions grows with the rows, so that the vectors a cap meets by chance do not."""
+    number of directions grows with the rows, so that the vectors a cap meets by chance do not. A vector takes the names of its
+    earlier filters along, by which a pair knows whether it has met before; only pairs within the error of the
+    sixteen-bit copies are written, for the comparison of their vectors."""
     spark = classes.sparkSession
     rows = classes.count()
     postings = materialise(
-        map_batches(classes.select("cid", "embedding"), _decode(rows, codes, lists, least), "filter long, cid long, small binary, step double, left double"), "cap-postings"
-    )
+        map_batches(
+            classes.select("cid", "size", "embedding"), _decode(rows, codes, lists, least),
+            "filter long, cid long, size long, small binary, step double, left double, early binary",
+        ),
+        "cap-postings",
+    )
     hot = postings.groupBy("filter").count().where(F.col("count") > cell_rows)
     hot = hot.select("filter", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("cid", F.lit(3)), F.col("parts")).cast("int")
@@ -211,17 +283,25 @@ def link_vectors(classes: DataFrame, threshold: float = 0.95, codes: int = 3, li
     cell = F.xxhash64("filter", F.least("part", "other"), F.greatest("part", "other"))
     # the side tells the two parts of a cell apart; within one part, or an undivided filter, all pairs count
     side = F.when((F.col("other") < 0) | (F.col("part") == F.col("other")), F.lit(-1)).otherwise(F.col("part"))
-    cells = dealt.select(cell.alias("cell"), "cid", "small", "step", "left", side.cast("int").alias("side"))
+    cells = dealt.select(cell.alias("cell"), "filter", "cid", "size", "small", "step", "left", "early", side.cast("int").alias("side"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = map_batches(cells.repartition(parts, "cell").sortWithinPartitions("cell"), _compare(threshold), "a long, b long, sure boolean")
-    pairs = materialise(met.groupBy("a", "b").agg(F.max("sure").alias("sure")), "cap-pairs")
-    ends = classes.select("cid", "embedding")
-    doubtful = (
-        pairs.where(~F.col("sure")).select("a", "b")
-        .join(ends.select(F.col("cid").alias("a"), F.col("embedding").alias("x")), "a")
-        .join(ends.select(F.col("cid").alias("b"), F.col("embedding").alias("y")), "b")
+    met = map_batches(cells.repartition(parts, "cell").sortWithinPartitions("cell"), _compare(threshold), "a long, b long, near long")
+    met = materialise(met, "cap-links")
+    ends = classes.select("cid", "size", "embedding")
+    open_pairs = (
+        met.where("near IS NULL").select("a", "b")
+        .join(ends.toDF("a", "of_a", "x"), "a")
+        .join(ends.toDF("b", "of_b", "y"), "b")
+        .select("a", "b", "of_a", "of_b", "x", "y")
+    )
+    settled = materialise(map_batches(open_pairs, _exact(threshold), "a long, b long, of_a long, of_b long"), "cap-links")
+    counts = (
+        met.where("b IS NULL").select("a", "near")
+        .unionByName(settled.select("a", F.col("of_b").alias("near")))
+        .unionByName(settled.select(F.col("b").alias("a"), F.col("of_a").alias("near")))
     )
-    return pairs.where("sure").select("a", "b").unionByName(map_batches(doubtful.select("a", "b", "x", "y"), _exact(threshold), "a long, b long"))
+    counts = counts.groupBy(F.col("a").alias("cid")).agg(F.sum("near").alias("near"))
+    return counts, met.where("b IS NOT NULL AND near = 0").select("a", "b").unionByName(settled.select("a", "b"))
 
 
 def near_vectors(table: DataFrame, threshold: float = 0.95, **caps) -> DataFrame:
@@ -240,10 +320,7 @@ def near_vectors(table: DataFrame, threshold: float = 0.95, **caps) -> DataFrame
     named = rows.where("usable").withColumns({"k1": F.xxhash64("embedding"), "k2": F.xxhash64(F.lit(1), F.reverse("embedding"))})
     classes = named.groupBy("k1", "k2").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("size"), F.first("embedding").alias("embedding"))
     classes = materialise(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
-    links = materialise(link_vectors(classes, threshold, **caps), "vector-links")
-    sizes = classes.select("cid", "size")
-    directed = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counts = directed.join(sizes.withColumnsRenamed({"cid": "b"}), "b").groupBy("a").agg(F.sum("size").alias("near")).withColumnsRenamed({"a": "cid"})
+    counts, links = link_vectors(classes, threshold, **caps)
     reached = components(links).withColumnsRenamed({"node": "cid"})
     placed = classes.select("cid", "k1", "k2", "least", "size").join(counts, "cid", "left").join(reached, "cid", "left")
     placed = materialise(placed.withColumn("component", F.coalesce("component", "cid")), "vectors-placed")

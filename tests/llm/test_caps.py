@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,53 @@ def test_against_all_pairs(spark, cell_rows):
     ]
 
 
+@pytest.mark.parametrize("cell_rows", [20_000, 40])
+def test_large_group_around_the_threshold(spark, cell_rows):
+    """Pairs that meet in many filters, in short and long runs and in parts of hot filters, count once."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(24)
+    group = [(i, (centre + rng.standard_normal(24) * 0.15 * (1 + i % 3)).tolist()) for i in range(300)]
+    x = np.array([v for _, v in group])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    true = (x @ x.T >= 0.95).sum(1) - 1
+    found = caps.near_vectors(spark.createDataFrame(group, "vec_id long, embedding array<double>"), cell_rows=cell_rows, lists=40.0, least=30)
+    links = np.array([r["n_links"] for r in found.orderBy("vec_id").collect()])
+    assert (links <= true).all() and links.sum() >= 0.98 * true.sum() > 10_000
+
+
+def test_pairs_meet_first_once():
+    rng = np.random.default_rng(5)
+    lists = [np.sort(rng.choice(60, rng.integers(0, 9), replace=False)) for _ in range(80)]
+    early = caps._early_table(pa.chunked_array([pa.array([v.astype(np.int64).tobytes() for v in lists], pa.binary())]))
+    i, j = np.nonzero(np.tri(80, k=-1))
+    assert caps._meet_first(early, i, j).tolist() == [not set(lists[a]) & set(lists[b]) for a, b in zip(i, j)]
+
+
+def test_trees_of_linked_rows():
+    rng = np.random.default_rng(6)
+    i, j = rng.integers(0, 300, (2, 220))
+    root, forest = np.arange(300), Forest()
+    for at in range(0, 220, 50):
+        caps._hang(root, i[at : at + 50], j[at : at + 50])
+    for a, b in zip(i.tolist(), j.tolist()):
+        forest.join(a, b)
+    assert root.tolist() == [forest.root(a) for a in range(300)]
+
+
+def test_lengths_that_share_a_filter_do_not_link():
+    """Filters are named by the length's last twelve bits."""
+    x = np.zeros((2, 4098))
+    x[:, :2] = 0.6, 0.8
+    small, step, left = caps._small_copies(x)
+    copies = [small[0].tobytes(), small[1, :2].tobytes()]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 7]), pa.array([7, 7]), pa.array([1, 2]), pa.array([1, 1]), pa.array(copies, pa.binary()), pa.array(step), pa.array(left),
+         pa.array([b"", b""], pa.binary()), pa.array([-1, -1], pa.int32())],
+        ["cell", "filter", "cid", "size", "small", "step", "left", "early", "side"],
+    )
+    assert sum(out.num_rows for out in caps._compare(0.95)(iter([batch]))) == 0
+
+
 def test_small_copies_bound_the_product():
     rng = np.random.default_rng(2)
     unit = rng.standard_normal((200, 40))
