@@ -95,6 +95,26 @@ def _small_copies(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return small, step, left
 
 
+#: Bytes of a filter's name. Filters whose names fall together are one filter, with more vectors that meet by chance.
+NAME_BYTES = 5
+
+
+def _names(direction: np.ndarray, dimension: int, code: int) -> np.ndarray:
+    mixed = direction.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((dimension << 8 | code) * 0xC2B2AE3D27D4EB4F % 2**64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(64 - 8 * NAME_BYTES)).astype(np.int64)
+
+
+def _pack(names: np.ndarray) -> np.ndarray:
+    return names.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES]
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    whole = np.zeros((len(packed) // NAME_BYTES, 8), np.uint8)
+    whole[:, :NAME_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, NAME_BYTES)
+    return whole.view("<i8").ravel()
+
+
 def _decode(rows: int, codes: int, lists: float, least: int):
     def decode(batches: Batches) -> Batches:
         filters: dict[int, list[CapFilters]] = {}
@@ -112,12 +132,12 @@ def _decode(rows: int, codes: int, lists: float, least: int):
                     copies = [small[i].tobytes() for i in range(len(part))]
                     met = [code.decode(unit) for code in filters[dimension]]
                     row = np.concatenate([r for r, _ in met])
-                    name = np.concatenate([(d << 16) ^ ((dimension & 0xFFF) << 4) ^ k for k, (_, d) in enumerate(met)])
-                    order = np.lexsort((name, row))
-                    row, name = row[order], name[order]
+                    name = np.concatenate([_names(d, dimension, k) for k, (_, d) in enumerate(met)])
+                    row, name = np.unique(np.stack([row, name]), axis=1)
+                    packed = _pack(name)
                     starts, _ = runs(row)
                     first = starts[np.searchsorted(starts, np.arange(len(row)), "right") - 1]
-                    early = [name[f:n].tobytes() for n, f in enumerate(first.tolist())]
+                    early = [packed[f:n].tobytes() for n, f in enumerate(first.tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(name), pa.array(ids[part][row]), pa.array(size[part][row]), pa.array([copies[i] for i in row], pa.binary()),
@@ -132,8 +152,8 @@ def _decode(rows: int, codes: int, lists: float, least: int):
 def _early_table(column: pa.ChunkedArray) -> np.ndarray:
     """One row of filter numbers per vector, smallest first, then -1; filters that only one of the vectors has are left out."""
     lists = column.to_pylist()
-    lengths = np.array([len(e) // 8 for e in lists], np.int64)
-    _, code, often = np.unique(np.frombuffer(b"".join(lists), np.int64), return_inverse=True, return_counts=True)
+    lengths = np.array([len(e) // NAME_BYTES for e in lists], np.int64)
+    _, code, often = np.unique(_unpack(b"".join(lists)), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(lists)), lengths)[often[code] > 1]
     code = code[often[code] > 1]
     starts, lengths = runs(row)

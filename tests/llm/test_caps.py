@@ -70,11 +70,17 @@ def test_large_group_around_the_threshold(spark, cell_rows):
 def test_pairs_meet_first_once():
     rng = np.random.default_rng(5)
     lists = [np.sort(rng.choice(60, rng.integers(0, 9), replace=False)) for _ in range(80)]
-    early = caps._early_table(pa.chunked_array([pa.array([v.astype(np.int64).tobytes() for v in lists], pa.binary())]))
+    early = caps._early_table(pa.chunked_array([pa.array([caps._pack(v).tobytes() for v in lists], pa.binary())]))
     i, j = np.nonzero(np.tri(80, k=-1))
     assert caps._meet_first(early, i, j).tolist() == [not set(lists[a]) & set(lists[b]) for a, b in zip(i, j)]
 
 
+def test_names_come_back():
+    names = caps._names(np.arange(100_000), 64, 2)
+    assert len(np.unique(names)) == 100_000 and names.min() >= 0 and names.max() < 2**40
+    assert (caps._unpack(caps._pack(names).tobytes()) == names).all()
+
+
 def test_trees_of_linked_rows():
     rng = np.random.default_rng(6)
     i, j = rng.integers(0, 300, (2, 220))
@@ -87,7 +93,7 @@ def test_trees_of_linked_rows():
 
 
 def test_lengths_that_share_a_filter_do_not_link():
-    """Filters are named by the length's last twelve bits."""
+    """Names of filters can fall together."""
     x = np.zeros((2, 4098))
     x[:, :2] = 0.6, 0.8
     small, step, left = caps._small_copies(x)
