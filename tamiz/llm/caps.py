@@ -275,7 +275,8 @@ def link_vectors(
         "cap-postings",
     )
     hot = postings.groupBy("filter").count().where(F.col("count") > cell_rows)
-    hot = hot.select("filter", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts"))
+    # written first, so that its size is known: as a rule it is short, and the postings need not be shuffled to meet it
+    hot = materialise(hot.select("filter", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts")), "hot-caps")
     part = F.pmod(F.xxhash64("cid", F.lit(3)), F.col("parts")).cast("int")
     dealt = postings.join(hot, "filter", "left").withColumn("part", part)
     others = F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
