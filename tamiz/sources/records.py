@@ -37,29 +37,33 @@ def decoded(line: Column, encoding: str) -> Column:
     return line if encoding.upper() == UTF8 else F.decode(line.cast("binary"), encoding)
 
 
-def line_effect(line: Column, sep: str) -> Column:
-    """What a line does to the state "inside of quotes".
+def with_effect(lines: DataFrame, sep: str, name: str = "efecto") -> DataFrame:
+    """Add what each line does to the state "inside of quotes".
 
     Doubled quotes are text. Of the others, one at the start of a cell opens it and one at the end closes it, whatever
     came before; one that is both, alone between separators, turns the state around. Any other is a stray one and text.
-    Bytes are looked at one by one: in any charset that extends ASCII, quotes and separators are the same there."""
-    single = F.decode(line.cast("binary"), "ISO-8859-1")
-    # what lies between the quotes; only its ends are looked at
-    parts = F.split(F.replace(single, F.lit('""'), F.lit("")), '"', -1)
-    quotes = F.size(parts) - 1
-
-    def mark(k: Column) -> Column:
-        before, behind = F.get(parts, k - 1), F.get(parts, k)
-        starts = before.endswith(sep) | ((k == 1) & (before == ""))
-        ends = behind.startswith(sep) | ((k == quotes) & behind.isin("", "\r"))
-        return F.when(starts & ends, "t").when(ends, "c").when(starts, "o").otherwise("")
-
-    marks = F.when(quotes > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(quotes, F.lit(1))), mark), "")).otherwise("")
-    told = F.rtrim(marks, F.lit("t"))
-    turns = F.length(marks) - F.length(told)
-    settled = F.when(told.endswith("o"), 1).when(told.endswith("c"), 0)
-    effect = F.when(settled.isNull(), turns % 2).otherwise((settled + turns) % 2 + _CLOSES)
-    return F.when(~F.contains(line, F.lit('"')), _KEEPS).otherwise(effect).cast("int")
+    What counts is the last quote that opens or closes, and how many behind it turn the state.
+    Bytes are looked at: in any charset that extends ASCII, quotes and separators are the same there. Quotes are replaced
+    by marks that begin with a line break, which no line holds. A column that is used twice is a projection of its own,
+    so that no step over a line is done twice."""
+
+    def swapped(c: Column, one: str, other: str) -> Column:
+        return F.replace(c, F.lit(one), F.lit(other))
+
+    opens, closes, turns = "\no", "\nc", "\nt"
+    single = F.concat(F.lit(sep), swapped(F.col(_LINE), '""', ""), F.lit("\r\n"))
+    # the end of the line ends a cell, with and without a \r before it
+    cells = swapped(swapped(single, "\r\r\n", sep), "\r\n", sep)
+    starts = swapped(swapped(cells, f'{sep}"', sep + opens), opens + sep, turns + sep)
+    marks = F.when(F.contains(_LINE, F.lit('"')), swapped(starts, f'"{sep}', closes + sep))
+    behind = F.substring_index("_marks", opens, -1)
+    marked = lines.withColumn("_marks", marks).withColumn("_behind", behind)
+    tail = F.substring_index("_behind", closes, -1)
+    settled = F.when(F.contains("_behind", F.lit(closes)), 0).when(F.contains("_marks", F.lit(opens)), 1)
+    last = marked.withColumn("_tail", tail).withColumn("_settled", settled)
+    turned = F.octet_length("_tail") - F.octet_length(swapped(F.col("_tail"), turns, turns[:-1]))
+    effect = F.when(F.col("_settled").isNull(), turned % 2).otherwise((F.col("_settled") + turned) % 2 + _CLOSES)
+    return last.withColumn(name, F.when(F.col("_marks").isNull(), _KEEPS).otherwise(effect).cast("int")).drop("_marks", "_behind", "_tail", "_settled")
 
 
 def _chained(rows: DataFrame, effect: str, within: WindowSpec) -> DataFrame:
@@ -109,9 +113,9 @@ def csv_records(
     which goes on to the end of the file; of such records and others beyond ``longest`` characters ``registro`` may be
     NULL, so that a stray quote does not gather a file in one row."""
     lines = text_lines(spark, path)
-    effect = line_effect(F.col(_LINE), sep).alias("efecto")
-    blocks = _blocks(_opened(lines.select(_FILE, _BLOCK, _ROW, effect)))
-    opened = _opened(lines.select(_FILE, _BLOCK, _ROW, effect, decoded(F.col(_LINE), encoding).alias(_LINE)))
+    lines = with_effect(lines, sep)
+    blocks = _blocks(_opened(lines.select(_FILE, _BLOCK, _ROW, "efecto")))
+    opened = _opened(lines.withColumn(_LINE, decoded(F.col(_LINE), encoding)))
     known = opened.join(blocks, (F.col(_FILE) == F.col("_file")) & (F.col(_BLOCK) == F.col("_block")))
     known = known.withColumn("grupo", F.when(F.col("inicio") == 0, F.col("grupo_0")).otherwise(F.col("grupo_1")))
     parts = F.sort_array(F.collect_list(F.struct(_ROW, _LINE)))

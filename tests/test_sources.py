@@ -12,7 +12,7 @@ from tamiz.plans import contract as K
 from tamiz.plans import indicators
 from tamiz.sources import envelope, files, tables
 from tamiz.sources.layers import Layer
-from tamiz.sources.records import csv_records, text_lines
+from tamiz.sources.records import csv_records, text_lines, with_effect
 from tamiz.streaming.batches import load_in_batches
 
 
@@ -276,6 +276,35 @@ def test_rows_that_do_not_parse_are_found_with_their_place(small_splits, tmp_pat
     assert len(files.read_csv(small_splits, str(tmp_path), schema, corrupt="malo").select("k", "malo").where("malo IS NOT NULL").collect()) == 8
 
 
+def effect_of(line, sep):
+    """What a line does to the state "inside of quotes", told quote by quote."""
+    after = []
+    parts = line.replace('""', "").removesuffix("\r").split('"')
+    for inside in (False, True):
+        for k in range(1, len(parts)):
+            starts = parts[k - 1].endswith(sep) or (k == 1 and parts[0] == "")
+            ends = parts[k].startswith(sep) or (k == len(parts) - 1 and parts[k] == "")
+            inside = not inside if starts and ends else True if starts else False if ends else inside
+        after.append(inside)
+    return {(False, True): 0, (True, False): 1, (False, False): 2, (True, True): 3}[tuple(after)]
+
+
+@pytest.mark.parametrize("sep", [",", ";", "||"])
+def test_effect_of_a_line_quote_by_quote(spark, sep):
+    rnd = random.Random(3)
+    lines = ["".join(rnd.choice(['"', '"', sep, "a", "é", "\r"]) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    frame = spark.createDataFrame([(x,) for x in lines], "linea string")
+    found = with_effect(frame, sep).collect()
+    assert {r["efecto"] for r in found} == {0, 1, 2, 3}
+    assert [(r["linea"], r["efecto"]) for r in found] == [(x, effect_of(x, sep)) for x in lines]
+
+
+def test_a_line_is_gone_over_once_for_its_effect(spark, tmp_path):
+    path = write(tmp_path / "e.csv", 'k,v\n1,"a\nb"\n')
+    plan = with_effect(text_lines(spark, path), ",")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("replace(") <= 8 and "transform(" not in plan and "split(" not in plan
+
+
 def test_stray_quote_does_not_gather_a_file(small_splits, tmp_path):
     lines = [f"{i},some text of a row" for i in range(50)]
     path = write(tmp_path / "s.csv", "\n".join(["1,a", '2,"open', *lines]) + "\n")
