@@ -119,12 +119,11 @@ def csv_records(
     known = opened.join(blocks, (F.col(_FILE) == F.col("_file")) & (F.col(_BLOCK) == F.col("_block")))
     known = known.withColumn("grupo", F.when(F.col("inicio") == 0, F.col("grupo_0")).otherwise(F.col("grupo_1")))
     parts = F.sort_array(F.collect_list(F.struct(_ROW, _LINE)))
-    pieces = known.groupBy(_FILE, _BLOCK, "grupo").agg(
+    # one value of each in a block; as keys they let the filters below work before lines are put together
+    pieces = known.groupBy(_FILE, _BLOCK, "grupo", "ultimo", "abierto").agg(
         F.min(_ROW).alias(_ROW),
         F.sum(F.length(_LINE) + 1).alias("largo"),
         F.array_join(F.transform(parts, lambda p: p[_LINE]), "\n").alias("texto"),
-        F.first("ultimo").alias("ultimo"),
-        F.first("abierto").alias("abierto"),
     )
     text = F.when(F.col("largo") <= longest, F.col("texto")).alias("texto")
     at_edge = (F.col("grupo") == 0) | (F.col("grupo") == F.col("ultimo"))

@@ -305,6 +305,13 @@ def test_a_line_is_gone_over_once_for_its_effect(spark, tmp_path):
     assert plan.count("replace(") <= 8 and "transform(" not in plan and "split(" not in plan
 
 
+def test_records_at_edges_are_told_before_lines_are_joined(spark, tmp_path):
+    path = write(tmp_path / "b.csv", 'k,v\n1,"a\nb"\n2,c\n')
+    plan = csv_records(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Aggregate [archivo" in line and "collect_list" in line and "array_join" in line and "grupo" in line.split("]")[0]]
+    assert keys and all("ultimo" in line.split("]")[0] for line in keys)
+
+
 def test_stray_quote_does_not_gather_a_file(small_splits, tmp_path):
     lines = [f"{i},some text of a row" for i in range(50)]
     path = write(tmp_path / "s.csv", "\n".join(["1,a", '2,"open', *lines]) + "\n")
