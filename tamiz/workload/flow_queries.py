@@ -10,7 +10,8 @@ from tamiz.functions.numbers import exact_avg, exact_sum, half_up
 from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, refresh, silver, star
-from tamiz.session import scratch_path
+from tamiz.session import materialise, scratch_path
+from tamiz.sources.layers import concurrently
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables, query, sql_avg, sql_round, sql_sum
 
@@ -121,29 +122,38 @@ def envelope_flow(t: Tables) -> DataFrame:
     )
 
 
-def flat_tables(t: Tables) -> dict[str, DataFrame]:
+def sources(t: Tables) -> dict[str, DataFrame]:
+    """What several of the flat tables, and the newer ones of a refresh, are made of: written once, so that the large
+    tables are not read and summed again for each of them."""
+    builders = {"totals": lambda t: M.company_totals(t, by_year=True), "sums": M.line_sums, "real": M.gdp_real, "survey": M.survey}
+    stored = dict(zip(builders, concurrently(lambda name, build: materialise(build(t), name), builders)))
+    return {**stored, "schools": materialise(M.schools(t, stored["sums"]), "schools")}
+
+
+def flat_tables(t: Tables, made: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The cleaned tables a star schema is built from; industry codes are incomplete."""
+    made = made or sources(t)
     geography = M.geography(t)
     companies = M.companies(t).withColumns({"ruc": F.format_string("%010d", "ruc"), "canton": M.accented(F.col("canton"))})
-    ranking = M.company_totals(t, by_year=True).withColumn("ruc", F.format_string("%010d", "ruc"))
+    ranking = made["totals"].withColumn("ruc", F.format_string("%010d", "ruc"))
     month = F.trunc("o_orderdate", "month").cast("date")
     index = half_up(exact_avg(F.col("o_totalprice")), 2)
     return {
-        "macro_anual": M.gdp_real(t),
-        "pib_nominal": M.gdp_nominal(t),
+        "macro_anual": made["real"],
+        "pib_nominal": M.gdp_nominal(t, made["sums"]),
         "indicadores_diarios": M.daily(t),
         "iee": t.orders.groupBy(month.alias("fecha")).agg(index.alias("iee_global")),
-        "vab": M.value_added(t).withColumnRenamed("valor", "vab_miles_usd"),
-        "empleo": M.survey(t),
+        "vab": M.value_added(t, made["sums"]).withColumnRenamed("valor", "vab_miles_usd"),
+        "empleo": made["survey"],
         "ocupacion_censo": silver.census_occupation(M.census_sheet(t)),
         "ranking": ranking.join(companies.select("ruc", "provincia", "ciiu_n6"), "ruc"),
-        "oferta_academica": M.schools(t).join(geography, "id_geografia").drop("id_geografia").withColumns(
+        "oferta_academica": made["schools"].join(geography, "id_geografia").drop("id_geografia").withColumns(
             {"cod_provincia": F.lit(None).cast("string"), "cod_canton": F.lit(None).cast("string")}
         ),
         "empresas": companies,
         "ciiu": t.customer.where(F.col("c_mktsegment") != "BUILDING").select(
             F.col("c_mktsegment").alias("ciiu"), F.lower("c_mktsegment").alias("descripcion")
-        ).distinct().unionByName(t.lineitem.select(F.col("l_returnflag").alias("ciiu"), F.lit("x").alias("descripcion")).where("ciiu <> 'N'").distinct()),
+        ).distinct().unionByName(made["sums"].select("ciiu", F.lit("x").alias("descripcion")).where("ciiu <> 'N'").distinct()),
     }
 
 
@@ -261,19 +271,19 @@ def school_year_append(t: Tables) -> DataFrame:
     )
 
 
-def _newer(t: Tables) -> dict[str, DataFrame]:
+def _newer(t: Tables, made: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Newer flat tables: companies of one segment have no tax number, codes may be blank."""
-    real = M.gdp_real(t).where(F.col("anio") >= 1998)
+    real = made["real"].where(F.col("anio") >= 1998)
     directory = M.companies(t).select(
         F.when(F.col("ciiu_n6") == "BUILDING", F.lit("")).otherwise(F.format_string("%010d", "ruc")).alias("ruc"),
         "expediente", "nombre", "situacion_legal", "provincia", "canton", F.lit("").alias("ciiu_nivel1"),
         F.when(F.col("ciiu_n6") == "FURNITURE", " ").otherwise(F.col("ciiu_n6")).alias("ciiu_nivel6"),
     )
-    ranking = M.company_totals(t, by_year=True).select(
+    ranking = made["totals"].select(
         F.col("ruc").alias("expediente"), F.col("anio").cast("string").alias("anio"),
         F.format_number("ingresos_totales", 2).alias("ingresos_totales"), F.lit("Q").alias("ciiu_n6"),
     )
-    schools = M.schools(t).where(F.col("anio_lectivo") == NEW_PERIOD).join(M.geography(t), "id_geografia").select(
+    schools = made["schools"].where(F.col("anio_lectivo") == NEW_PERIOD).join(M.geography(t), "id_geografia").select(
         F.col("amie").alias("institucion_amie"), F.col("nombre_institucion").alias("institucion_nombre"),
         F.lit("Fiscal").alias("institucion_sostenimiento"), F.col("provincia").alias("institucion_provincia"),
         F.col("canton").alias("institucion_canton"), F.col("total_estudiantes").alias(refresh.SCHOOL_TOTAL),
@@ -287,7 +297,7 @@ def _newer(t: Tables) -> dict[str, DataFrame]:
             (F.col("poblacion_miles") * 1000).alias("poblacion_total"), F.lit(1.0).alias("pib_pc_nominal_usd"),
             F.col("variacion_pib_pct").alias("tasa_variacion_anual"),
         ),
-        "fact_empleo_enemdu": star.employment_fact(M.survey(t)),
+        "fact_empleo_enemdu": star.employment_fact(made["survey"]),
         "fact_mineduc_amie": schools,
     }
 
@@ -316,11 +326,12 @@ _KEPT_RANKING = "(SELECT count(*) FROM (SELECT DISTINCT o_custkey, year(o_orderd
 )
 def refresh_flow(t: Tables) -> DataFrame:
     """A star schema with history, refreshed twice from newer tables, its references checked."""
-    flat = flat_tables(t)
+    made = sources(t)
+    flat = flat_tables(t, made)
     flat["oferta_academica"] = flat["oferta_academica"].where(F.col("anio_lectivo") != NEW_PERIOD)
     layer = flows.Layer(t.spark, scratch_path(t.spark, "refresh-star"))
     flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat), layer)
-    newer = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(_newer(t))
+    newer = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(_newer(t, made))
     for _ in range(2):
         refreshed = flows.refresh_star(newer, layer, NEW_PERIOD)
     return flows.audit_star(refreshed)
@@ -357,8 +368,9 @@ def star_values(t: Tables) -> DataFrame:
 def refresh_values(t: Tables) -> DataFrame:
     """What a refresh leaves in the tables it replaces; head counts are whole numbers."""
     layer = flows.Layer(t.spark, scratch_path(t.spark, "refresh-values"))
-    flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat_tables(t)), layer)
-    newer = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(_newer(t))
+    made = sources(t)
+    flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat_tables(t, made)), layer)
+    newer = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(_newer(t, made))
     refreshed = flows.refresh_star(newer, layer, NEW_PERIOD)
     total = half_up(exact_sum(F.col("total_nacional")), 2)
     return audits.union_all(

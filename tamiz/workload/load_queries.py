@@ -12,7 +12,7 @@ from tamiz.plans import flows, star
 from tamiz.session import scratch_path
 from tamiz.sources import files, tables
 from tamiz.workload import mapping as M
-from tamiz.workload.flow_queries import NEW_PERIOD, _newer, flat_tables
+from tamiz.workload.flow_queries import NEW_PERIOD, _newer, flat_tables, sources
 from tamiz.workload.registry import Tables, query, sql_sum
 
 
@@ -204,11 +204,12 @@ _SCHOOLS = f"({M.SQL_SCHOOLS}) WHERE anio_lectivo = '{NEW_PERIOD}'"
 )
 def refresh_report(t: Tables) -> DataFrame:
     """What a refresh read, matched, left out, lost and loaded, table by table, counted while it wrote."""
-    flat = flat_tables(t)
+    made = sources(t)
+    flat = flat_tables(t, made)
     flat["oferta_academica"] = flat["oferta_academica"].where(F.col("anio_lectivo") != NEW_PERIOD)
     layer = flows.Layer(t.spark, scratch_path(t.spark, "report-star"))
     flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat), layer)
-    newer = _newer(t)
+    newer = _newer(t, made)
     one = newer["fact_macro_anual"].limit(1).withColumn("anio_fiscal", F.lit(2050))
     newer["fact_macro_anual"] = newer["fact_macro_anual"].unionByName(one)
     newer["fact_empleo_enemdu"] = newer["fact_empleo_enemdu"].withColumn("total_urbana", F.when(F.col("indicador") == "1-URGENT", "n/d").otherwise("7"))
@@ -239,11 +240,12 @@ def _moved_schools(schools: DataFrame) -> DataFrame:
 )
 def places_outlive_refresh(t: Tables) -> DataFrame:
     """Two refreshes bring new places: ids that were given stay, new ones follow them, and facts refer to both."""
-    flat = flat_tables(t)
+    made = sources(t)
+    flat = flat_tables(t, made)
     flat["oferta_academica"] = flat["oferta_academica"].where(F.col("anio_lectivo") != NEW_PERIOD)
     layer = flows.Layer(t.spark, scratch_path(t.spark, "places-star"))
     flows.build_star(flows.Layer(t.spark, scratch_path(t.spark, "staged")).put_all(flat), layer)
-    newer = _newer(t)
+    newer = _newer(t, made)
     newer["fact_mineduc_amie"] = _moved_schools(newer["fact_mineduc_amie"])
     stored = flows.Layer(t.spark, scratch_path(t.spark, "newer")).put_all(newer)
     flows.refresh_star(stored, layer, NEW_PERIOD)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.functions.numbers import exact_avg, exact_sum, half_up, ratio
+from tamiz.functions.numbers import EXACT, exact_avg, exact_sum, half_up, ratio
 from tamiz.functions.periods import MONTHS, period_text
 from tamiz.plans.contract import BRANCHES
 from tamiz.plans.star import with_province
@@ -93,13 +93,27 @@ def ranking(t: Tables, by_year: bool = False) -> DataFrame:
     return with_province(company_totals(t, by_year).join(places, "ruc"), geography(t)).drop("provincia")
 
 
-def schools(t: Tables) -> DataFrame:
-    """School years: supplier by year of shipment; pupils are quantities."""
-    quantity = F.col("l_quantity")
-    per_year = t.lineitem.groupBy("l_suppkey", F.year("l_shipdate").alias("y")).agg(
+def line_sums(t: Tables) -> DataFrame:
+    """Order lines by supplier, year of shipment and flags: sums that schools, value added and prices are made of, for jobs
+    that need them all and should read the lines once. Sums are exact, so it does not matter in which steps they are taken."""
+    price = F.col("l_extendedprice")
+    keys = [F.year("l_shipdate").alias("anio"), F.col("l_returnflag").alias("ciiu"), F.col("l_linestatus").alias("estado")]
+    return t.lineitem.groupBy("l_suppkey", *keys).agg(
+        exact_sum(price).alias("precio"), F.count(price.cast(EXACT)).alias("precios"), F.sum(F.col("l_quantity").cast("bigint")).alias("cantidad")
+    )
+
+
+def schools(t: Tables, sums: DataFrame | None = None) -> DataFrame:
+    """School years: supplier by year of shipment; pupils are quantities. ``sums`` are stored :func:`line_sums`."""
+    if sums is None:
+        lines = t.lineitem.select("l_suppkey", F.year("l_shipdate").alias("y"), F.col("l_returnflag").alias("ciiu"), F.col("l_linestatus").alias("estado"), F.col("l_quantity").alias("cantidad"))
+    else:
+        lines = sums.withColumnRenamed("anio", "y")
+    quantity = F.col("cantidad")
+    per_year = lines.groupBy("l_suppkey", "y").agg(
         F.sum(quantity.cast("bigint")).alias("total_estudiantes"),
-        F.sum(F.when(F.col("l_linestatus") == "F", quantity).otherwise(0).cast("bigint")).alias("bachillerato"),
-        F.sum(F.when(F.col("l_returnflag") == "R", quantity).otherwise(0).cast("bigint")).alias("bachilleres_3er_anio"),
+        F.sum(F.when(F.col("estado") == "F", quantity).otherwise(0).cast("bigint")).alias("bachillerato"),
+        F.sum(F.when(F.col("ciiu") == "R", quantity).otherwise(0).cast("bigint")).alias("bachilleres_3er_anio"),
     )
     supplier = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     return per_year.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
@@ -145,8 +159,11 @@ SQL_YEARLY = f"""SELECT CAST(year(o_orderdate) AS INT) AS anio,
   FROM orders GROUP BY 1"""
 
 
-def gdp_nominal(t: Tables) -> DataFrame:
-    """Mean price of a line by year of shipment."""
+def gdp_nominal(t: Tables, sums: DataFrame | None = None) -> DataFrame:
+    """Mean price of a line by year of shipment. ``sums`` are stored :func:`line_sums`."""
+    if sums is not None:
+        mean = F.sum("precio").cast("double") / F.nullif(F.sum("precios"), F.lit(0))
+        return sums.groupBy(F.col("anio").alias("periodo")).agg(half_up(mean, 2).alias("pib_percapita_nominal_usd"))
     return t.lineitem.groupBy(F.year("l_shipdate").alias("periodo")).agg(
         half_up(exact_avg(F.col("l_extendedprice")), 2).alias("pib_percapita_nominal_usd")
     )
@@ -191,11 +208,14 @@ SQL_SURVEY = f"""SELECT {SQL_MONTH.format('o_orderdate')} || '-' || strftime(o_o
   FROM orders GROUP BY ALL"""
 
 
-def value_added(t: Tables) -> DataFrame:
-    """Line prices by year, place of the supplier (named carelessly) and industry."""
-    per_supplier = t.lineitem.groupBy("l_suppkey", F.year("l_shipdate").alias("anio"), F.col("l_returnflag").alias("ciiu")).agg(
-        exact_sum(F.col("l_extendedprice")).alias("valor")
-    )
+def value_added(t: Tables, sums: DataFrame | None = None) -> DataFrame:
+    """Line prices by year, place of the supplier (named carelessly) and industry. ``sums`` are stored :func:`line_sums`."""
+    if sums is None:
+        per_supplier = t.lineitem.groupBy("l_suppkey", F.year("l_shipdate").alias("anio"), F.col("l_returnflag").alias("ciiu")).agg(
+            exact_sum(F.col("l_extendedprice")).alias("valor")
+        )
+    else:
+        per_supplier = sums.select("l_suppkey", "anio", "ciiu", F.col("precio").alias("valor"))
     supplier = t.supplier.select("s_suppkey", "s_nationkey")
     placed = per_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
         geography(t), F.col("s_nationkey") + 1 == F.col("id_geografia")

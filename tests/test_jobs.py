@@ -1,6 +1,7 @@
 """Jobs on small hand-made frames that hold the awkward rows of the real sources."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 
@@ -8,6 +9,9 @@ from support import values
 from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, indicators, refresh, silver, star
+from tamiz.workload import flow_queries
+from tamiz.workload import mapping as M
+from tamiz.workload.registry import Tables
 
 
 def day(y, m, d=1):
@@ -379,3 +383,30 @@ def test_first_and_last_row_mean_the_order_in_the_files(spark, frame, tmp_path,
     assert {r.expediente: (r.ruc, r.provincia) for r in refresh.directory_lookup(flat).collect()} == last
     dimension = star.company_dimension(flat)
     assert dict(values(dimension, "ruc", "nombre")) == first and K.ORDER not in dimension.columns
+
+
+def test_line_sums_make_the_same_tables_as_the_lines(spark, frame):
+    shipped = dt.datetime(1997, 3, 1)
+    lines = frame(
+        [
+            (1, 10.25, 3.0, "R", "F", shipped), (1, 1.5, None, "N", "F", shipped), (1, None, 7.0, None, None, shipped), (1, 4.0, 2.0, "R", "O", None),
+            (2, 0.1, 5.0, "A", "F", shipped), (2, 0.1, 5.0, "A", "F", shipped), (None, 9.0, 1.0, "R", "F", shipped), (3, float("nan"), None, "N", None, shipped),
+        ],
+        "l_suppkey bigint, l_extendedprice double, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    )
+    t = SimpleNamespace(
+        spark=spark, lineitem=lines, supplier=frame([(1, "a", 0), (2, "b", 1), (2, "b", 1), (3, "c", 0), (None, "d", 0)], "s_suppkey bigint, s_name string, s_nationkey int"),
+        nation=frame([(0, "X", 0), (1, "Y", 0)], "n_nationkey int, n_name string, n_regionkey int"), region=frame([(0, "Z")], "r_regionkey int, r_name string"),
+    )
+    sums = M.line_sums(t)
+    for build in (M.schools, M.value_added, M.gdp_nominal):
+        rows = sorted(values(build(t)), key=str)
+        assert rows and sorted(values(build(t, sums)), key=str) == rows, build.__name__
+
+
+def test_flat_tables_read_stored_sums_instead_of_the_lines(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    made = flow_queries.sources(t)
+    flat = {**flow_queries.flat_tables(t, made), **flow_queries._newer(t, made)}
+    read = [name for name, df in flat.items() if any("lineitem" in path or "orders" in path for path in df.inputFiles())]
+    assert sorted(read) == ["iee", "indicadores_diarios", "ocupacion_censo"]
