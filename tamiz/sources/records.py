@@ -66,40 +66,42 @@ def with_effect(lines: DataFrame, sep: str, name: str = "efecto") -> DataFrame:
     return last.withColumn(name, F.when(F.col("_marks").isNull(), _KEEPS).otherwise(effect).cast("int")).drop("_marks", "_behind", "_tail", "_settled")
 
 
-def _chained(rows: DataFrame, effect: str, within: WindowSpec) -> DataFrame:
-    """Add ``tras_0`` and ``tras_1``: the state after each row if the first one started outside or inside."""
+def _chained(rows: DataFrame, effect: str, within: WindowSpec, starts: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """Add ``antes_0`` and ``tras_0``, ``antes_1`` and ``tras_1``: the state before and after each row if the first one
+    started outside or inside."""
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turned = rows.withColumn("_turns", F.sum(F.when(F.col(effect) == _TURNS, 1).otherwise(0)).over(so_far))
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.when(F.col(effect) == _TURNS, 1).otherwise(0)
+    turned = rows.withColumn("_turns", F.sum(turns).over(so_far))
     settles = F.when(F.col(effect) >= _CLOSES, F.struct((F.col(effect) - _CLOSES).alias("state"), F.col("_turns").alias("turns")))
-    last = turned.withColumn("_last", F.last(settles, ignorenulls=True).over(so_far))
+    last = turned.withColumn("_last", F.last(settles, ignorenulls=True).over(before)).withColumn("_turns", F.col("_turns") - turns)
     settled = (F.col("_last.state") + F.col("_turns") - F.col("_last.turns")) % 2
-    after = {f"tras_{s}": F.coalesce(settled, (F.lit(s) + F.col("_turns")) % 2).cast("int") for s in (0, 1)}
-    return last.withColumns(after).drop("_turns", "_last")
-
-
-def _opened(lines: DataFrame) -> DataFrame:
-    """Lines with the number of records opened in their block so far, for both states it may start in."""
-    block = Window.partitionBy(_FILE, _BLOCK).orderBy(_ROW)
-    so_far = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chained = _chained(lines, "efecto", block)
-    opens = {f"abre_{s}": F.when(F.lag(f"tras_{s}", 1, s).over(block) == 0, 1).otherwise(0) for s in (0, 1)}
-    return chained.withColumns(opens).withColumns({f"grupo_{s}": F.sum(f"abre_{s}").over(so_far) for s in (0, 1)})
-
-
-def _blocks(opened: DataFrame) -> DataFrame:
-    """Per block: the state it starts in, its number of records, and whether the file ends inside of quotes there."""
-    last = F.max_by(F.struct("tras_0", "tras_1", "grupo_0", "grupo_1"), _ROW)
-    ends = opened.groupBy(_FILE, _BLOCK).agg(last.alias("_e")).select(_FILE, _BLOCK, "_e.*")
-    a, b = F.col("tras_0"), F.col("tras_1")
+    found = last.withColumns({f"antes_{s}": F.coalesce(settled, (F.lit(s) + F.col("_turns")) % 2).cast("int") for s in starts})
+    after = {
+        f"tras_{s}": F.when(F.col(effect) >= _CLOSES, F.col(effect) - _CLOSES).when(F.col(effect) == _TURNS, 1 - F.col(f"antes_{s}")).otherwise(F.col(f"antes_{s}")).cast("int")
+        for s in starts
+    }
+    return found.withColumns(after).drop("_turns", "_last")
+
+
+def _blocks(effects: DataFrame) -> DataFrame:
+    """Per block: the lines that open its first and its last record, if any does, and whether the file ends inside of
+    quotes there."""
+    lines = _chained(effects, "efecto", Window.partitionBy(_FILE, _BLOCK).orderBy(_ROW))
+    opening = {s: F.when(F.col(f"antes_{s}") == 0, F.col(_ROW)) for s in (0, 1)}
+    ends = lines.groupBy(_FILE, _BLOCK).agg(
+        F.max_by(F.struct("tras_0", "tras_1"), _ROW).alias("_e"),
+        *(take(opening[s]).alias(f"{name}_{s}") for s in (0, 1) for name, take in (("inicial", F.min), ("ultimo", F.max))),
+    )
+    a, b = F.col("_e.tras_0"), F.col("_e.tras_1")
     effect = F.when(a == b, a + _CLOSES).when(a == 1, _TURNS).otherwise(_KEEPS).cast("int")
     order = Window.partitionBy(_FILE).orderBy(_BLOCK)
-    chained = _chained(ends.select(_FILE, _BLOCK, "grupo_0", "grupo_1", effect.alias("efecto")), "efecto", order)
-    start = F.lag("tras_0", 1, 0).over(order)
+    chained = _chained(ends.withColumn("efecto", effect), "efecto", order, (0,))
     last_block = F.lead(_BLOCK).over(order).isNull()
-    return chained.withColumns({"inicio": start, "abierto": last_block & (F.col("tras_0") == 1)}).select(
-        F.col(_FILE).alias("_file"), F.col(_BLOCK).alias("_block"), "inicio", "abierto",
-        F.when(F.col("inicio") == 0, F.col("grupo_0")).otherwise(F.col("grupo_1")).alias("ultimo"),
-    )
+    by_start = [F.when(F.col("antes_0") == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_1")).alias(name) for name in ("inicial", "ultimo")]
+    return chained.select(
+        F.col(_FILE).alias("_file"), F.col(_BLOCK).alias("_block"), *by_start, (last_block & (F.col("tras_0") == 1)).alias("abierto")
+    )
 
 
 def csv_records(
@@ -108,32 +110,48 @@ def csv_records(
     """(archivo, bloque, fila, registro, entero, primero) of every record: the place of its first line, its text without
     the line break behind it, and whether it is the first of its file.
 
-    Lines are shuffled once, by block, and put together there; a block is what one task reads of a file. Of a record that
-    crosses blocks, pieces meet by file, two a block at most. ``entero`` is false where the quotes never close,
+    Of lines, the ones between the first and the last record that open in a block are shuffled, once, by block, and put
+    together there; a block is what one task reads of a file. Of records that may cross blocks, pieces meet by file, two a
+    block at most. ``entero`` is false where the quotes never close,
     which goes on to the end of the file; of such records and others beyond ``longest`` characters ``registro`` may be
     NULL, so that a stray quote does not gather a file in one row."""
     lines = text_lines(spark, path)
-    lines = with_effect(lines, sep)
-    blocks = _blocks(_opened(lines.select(_FILE, _BLOCK, _ROW, "efecto")))
-    opened = _opened(lines.withColumn(_LINE, decoded(F.col(_LINE), encoding)))
-    known = opened.join(blocks, (F.col(_FILE) == F.col("_file")) & (F.col(_BLOCK) == F.col("_block")))
-    known = known.withColumn("grupo", F.when(F.col("inicio") == 0, F.col("grupo_0")).otherwise(F.col("grupo_1")))
-    parts = F.sort_array(F.collect_list(F.struct(_ROW, _LINE)))
-    # one value of each in a block; as keys they let the filters below work before lines are put together
-    pieces = known.groupBy(_FILE, _BLOCK, "grupo", "ultimo", "abierto").agg(
-        F.min(_ROW).alias(_ROW),
-        F.sum(F.length(_LINE) + 1).alias("largo"),
-        F.array_join(F.transform(parts, lambda p: p[_LINE]), "\n").alias("texto"),
-    )
+    effects = with_effect(lines, sep)
+    # one row for each task that reads
+    blocks = F.broadcast(_blocks(effects.select(_FILE, _BLOCK, _ROW, "efecto")))
+
+    def of_blocks(some: DataFrame) -> DataFrame:
+        known = some.join(blocks, (F.col(_FILE) == F.col("_file")) & (F.col(_BLOCK) == F.col("_block")))
+        return known.withColumn(_LINE, decoded(F.col(_LINE), encoding))
+
+    def together(grouped: DataFrame, *keys: str) -> DataFrame:
+        parts = F.sort_array(F.collect_list(F.struct(_ROW, _LINE)))
+        # one value of each in a group; as keys they let filters work before lines are put together
+        return grouped.groupBy(_FILE, _BLOCK, "grupo", *keys).agg(
+            F.min(_ROW).alias(_ROW),
+            F.sum(F.length(_LINE) + 1).alias("largo"),
+            F.array_join(F.transform(parts, lambda p: p[_LINE]), "\n").alias("texto"),
+        )
+
     text = F.when(F.col("largo") <= longest, F.col("texto")).alias("texto")
-    at_edge = (F.col("grupo") == 0) | (F.col("grupo") == F.col("ultimo"))
     opening = (F.col(_BLOCK) == 0) & (F.col("grupo") == 1)
-    whole = pieces.where(~at_edge).select(_FILE, _BLOCK, _ROW, text, F.lit(True).alias("entero"), opening.alias("primero"))
+    # from the first record that opens in a block on, lines start outside of quotes
+    inner = of_blocks(effects).where((F.col(_ROW) >= F.col("inicial")) & (F.col(_ROW) < F.col("ultimo"))).select(_FILE, _BLOCK, _ROW, _LINE, "ultimo", "efecto")
+    in_block = Window.partitionBy(_FILE, _BLOCK).orderBy(_ROW)
+    number = F.sum(F.when(F.col("antes_0") == 0, 1).otherwise(0)).over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = _chained(inner, "efecto", in_block, (0,)).withColumn("grupo", number)
+    whole = together(numbered, "ultimo").select(_FILE, _BLOCK, _ROW, text, F.lit(True).alias("entero"), opening.alias("primero"))
+    # the others are told by their place alone: group 0 goes on from the block before, group 1 is the last that opens
+    none, closing = F.col("ultimo").isNull(), F.col(_ROW) >= F.col("ultimo")
+    outer = of_blocks(lines).where(none | (F.col(_ROW) < F.col("inicial")) | closing).select(
+        _FILE, _BLOCK, _ROW, _LINE, F.when(closing, 1).otherwise(0).alias("grupo"),
+        "inicial", "ultimo", (F.col("abierto") & (none | closing)).alias("abierto"),
+    )
     # pieces at the edges of blocks: what opens in one block goes on at the head of the next
     in_file = Window.partitionBy(_FILE).orderBy(_BLOCK, "grupo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = F.when(F.col("grupo") > 0, 1).otherwise(0)
-    edges = pieces.where(at_edge).select(
-        _FILE, _BLOCK, _ROW, "grupo", "largo", text, opening.alias("primero"), (F.col("abierto") & (F.col("grupo") == F.col("ultimo"))).alias("abierto"), F.sum(opens).over(in_file).alias("numero"),
+    edges = together(outer, "inicial", "ultimo", "abierto").select(
+        _FILE, _BLOCK, _ROW, "grupo", "largo", text, (opening & (F.col("inicial") == F.col("ultimo"))).alias("primero"), "abierto", F.sum(opens).over(in_file).alias("numero"),
     )
     size = F.sum("largo").over(Window.partitionBy(_FILE, "numero"))
     held = edges.withColumn("_size", size).withColumn("texto", F.when(F.col("_size") <= longest, F.col("texto")))

@@ -4,12 +4,13 @@ import datetime as dt
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from support import values
 from tamiz.operators import audits
 from tamiz.plans import contract as K
 from tamiz.plans import flows, gold, indicators, refresh, silver, star
-from tamiz.workload import flow_queries
+from tamiz.workload import flow_queries, load_queries
 from tamiz.workload import mapping as M
 from tamiz.workload.registry import Tables
 
@@ -410,3 +411,11 @@ def test_flat_tables_read_stored_sums_instead_of_the_lines(spark):
     flat = {**flow_queries.flat_tables(t, made), **flow_queries._newer(t, made)}
     read = [name for name, df in flat.items() if any("lineitem" in path or "orders" in path for path in df.inputFiles())]
     assert sorted(read) == ["iee", "indicadores_diarios", "ocupacion_censo"]
+
+
+def test_files_of_broken_rows_are_written_by_all_tasks_each_under_its_header(spark, tmp_path):
+    body = spark.range(1000, numPartitions=7).where("id % 2 = 0").select(F.concat(F.lit("fila "), "id").alias("value"))
+    load_queries._under_headers(body, "clave").write.text(str(tmp_path / "parts"))
+    parts = [p.read_text().splitlines() for p in (tmp_path / "parts").glob("part-*")]
+    assert len(parts) == 7 and all(lines[0] == "clave" and lines.count("clave") == 1 for lines in parts)
+    assert sorted(x for lines in parts for x in lines[1:]) == sorted(f"fila {i}" for i in range(0, 1000, 2))

@@ -312,6 +312,22 @@ def test_records_at_edges_are_told_before_lines_are_joined(spark, tmp_path):
     assert keys and all("ultimo" in line.split("]")[0] for line in keys)
 
 
+def test_lines_of_a_block_are_gone_over_once_where_records_start_is_known(spark, tmp_path):
+    path = write(tmp_path / "w.csv", 'k,v\n1,"a\nb"\n2,c\n')
+    plan = csv_records(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    over_lines = [line for line in plan.splitlines() if "Window [" in line and f", [bloque" not in line and "fila" in line.split("windowspec")[-1]]
+    # two for the states of all lines, which the plan shows twice and runs once, three inside of blocks, none for the edges
+    assert 0 < len(over_lines) <= 7 and "BROADCAST" in plan.upper()
+
+
+def test_records_where_no_line_or_every_line_of_a_block_opens_one(small_splits, tmp_path):
+    for name, text in {"long.csv": 'k,v\n1,"' + "\n".join(["inside of one cell"] * 30) + '"\n2,c\n', "short.csv": 'k,"v\nw"\n' + "".join(f"{i},c\n" for i in range(60))}.items():
+        path = write(tmp_path / name, text)
+        found = sorted(csv_records(small_splits, path).collect(), key=lambda r: (r["bloque"], r["fila"]))
+        assert [parsed(r["registro"]) for r in found] == list(csv.reader(io.StringIO(text, newline="")))
+        assert [r["primero"] for r in found] == [True] + [False] * (len(found) - 1) and all(r["entero"] for r in found)
+
+
 def test_stray_quote_does_not_gather_a_file(small_splits, tmp_path):
     lines = [f"{i},some text of a row" for i in range(50)]
     path = write(tmp_path / "s.csv", "\n".join(["1,a", '2,"open', *lines]) + "\n")
