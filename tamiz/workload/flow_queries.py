@@ -125,17 +125,26 @@ def envelope_flow(t: Tables) -> DataFrame:
 def sources(t: Tables) -> dict[str, DataFrame]:
     """What several of the flat tables, and the newer ones of a refresh, are made of: written once, so that the large
     tables are not read and summed again for each of them."""
-    builders = {"totals": lambda t: M.company_totals(t, by_year=True), "sums": M.line_sums, "real": M.gdp_real, "survey": M.survey}
-    stored = dict(zip(builders, concurrently(lambda name, build: materialise(build(t), name), builders)))
-    return {**stored, "schools": materialise(M.schools(t, stored["sums"]), "schools")}
+    def store(builders: dict) -> dict[str, DataFrame]:
+        return dict(zip(builders, concurrently(lambda name, build: materialise(build(), name), builders)))
+
+    made = store({"totals": lambda: M.company_totals(t, by_year=True), "sums": lambda: M.line_sums(t), "rounds": lambda: M.order_sums(t)})
+    derived = {
+        "real": lambda: M.gdp_real(t, made["rounds"], made["totals"]), "survey": lambda: M.survey(t, made["rounds"]),
+        "schools": lambda: M.schools(t, made["sums"]),
+    }
+    return {**made, **store(derived)}
 
 
 def flat_tables(t: Tables, made: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The cleaned tables a star schema is built from; industry codes are incomplete."""
     made = made or sources(t)
     geography = M.geography(t)
-    companies = M.companies(t).withColumns({"ruc": F.format_string("%010d", "ruc"), "canton": M.accented(F.col("canton"))})
-    ranking = made["totals"].withColumn("ruc", F.format_string("%010d", "ruc"))
+    directory = M.companies(t)
+    companies = directory.withColumns({"ruc": M.tax_number(F.col("ruc")), "canton": M.accented(F.col("canton"))})
+    # joined by number, which is shorter than its text; a company without one meets the orders without one, as their texts do
+    coded = directory.select(F.col("ruc").alias("_ruc"), "provincia", "ciiu_n6")
+    ranking = made["totals"].join(coded, F.col("ruc").eqNullSafe(F.col("_ruc"))).drop("_ruc").withColumn("ruc", M.tax_number(F.col("ruc")))
     month = F.trunc("o_orderdate", "month").cast("date")
     index = half_up(exact_avg(F.col("o_totalprice")), 2)
     return {
@@ -146,7 +155,7 @@ def flat_tables(t: Tables, made: dict[str, DataFrame] | None = None) -> dict[str
         "vab": M.value_added(t, made["sums"]).withColumnRenamed("valor", "vab_miles_usd"),
         "empleo": made["survey"],
         "ocupacion_censo": silver.census_occupation(M.census_sheet(t)),
-        "ranking": ranking.join(companies.select("ruc", "provincia", "ciiu_n6"), "ruc"),
+        "ranking": ranking,
         "oferta_academica": made["schools"].join(geography, "id_geografia").drop("id_geografia").withColumns(
             {"cod_provincia": F.lit(None).cast("string"), "cod_canton": F.lit(None).cast("string")}
         ),
@@ -275,7 +284,7 @@ def _newer(t: Tables, made: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Newer flat tables: companies of one segment have no tax number, codes may be blank."""
     real = made["real"].where(F.col("anio") >= 1998)
     directory = M.companies(t).select(
-        F.when(F.col("ciiu_n6") == "BUILDING", F.lit("")).otherwise(F.format_string("%010d", "ruc")).alias("ruc"),
+        F.when(F.col("ciiu_n6") == "BUILDING", F.lit("")).otherwise(M.tax_number(F.col("ruc"))).alias("ruc"),
         "expediente", "nombre", "situacion_legal", "provincia", "canton", F.lit("").alias("ciiu_nivel1"),
         F.when(F.col("ciiu_n6") == "FURNITURE", " ").otherwise(F.col("ciiu_n6")).alias("ciiu_nivel6"),
     )

@@ -93,6 +93,25 @@ def ranking(t: Tables, by_year: bool = False) -> DataFrame:
     return with_province(company_totals(t, by_year).join(places, "ruc"), geography(t)).drop("provincia")
 
 
+def order_sums(t: Tables) -> DataFrame:
+    """Orders by month, priority and status: sums that rounds of the survey and yearly totals are made of, for jobs that need
+    both and should read the orders once. The calendar bounds their number."""
+    price = F.col("o_totalprice")
+    return t.orders.groupBy(F.trunc("o_orderdate", "month").alias("o_orderdate"), "o_orderpriority", "o_orderstatus").agg(
+        exact_sum(price).alias("precio"), F.count(price.cast(EXACT)).alias("precios")
+    )
+
+
+def _mean_of_sums() -> Column:
+    """As ``exact_avg`` of the values that stored sums were taken of."""
+    return F.sum("precio").cast("double") / F.nullif(F.sum("precios"), F.lit(0))
+
+
+def tax_number(c: Column) -> Column:
+    """A whole number in ten digits. Formatting by pattern is slow, so that it is left to what has no ten digits."""
+    return F.when(c.between(0, 9_999_999_999), F.lpad(c.cast("string"), 10, "0")).otherwise(F.format_string("%010d", c))
+
+
 def line_sums(t: Tables) -> DataFrame:
     """Order lines by supplier, year of shipment and flags: sums that schools, value added and prices are made of, for jobs
     that need them all and should read the lines once. Sums are exact, so it does not matter in which steps they are taken."""
@@ -136,12 +155,17 @@ SQL_SCHOOLS = """SELECT CAST(s_nationkey + 1 AS BIGINT) AS id_geografia,
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL"""
 
 
-def gdp_real(t: Tables) -> DataFrame:
-    """Yearly order total in millions, head count in thousands, growth on the year before."""
-    yearly = t.orders.groupBy(F.year("o_orderdate").alias("anio")).agg(
-        half_up(exact_sum(F.col("o_totalprice")) / 1_000_000, 4).alias("pib_real_musd"),
-        (F.countDistinct("o_custkey") / 1000).alias("poblacion_miles"),
-    )
+def gdp_real(t: Tables, sums: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
+    """Yearly order total in millions, head count in thousands, growth on the year before. ``sums`` are stored
+    :func:`order_sums` and ``totals`` stored :func:`company_totals` by year, which have each company of a year once."""
+    if sums is None or totals is None:
+        amount, people = exact_sum(F.col("o_totalprice")), F.countDistinct("o_custkey")
+        rows = t.orders.select(F.year("o_orderdate").alias("anio"), "o_totalprice", "o_custkey")
+    else:
+        amount, people = F.sum("precio"), F.sum("n")
+        heads = totals.groupBy("anio").agg(F.count("ruc").alias("n"))
+        rows = sums.select(F.year("o_orderdate").alias("anio"), "precio").unionByName(heads, allowMissingColumns=True)
+    yearly = rows.groupBy("anio").agg(half_up(amount / 1_000_000, 4).alias("pib_real_musd"), (people / 1000).alias("poblacion_miles"))
     yearly = materialise(yearly, "yearly")  # a few rows, so that orders are read once
     before = yearly.select((F.col("anio") + 1).alias("anio"), F.col("pib_real_musd").alias("_before"))
     growth = ratio((F.col("pib_real_musd") - F.col("_before")) * 100, F.col("_before"), 2)
@@ -162,8 +186,7 @@ SQL_YEARLY = f"""SELECT CAST(year(o_orderdate) AS INT) AS anio,
 def gdp_nominal(t: Tables, sums: DataFrame | None = None) -> DataFrame:
     """Mean price of a line by year of shipment. ``sums`` are stored :func:`line_sums`."""
     if sums is not None:
-        mean = F.sum("precio").cast("double") / F.nullif(F.sum("precios"), F.lit(0))
-        return sums.groupBy(F.col("anio").alias("periodo")).agg(half_up(mean, 2).alias("pib_percapita_nominal_usd"))
+        return sums.groupBy(F.col("anio").alias("periodo")).agg(half_up(_mean_of_sums(), 2).alias("pib_percapita_nominal_usd"))
     return t.lineitem.groupBy(F.year("l_shipdate").alias("periodo")).agg(
         half_up(exact_avg(F.col("l_extendedprice")), 2).alias("pib_percapita_nominal_usd")
     )
@@ -185,12 +208,13 @@ SQL_DAILY = f"""SELECT CAST(o_orderdate AS DATE) AS fecha, {sql_avg('o_totalpric
     CAST(count(*) AS INT) AS riesgo_pais_pb FROM orders GROUP BY 1"""
 
 
-def survey(t: Tables) -> DataFrame:
-    """Survey in long form: mean order price by month (round), priority and status (area)."""
+def survey(t: Tables, sums: DataFrame | None = None) -> DataFrame:
+    """Survey in long form: mean order price by month (round), priority and status (area). ``sums`` are stored :func:`order_sums`."""
+    rows, mean = (t.orders, exact_avg(F.col("o_totalprice"))) if sums is None else (sums, _mean_of_sums())
     month = F.trunc("o_orderdate", "month")
     area = F.when(F.col("o_orderstatus") == "F", "nacional").when(F.col("o_orderstatus") == "O", "urbana").otherwise("rural")
-    grouped = t.orders.groupBy(month.alias("fecha"), F.col("o_orderpriority").alias("indicador"), area.alias("area"))
-    return grouped.agg(half_up(exact_avg(F.col("o_totalprice")), 2).alias("valor")).select(
+    grouped = rows.groupBy(month.alias("fecha"), F.col("o_orderpriority").alias("indicador"), area.alias("area"))
+    return grouped.agg(half_up(mean, 2).alias("valor")).select(
         F.lit("ENEMDU").alias("encuesta"),
         period_text(F.col("fecha")).alias("periodo"),
         "fecha",

@@ -413,6 +413,36 @@ def test_flat_tables_read_stored_sums_instead_of_the_lines(spark):
     assert sorted(read) == ["iee", "indicadores_diarios", "ocupacion_censo"]
 
 
+def test_order_sums_make_the_same_tables_as_the_orders(spark, frame):
+    first, later = dt.datetime(1997, 3, 1), dt.datetime(1997, 3, 31, 23)
+    orders = frame(
+        [
+            (1, 7, 10.25, first, "1-URGENT", "F"), (1, 7, 10.25, first, "1-URGENT", "F"), (2, 7, 0.1, later, "1-URGENT", "F"), (3, 8, None, later, None, "O"),
+            (4, None, 5.0, later, "2-HIGH", None), (5, None, 5.0, dt.datetime(1998, 1, 1), "2-HIGH", "P"), (6, 9, float("nan"), None, "2-HIGH", "F"), (None, 9, 3.3, None, None, None),
+        ],
+        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp, o_orderpriority string, o_orderstatus string",
+    )
+    t = SimpleNamespace(spark=spark, orders=orders, lineitem=frame([(1, 2.5), (1, 2.5)], "l_orderkey bigint, l_extendedprice double"))
+    sums, totals = M.order_sums(t), M.company_totals(t, by_year=True)
+    for rows, same in ((M.survey(t), M.survey(t, sums)), (M.gdp_real(t), M.gdp_real(t, sums, totals))):
+        assert rows.schema == same.schema
+        assert rows.count() > 2 and sorted(values(same), key=str) == sorted(values(rows), key=str)
+
+
+def test_tables_of_a_refresh_read_the_orders_no_more_than_their_figures_need(spark, monkeypatch):
+    """Besides the totals of companies, one job reads the orders for both the survey and the yearly series."""
+    read = []
+    for module in (M, flow_queries):
+        monkeypatch.setattr(module, "materialise", lambda df, name: read.append((name, any("orders" in p for p in df.inputFiles()))) or df.localCheckpoint())
+    flow_queries.sources(Tables(spark, "/root/testdata/sf0.001"))
+    assert sorted(name for name, orders in read if orders) == ["rounds", "totals"]
+
+
+def test_tax_numbers_are_the_same_text_as_by_pattern(frame):
+    numbers = frame([(0,), (1,), (9_999_999_999,), (10_000_000_000,), (-5,), (2**63 - 1,), (None,)], "n bigint")
+    assert numbers.where(~M.tax_number(F.col("n")).eqNullSafe(F.format_string("%010d", "n"))).count() == 0
+
+
 def test_files_of_broken_rows_are_written_by_all_tasks_each_under_its_header(spark, tmp_path):
     body = spark.range(1000, numPartitions=7).where("id % 2 = 0").select(F.concat(F.lit("fila "), "id").alias("value"))
     load_queries._under_headers(body, "clave").write.text(str(tmp_path / "parts"))
