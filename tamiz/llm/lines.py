@@ -27,7 +27,11 @@ RARITY_BLOCK = 1 << 14
 CHUNK_BYTES = 1 << 21
 FLUSH_BYTES = 1 << 23
 PAIRS_AT_ONCE = 1 << 20
+PAIRS_IN_MIND = 1 << 16  # compared at a time, few enough for the caches
+#: Sizes of lines in bands, for marks of words: each band starts a sixth above the one before, or one word.
+BANDS = np.unique([int((7 / 6) ** i) for i in range(140)])
 LAST_ID = (1 << 63) - 1
+ONCE = 8  # rarity of a bucket that counts one occurrence
 
 POSTING = np.dtype([("token", "<u4"), ("position", "<u4"), ("size", "<u4"), ("line", "<u4"), ("row", "<u4"), ("doc", "<i8"), ("even", "<u8"), ("odd", "<u8")])
 SAME = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("line", "<u4")])
@@ -129,6 +133,14 @@ class Lines:
         line = of_word[self.first]
         self.doc, self.number = doc[line], number[line]
 
+    def some(self, chosen: np.ndarray) -> Lines:
+        """The chosen lines alone."""
+        few = object.__new__(Lines)
+        few.size, few.doc, few.number = self.size[chosen], self.doc[chosen], self.number[chosen]
+        few.first = np.cumsum(few.size) - few.size
+        few.words = self.words[np.arange(few.size.sum()) + np.repeat(self.first[chosen] - few.first, few.size)]
+        return few
+
     def reduce(self, operation, values: np.ndarray) -> np.ndarray:
         return operation.reduceat(values, self.first) if len(self.first) else np.zeros(0, values.dtype)
 
@@ -147,8 +159,9 @@ def identified(docs: DataFrame) -> DataFrame:
 def _count_words(batches: Batches) -> Batches:
     counts = np.zeros(RARITY_BUCKETS, np.int64)
     for batch in batches:
-        for _, raw, starts in chunks(batch):
-            counts += np.bincount(bucket_of(word_hashes(raw, starts)[1]), minlength=RARITY_BUCKETS)
+        found = [bucket_of(word_hashes(raw, starts)[1]).astype(np.int32) for _, raw, starts in chunks(batch)]
+        if found:
+            counts += np.bincount(np.concatenate(found), minlength=RARITY_BUCKETS)
     if counts.any():
         blocks = counts.reshape(-1, RARITY_BLOCK)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "counts"])
@@ -171,7 +184,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
 
 def _dealt(records: np.ndarray, cells: np.ndarray, kind: int) -> Iterator[tuple[int, int, bytes]]:
-    order = np.argsort(cells, kind="stable")
+    order = np.argsort(cells)
     records, cells = records[order], cells[order]
     for start, length in zip(*runs(cells)):
         yield kind, int(cells[start]), records[start : start + length].tobytes()
@@ -200,20 +213,29 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, words_of: np.ndar
     """Blocks of records: kind 0 to find equal sets, kind 1 the postings of prefixes, kind 2 lines settled here.
 
     ``split`` says, for each rarity bucket, into how many parts the postings of its words are dealt; a posting
-    goes to every cell (own part, other part), so that any two of a word meet in exactly one cell. ``words_of``: in a
-    second round, marks of the words that lines still open have in their prefixes; no other posting can matter."""
+    goes to every cell (own part, other part), so that any two of a word meet in exactly one cell. A word that occurs once
+    meets no other. ``words_of``: in a second round, marks of the words that lines still open have in their prefixes, with
+    the bands of sizes of lines that may match them; no other posting can matter."""
 
-    def records(lines: Lines, doc: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def records(lines: Lines, doc_id: np.ndarray, row_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        taken = np.where(lines.size >= NUMERATOR, prefix_length(lines.size), 0)
+        line = np.repeat(np.arange(len(taken)), taken)
+        position = np.arange(len(line)) - np.repeat(np.cumsum(taken) - taken, taken)
+        words = lines.words[lines.first[line] + position]
+        wanted = rarity[bucket_of(words)] != ONCE
+        if words_of is not None:
+            wanted &= marked(words_of, sized(words, lines.size[line]))
+        line, position, words = line[wanted], position[wanted], words[wanted]
+        if words_of is not None:
+            chosen, line = np.unique(line, return_inverse=True)
+            lines = lines.some(chosen)
+        doc, row = doc_id[lines.doc], row_of[lines.doc].astype(np.uint32)
         same = np.zeros(len(doc), SAME)
         same["one"], same["two"] = (lines.reduce(np.add, mixed(lines.words, salt)) for salt in (1, 2))
         same["doc"], same["row"], same["line"] = doc, row, lines.number
         bit = np.uint64(1) << (lines.words & np.uint64(63))
         odd = (lines.words & np.uint64(64)) > 0
         parity = [lines.reduce(np.bitwise_xor, np.where(side, bit, np.uint64(0))) for side in (~odd, odd)]
-        taken = np.where(lines.size >= NUMERATOR, prefix_length(lines.size), 0)
-        line = np.repeat(np.arange(len(taken)), taken)
-        position = np.arange(len(line)) - np.repeat(np.cumsum(taken) - taken, taken)
-        words = lines.words[lines.first[line] + position]
         posting = np.zeros(len(line), POSTING)
         posting["token"] = words & np.uint64(0xFFFFFFFF)
         posting["position"], posting["size"] = position, lines.size[line]
@@ -230,8 +252,6 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, words_of: np.ndar
                 out.append((2, int(same["one"][0] % np.uint64(buckets)), same[again].tobytes()))
             out += _dealt(same[~again], (same["one"][~again] % np.uint64(buckets)).astype(np.int64), 0)
         fresh = ~np.isin(line_keys(postings), line_keys(same[again]))
-        if words_of is not None:
-            fresh &= marked(words_of, words)
         postings, words = postings[fresh], words[fresh]
         bucket = (mixed(words, 3) % np.uint64(buckets)).astype(np.int64)
         ways = split[bucket_of(words)].astype(np.int64)
@@ -252,7 +272,7 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, words_of: np.ndar
             parts, read = [], 0
             for first, raw, starts in chunks(batch):
                 lines = Lines(raw, starts, rarity)
-                parts.append(records(lines, doc_id[first + lines.doc], row[first + lines.doc].astype(np.uint32)))
+                parts.append(records(lines, doc_id[first:], row[first:]))
                 read += len(raw)
                 if read >= FLUSH_BYTES:
                     yield blocks(parts)
@@ -273,12 +293,20 @@ class Postings:
     """Postings of a cell as columns, by word, then size of the line. ``line`` numbers the lines in their order."""
 
     def __init__(self, records: np.ndarray):
-        order = np.argsort(records["token"].astype(np.uint64) << np.uint64(32) | records["size"])
-        records = records[order]
+        key = records["token"].astype(np.uint64) << np.uint64(32) | records["size"]
+        order = np.argsort(key)
+        token, size = key[order] >> np.uint64(32), (key[order] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # sizes are in order, so a posting that matches neither neighbour in size matches none
+        met = (token[1:] == token[:-1]) & (DENOMINATOR * size[:-1] >= NUMERATOR * size[1:])
+        records = records[order[np.r_[met, False] | np.r_[False, met]]] if len(met) else records[:0]
         self.records, self.token = records, records["token"].copy()
         self.size, self.position = (records[c].astype(np.int64) for c in ("size", "position"))
         self.even, self.odd = records["even"].copy(), records["odd"].copy()
-        self.key, first, number = np.unique(line_keys(records), return_index=True, return_inverse=True)
+        keys = line_keys(records)
+        order = np.argsort(keys)
+        starts, lengths = runs(keys[order])
+        first, number = order[starts], np.empty(len(order), np.int64)
+        number[order] = np.repeat(np.arange(len(starts)), lengths)
         some = records[first]
         place = np.empty(len(first), np.int64)
         place[np.lexsort((some["line"], some["row"], some["doc"]))] = np.arange(len(first))
@@ -287,34 +315,35 @@ class Postings:
         self.record_of[place] = first
 
     def pairs(self, cell: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(i, j, differing parities) of postings of one word that may match. The column is shifted against itself, which
-        goes on only where word and length still allow a match; then parities, then positions rule pairs out.
+        """(i, j, differing parities) of postings of one word that may match. By word and size in order, the partners of a
+        posting follow it up to the largest size that still allows a match; then parities, then positions rule pairs out.
 
         None of this loses a pair: two sets that differ in ``k`` words differ in at most ``k`` bits of the
         parities of their words' hashes."""
         ways, low, high = cell >> 16 & 255, cell >> 8 & 255, cell & 255
         part = _part(self.records, ways) if low != high else None
-        here, shift = np.arange(len(self.token)), 0
-        while True:
-            shift += 1
-            here = here[: np.searchsorted(here, len(self.token) - shift)]
-            there = here + shift
-            a, b = self.size[here], self.size[there]
-            met = (self.token[here] == self.token[there]) & (DENOMINATOR * a >= NUMERATOR * b)
-            here, there, a, b = here[met], there[met], a[met], b[met]
-            if not len(here):
-                return
-            need = overlap_needed(a, b)
-            differ = np.bitwise_count(self.even[here] ^ self.even[there]) + np.bitwise_count(self.odd[here] ^ self.odd[there])
-            good = np.flatnonzero(differ <= a + b - 2 * need)
-            i, j = here[good], there[good]
-            p, q = self.position[i], self.position[j]
-            most = np.minimum(p, q) + np.minimum(a[good] - p, b[good] - q)
-            fine = (most >= need[good]) & (self.line[i] != self.line[j])
+        word, largest = self.token.astype(np.uint64) << np.uint64(32), self.size * DENOMINATOR // NUMERATOR
+        ends = np.searchsorted(word | self.size.astype(np.uint64), word | largest.astype(np.uint64), side="right")
+        partners = ends - np.arange(1, len(word) + 1)
+        before = np.r_[0, np.cumsum(partners)]
+        at, size = 0, self.size.astype(np.int32)
+        while at < len(word):
+            last = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS_IN_MIND, side="right")) - 1)
+            some = partners[at:last]
+            i = np.repeat(np.arange(at, last), some)
+            j = np.arange(1, len(i) + 1) + i - np.repeat(before[at:last] - before[at], some)
+            at = last
+            differ = np.bitwise_count(self.even[i] ^ self.even[j]) + np.bitwise_count(self.odd[i] ^ self.odd[j])
+            both = size[i] + size[j]
+            good = np.flatnonzero(differ <= both - 2 * -(-NUMERATOR * both // (NUMERATOR + DENOMINATOR)))
+            i, j, differ = i[good], j[good], differ[good]
+            a, b, p, q = self.size[i], self.size[j], self.position[i], self.position[j]
+            most = np.minimum(p, q) + np.minimum(a - p, b - q)
+            fine = (most >= overlap_needed(a, b)) & (self.line[i] != self.line[j])
             if part is not None:
                 fine &= part[i] != part[j]
             if fine.any():
-                yield i[fine], j[fine], differ[good][fine].astype(np.int64)
+                yield i[fine], j[fine], differ[fine].astype(np.int64)
 
 
 def _nearest(late: np.ndarray, early: np.ndarray, differ: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
@@ -363,6 +392,19 @@ def _pairs(records: np.ndarray, cell: int, only: np.ndarray | None) -> tuple[np.
     return *sides, differ
 
 
+def sized(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of words together with the band of the size of the line they are in."""
+    return banded(words, band_of(sizes))
+
+
+def banded(words: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    return mixed(words ^ mixed(bands.astype(np.uint64), 7))
+
+
+def band_of(sizes) -> np.ndarray:
+    return np.searchsorted(BANDS, sizes, side="right")
+
+
 def marks_of(chunks: list[tuple[int, bytes]], bits: int) -> np.ndarray:
     """The bitmaps of ``common.key_filter`` end to end."""
     found = np.zeros((1 << bits) // 8, np.uint8)
@@ -462,14 +504,19 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _prefix_words(rarity: np.ndarray):
-    """Hashes of the words that the given sets have in their prefixes."""
+    """Hashes of the words that the given sets have in their prefixes, with each band of sizes of lines that may match the set."""
 
     def find(batches: Batches) -> Batches:
         for batch in batches:
             lines = [np.frombuffer(x, np.uint64) for x in batch.column("words").to_pylist()]
-            words = [x[np.lexsort((x, x << np.uint64(20) >> np.uint64(40), rarity[bucket_of(x)]))][: prefix_length(len(x))] for x in lines]
-            if words:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(words).view(np.int64))], ["key"])
+            keys = []
+            for x in lines:
+                words = x[np.lexsort((x, x << np.uint64(20) >> np.uint64(40), rarity[bucket_of(x)]))][: prefix_length(len(x))]
+                least, most = band_of([-(-NUMERATOR * len(x) // DENOMINATOR), DENOMINATOR * len(x) // NUMERATOR])
+                bands = np.arange(least, most + 1)
+                keys.append(banded(np.repeat(words, len(bands)), np.tile(bands, len(words))))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(keys)).view(np.int64))], ["key"])
 
     return find
 

@@ -111,6 +111,44 @@ def test_pairs_of_a_cell():
             assert found >= want if only is not None else {x for x, _ in found} >= {x for x, _ in want}
 
 
+def emitted(texts, rarity, words_of):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array(texts)], ["doc_id", "row", "text"])
+    out = lines._emit(rarity, np.ones(lines.RARITY_BUCKETS, np.int16), 3, words_of)(iter([batch]))
+    return np.frombuffer(b"".join(r["records"] for b in out for r in b.to_pylist() if r["kind"] == 1), lines.POSTING)
+
+
+def test_second_round_leaves_out_lines_too_long_to_match():
+    """Words of an open line's prefix count only in lines whose size may match it."""
+    rarity, words = np.zeros(lines.RARITY_BUCKETS, np.uint8), [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[:n]) for n in (40, 31, 32, 50, 51, 300)]
+    open_set = np.sort(lines.word_hashes(np.frombuffer(texts[0].encode(), np.uint8), np.array([0]))[1])
+    sets = pa.RecordBatch.from_arrays([pa.array([open_set.tobytes()], pa.binary())], ["words"])
+    keys = np.concatenate([b.column("key").to_numpy().view(np.uint64) for b in lines._prefix_words(rarity)(iter([sets]))])
+    marks = np.zeros(1 << 21, np.uint8)
+    np.bitwise_or.at(marks, (keys >> np.uint64(43)).astype(np.int64), np.uint8(1) << (keys >> np.uint64(40) & np.uint64(7)).astype(np.uint8))
+    found = emitted(texts, rarity, marks)
+    assert {0, 2, 3} <= set(found["doc"].tolist()) <= {0, 1, 2, 3, 4}
+    for doc in (0, 2, 3):  # the line itself with its whole prefix, its partners with records as in the first round
+        first = emitted(texts, rarity, None)
+        both = [set(map(bytes, r[r["doc"] == doc])) for r in (found, first)]
+        assert both[0] <= both[1] and (doc or both[0] == both[1])
+
+
+def test_words_that_meet_no_other_are_left_out():
+    texts = ["a b c d e", "a b c d f"]
+    rarity = np.full(lines.RARITY_BUCKETS, 40, np.uint8)
+    once = lines.word_hashes(np.frombuffer(b"e", np.uint8), np.array([0]))[1]
+    rarity[lines.bucket_of(once)] = np.round(8 * np.log2(1 + 1.0))
+    found = emitted(texts, rarity, None)
+    assert len(found) and (once & np.uint64(0xFFFFFFFF)).item() not in found["token"].tolist()
+    alone = np.zeros(5, lines.POSTING)
+    alone["token"], alone["size"], alone["doc"] = [5, 5, 2**32 - 1, 2**32 - 1, 7], [10, 13, 10, 12, 10], range(5)
+    kept = lines.Postings(alone)
+    assert sorted(kept.token.tolist()) == [2**32 - 1] * 2 and len(kept.record_of) == 2
+    assert [(i.tolist(), j.tolist()) for i, j, _ in kept.pairs(1 << 16)] == [([0], [1])]
+    assert not list(lines.Postings(alone[:0]).pairs(1 << 16))
+
+
 def test_awkward_rows(documents, empty):
     check(documents.select("doc_id", "text"))
     done = lines.drop_repeated_lines(documents.withColumn("n_lines", F.lit("mine")).withColumn("key", F.lit(1)))
