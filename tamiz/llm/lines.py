@@ -121,11 +121,12 @@ class Lines:
             rare = rarity[bucket_of(hashes)].astype(np.uint64) << np.uint64(24)
             key = (of_word << np.uint64(32)) | rare | (hashes << np.uint64(20) >> np.uint64(40))
             order = np.argsort(key)
-            close = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+            key = key[order]
+            close = np.flatnonzero(key[1:] == key[:-1])
             if (hashes[order[close]] != hashes[order[close + 1]]).any():
                 # prefixes need one order of words in all lines: words that are equal so far go by their whole hash
-                order = np.lexsort((hashes, key))
-        of_word, hashes = of_word[order], hashes[order]
+                order = order[np.lexsort((hashes[order], key))]
+        hashes = hashes[order]  # words stay within their line, so ``of_word`` is in order as it is
         new = np.ones(len(hashes), bool)
         new[1:] = (of_word[1:] != of_word[:-1]) | (hashes[1:] != hashes[:-1])
         of_word, self.words = of_word[new].astype(np.int64), hashes[new]
@@ -183,22 +184,24 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
-def _dealt(records: np.ndarray, cells: np.ndarray, kind: int) -> Iterator[tuple[int, int, bytes]]:
+def _dealt(records: np.ndarray, chosen: np.ndarray, cells: np.ndarray, kind: int) -> Iterator[tuple[int, int, bytes]]:
+    """The chosen records by their cells."""
     order = np.argsort(cells)
-    records, cells = records[order], cells[order]
+    records, cells = records[chosen[order]], cells[order]
     for start, length in zip(*runs(cells)):
         yield kind, int(cells[start]), records[start : start + length].tobytes()
 
 
-def _repeats(same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Records in order, and which of them repeat the set of an earlier line. Rows repeated as a whole have
+def _repeats(same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Records in order, which of them repeat the set of an earlier line, and the order. Rows repeated as a whole have
     the same lines, which are one line rather than an earlier and a later one."""
-    same = same[np.lexsort((same["line"], same["row"], same["doc"], same["two"], same["one"]))]
+    order = np.lexsort((same["line"], same["row"], same["doc"], same["two"], same["one"]))
+    same = same[order]
     again = np.zeros(len(same), bool)
     again[1:] = (same["one"][1:] == same["one"][:-1]) & (same["two"][1:] == same["two"][:-1])
     leader = np.maximum.accumulate(np.where(again, 0, np.arange(len(same))))
     again &= line_keys(same) != line_keys(same[leader])
-    return same, again
+    return same, again, order
 
 
 def _cell(bucket, ways, low, high):
@@ -217,7 +220,7 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, words_of: np.ndar
     meets no other. ``words_of``: in a second round, marks of the words that lines still open have in their prefixes, with
     the bands of sizes of lines that may match them; no other posting can matter."""
 
-    def records(lines: Lines, doc_id: np.ndarray, row_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def records(lines: Lines, doc_id: np.ndarray, row_of: np.ndarray) -> tuple[np.ndarray, ...]:
         taken = np.where(lines.size >= NUMERATOR, prefix_length(lines.size), 0)
         line = np.repeat(np.arange(len(taken)), taken)
         position = np.arange(len(line)) - np.repeat(np.cumsum(taken) - taken, taken)
@@ -241,28 +244,32 @@ def _emit(rarity: np.ndarray, split: np.ndarray, buckets: int, words_of: np.ndar
         posting["position"], posting["size"] = position, lines.size[line]
         posting["even"], posting["odd"] = parity[0][line], parity[1][line]
         posting["line"], posting["row"], posting["doc"] = lines.number[line], row[line], doc[line]
-        return same, posting, words
-
-    def blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        same, postings, words = map(np.concatenate, zip(*parts))
-        same, again = _repeats(same)
+        return same, posting, words, line
+
+    def blocks(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        before = np.cumsum([0] + [len(part[0]) for part in parts]).tolist()
+        line = np.concatenate([part[3] + n for part, n in zip(parts, before)])
+        same, postings, words = (np.concatenate([part[k] for part in parts]) for k in range(3))
+        same, again, order = _repeats(same)
+        repeated = np.empty(len(same), bool)
+        repeated[order] = again
         out = []
         if words_of is None:
             if again.any():
                 out.append((2, int(same["one"][0] % np.uint64(buckets)), same[again].tobytes()))
-            out += _dealt(same[~again], (same["one"][~again] % np.uint64(buckets)).astype(np.int64), 0)
-        fresh = ~np.isin(line_keys(postings), line_keys(same[again]))
-        postings, words = postings[fresh], words[fresh]
+            out += _dealt(same, np.flatnonzero(~again), (same["one"][~again] % np.uint64(buckets)).astype(np.int64), 0)
+        fresh = np.flatnonzero(~repeated[line])
+        words = words[fresh]
         bucket = (mixed(words, 3) % np.uint64(buckets)).astype(np.int64)
         ways = split[bucket_of(words)].astype(np.int64)
         whole = ways == 1
-        out += _dealt(postings[whole], _cell(bucket[whole], 1, 0, 0), 1)
-        postings, bucket, ways = postings[~whole], bucket[~whole], ways[~whole]
+        out += _dealt(postings, fresh[whole], _cell(bucket[whole], 1, 0, 0), 1)
+        postings, bucket, ways = postings[fresh[~whole]], bucket[~whole], ways[~whole]
         copies = np.repeat(np.arange(len(postings)), ways)
         other = np.arange(len(copies)) - np.repeat(np.cumsum(ways) - ways, ways)
         part = _part(postings, ways)[copies]
         cell = _cell(bucket[copies], ways[copies], np.minimum(part, other), np.maximum(part, other))
-        out += _dealt(postings[copies], cell, 1)
+        out += _dealt(postings, copies, cell, 1)
         kinds, keys, blobs = zip(*out) if out else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["kind", "cell", "records"])
 
@@ -433,7 +440,7 @@ def _meet(only: np.ndarray | None):
         else:
             later, partner = np.frombuffer(blobs, SAME), None
             if kind == 0:
-                later, again = _repeats(later)
+                later, again, _ = _repeats(later)
                 later = later[again]
             differ = None
         none = pa.nulls(len(later), pa.int64())
@@ -562,7 +569,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     All rows and other columns stay; a text all of whose lines go is empty, a NULL text stays NULL. Columns of the added
     names are replaced, and ``n_chars``, if there, is the length of the new text."""
     own = docs.drop("n_lines", "n_removed")
-    gone = later_matches(identified(own)).distinct().groupBy("doc_id", "row").agg(F.collect_list("line").alias("__gone"))
+    gone = later_matches(identified(own)).groupBy("doc_id", "row").agg(F.collect_set("line").alias("__gone"))
     gone = materialise(gone, "lines-of-documents").select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), "__gone")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
     row = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
