@@ -30,6 +30,7 @@ PAIRS_AT_ONCE = 1 << 20
 PAIRS_IN_MIND = 1 << 16  # compared at a time, few enough for the caches
 #: Sizes of lines in bands, for marks of words: each band starts a sixth above the one before, or one word.
 BANDS = np.unique([int((7 / 6) ** i) for i in range(140)])
+SHIFTS = (0, 16, 32)  # bits of a key at which its places in a bitmap begin
 LAST_ID = (1 << 63) - 1
 ONCE = 8  # rarity of a bucket that counts one occurrence
 
@@ -371,7 +372,7 @@ def _pairs(records: np.ndarray, cell: int, only: np.ndarray | None) -> tuple[np.
     """(later, earlier, differing parities) of a cell: the nearest partner of each line that may have one, or, for
     the lines that ``only`` marks, all partners."""
     postings = Postings(records)
-    wanted = None if only is None else marked(only, line_keys(postings.records[postings.record_of]))
+    wanted = None if only is None else well_marked(only, line_keys(postings.records[postings.record_of]))
     most = 1 if only is None else len(records)
     found = (np.zeros(0, np.int64),) * 3
     waiting: list[tuple[np.ndarray, ...]] = []
@@ -425,6 +426,14 @@ def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
 
 
+def well_marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Keys that are marked from each of ``SHIFTS`` on, so that hardly any is by chance."""
+    found = np.ones(len(keys), bool)
+    for shift in SHIFTS:
+        found[found] = marked(marks, keys[found] << np.uint64(shift))
+    return found
+
+
 MET = "doc_id long, row long, line long, key long, key2 long, differ long"
 
 
@@ -479,14 +488,15 @@ def _sets_of(marks: np.ndarray):
 
 
 def _verify(batches: Batches) -> Batches:
-    """Keep the pairs whose sets reach the similarity. Sets are sorted."""
+    """The later lines of pairs, without ``words`` where the sets reach the similarity. Sets are sorted."""
     for batch in batches:
         good = []
         for a, b in zip(batch.column("words").to_pylist(), batch.column("words2").to_pylist()):
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
             both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
             good.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
-        yield batch.drop_columns(["words", "words2"]).filter(pa.array(good, pa.bool_()))
+        words = pa.array(batch.column("words").to_pylist(), pa.binary(), mask=np.array(good, bool))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*LINE, "key")), words], [*LINE, "key", "words"])
 
 
 def _bits_of(keys: DataFrame, key: str) -> np.ndarray:
@@ -498,16 +508,16 @@ def _bits_of(keys: DataFrame, key: str) -> np.ndarray:
 LINE = ("doc_id", "row", "line")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, row, line, key) of the later lines of pairs whose sets reach the similarity; (key, words) of all."""
-    pairs = materialise(pairs, "line-pairs")
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc_id, row, line, key, words) for each pair of a stored table: the later line, and its set if the pair does not
+    reach the similarity, else NULL."""
     ends = pairs.select("key").unionByName(pairs.select(F.col("key2").alias("key")))
-    sets = map_batches(docs, _sets_of(_bits_of(ends, "key")), "key long, words binary")
-    # rows repeated as a whole have the same lines, and a mark may hold other lines than those asked for
-    sets = materialise(sets.join(ends.distinct(), "key", "left_semi").groupBy("key").agg(F.first("words").alias("words")), "line-sets")
+    found = map_batches(docs, _sets_of(_bits_of(ends, "key")), "key long, words binary")
+    # rows repeated as a whole have the same lines; both joins read one shuffle of the sets, so texts are read once
+    sets = found.groupBy("key").agg(F.first("words").alias("words"))
     sided = pairs.join(sets, "key").join(sets.select(F.col("key").alias("key2"), F.col("words").alias("words2")), "key2")
     wide = sided.select(*LINE, "key", "words", "words2")
-    return materialise(map_batches(wide, _verify, "doc_id long, row long, line long, key long").distinct(), "lines-gone"), sets
+    return map_batches(wide, _verify, "doc_id long, row long, line long, key long, words binary")
 
 
 def _prefix_words(rarity: np.ndarray):
@@ -549,17 +559,19 @@ def later_matches(docs: DataFrame, cell_records: int = 100_000, split_over: int
     pairs = met.where(F.col("key2").isNotNull())
     # a line's nearest partner settles nearly all of them
     nearest = pairs.groupBy("key").agg(F.min_by("key2", "differ").alias("key2"), *(F.min(c).alias(c) for c in LINE))
-    found, sets = _verified(docs, nearest)
-    gone = met.where(F.col("key2").isNull()).select(*LINE).unionByName(found.select(*LINE))
+    nearest = materialise(nearest, "line-pairs")
+    tried = materialise(_verified(docs, nearest), "lines-tried")
+    gone = met.where(F.col("key2").isNull()).unionByName(tried.where(F.col("words").isNull()), allowMissingColumns=True).select(*LINE)
     # the others meet all the lines that share a word of their prefixes
-    open_sets = materialise(sets.join(nearest.select("key"), "key", "left_semi").join(found.select("key"), "key", "left_anti"), "lines-open")
-    open_marks = _bits_of(open_sets, "key")
+    open_sets = tried.where(F.col("words").isNotNull())
+    open_marks = _bits_of(open_sets.select(F.explode(F.array(*(F.shiftleft("key", n) for n in SHIFTS))).alias("key")), "key")
     if open_marks.any():
         words = materialise(map_batches(open_sets.select("words"), _prefix_words(rarity), "key long").distinct(), "open-words")
         rest = meeting(open_marks, _bits_of(words, "key")).where(F.col("key2").isNotNull())
-        tried = nearest.select("key", "key2")
-        rest = rest.groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in LINE)).join(tried, ["key", "key2"], "left_anti")
-        gone = gone.unionByName(_verified(docs, rest)[0].select(*LINE))
+        # lines that are marked by chance are few, and what their pairs say holds as well
+        rest = rest.groupBy("key", "key2").agg(*(F.min(c).alias(c) for c in LINE))
+        rest = _verified(docs, materialise(rest, "line-pairs")).where(F.col("words").isNull()).select(*LINE)
+        gone = gone.unionByName(materialise(rest.distinct(), "lines-gone"))
     return gone
 
 

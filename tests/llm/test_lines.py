@@ -81,6 +81,52 @@ def test_split_words_and_second_round(spark, monkeypatch):
     assert rounds
 
 
+def test_sets_are_read_once_and_stored_for_open_lines_alone(spark, monkeypatch):
+    rng = random.Random(7)
+    whole = [[f"v{rng.randrange(5000)}" for _ in range(30)] for _ in range(12)]
+    rows = [(i, " ".join(f"v{rng.randrange(5000)}" if rng.random() < 0.12 else w for w in whole[i % 12])) for i in range(240)]
+    docs = lines.identified(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    seen, stored, made = spark.sparkContext.accumulator(0), [], []
+    materialise, sets_of = lines.materialise, lines._sets_of
+
+    def counted(marks):
+        find = sets_of(marks)
+        made.append(1)
+
+        def counting(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield from find(iter([batch]))
+
+        return counting
+
+    def storing(df, name):
+        stored.append((name, materialise(df, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(lines, "_sets_of", counted)
+    monkeypatch.setattr(lines, "materialise", storing)
+    lines.later_matches(docs).collect()
+    assert len(made) == 2 and seen.value == 2 * len(rows)
+    with_words = [(n, df) for n, df in stored if "words" in df.columns]
+    assert [n for n, _ in with_words] == ["lines-tried"]
+    tried = with_words[0][1]
+    sizes = [len(r["words"]) for r in tried.where("words is not null").collect()]
+    assert 0 < len(sizes) < tried.count() and min(sizes) > 0
+
+
+def test_lines_marked_by_chance():
+    """A key counts as marked only if all its places are."""
+    keys = lines.mixed(np.arange(1000, dtype=np.uint64))
+    marks = np.zeros((1 << 15) // 8, np.uint8)
+    for shift in lines.SHIFTS:
+        place = (keys[:100] << np.uint64(shift) >> np.uint64(49)).astype(np.int64)
+        np.bitwise_or.at(marks, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
+    chosen = lines.well_marked(marks, keys)
+    assert chosen[:100].all() and chosen.sum() < 105
+    assert not len(lines.well_marked(marks, keys[:0]))
+
+
 def test_pairs_of_a_cell():
     """All partners where they are asked for, the nearest one else, whatever the cells."""
     rows = similar_lines(6, documents=40, vocabulary=30)
